@@ -46,9 +46,18 @@ def is_object(element: Column) -> Column:
 
 
 def only_objects(text: Column) -> Column:
-    """Does a JSON array hold nothing but objects (and nulls)? Never null."""
-    elements = array_elements(text)
-    return F.coalesce(F.forall(elements, lambda e: is_json_null(e) | is_object(e)), F.lit(False))
+    """Does a JSON array hold nothing but objects (and nulls)? Never null.
+
+    One look at the merged element type: anything else beside an object makes it a variant.
+    """
+    merged = F.schema_of_variant(F.try_parse_json(text))
+    return F.coalesce(merged.startswith("ARRAY<OBJECT"), F.lit(False))
+
+
+def first_is_object(text: Column) -> Column:
+    """Does a JSON array start with an object? Never null; other texts are not parsed."""
+    first = F.try_variant_get(F.try_parse_json(text), "$[0]", "variant")
+    return F.coalesce(F.when(looks_like_object_array(text), is_object(first)), F.lit(False))
 
 
 def value_label(element: Column) -> Column:
@@ -76,16 +85,12 @@ def key_kind(element: Column) -> Column:
     first = F.try_variant_get(element, "$[0]", "variant")
     return (
         F.when(label != "array", label)
-        .when(first.isNull() & (array_size(element) == 0), "array_empty")
+        .when(first.isNull(), "array_empty")
         .when(is_object(first), "array_of_objects")
         .otherwise("array_of_scalars")
     )
 
 
-def array_size(element: Column) -> Column:
-    return F.size(F.try_variant_get(element, "$", "array<variant>"))
-
-
 def field_value(element: Column, name: str, dtype: T.DataType) -> Column:
     """One typed field of a variant object, whatever characters its name holds."""
     target = dtype.simpleString() if not _has_struct(dtype) else _quoted_type(dtype)

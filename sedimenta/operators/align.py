@@ -19,6 +19,18 @@ def typed_null(dtype: T.DataType) -> Column:
     return F.lit(None).cast(dtype)
 
 
+def field_of(column: Column, struct: T.StructType, name: str) -> Column:
+    """One struct field, also where another one is named the same up to case.
+
+    Such fields are told apart by position: a cast renames a struct's fields in order.
+    """
+    names = struct.fieldNames()
+    if sum(n.lower() == name.lower() for n in names) == 1:
+        return column.getField(name)
+    by_position = T.StructType([T.StructField(f"_{i}", f.dataType) for i, f in enumerate(struct.fields)])
+    return column.cast(by_position).getField(f"_{names.index(name)}")
+
+
 def _match(name: str, fields: list[T.StructField]) -> T.StructField | None:
     """The field with this name: same spelling first, then case and odd characters aside."""
     exact = next((f for f in fields if f.name == name), None)
@@ -37,7 +49,7 @@ def _to_map(col: Column, src: T.StructType, dst: T.MapType) -> Column:
     entries = []
     for field in src.fields:
         entries.append(F.lit(field.name).cast(dst.keyType))
-        entries.append(align_column(col.getField(field.name), field.dataType, dst.valueType))
+        entries.append(align_column(field_of(col, src, field.name), field.dataType, dst.valueType))
     filled = F.map_filter(F.create_map(*entries), lambda _, v: v.isNotNull())
     return F.when(col.isNotNull(), filled)
 
@@ -54,7 +66,7 @@ def align_column(col: Column, src: T.DataType, dst: T.DataType) -> Column:
         fields = []
         for field in dst.fields:
             found = _match(field.name, src.fields)
-            value = (align_column(col.getField(found.name), found.dataType, field.dataType)
+            value = (align_column(field_of(col, src, found.name), found.dataType, field.dataType)
                      if found else typed_null(field.dataType))
             fields.append(value.alias(field.name))
         return F.when(col.isNotNull(), F.struct(*fields))

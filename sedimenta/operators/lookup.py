@@ -6,8 +6,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sedimenta.functions.json_values import array_elements, key_kind
+from sedimenta.functions.json_values import array_elements, field_value, key_kind
 from sedimenta.functions.naming import quote
 
 
@@ -38,14 +39,11 @@ def inspect_key(df: DataFrame, json: str, id_column: str, key: str, sample: int
     Arrays are cut to their first ``sample`` items, as the report shows them. Kept as a
     minimum over the id, so only one row per task moves.
     """
-    entry = F.try_parse_json(quote(json))
-    value = F.try_variant_get(entry, "$", "map<string,variant>").getItem(key)
+    value = field_value(F.try_parse_json(quote(json)), key, T.VariantType())
     found = df.select(_id_column(df, id_column).alias("id"), value.alias("value")).where(
         F.col("value").isNotNull() & ~F.is_variant_null("value"))
-    text = F.to_json("value")
+    first = found.agg(F.min_by(F.struct("id", F.to_json("value").alias("text")), "id").alias("row"))
+    text = F.col("row.text")
     shown = F.coalesce(F.to_json(F.slice(array_elements(text), 1, sample)), text)
-    return (
-        found.select(F.struct("id", key_kind(F.col("value")).alias("kind"),
-                              shown.alias("sample")).alias("row"))
-        .agg(F.min("row").alias("row")).where(F.col("row").isNotNull()).select("row.*")
-    )
+    return first.where(F.col("row").isNotNull()).select(
+        "row.id", key_kind(F.parse_json(text)).alias("kind"), shown.alias("sample"))

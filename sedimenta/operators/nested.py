@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.functions.json_values import (
-    array_elements, field_value, first_key, is_json_null, is_object, looks_like_object_array,
-    only_objects, variant_type,
+    array_elements, field_value, first_key, is_object, looks_like_object_array, only_objects,
+    variant_type,
 )
 from sedimenta.functions.naming import (
     clean_name, clean_names, quote, resolve_case_conflicts, root_id_column, unique_names,
 )
+from sedimenta.operators.align import field_of
 from sedimenta.scratch import stage
 
 Path = tuple[str, ...]
@@ -119,14 +120,20 @@ def plan_normalisation(df: DataFrame, main_table: str, root_id: str | None = Non
     )
 
 
-def at_path(base: Column | None, path: Path) -> Column:
+def at_path(base: Column | None, path: Path, struct: T.StructType) -> Column:
     """Field access by name parts, none of which is parsed for dots."""
-    column = F.col(quote(path[0])) if base is None else base.getField(path[0])
-    for part in path[1:]:
-        column = column.getField(part)
+    column = F.col(quote(path[0])) if base is None else field_of(base, struct, path[0])
+    for part, name in zip(path, path[1:]):
+        struct = struct[part].dataType
+        column = field_of(column, struct, name)
     return column
 
 
+def _fields(element: Column, struct: T.StructType) -> list[Column]:
+    """Every field of a struct under a positional name."""
+    return [field_of(element, struct, n).alias(f"_{i}") for i, n in enumerate(struct.fieldNames())]
+
+
 def with_names(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Rename by position, so that names equal up to case never meet."""
     return df.toDF(*names)
@@ -148,12 +155,12 @@ def _parent_id(path: Path, struct: T.StructType) -> tuple[str, str] | None:
 
 def _ids_along(base: Column | None, path: Path, struct: T.StructType) -> list[Column]:
     """Ids of every struct passed on the way to the last part of ``path``."""
-    ids = []
+    ids, current = [], struct
     for depth in range(1, len(path)):
-        struct = struct[path[depth - 1]].dataType
-        found = _parent_id(path[:depth], struct)
+        current = current[path[depth - 1]].dataType
+        found = _parent_id(path[:depth], current)
         if found:
-            ids.append(at_path(base, path[:depth]).getField(found[0]).alias(found[1]))
+            ids.append(at_path(base, (*path[:depth], found[0]), struct).alias(found[1]))
     return ids
 
 
@@ -166,27 +173,24 @@ def explode_array(df: DataFrame, nested: NestedField, root_id: str) -> DataFrame
     current = df.select(
         F.col(quote(root_id)).alias(root_id.lower()),
         *_ids_along(None, first, df.schema),
-        F.explode(at_path(None, first)).alias("_element"),
+        F.explode(at_path(None, first, df.schema)).alias("_element"),
     ).where(F.col("_element").isNotNull())
     element = _type_at(df.schema, first).elementType
     for previous, path in zip(nested.steps, nested.steps[1:]):
         keys = current.columns[:-1]
         parent = _parent_id(previous, element)
-        own = [F.col("_element").getField(parent[0]).alias(parent[1])] if parent else []
+        own = [field_of(F.col("_element"), element, parent[0]).alias(parent[1])] if parent else []
         current = current.toDF(*unique_names(keys), "_element").select(
             *[F.col(quote(k)) for k in unique_names(keys)], *own,
             *_ids_along(F.col("_element"), path, element),
-            F.explode(at_path(F.col("_element"), path)).alias("_element"),
+            F.explode(at_path(F.col("_element"), path, element)).alias("_element"),
         ).where(F.col("_element").isNotNull())
         element = _type_at(element, path).elementType
     keys = unique_names(current.columns[:-1])
     current = current.toDF(*keys, "_element")
-    fields = element.fieldNames()
-    names = resolve_case_conflicts(keys + clean_names(fields))
+    names = resolve_case_conflicts(keys + clean_names(element.fieldNames()))
     return with_names(current.select(
-        *[F.col(quote(k)) for k in keys],
-        *[F.col("_element").getField(n).alias(f"_{i}") for i, n in enumerate(fields)],
-    ), names)
+        *[F.col(quote(k)) for k in keys], *_fields(F.col("_element"), element)), names)
 
 
 def _type_at(struct: T.StructType, path: Path) -> T.DataType:
@@ -198,7 +202,7 @@ def _type_at(struct: T.StructType, path: Path) -> T.DataType:
 
 def map_entries(df: DataFrame, nested: NestedField, root_id: str) -> DataFrame:
     """(root id, map id, key, value) for every entry with a value."""
-    mapping = at_path(None, nested.path)
+    mapping = at_path(None, nested.path, df.schema)
     map_id = f"{nested.path[-1].lower()}_id"
     text_values = isinstance(nested.dtype.valueType, T.StringType)
     return df.select(
@@ -219,7 +223,7 @@ def object_array_keys(df: DataFrame, nested: NestedField, root_id: str) -> DataF
 
 
 def map_elements(df: DataFrame, nested: NestedField, root_id: str) -> DataFrame:
-    """The elements of all object arrays of a text map, one variant per row.
+    """The objects in all object arrays of a text map, one variant per row.
 
     ``_key`` is the lower-case key: all spellings of a key feed one child. Entries that are
     no arrays of objects give nothing here; they stay in the main table's map.
@@ -232,7 +236,7 @@ def map_elements(df: DataFrame, nested: NestedField, root_id: str) -> DataFrame:
             F.lower("_source_key").alias("_key"), "_source_key",
             F.explode(array_elements(F.col("_value"))).alias("_element"),
             F.pmod(F.xxhash64(F.lower("_source_key")), F.lit(_SLOTS)).cast("int").alias("_slot"),
-        )
+        ).where(is_object(F.col("_element")))
     )
 
 
@@ -246,7 +250,7 @@ def stage_map_elements(df: DataFrame, nested: NestedField, root_id: str) -> Data
     The rebalance hint lets adaptive execution split a key that holds most elements and pack
     the small ones, so a hot key is neither one task nor one file.
     """
-    elements = map_elements(df, nested, root_id).where(~is_json_null(F.col("_element")))
+    elements = map_elements(df, nested, root_id)
     return stage(elements.hint("rebalance", "_slot"), "map-elements", partition_by=["_slot"])
 
 
@@ -259,8 +263,7 @@ def map_children(elements: DataFrame, nested: NestedField, max_children: int = 5
     """
     element = F.col("_element")
     rows = (
-        elements.where(is_object(element))
-        .groupBy("_key", "_slot")
+        elements.groupBy("_key", "_slot")
         .agg(F.schema_of_variant_agg(element).alias("type"), F.count(F.lit(1)).alias("elements"))
         .limit(max_children + 1)
         .collect()
@@ -287,8 +290,7 @@ def map_child(elements: DataFrame, nested: NestedField, child: MapChild, root_id
     names = resolve_case_conflicts(keys + clean_names(fields))
     element = F.col("_element")
     return with_names(
-        elements.where((F.col("_slot") == child.slot) & (F.col("_key") == child.key)
-                       & is_object(element)).select(
+        elements.where((F.col("_slot") == child.slot) & (F.col("_key") == child.key)).select(
             *[F.col(quote(k)) for k in keys],
             *[field_value(element, f.name, f.dataType).alias(f"_{i}")
               for i, f in enumerate(child.element.fields)],
@@ -301,12 +303,10 @@ def map_array_child(df: DataFrame, nested: NestedField, root_id: str) -> DataFra
     exploded = map_entries(df, nested, root_id).select(
         *[F.col(quote(k)) for k in keys], F.explode("_value").alias("_element"),
     ).where(F.col("_element").isNotNull())
-    fields = nested.dtype.valueType.elementType.fieldNames()
-    names = resolve_case_conflicts(keys + clean_names(fields))
+    element = nested.dtype.valueType.elementType
+    names = resolve_case_conflicts(keys + clean_names(element.fieldNames()))
     return with_names(exploded.select(
-        *[F.col(quote(k)) for k in keys],
-        *[F.col("_element").getField(n).alias(f"_{i}") for i, n in enumerate(fields)],
-    ), names)
+        *[F.col(quote(k)) for k in keys], *_fields(F.col("_element"), element)), names)
 
 
 def map_rejects(df: DataFrame, nested: NestedField, root_id: str) -> DataFrame:

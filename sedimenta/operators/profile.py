@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimenta.functions.json_values import array_elements, is_object, key_kind, value_label
+from sedimenta.functions.json_values import first_is_object, key_kind, value_label
 from sedimenta.functions.naming import quote
 
 SPARSE_BELOW = 30.0
@@ -127,9 +127,8 @@ def canonical_keys(df: DataFrame, mapping: str) -> DataFrame:
     row per spelling.
     """
     entries = df.select(F.explode(quote(mapping)).alias("key", "text"))
-    elements = array_elements(F.col("text"))
     spelled = (
-        entries.where(F.coalesce(is_object(F.get(elements, F.lit(0))), F.lit(False)))
+        entries.where(first_is_object(F.col("text")))
         .groupBy(F.lower("key").alias("folded"), "key").agg(F.count(F.lit(1)).alias("records"))
     )
     return elect(spelled)

@@ -82,7 +82,7 @@ def suggest_tables(df: DataFrame, json: str, root: str = "alerts", fk: str = "al
     sub = _object_fields(objects, "value", "key")
     sub_profile = _profile(sub, ["key"], object_totals)
     array_fields = sub.where(
-        F.coalesce(is_object(F.get(_elements(F.col("field_value")), F.lit(0))), F.lit(False)))
+        F.coalesce(is_object(F.try_variant_get("field_value", "$[0]", "variant")), F.lit(False)))
     spellings = array_fields.groupBy(F.struct("key", F.lower("field").alias("field")).alias("folded"),
                                      F.col("field").alias("key")).agg(F.count(F.lit(1)).alias("records"))
     elected = elect(spellings).select(

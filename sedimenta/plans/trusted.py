@@ -64,8 +64,11 @@ def trusted_normalise(spark: SparkSession, date: str, config: dict[str, Any]) ->
     children = {name: with_audit(frame, date, moment)
                 for name, frame in child_frames(prepared, plan).items()}
 
+    array_tables = {n.table for n in plan.nested}
+
     def write(name: str, frame: DataFrame) -> str | None:
-        if frame.isEmpty():
+        # A map child exists because its key had elements; an array may have none.
+        if name in array_tables and frame.isEmpty():
             return None
         create_or_append(
             spark, frame, table_name(destination, destination["database_name"], name),

@@ -73,6 +73,13 @@ def _aligned(name: str, reading: T.DataType, stored: T.DataType, same_shape: boo
     return column.cast(stored) if same_shape else align_column(column, reading, stored)
 
 
+def _without_fields(spark: SparkSession, paths: str | list[str], multi_line: bool) -> DataFrame:
+    """No record has a field: what is no JSON is corrupt. Spark refuses to parse for that alone."""
+    text = spark.read.text(paths, wholetext=multi_line).where(F.trim("value") != "")
+    return text.select(F.when(F.try_parse_json("value").isNull(), F.col("value")).alias(CORRUPT),
+                       "_metadata")
+
+
 def read_json(spark: SparkSession, paths: str | Sequence[str],
               table_schema: T.StructType | None = None, *, multi_line: bool = True,
               sampling_ratio: float | None = None, schema: T.StructType | None = None,
@@ -98,9 +105,12 @@ def read_json(spark: SparkSession, paths: str | Sequence[str],
         reading.append(T.StructField(source.name, dtype))
         columns.append(_aligned(source.name, dtype, final.dataType, same_shape).alias(final.name))
 
-    parsed = _reader(spark, multi_line).schema(
-        T.StructType([*reading, T.StructField(CORRUPT, T.StringType())])
-    ).json(paths if isinstance(paths, str) else list(paths))
+    paths = paths if isinstance(paths, str) else list(paths)
+    if reading:
+        parsed = _reader(spark, multi_line).schema(
+            T.StructType([*reading, T.StructField(CORRUPT, T.StringType())])).json(paths)
+    else:
+        parsed = _without_fields(spark, paths, multi_line)
     frame = parsed.select(
         *columns, F.col(CORRUPT),
         F.current_timestamp().alias(INGESTED_AT), F.col("_metadata.file_path").alias(SOURCE_FILE),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from sedimenta.functions.naming import quote_table
 from sedimenta.operators.align import align_to
 from sedimenta.sinks.files import write_many, write_orc
 from sedimenta.sinks.tables import replace_all
@@ -42,6 +43,8 @@ def run_csv_stream(spark: SparkSession, path: str, table: str, orc_location: str
             lambda df: replace_all(align_to(df, stored), table),
             lambda df: write_orc(df, orc_location),
         ])
+        # Batches run in a session of their own; the caller's still lists the old files.
+        spark.catalog.refreshTable(quote_table(table))
 
     return (csv_stream(spark, path, stored, archive).writeStream.foreachBatch(load)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

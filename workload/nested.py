@@ -36,7 +36,7 @@ def array_child_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line of every document, with the document's id."""
     docs = document_lines(spark, sf_dir)
     plan = N.plan_normalisation(docs, "documents")
-    return N.explode_array(docs, plan.arrays[0], plan.root_id).drop("words")
+    return N.explode_array(docs, plan.arrays[0], plan.root_id)
 
 
 @query("""
@@ -44,7 +44,7 @@ def array_child_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)""")
 def array_grandchild_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrays inside the elements of a child: one explode per level."""
-    docs = document_lines(spark, sf_dir)
+    docs = document_lines(spark, sf_dir, words=True)
     plan = N.plan_normalisation(docs, "documents", max_depth=2)
     words = next(a for a in plan.arrays if len(a.steps) == 2)
     return N.explode_array(docs, words, plan.root_id)

@@ -13,14 +13,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document with its lines, and each line's words, as arrays of structs."""
-    lines = F.split("text", "\n", -1)
-    line = lambda text, i: F.struct(
-        text.alias("line"), i.alias("position"),
-        F.transform(F.split(text, " ", -1), lambda w: F.struct(w.alias("word"))).alias("words"))
+def document_lines(spark: SparkSession, sf_dir: str, words: bool = False) -> DataFrame:
+    """Each document with its lines, on request with their words, as arrays of structs."""
+
+    def line(text: Column, i: Column) -> Column:
+        fields = [text.alias("line"), i.alias("position")]
+        if words:
+            fields.append(F.transform(F.split(text, " ", -1), lambda w: F.struct(w.alias("word")))
+                          .alias("words"))
+        return F.struct(*fields)
+
     return table(spark, sf_dir, "documents").select(
-        "doc_id", "lang", "source", F.transform(lines, line).alias("snippet"))
+        "doc_id", "lang", "source", F.transform(F.split("text", "\n", -1), line).alias("snippet"))
 
 
 def order_findings() -> Column:

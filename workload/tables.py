@@ -27,7 +27,9 @@ def align_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned.withColumnRenamed("C_NATIONKEY", "c_nationkey")
 
 
-@query("SELECT 0 AS c_mktsegment, 0 AS c_nationkey, count(*) AS c_name, 0 AS c_phone FROM customer")
+@query("""
+    SELECT CAST(0 AS BIGINT) AS c_mktsegment, CAST(0 AS BIGINT) AS c_nationkey, count(*) AS c_name,
+           CAST(0 AS BIGINT) AS c_phone FROM customer""")
 def align_loss_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values that would not fit the table, per column."""
     stored = T.StructType.fromDDL("c_mktsegment string, c_nationkey bigint, c_name int, c_phone string")
@@ -217,7 +219,7 @@ def orc_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT sink, count(*) AS records, sum(c_custkey) AS keys FROM customer,
+    SELECT sink, count(*) AS records, CAST(sum(c_custkey) AS BIGINT) AS keys FROM customer,
     LATERAL (VALUES ('table'), ('orc')) v(sink) GROUP BY sink""")
 def multi_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch, computed once, to a table and to ORC."""
