@@ -28,6 +28,11 @@ def json_fields(df: DataFrame, json: str, *keep: str) -> DataFrame:
     ).drop("_json").where(F.col("key").isNotNull())
 
 
+def record_count(df: DataFrame) -> Column:
+    """F1 as a scalar subquery: the number of records beside each row of another result."""
+    return df.agg(F.count(F.lit(1))).scalar()
+
+
 def percent(part: Column, whole: Column) -> Column:
     """Filled share in percent with one decimal."""
     return F.round(part / whole * 100, 1)
@@ -59,12 +64,9 @@ def dominant_types(histogram: DataFrame) -> DataFrame:
 
 def field_profile(df: DataFrame, json: str) -> DataFrame:
     """per field the dominant type, filled count and filled percent of *all* records."""
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    profile = dominant_types(field_types(df, json))
-    # One row on the right: the record count.
-    return profile.join(F.broadcast(total)).select(
+    return dominant_types(field_types(df, json)).select(
         F.col("key").alias("field"), "type", "filled",
-        percent(F.col("filled"), F.col("total")).alias("filled_pct"),
+        percent(F.col("filled"), record_count(df)).alias("filled_pct"),
     )
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.functions.json_values import is_object, value_label
-from sedimenta.operators.profile import SPARSE_BELOW, dominant_types, elect, json_fields, percent
+from sedimenta.operators.profile import (
+    SPARSE_BELOW, dominant_types, elect, json_fields, percent, record_count,
+)
 from sedimenta.scratch import stage
 
 
@@ -50,7 +52,6 @@ def suggest_tables(df: DataFrame, json: str, root: str = "alerts", fk: str = "al
     """
     # Parsed once: the profiles below read the fields of each level again.
     root_fields = stage(json_fields(df, json), "json-fields")
-    totals = df.agg(F.count(F.lit(1)).alias("total"))
     histogram = root_fields.groupBy("key", value_label(F.col("value")).alias("type")).agg(
         F.count(F.lit(1)).alias("records"),
         F.bool_or(F.exists(_elements(F.col("value")), is_object)).alias("_hit"))
@@ -59,9 +60,10 @@ def suggest_tables(df: DataFrame, json: str, root: str = "alerts", fk: str = "al
 
     is_child = (F.col("type") == "array") & F.col("object_array")
     main = _columns(
-        level1.where(~is_child & (F.col("type") != "object")).join(F.broadcast(totals)),
+        level1.where(~is_child & (F.col("type") != "object")),
         F.lit(root), F.col("key"),
-        F.when(F.col("type") == "array", "array<string>").otherwise(F.col("type")), F.col("total"))
+        F.when(F.col("type") == "array", "array<string>").otherwise(F.col("type")),
+        record_count(df))
 
     # Root arrays of objects: one child each.
     root_children = level1.where(is_child).select("key")

@@ -73,7 +73,7 @@ def trusted_normalise(spark: SparkSession, date: str, config: dict[str, Any]) ->
         create_or_append(
             spark, frame, table_name(destination, destination["database_name"], name),
             destination.get("partition_by"), destination.get("write_mode", "append"),
-            destination.get("options"))
+            destination.get("options"), destination.get("gather", False))
         return name
 
     write(plan.main_table, main)

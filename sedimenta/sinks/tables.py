@@ -186,13 +186,26 @@ def write_safely(spark: SparkSession, df: DataFrame, table: str, mode: str = "ap
     spark.catalog.refreshTable(quote_table(table))
 
 
+def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Gather the rows of a partition before they are written, so that not every task leaves a
+    file in every folder. A partition too large for one task is split again at run time."""
+    return df.hint("rebalance", *columns) if columns else df
+
+
 def create_or_append(spark: SparkSession, df: DataFrame, table: str,
                      partition_by: Sequence[str | Column] | None = None, mode: str = "append",
-                     options: dict[str, Any] | None = None) -> None:
-    """Create the table when absent, then sync, align and write, then refresh."""
+                     options: dict[str, Any] | None = None, gather: bool = False) -> None:
+    """Create the table when absent, then sync, align and write, then refresh.
+
+    ``gather`` shuffles the rows by partition first: worth it when a batch spans many.
+    """
     shaped = df if is_v2(spark, table) else with_partition_values(df, partition_by)
     create_table(spark, table, df.schema, partition_by)
-    _write(align_for(spark, shaped, table), table, mode, options)
+    aligned = align_for(spark, shaped, table)
+    if gather:
+        aligned = by_partition(aligned, [p.materialised_name for p in _fields(partition_by)
+                                         if p.transform != "bucket"])
+    _write(aligned, table, mode, options)
     spark.catalog.refreshTable(quote_table(table))
 
 
@@ -201,8 +214,10 @@ def write_all(writes: Sequence[Callable[[], Any]], parallelism: int = 8) -> list
 
     Many child tables are small, so one after the other would leave a cluster idle.
     """
-    if len(writes) < 2:
+    session = SparkSession.getActiveSession()
+    if len(writes) < 2 or session is None:
         return [w() for w in writes]
+    inheriting = inheritable_thread_target(session)
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        futures = [pool.submit(inheritable_thread_target(w)) for w in writes]
+        futures = [pool.submit(inheriting(w)) for w in writes]
         return [f.result() for f in futures]

@@ -13,7 +13,7 @@ from sedimenta.functions.naming import quote, quote_table
 from sedimenta.operators.align import any_null
 from sedimenta.operators.merge import low_watermark, merge_frames
 from sedimenta.scratch import stage
-from sedimenta.sinks.tables import is_v2, overwrite_partitions, replace_all
+from sedimenta.sinks.tables import by_partition, is_v2, overwrite_partitions, replace_all
 
 # Above this many touched partitions the whole table is rewritten instead.
 MAX_LISTED_PARTITIONS = 1_000
@@ -86,7 +86,7 @@ def upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[st
         replace_all(merged, table)
     else:
         kept = {tuple(r) for r in merged.select(*columns).distinct().collect()}
-        overwrite_partitions(merged, table)
+        overwrite_partitions(by_partition(merged, columns), table)
         # An update may move the last row out of a partition.
         for row in touched:
             if tuple(row) not in kept:
