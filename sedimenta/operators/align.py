@@ -95,18 +95,23 @@ def align_to(df: DataFrame, table: T.StructType) -> DataFrame:
     return df.select(*columns)
 
 
-def lost_in_alignment(df: DataFrame, table: T.StructType) -> DataFrame:
-    """One row: per table column, how many values would not survive :func:`align_to`."""
-    counts = []
+def losses(df: DataFrame, table: T.StructType) -> dict[str, Column]:
+    """Per table column that is cast: the count of values that would become null."""
+    counts = {}
     for field in table.fields:
         found = _match(field.name, df.schema.fields)
-        if found is None:
-            counts.append(F.lit(0).cast("bigint").alias(field.name))
+        if found is None or nullable(found.dataType) == nullable(field.dataType):
             continue
         value = F.col(quote(found.name))
         aligned = align_column(value, found.dataType, field.dataType)
-        counts.append(F.count_if(value.isNotNull() & aligned.isNull()).alias(field.name))
-    return df.agg(*counts)
+        counts[field.name] = F.count_if(value.isNotNull() & aligned.isNull())
+    return counts
+
+
+def lost_in_alignment(df: DataFrame, table: T.StructType) -> DataFrame:
+    """One row: per table column, how many values would not survive :func:`align_to`."""
+    counts = losses(df, table)
+    return df.agg(*[counts.get(f.name, F.lit(0).cast("bigint")).alias(f.name) for f in table.fields])
 
 
 def align_by_union(df: DataFrame, table: DataFrame) -> DataFrame:

@@ -58,9 +58,9 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
     those with a null key, are inserted.
 
     Target rows that cannot match (a null key, or below ``floor`` for E2) pass by without a
-    shuffle. The two joins keep the target on the side adaptive execution can split, and see
-    each target key once where rows are looked up, so repeated keys do not pile up; Spark
-    broadcasts the source when its size allows.
+    shuffle. Both joins over the target have it on the side adaptive execution can split, so
+    a key it repeats does not pile up, and the batch on the side Spark broadcasts when its
+    size allows: a small batch then never shuffles the target.
     """
     key_columns = [F.col(quote(k)) for k in keys]
     open_to_match = ~any_null(key_columns)
@@ -79,7 +79,8 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
         F.when(take, F.col(f"s.{quote(c)}")).otherwise(F.col(f"t.{quote(c)}")).alias(c)
         for c in target.columns
     ])
-    known = candidates.select(*key_columns).distinct().alias("t")
+    known = candidates.join(source.select(*keys).alias("s"), _on(keys), "left_semi").select(
+        *key_columns).distinct().alias("t")
     inserted = source.alias("s").join(known, _on(keys), "left_anti")
     return bypass.unionByName(updated).unionByName(inserted.select(*target.columns))
 

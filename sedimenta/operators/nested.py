@@ -103,7 +103,7 @@ def nested_fields(main_table: str, schema: T.StructType, max_depth: int = 1) ->
 
     walk(schema, (), ())
     names = unique_names(
-        "_".join([main_table, *(part.lower() for path in steps for part in path)])
+        "_".join([main_table, *(clean_name(part.lower()) for path in steps for part in path)])
         for steps, _, _ in found
     )
     return [NestedField(steps, name, kind, dtype)

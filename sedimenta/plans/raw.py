@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Observation, SparkSession
@@ -21,6 +21,7 @@ class RawReport:
     files: int
     records: int
     corrupt: int
+    lost_values: dict[str, int] = field(default_factory=dict)
 
 
 def table_name(destination: dict[str, Any], database: str, table: str) -> str:
@@ -65,6 +66,6 @@ def raw_ingest(spark: SparkSession, date: str, config: dict[str, Any]) -> RawRep
                                      F.count(CORRUPT).alias("corrupt")).drop(CORRUPT)
     dated = records.withColumn("execution_date", F.lit(date).cast("date"))
     create_table(spark, table, dated.schema, destination.get("partition_by"))
-    write_safely(spark, dated, table, mode)
+    lost = write_safely(spark, dated, table, mode)
     seen = counts.get
-    return RawReport(len(files), seen["records"], seen["corrupt"] if corrupt is None else corrupt)
+    return RawReport(len(files), seen["records"], seen["corrupt"] if corrupt is None else corrupt, lost)

@@ -7,8 +7,8 @@ from typing import Any
 from pyspark.sql import SparkSession
 from pyspark.storagelevel import StorageLevel
 
-from sedimenta.functions.naming import quote_table
-from sedimenta.operators.align import align_by_union, align_to
+from sedimenta.functions.naming import quote, quote_table
+from sedimenta.operators.align import align_by_union
 from sedimenta.operators.merge import latest_per_key
 from sedimenta.plans.raw import table_name
 from sedimenta.sinks.tables import (
@@ -55,7 +55,8 @@ def sql_to_table(spark: SparkSession, config: dict[str, Any], start: str, end: s
         shaped = with_partition_values(batch, partition_by)
         sync_schema(spark, shaped.schema, table)
         stored = spark.table(quote_table(table))
-        aligned = align_to(align_by_union(shaped, stored), stored.schema)
+        # Wider values are cast by the write, which refuses what does not fit.
+        aligned = align_by_union(shaped, stored).select(*[quote(c) for c in stored.columns])
         if mode == "append":
             append(aligned, table, options)
         elif mode == "overwrite":

@@ -41,6 +41,11 @@ def _columns(profile: DataFrame, table: Column, column: Column, dtype: Column,
                           percent(F.col("filled"), total).alias("filled_pct"))
 
 
+def _key(rows: DataFrame, table: Column, column: Column, filled: Column) -> DataFrame:
+    return rows.select(table.alias("table"), column.alias("column"), F.lit("string").alias("type"),
+                       filled.alias("filled_pct"))
+
+
 def suggest_tables(df: DataFrame, json: str, root: str = "alerts", fk: str = "alert_id") -> DataFrame:
     """(table, column, type, filled_pct, is_fk, is_sparse) for JSON text documents.
 
@@ -65,57 +70,53 @@ def suggest_tables(df: DataFrame, json: str, root: str = "alerts", fk: str = "al
         F.when(F.col("type") == "array", "array<string>").otherwise(F.col("type")),
         record_count(df))
 
-    # Root arrays of objects: one child each.
+    # Root arrays of objects: one child each. Every object element is profiled, and the few
+    # rows of the profile then meet the classification; the elements never do.
     root_children = level1.where(is_child).select("key")
-    items = root_fields.join(root_children, "key").select(
-        "key", F.explode(_elements(F.col("value"))).alias("_item")).where(is_object(F.col("_item")))
-    item_totals = items.groupBy("key").agg(F.count(F.lit(1)).alias("total"))
+    items = root_fields.select("key", F.explode(_elements(F.col("value"))).alias("_item")).where(
+        is_object(F.col("_item")))
+    item_totals = items.groupBy("key").agg(F.count(F.lit(1)).alias("total")).join(root_children, "key")
+    root_table = F.concat(F.lit(root + "_"), F.lower("key"))
     root_tables = _columns(
         _profile(_object_fields(items, "_item", "key"), ["key"], item_totals),
-        F.concat(F.lit(root + "_"), F.lower("key")), F.col("column"), F.col("type"), F.col("total"))
-    root_keys = item_totals.select(
-        F.concat(F.lit(root + "_"), F.lower("key")).alias("table"), F.lit(fk).alias("column"),
-        F.lit("string").alias("type"), F.lit(100.0).alias("filled_pct"))
+        root_table, F.col("column"), F.col("type"), F.col("total"))
+    root_keys = _key(item_totals, root_table, F.lit(fk), F.lit(100.0))
 
     # Fields of root objects.
-    objects = root_fields.join(level1.where("type = 'object'").select("key"), "key").where(
-        is_object(F.col("value")))
-    object_totals = objects.groupBy("key").agg(F.count(F.lit(1)).alias("total"))
-    sub = _object_fields(objects, "value", "key")
+    objects = root_fields.where(is_object(F.col("value")))
+    object_totals = objects.groupBy("key").agg(F.count(F.lit(1)).alias("total")).join(
+        level1.where("type = 'object'").select("key"), "key")
+    sub = _object_fields(objects, "value", "key").withColumn("_folded", F.lower("field"))
     sub_profile = _profile(sub, ["key"], object_totals)
     array_fields = sub.where(
         F.coalesce(is_object(F.try_variant_get("field_value", "$[0]", "variant")), F.lit(False)))
-    spellings = array_fields.groupBy(F.struct("key", F.lower("field").alias("field")).alias("folded"),
+    spellings = array_fields.groupBy(F.struct("key", "_folded").alias("folded"),
                                      F.col("field").alias("key")).agg(F.count(F.lit(1)).alias("records"))
-    elected = elect(spellings).select(
-        F.col("folded.key").alias("key"), F.col("folded.field").alias("_folded"), "canonical")
-    prefixed = F.concat(F.lower("key"), F.lit("_"), F.col("column"))
+    elected = elect(spellings).select("folded.key", "folded._folded", "canonical").join(
+        object_totals.select("key"), "key")
     inline = sub_profile.withColumn("_folded", F.lower("column")).join(
         elected, ["key", "_folded"], "left").where(
         ~((F.col("type") == "array") & F.col("canonical").isNotNull()))
     object_columns = _columns(
-        inline, F.lit(root), prefixed,
+        inline, F.lit(root), F.concat(F.lower("key"), F.lit("_"), F.col("column")),
         F.when(F.col("type") == "array", "array<string>").when(
             F.col("type") == "object", "object(json)").otherwise(F.col("type")), F.col("total"))
 
-    sub_table = F.concat(F.lit(root + "_"), F.lower("key"), F.lit("_"), F.lower("canonical"))
-    sub_items = array_fields.withColumn("_folded", F.lower("field")).join(
-        elected, ["key", "_folded"]).select(
-        "key", "canonical", F.explode(_elements(F.col("field_value"))).alias("_item")
+    # Object arrays inside those objects: one child per key, whatever its spelling.
+    sub_items = array_fields.select(
+        "key", "_folded", F.explode(_elements(F.col("field_value"))).alias("_item")
     ).where(is_object(F.col("_item")))
-    sub_totals = sub_items.groupBy("key", "canonical").agg(F.count(F.lit(1)).alias("total"))
+    sub_totals = sub_items.groupBy("key", "_folded").agg(F.count(F.lit(1)).alias("total")).join(
+        object_totals.select("key"), "key")
+    sub_table = F.concat(F.lit(root + "_"), F.lower("key"), F.lit("_"), F.col("_folded"))
     sub_tables = _columns(
-        _profile(_object_fields(sub_items, "_item", "key", "canonical"), ["key", "canonical"],
-                 sub_totals),
+        _profile(_object_fields(sub_items, "_item", "key", "_folded"), ["key", "_folded"], sub_totals),
         sub_table, F.col("column"), F.col("type"), F.col("total"))
-    sub_keys = sub_totals.select(
-        sub_table.alias("table"), F.lit(fk).alias("column"), F.lit("string").alias("type"),
-        F.lit(100.0).alias("filled_pct"))
+    sub_keys = _key(sub_totals, sub_table, F.lit(fk), F.lit(100.0))
     ids = sub_profile.where(F.lower("column") == "id").groupBy("key").agg(
         F.max_by(percent(F.col("filled"), F.col("total")), "filled").alias("filled_pct"))
-    sub_ids = elected.join(ids, "key").select(
-        sub_table.alias("table"), F.concat(F.lower("key"), F.lit("_id")).alias("column"),
-        F.lit("string").alias("type"), "filled_pct")
+    sub_ids = _key(elected.join(ids, "key"), sub_table, F.concat(F.lower("key"), F.lit("_id")),
+                   F.col("filled_pct"))
 
     keys = root_keys.unionByName(sub_keys).unionByName(sub_ids).withColumn("is_fk", F.lit(True))
     data = main.unionByName(object_columns).unionByName(root_tables).unionByName(

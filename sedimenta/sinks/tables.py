@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 import threading
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.util import inheritable_thread_target
@@ -16,7 +17,7 @@ from pyspark.util import inheritable_thread_target
 from sedimenta.functions.naming import quote_table
 from sedimenta.functions.partitioning import PartitionField, parse_partition, partition_spec
 from sedimenta.functions.schema import TYPE_TEXT_LIMIT, check_type_sizes, ddl_columns
-from sedimenta.operators.align import align_to
+from sedimenta.operators.align import align_to, losses
 from sedimenta.sources.tables import table_schema
 
 # What created tables are stored as, and the metadata kept by formats with history.
@@ -30,6 +31,8 @@ V2_PROPERTIES = {
     "write.metadata.previous-versions-max": "10",
 }
 
+_log = logging.getLogger(__name__)
+
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 _gate = threading.Condition()
@@ -178,12 +181,33 @@ def align_for(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     return align_to(df, table_schema(spark, table))
 
 
+def _watch_losses(spark: SparkSession, df: DataFrame, table: str) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The frame with a count, kept during its write, of values its table's types cannot hold."""
+    sync_schema(spark, df.schema, table)
+    counts = losses(df, table_schema(spark, table))
+    if not counts:
+        return df, dict
+    seen = Observation()
+    watched = df.observe(seen, *[c.alias(f"_{i}") for i, c in enumerate(counts.values())])
+
+    def result() -> dict[str, int]:
+        lost = {name: seen.get[f"_{i}"] for i, name in enumerate(counts)}
+        lost = {name: n for name, n in lost.items() if n}
+        for name, n in lost.items():
+            _log.warning("%s: %d values of %s do not fit its type and were written as null", table, n, name)
+        return lost
+
+    return watched, result
+
+
 def write_safely(spark: SparkSession, df: DataFrame, table: str, mode: str = "append",
-                 type_limit: int = TYPE_TEXT_LIMIT) -> None:
-    """Check type sizes, sync, align, write."""
+                 type_limit: int = TYPE_TEXT_LIMIT) -> dict[str, int]:
+    """Check type sizes, sync, align, write. Returns the values lost per column, if any."""
     check_type_sizes(df.schema, table, type_limit)
-    _write(align_for(spark, df, table), table, mode, None)
+    watched, lost = _watch_losses(spark, df, table)
+    _write(align_to(watched, table_schema(spark, table)), table, mode, None)
     spark.catalog.refreshTable(quote_table(table))
+    return lost()
 
 
 def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -194,19 +218,21 @@ def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def create_or_append(spark: SparkSession, df: DataFrame, table: str,
                      partition_by: Sequence[str | Column] | None = None, mode: str = "append",
-                     options: dict[str, Any] | None = None, gather: bool = False) -> None:
+                     options: dict[str, Any] | None = None, gather: bool = False) -> dict[str, int]:
     """Create the table when absent, then sync, align and write, then refresh.
 
-    ``gather`` shuffles the rows by partition first: worth it when a batch spans many.
+    Returns the values lost per column, if any. ``gather`` shuffles the rows by partition first: worth it when a batch spans many.
     """
     shaped = df if is_v2(spark, table) else with_partition_values(df, partition_by)
     create_table(spark, table, df.schema, partition_by)
-    aligned = align_for(spark, shaped, table)
+    watched, lost = _watch_losses(spark, shaped, table)
+    aligned = align_to(watched, table_schema(spark, table))
     if gather:
         aligned = by_partition(aligned, [p.materialised_name for p in _fields(partition_by)
                                          if p.transform != "bucket"])
     _write(aligned, table, mode, options)
     spark.catalog.refreshTable(quote_table(table))
+    return lost()
 
 
 def write_all(writes: Sequence[Callable[[], Any]], parallelism: int = 8) -> list[Any]:

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.functions.naming import quote, quote_table
-from sedimenta.operators.align import any_null
 from sedimenta.operators.merge import low_watermark, merge_frames
 from sedimenta.scratch import stage
 from sedimenta.sinks.tables import by_partition, is_v2, overwrite_partitions, replace_all
@@ -93,7 +92,3 @@ def upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[st
                 _drop_partition(spark, table, row, columns)
     spark.catalog.refreshTable(quote_table(table))
 
-
-def null_key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows a merge always inserts, as a null key matches nothing."""
-    return df.where(any_null([F.col(quote(k)) for k in keys]))

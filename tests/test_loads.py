@@ -115,6 +115,16 @@ def test_sql_load_modes(spark, tmp_path, database):
     assert not any(spark.sparkContext._jsc.getPersistentRDDs())
 
 
+def test_sql_load_refuses_values_that_do_not_fit(spark, tmp_path, database):
+    load = lambda text, mode, **merge: sql_to_table(
+        spark, sql_config(tmp_path, database, text, mode, **merge), "a", "b")
+    load("SELECT 1 AS k, 'x' AS p", "append")
+    for mode, merge in (("append", {}), ("merge", {"primary_key": ["k"]})):
+        with pytest.raises(Exception, match="OVERFLOW"):
+            load("SELECT 99999999999L AS k, 'x' AS p", mode, **merge)
+    assert rows(spark.table(f"{database}.t")) == [(1, "x")]
+
+
 @pytest.mark.parametrize("mode, merge", [("upsert", {}), ("merge", {})])
 def test_sql_load_refuses_bad_modes(spark, tmp_path, database, mode, merge):
     with pytest.raises(ValueError):

@@ -28,7 +28,7 @@ def test_discovery_names_and_paths():
     found = {f.table: (f.path, f.kind) for f in N.nested_fields("alerts", schema)}
     assert found == {
         "alerts_inventories_value": (("Inventories", "Value"), "array"),
-        "alerts_a_b_c.d": (("a", "b", "c.d"), "array"),
+        "alerts_a_b_c_d": (("a", "b", "c.d"), "array"),
         "alerts_riskfindings": (("RiskFindings",), "map_text"),
         "alerts_s_m": (("s", "m"), "map_text"),
         "alerts_typed": (("typed",), "map_array"),

@@ -67,12 +67,25 @@ def test_large_merge_splits_skew_on_the_target_side(spark):
     try:
         orders = table(spark, SF, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").alias("ts"))
         text = plan(merge_frames(orders, orders, ["k"], "ts"))
-        assert "LeftOuter" in text and "LeftAnti" in text and "FullOuter" not in text
+        assert all(kind in text for kind in ("LeftOuter", "LeftSemi", "LeftAnti"))
+        assert "FullOuter" not in text
         assert "PushedFilters: [IsNull(o_orderkey)]" in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_small_batch_never_shuffles_the_target(spark):
+    orders = table(spark, SF, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").alias("ts"))
+    batch = table(spark, SF, "region").select(F.col("r_regionkey").cast("bigint").alias("k"),
+                                              F.lit(None).cast("timestamp_ntz").alias("ts"))
+    text = plan(merge_frames(orders, batch, ["k"], "ts"))
+    # The join with the whole target, and the search for known keys, take the batch by broadcast.
+    joins = [line for line in text.splitlines() if "BroadcastHashJoin" in line]
+    assert any("LeftOuter, BuildRight" in j for j in joins) and any("LeftSemi, BuildRight" in j for j in joins)
+    for below in text.split("Exchange hashpartitioning")[1:]:
+        assert "LeftSemi" in below  # only keys that were found are exchanged
+
+
 def test_profile_combines_before_the_shuffle(spark):
     docs = table(spark, SF, "events").select(F.col("props").alias("json"))
     text = plan(field_profile(docs, "json"))

@@ -176,3 +176,19 @@ def test_scratch_is_the_folder_the_session_names(spark):
     assert path.startswith(folder) and path != new_path(spark, "x")
     staged = stage(spark.range(3), "numbers")
     assert all(urlparse(f).path.startswith(str(Path(folder))) for f in staged.inputFiles())
+
+
+def test_values_that_do_not_fit_are_reported(spark, database):
+    name = f"{database}.t"
+    S.create_table(spark, name, T.StructType.fromDDL("a int, b string"))
+    assert S.write_safely(spark, frame(spark, "explode(array('1', 'x', 'y')) AS a, 1 AS b"), name) == {"a": 2}
+    assert S.create_or_append(spark, frame(spark, "'5' AS a, 'q' AS b"), name) == {}
+    assert S.create_or_append(spark, frame(spark, "'z' AS a WHERE false"), name) == {}
+    assert rows(spark.table(name)) == [(1, "1"), (5, "q"), (None, "1"), (None, "1")]
+
+
+def test_gathered_partitions_have_few_files(spark, database):
+    name = f"{database}.t"
+    many = spark.range(0, 1000, 1, 8).selectExpr("id", "CAST(id % 5 AS STRING) AS part")
+    S.create_or_append(spark, many, name, ["part"], gather=True)
+    assert len(spark.table(name).inputFiles()) == 5 and spark.table(name).count() == 1000

@@ -118,8 +118,8 @@ def _finding_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.when(F.col("o_orderstatus") == "P", "AMOUNTS").otherwise("Amounts")
     owner = F.when(F.col("o_orderstatus") == "O", F.lit('{"name":"x"}')).otherwise("[]")
     return orders.select("o_orderkey", F.concat(
-        F.lit('{"'), key, F.lit('":'), raw.getItem(key),
-        F.lit(',"tags":'), raw.getItem("tags"), F.lit(',"owner":'), owner,
+        F.lit('{"'), key, F.lit('":'), raw[key],
+        F.lit(',"tags":'), raw["tags"], F.lit(',"owner":'), owner,
         F.lit(',"priority":"'), F.col("o_orderpriority"), F.lit('"}')).alias("json"))
 
 
