@@ -25,6 +25,9 @@ Path = tuple[str, ...]
 # empty, folder names must not be.
 _SLOTS = 1024
 
+# Tasks one key is spread over at least, before adaptive execution looks at sizes.
+_SALTS = 16
+
 
 @dataclass(frozen=True)
 class NestedField:
@@ -222,22 +225,30 @@ def object_array_keys(df: DataFrame, nested: NestedField, root_id: str) -> DataF
     )
 
 
+def _object_array_entries(df: DataFrame, nested: NestedField, root_id: str) -> DataFrame:
+    """Entries that open an array of objects, with their folded key and its slot."""
+    folded = F.lower("_source_key")
+    return (
+        map_entries(df, nested, root_id)
+        .where(looks_like_object_array(F.col("_value")))
+        .withColumns({"_key": folded, "_slot": F.pmod(F.xxhash64(folded), F.lit(_SLOTS)).cast("int")})
+    )
+
+
+def _explode_objects(entries: DataFrame, nested: NestedField, root_id: str) -> DataFrame:
+    return entries.select(
+        *[F.col(quote(c)) for c in _key_columns(nested, root_id)], "_source_key", "_key",
+        F.explode(array_elements(F.col("_value"))).alias("_element"), "_slot",
+    ).where(is_object(F.col("_element")))
+
+
 def map_elements(df: DataFrame, nested: NestedField, root_id: str) -> DataFrame:
     """The objects in all object arrays of a text map, one variant per row.
 
     ``_key`` is the lower-case key: all spellings of a key feed one child. Entries that are
     no arrays of objects give nothing here; they stay in the main table's map.
     """
-    return (
-        map_entries(df, nested, root_id)
-        .where(looks_like_object_array(F.col("_value")))
-        .select(
-            *[F.col(quote(c)) for c in _key_columns(nested, root_id)],
-            F.lower("_source_key").alias("_key"), "_source_key",
-            F.explode(array_elements(F.col("_value"))).alias("_element"),
-            F.pmod(F.xxhash64(F.lower("_source_key")), F.lit(_SLOTS)).cast("int").alias("_slot"),
-        ).where(is_object(F.col("_element")))
-    )
+    return _explode_objects(_object_array_entries(df, nested, root_id), nested, root_id)
 
 
 def _key_columns(nested: NestedField, root_id: str) -> list[str]:
@@ -247,11 +258,14 @@ def _key_columns(nested: NestedField, root_id: str) -> list[str]:
 def stage_map_elements(df: DataFrame, nested: NestedField, root_id: str) -> DataFrame:
     """One pass over the source for all children: elements laid out by key slot.
 
-    The rebalance hint lets adaptive execution split a key that holds most elements and pack
-    the small ones, so a hot key is neither one task nor one file.
+    The texts are spread before they are parsed. A salt splits each key over several tasks,
+    and adaptive execution splits what is still large and packs what is small, so a key with
+    a third of all texts is neither one task nor one file.
     """
-    elements = map_elements(df, nested, root_id)
-    return stage(elements.hint("rebalance", "_slot"), "map-elements", partition_by=["_slot"])
+    entries = _object_array_entries(df, nested, root_id)
+    salt = F.pmod(F.xxhash64(quote(root_id.lower()), "_value"), F.lit(_SALTS)).cast("int")
+    spread = entries.withColumn("_salt", salt).hint("rebalance", "_slot", "_salt")
+    return stage(_explode_objects(spread, nested, root_id), "map-elements", partition_by=["_slot"])
 
 
 def map_children(elements: DataFrame, nested: NestedField, max_children: int = 5_000) -> list[MapChild]:

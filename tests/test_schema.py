@@ -95,6 +95,8 @@ def test_merge_with_table_is_case_blind_and_additive():
     merged = merge_with_table(struct("Alert", "fresh"), struct("alert", "gone", dtype=L))
     assert merged == T.StructType([T.StructField("alert", L), T.StructField("fresh", S)])
     assert merge_with_table(struct("a"), None) == struct("a")
+    assert merge_with_table(struct("Id", "id", "ID"), struct("id", dtype=L)) == T.StructType(
+        [T.StructField("Id", S), T.StructField("id", L), T.StructField("ID", S)])
 
 
 @pytest.mark.parametrize("text, expected", [
