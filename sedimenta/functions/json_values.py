@@ -46,12 +46,12 @@ def is_object(element: Column) -> Column:
 
 
 def only_objects(text: Column) -> Column:
-    """Does a JSON array hold nothing but objects (and nulls)? Never null.
+    """Does a JSON array hold nothing but objects (and nulls), with some field? Never null.
 
     One look at the merged element type: anything else beside an object makes it a variant.
     """
     merged = F.schema_of_variant(F.try_parse_json(text))
-    return F.coalesce(merged.startswith("ARRAY<OBJECT"), F.lit(False))
+    return F.coalesce(merged.startswith("ARRAY<OBJECT<") & (merged != "ARRAY<OBJECT<>>"), F.lit(False))
 
 
 def first_is_object(text: Column) -> Column:

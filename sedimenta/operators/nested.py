@@ -324,7 +324,10 @@ def map_array_child(df: DataFrame, nested: NestedField, root_id: str) -> DataFra
 
 
 def map_rejects(df: DataFrame, nested: NestedField, root_id: str) -> DataFrame:
-    """Per key: object-array values no child takes in full (unparseable, or mixed elements)."""
+    """Per key: object-array values that stay in the map, as no child holds them in full.
+
+    They are unparseable, have other elements beside objects, or objects without fields.
+    """
     return (
         map_entries(df, nested, root_id)
         .where(looks_like_object_array(F.col("_value")) & ~only_objects(F.col("_value")))

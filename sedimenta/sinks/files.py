@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
@@ -53,15 +55,18 @@ def archive_files(spark: SparkSession, paths: Sequence[str], target: str) -> int
     share a name, as one of them would be lost.
     """
     names = [p.rsplit("/", 1)[-1] for p in paths]
-    repeated = sorted({n for n in names if names.count(n) > 1})
+    repeated = sorted(n for n, uses in Counter(names).items() if uses > 1)
     if repeated:
         raise ValueError(f"several inputs would be archived as one file: {repeated}")
-    for source, name in zip(paths, names):
+
+    def move(source: str, name: str) -> None:
         fs, source_path = _hadoop(spark, source)
-        _, folder = _hadoop(spark, target)
-        fs.mkdirs(folder)
         _, target_path = _hadoop(spark, f"{target.rstrip('/')}/{name}")
+        fs.mkdirs(target_path.getParent())
         fs.delete(target_path, False)
         if not fs.rename(source_path, target_path):
             raise OSError(f"could not move {source} to {target_path}")
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        list(pool.map(move, paths, names))
     return len(names)

@@ -24,12 +24,12 @@ def land(folder, name, documents):
 
 
 ALERTS = [
-    {"AlertId": "a1", "Title": "t", "Labels": ["x"], "Orca Score": 5.1,
-     "RiskFindings": {"id": "rf1", **{f"k{i}": i for i in range(21)}, "AclGrants": [{"Id": 1, "id": "g", "name": "n"}],
+    {"AlertId": "a1", "Title": "t", "Labels": ["x"], "Risk Score": 5.1,
+     "Findings": {"id": "rf1", **{f"k{i}": i for i in range(21)}, "AclGrants": [{"Id": 1, "id": "g", "name": "n"}],
                       "code_snippet": [{"line": "l1", "position": 1}, {"line": "l2", "position": 2}]},
-     "Inventories": {"count": 1, "value": [{"OrcaScore": 1.5, "RiskLevel": "high"}]}},
-    {"AlertId": "a2", "Title": "u", "RiskFindings": {"aclgrants": [{"name": "m"}], "k1": "text"},
-     "Inventories": {"count": 0, "value": []}},
+     "Holdings": {"count": 1, "value": [{"RiskScore": 1.5, "RiskLevel": "high"}]}},
+    {"AlertId": "a2", "Title": "u", "Findings": {"aclgrants": [{"name": "m"}], "k1": "text"},
+     "Holdings": {"count": 0, "value": []}},
 ]
 
 
@@ -43,8 +43,8 @@ def test_raw_then_trusted(spark, tmp_path, case_sensitive):
     report = raw_ingest(spark, DAY, config)
     assert (report.files, report.records, report.corrupt) == (2, 2, 1)
     stored = spark.table(f"{raw}.alert")
-    assert stored.schema["RiskFindings"].dataType.simpleString() == "map<string,string>"
-    assert rows(stored, "AlertId", "Orca_Score", F.col("execution_date").cast("string")) == [
+    assert stored.schema["Findings"].dataType.simpleString() == "map<string,string>"
+    assert rows(stored, "AlertId", "Risk_Score", F.col("execution_date").cast("string")) == [
         ("a1", 5.1, DAY), ("a2", None, DAY)]
     assert spark.table(f"{raw}.alert_corrupt").count() == 1
     assert raw_ingest(spark, "1999-01-01", config).files == 0
@@ -54,17 +54,17 @@ def test_raw_then_trusted(spark, tmp_path, case_sensitive):
                                 "partition_by": ["execution_date"], "write_mode": "overwrite"}}
     for _ in range(2):
         assert trusted_normalise(spark, DAY, settings) == [
-            "alerts", "alerts_inventories_value", "alerts_riskfindings_aclgrants", "alerts_riskfindings_code_snippet"]
-    assert rows(spark.table(f"{trusted}.alerts_riskfindings_code_snippet"),
-                "alertid", "riskfindings_id", "line", "position") == [
+            "alerts", "alerts_holdings_value", "alerts_findings_aclgrants", "alerts_findings_code_snippet"]
+    assert rows(spark.table(f"{trusted}.alerts_findings_code_snippet"),
+                "alertid", "findings_id", "line", "position") == [
         ("a1", "rf1", "l1", 1), ("a1", "rf1", "l2", 2)]
-    assert rows(spark.table(f"{trusted}.alerts_riskfindings_aclgrants"),
+    assert rows(spark.table(f"{trusted}.alerts_findings_aclgrants"),
                 "alertid", "_source_key", "id_", "id", "name") == [
         ("a1", "AclGrants", 1, "g", "n"), ("a2", "aclgrants", None, None, "m")]
-    assert rows(spark.table(f"{trusted}.alerts_inventories_value"), "alertid", "OrcaScore") == [("a1", 1.5)]
+    assert rows(spark.table(f"{trusted}.alerts_holdings_value"), "alertid", "RiskScore") == [("a1", 1.5)]
     main = {r["AlertId"]: r for r in spark.table(f"{trusted}.alerts").collect()}
-    assert main["a1"]["RiskFindings"]["k3"] == "3" and "code_snippet" not in main["a1"]["RiskFindings"]
-    assert main["a1"]["Inventories"].asDict() == {"count": 1} and main["a1"]["Labels"] == ["x"]
+    assert main["a1"]["Findings"]["k3"] == "3" and "code_snippet" not in main["a1"]["Findings"]
+    assert main["a1"]["Holdings"].asDict() == {"count": 1} and main["a1"]["Labels"] == ["x"]
     assert trusted_normalise(spark, "2000-01-01", settings) == []
     settings["source"]["table_name"] = "absent"
     assert trusted_normalise(spark, DAY, settings) == []

@@ -3,6 +3,8 @@ from __future__ import annotations
 import json
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,19 +19,19 @@ def children(df, main="alerts", **options):
 
 def mapped(spark, *records):
     """Records of (id, {key: text}) as a frame with a text map."""
-    return spark.createDataFrame(list(records), "AlertId string, RiskFindings map<string,string>")
+    return spark.createDataFrame(list(records), "AlertId string, Findings map<string,string>")
 
 
 def test_discovery_names_and_paths():
     schema = T.StructType.fromDDL("""
-        AlertId string, Labels array<string>, Inventories struct<count:int, Value:array<struct<x:int>>>,
-        a struct<b:struct<`c.d`:array<struct<y:int>>>>, RiskFindings map<string,string>,
+        AlertId string, Labels array<string>, Holdings struct<count:int, Value:array<struct<x:int>>>,
+        a struct<b:struct<`c.d`:array<struct<y:int>>>>, Findings map<string,string>,
         s struct<m:map<string,string>>, typed map<string,array<struct<z:int>>>, plain map<string,int>""")
     found = {f.table: (f.path, f.kind) for f in N.nested_fields("alerts", schema)}
     assert found == {
-        "alerts_inventories_value": (("Inventories", "Value"), "array"),
+        "alerts_holdings_value": (("Holdings", "Value"), "array"),
         "alerts_a_b_c_d": (("a", "b", "c.d"), "array"),
-        "alerts_riskfindings": (("RiskFindings",), "map_text"),
+        "alerts_findings": (("Findings",), "map_text"),
         "alerts_s_m": (("s", "m"), "map_text"),
         "alerts_typed": (("typed",), "map_array"),
     }
@@ -80,15 +82,15 @@ def test_map_children_take_every_shape(spark):
     )
     plan = N.plan_normalisation(df, "alerts")
     found = child_frames(df, plan)
-    assert sorted(found) == ["alerts_riskfindings_mixed", "alerts_riskfindings_objs"]
-    objs = found["alerts_riskfindings_objs"]
-    assert objs.columns == ["alertid", "riskfindings_id", "_source_key", "id_", "a", "b_c", "id"]
-    assert rows(objs, "alertid", "riskfindings_id", "_source_key", "a", "b_c", "id_", "id") == [
+    assert sorted(found) == ["alerts_findings_mixed", "alerts_findings_objs"]
+    objs = found["alerts_findings_objs"]
+    assert objs.columns == ["alertid", "findings_id", "_source_key", "id_", "a", "b_c", "id"]
+    assert rows(objs, "alertid", "findings_id", "_source_key", "a", "b_c", "id_", "id") == [
         ("1", "k1", "objs", 1.0, "x", None, None), ("2", "k2", "Objs", 2.5, None, "I", 9)]
-    assert rows(found["alerts_riskfindings_mixed"], "a") == [(1,)]
+    assert rows(found["alerts_findings_mixed"], "a") == [(1,)]
     assert rows(N.map_rejects(df, plan.maps[0], plan.root_id)) == [("cut", 1), ("mixed", 1)]
 
-    left = {r["AlertId"]: r["RiskFindings"] for r in N.main_projection(df, plan).collect()}
+    left = {r["AlertId"]: r["Findings"] for r in N.main_projection(df, plan).collect()}
     assert left["1"] == {"id": "k1", "scalar": "s", "empty": "[]", "scalars": '["a"]'}
     assert left["2"] == {"Id": "k2", "mixed": '[{"a":1},"s"]', "cut": '[{"a":1'}
     assert left["3"] == {"objs": "plain text", "nulls": None} and left["4"] is None
@@ -97,7 +99,7 @@ def test_map_children_take_every_shape(spark):
 def test_late_fields_and_conflicting_types_are_inferred(spark):
     records = [(str(i), {"k": '[{"a":1}]'}) for i in range(150)] + [
         ("late", {"k": json.dumps([{"z": True, "a": "text", "o": {"n": 1}, "l": [1, "b"]}])})]
-    child = children(mapped(spark, *records).repartition(1))["alerts_riskfindings_k"]
+    child = children(mapped(spark, *records).repartition(1))["alerts_findings_k"]
     dtypes = dict(child.dtypes)
     assert (dtypes["a"], dtypes["z"], dtypes["o"], dtypes["l"]) == (
         "string", "boolean", "struct<n:bigint>", "array<string>")
@@ -111,7 +113,7 @@ def test_odd_field_names_and_keys(spark):
     df = mapped(spark, ("1", {"weird key/ü": json.dumps([{n: i for i, n in enumerate(names)}])}),
                 ("2", {"": '[{"v":1}]', "x" * 400: '[{"v":2}]'}))
     found = children(df)
-    odd = found["alerts_riskfindings_weird_key__"]
+    odd = found["alerts_findings_weird_key__"]
     assert sorted(odd.first()[3:]) == [0, 1, 2, 3, 4, 5]
     assert sorted(f.first()["v"] for n, f in found.items() if f is not odd) == [1, 2]
 
@@ -156,9 +158,9 @@ def test_children_and_main_together_hold_the_input(spark):
                          "bad": "[{" if i % 2 else "[1]"}) for i in range(20)]
     df = mapped(spark, *records)
     plan = N.plan_normalisation(df, "t")
-    again = {r["AlertId"]: dict(r["RiskFindings"]) for r in N.main_projection(df, plan).collect()}
+    again = {r["AlertId"]: dict(r["Findings"]) for r in N.main_projection(df, plan).collect()}
     objects: dict = {}
-    for r in child_frames(df, plan)["t_riskfindings_objs"].collect():
+    for r in child_frames(df, plan)["t_findings_objs"].collect():
         objects.setdefault(r["alertid"], []).append({"n": r["n"]})
     for key, values in objects.items():
         again[key]["objs"] = json.dumps(sorted(values, key=lambda v: v["n"]))
@@ -183,5 +185,50 @@ def test_hot_key_does_not_change_the_result(spark):
     df = mapped(spark, ("hot", {"a": long}), *[(str(i), {"a": '[{"n":-1}]', f"k{i % 3}": '[{"n":1}]'})
                                                for i in range(500)]).repartition(4)
     found = children(df)
-    assert found["alerts_riskfindings_a"].count() == 20_500
-    assert sum(found[f"alerts_riskfindings_k{i}"].count() for i in range(3)) == 500
+    assert found["alerts_findings_a"].count() == 20_500
+    assert sum(found[f"alerts_findings_k{i}"].count() for i in range(3)) == 500
+
+
+_object = st.dictionaries(st.sampled_from(["a", "b"]), st.integers(0, 9), max_size=2)
+_text = st.one_of(
+    st.sampled_from(["plain", "", "[]", '["x"]', '[{"a":', "{}", "[null]", "[ ", "null"]),
+    st.lists(_object, max_size=3).map(json.dumps),
+    st.lists(st.one_of(_object, st.none(), st.just("s")), max_size=3).map(json.dumps))
+_maps = st.lists(st.none() | st.dictionaries(st.sampled_from(["k", "K", "m"]), st.none() | _text, max_size=3),
+                 min_size=1, max_size=5)
+
+
+def _parsed(text):
+    """The array of a text that opens with an object, or None."""
+    if text is None or not text.replace(" ", "").startswith("[{"):
+        return None
+    try:
+        return json.loads(text)
+    except json.JSONDecodeError:
+        return None
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(_maps)
+def test_map_normalisation_against_record_by_record(spark, maps):
+    df = mapped(spark, *[(str(i), m) for i, m in enumerate(maps)])
+    plan = N.plan_normalisation(df, "t")
+    want_rows, want_left, typed = [], {}, set()
+    for i, m in enumerate(maps):
+        want_left[str(i)] = None if m is None else {}
+        for key, text in (m or {}).items():
+            array = _parsed(text)
+            objects = [e for e in array or [] if isinstance(e, dict)]
+            want_rows += [(key.lower(), str(i), key, o.get("a"), o.get("b")) for o in objects]
+            typed |= {key.lower() for o in objects if o}
+            mixed = any(e is not None and not isinstance(e, dict) for e in array or [])
+            if mixed or not any(objects):
+                want_left[str(i)][key] = text
+    got = []
+    for name, frame in child_frames(df, plan).items():
+        value = lambda r, c: r[c] if c in r.__fields__ else None
+        got += [(name.removeprefix("t_findings_"), r["alertid"], r["_source_key"], value(r, "a"), value(r, "b"))
+                for r in frame.collect()]
+    # A key whose objects are all empty has no column to make a table of.
+    assert sorted(got, key=repr) == sorted((r for r in want_rows if r[0] in typed), key=repr)
+    assert {r["AlertId"]: r["Findings"] for r in N.main_projection(df, plan).collect()} == want_left

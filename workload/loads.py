@@ -100,9 +100,9 @@ def raw_ingest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT 'orders' AS "table", count(*) AS records, count(DISTINCT o_orderkey) AS ids FROM orders
-    UNION ALL SELECT 'orders_inventories_value', 2 * count(*), count(*) FROM orders WHERE o_orderstatus <> 'P'
-    UNION ALL SELECT 'orders_riskfindings_amounts', 2 * count(*), count(*) FROM orders
-    UNION ALL SELECT 'orders_riskfindings_history', count(*), count(*) FROM orders WHERE o_orderstatus <> 'F'""")
+    UNION ALL SELECT 'orders_holdings_value', 2 * count(*), count(*) FROM orders WHERE o_orderstatus <> 'P'
+    UNION ALL SELECT 'orders_findings_amounts', 2 * count(*), count(*) FROM orders
+    UNION ALL SELECT 'orders_findings_history', count(*), count(*) FROM orders WHERE o_orderstatus <> 'F'""")
 def trusted_normalise_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw table normalised into main and child tables; the second run replaces the first."""
     raw, trusted = new_database(spark, "raw"), new_database(spark, "trusted")

@@ -11,7 +11,7 @@ from workload import query
 from workload.shapes import document_lines, nested_orders, table
 
 _AMOUNTS = """
-    SELECT o_orderkey AS orderid, CAST(o_orderkey AS VARCHAR) AS riskfindings_id,
+    SELECT o_orderkey AS orderid, CAST(o_orderkey AS VARCHAR) AS findings_id,
            CASE WHEN o_orderstatus = 'P' THEN 'AMOUNTS' ELSE 'Amounts' END AS _source_key,
            'total' AS kind, o_totalprice AS amount, CAST(NULL AS BIGINT) AS ref FROM orders
     UNION ALL
@@ -19,8 +19,8 @@ _AMOUNTS = """
            CASE WHEN o_orderstatus = 'P' THEN 'AMOUNTS' ELSE 'Amounts' END,
            'customer', NULL, o_custkey FROM orders"""
 
-_INVENTORY_VALUES = """
-    SELECT o_orderkey AS orderid, o_custkey AS inventories_id_ref, o_totalprice AS Price,
+_HOLDING_VALUES = """
+    SELECT o_orderkey AS orderid, o_custkey AS holdings_id_ref, o_totalprice AS Price,
            o_orderpriority AS Priority FROM orders WHERE o_orderstatus <> 'P'
     UNION ALL
     SELECT o_orderkey, o_custkey, o_totalprice * 2, 'double' FROM orders WHERE o_orderstatus <> 'P'"""
@@ -50,7 +50,7 @@ def array_grandchild_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.explode_array(docs, words, plan.root_id)
 
 
-@query(_INVENTORY_VALUES)
+@query(_HOLDING_VALUES)
 def array_in_struct_child(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An array inside a struct, with the struct's id as a second key."""
     orders = nested_orders(spark, sf_dir)
@@ -72,7 +72,7 @@ def map_entries_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (N.map_entries(orders, plan.maps[0], plan.root_id)
             .where(F.lower("_source_key") != "amounts")
             .select("orderid", F.col("_source_key").alias("key"), F.col("_value").alias("value"),
-                    F.col("riskfindings_id").alias("parent_id")))
+                    F.col("findings_id").alias("parent_id")))
 
 
 @query("""
@@ -86,10 +86,10 @@ def map_object_array_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT 'orders_riskfindings_amounts' AS child, 'amounts' AS key, 2 * count(*) AS elements,
+    SELECT 'orders_findings_amounts' AS child, 'amounts' AS key, 2 * count(*) AS elements,
            'struct<amount:double,kind:string,ref:bigint>' AS element FROM orders
     UNION ALL
-    SELECT 'orders_riskfindings_history', 'history', count(*) FILTER (o_orderstatus <> 'F'),
+    SELECT 'orders_findings_history', 'history', count(*) FILTER (o_orderstatus <> 'F'),
            'struct<state:string>' FROM orders""")
 def map_child_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The children a map gives: table, key, element count and inferred element type."""
@@ -106,18 +106,18 @@ def map_child_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 def map_child_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One key's JSON objects as a table, both spellings of the key together."""
     orders = nested_orders(spark, sf_dir)
-    return child_frames(orders, N.plan_normalisation(orders, "orders"))["orders_riskfindings_amounts"]
+    return child_frames(orders, N.plan_normalisation(orders, "orders"))["orders_findings_amounts"]
 
 
 @query("""
-    SELECT o_orderkey AS orderid, CAST(o_orderkey AS VARCHAR) AS riskfindings_id,
+    SELECT o_orderkey AS orderid, CAST(o_orderkey AS VARCHAR) AS findings_id,
            'history' AS _source_key,
            CASE o_orderstatus WHEN 'O' THEN 'open' ELSE 'part' END AS state
     FROM orders WHERE o_orderstatus <> 'F'""")
 def map_child_mixed_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The objects of arrays that also hold other elements."""
     orders = nested_orders(spark, sf_dir)
-    return child_frames(orders, N.plan_normalisation(orders, "orders"))["orders_riskfindings_history"]
+    return child_frames(orders, N.plan_normalisation(orders, "orders"))["orders_findings_history"]
 
 
 @query("""
@@ -139,14 +139,14 @@ def map_child_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def map_prune_by_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays in the map: everything no child holds in full."""
     kept = nested_orders(spark, sf_dir).select(
-        F.explode(N.prune_map(F.col("RiskFindings"))).alias("key", "value"))
+        F.explode(N.prune_map(F.col("Findings"))).alias("key", "value"))
     return kept.groupBy("key").agg(F.count(F.lit(1)).alias("records"), F.min("value").alias("least"))
 
 
 @query("""
     SELECT o_orderkey AS OrderId, o_orderstatus AS Status,
-           CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS inventories_id,
-           o_orderstatus = 'P' AS inventories_missing, o_orderdate AS Date,
+           CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS holdings_id,
+           o_orderstatus = 'P' AS holdings_missing, o_orderdate AS Date,
            o_orderpriority AS Priority,
            CASE WHEN o_orderstatus = 'P' THEN 3 ELSE 4 END AS findings_left FROM orders""")
 def main_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,9 +154,9 @@ def main_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = nested_orders(spark, sf_dir)
     main = N.main_projection(orders, N.plan_normalisation(orders, "orders"))
     return main.select(
-        "OrderId", "Status", F.col("Inventories.id").alias("inventories_id"),
-        F.col("Inventories").isNull().alias("inventories_missing"), "Inventory.Date",
-        "Inventory.Priority", F.size("RiskFindings").alias("findings_left"))
+        "OrderId", "Status", F.col("Holdings.id").alias("holdings_id"),
+        F.col("Holdings").isNull().alias("holdings_missing"), "Holding.Date",
+        "Holding.Priority", F.size("Findings").alias("findings_left"))
 
 
 @query("""
@@ -184,9 +184,9 @@ def case_conflict_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT 'orders_inventories_value' AS child, 2 * count(*) AS records FROM orders WHERE o_orderstatus <> 'P'
-    UNION ALL SELECT 'orders_riskfindings_amounts', 2 * count(*) FROM orders
-    UNION ALL SELECT 'orders_riskfindings_history', count(*) FROM orders WHERE o_orderstatus <> 'F'""")
+    SELECT 'orders_holdings_value' AS child, 2 * count(*) AS records FROM orders WHERE o_orderstatus <> 'P'
+    UNION ALL SELECT 'orders_findings_amounts', 2 * count(*) FROM orders
+    UNION ALL SELECT 'orders_findings_history', count(*) FROM orders WHERE o_orderstatus <> 'F'""")
 def child_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every child of one plan."""
     orders = nested_orders(spark, sf_dir)

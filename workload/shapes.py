@@ -50,7 +50,7 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as nested records: a struct with an array inside (null for status P), a plain
     struct, and the map of findings."""
     value = "struct<Price:double,Priority:string>"
-    inventories = F.when(F.col("o_orderstatus") != "P", F.struct(
+    holdings = F.when(F.col("o_orderstatus") != "P", F.struct(
         F.col("o_custkey").alias("id"), F.lit(2).alias("count"),
         F.array(
             F.struct("o_totalprice", "o_orderpriority").cast(value),
@@ -58,10 +58,10 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("value")))
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("OrderId"), F.col("o_orderstatus").alias("Status"),
-        inventories.alias("Inventories"),
+        holdings.alias("Holdings"),
         F.struct(F.col("o_orderdate").alias("Date"),
-                 F.col("o_orderpriority").alias("Priority")).alias("Inventory"),
-        order_findings().alias("RiskFindings"))
+                 F.col("o_orderpriority").alias("Priority")).alias("Holding"),
+        order_findings().alias("Findings"))
 
 
 def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
