@@ -131,3 +131,20 @@ def test_hot_target_key(spark):
     assert {(r["v"], r["k"]): r["count"] for r in merged.where("k = 7 OR k IS NULL OR v = 's'")
             .groupBy("v", "k").count().collect()} == {
         ("s", 7): 1000, ("t", None): 1000, ("s", None): 1, ("s", 9999): 1}
+
+
+@pytest.mark.parametrize("partition_by", [None, ["v"]])
+def test_pruned_upsert_on_tables(spark, database, partition_by):
+    name = f"{database}.t"
+    target, source = [(1, 3, "t"), (2, 20, "t"), (3, 30, "u")], [(1, 7, "s"), (2, 25, "s"), (4, 9, "s")]
+    create_or_append(spark, spark.createDataFrame(target, DDL), name, partition_by)
+    upsert(spark, name, align_for(spark, spark.createDataFrame(source, DDL), name), ["k"], "ts", "ts")
+    assert rows(spark.table(name), "k", "ts", "v") == expected(target, source, 7)
+
+
+def test_upsert_with_two_keys_and_partition_in_the_key(spark, database):
+    name = f"{database}.t"
+    create_or_append(spark, spark.createDataFrame([(1, 1, "a"), (1, 1, "b")], DDL), name, ["v"])
+    source = spark.createDataFrame([(1, 2, "a"), (1, 2, "c")], DDL)
+    upsert(spark, name, align_for(spark, source, name), ["k", "v"], "ts")
+    assert rows(spark.table(name), "k", "ts", "v") == [(1, 1, "b"), (1, 2, "a"), (1, 2, "c")]
