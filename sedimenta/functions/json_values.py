@@ -60,13 +60,13 @@ def first_is_object(text: Column) -> Column:
     return F.coalesce(F.when(looks_like_object_array(text), is_object(first)), F.lit(False))
 
 
-def value_label(element: Column) -> Column:
-    """The profiler's label for one variant value.
+def value_label(element: Column, schema: Column | None = None) -> Column:
+    """The profiler's label for one variant value; ``schema`` is its schema text, if at hand.
 
     A decimal without fraction digits is an integer only when it is too wide for a bigint;
     a narrower one was written with a fraction, as ``1.0``.
     """
-    text = F.schema_of_variant(element)
+    text = F.schema_of_variant(element) if schema is None else schema
     wide_integer = text.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
     return (
         F.when(element.isNull() | (text == "VOID"), "null")
@@ -79,9 +79,9 @@ def value_label(element: Column) -> Column:
     )
 
 
-def key_kind(element: Column) -> Column:
+def key_kind(element: Column, schema: Column | None = None) -> Column:
     """The key scan's label: arrays by their first element, scalars by type name."""
-    label = value_label(element)
+    label = value_label(element, schema)
     first = F.try_variant_get(element, "$[0]", "variant")
     return (
         F.when(label != "array", label)

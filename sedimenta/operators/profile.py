@@ -28,6 +28,15 @@ def json_fields(df: DataFrame, json: str, *keep: str) -> DataFrame:
     ).drop("_json").where(F.col("key").isNotNull())
 
 
+def _with_schema(fields: DataFrame) -> DataFrame:
+    """The schema text of each value as a column, so that a label looks at it once."""
+    return fields.withColumn("_schema", F.schema_of_variant("value"))
+
+
+def _with_kind(fields: DataFrame) -> DataFrame:
+    return _with_schema(fields).withColumn("kind", key_kind(F.col("value"), F.col("_schema")))
+
+
 def record_count(df: DataFrame) -> Column:
     """F1 as a scalar subquery: the number of records beside each row of another result."""
     return df.agg(F.count(F.lit(1))).scalar()
@@ -40,7 +49,8 @@ def percent(part: Column, whole: Column) -> Column:
 
 def field_types(df: DataFrame, json: str) -> DataFrame:
     """histogram of value types per field (``key``, ``type``, ``records``)."""
-    return (json_fields(df, json).groupBy("key", value_label(F.col("value")).alias("type"))
+    label = value_label(F.col("value"), F.col("_schema"))
+    return (_with_schema(json_fields(df, json)).groupBy("key", label.alias("type"))
             .agg(F.count(F.lit(1)).alias("records")))
 
 
@@ -157,7 +167,7 @@ def elect_spelling(df: DataFrame, column: str) -> DataFrame:
 
 def key_kinds(df: DataFrame, json: str) -> DataFrame:
     """histogram of value kinds per key of a JSON object column."""
-    return (json_fields(df, json).groupBy("key", key_kind(F.col("value")).alias("kind"))
+    return (_with_kind(json_fields(df, json)).groupBy("key", "kind")
             .agg(F.count(F.lit(1)).alias("records")))
 
 
@@ -167,15 +177,14 @@ def key_scan(df: DataFrame, json: str, record_id: str) -> DataFrame:
     The example is the first element in the record with the smallest id. Object-array keys
     come first by descending count, the others by name.
     """
-    value = F.col("value")
-    kind = key_kind(value)
-    element = F.try_variant_get(value, "$[0]", "string")
+    # Only object arrays carry an element on, as text.
+    example = F.when(F.col("kind") == "array_of_objects", F.struct(
+        F.col(quote(record_id)).alias("id"),
+        F.try_variant_get("value", "$[0]", "string").alias("element")))
     return key_summary(
-        json_fields(df, json, record_id).groupBy("key", kind.alias("kind")).agg(
-            F.count(F.lit(1)).alias("records"),
-            F.min(F.when(kind == "array_of_objects", F.struct(
-                F.col(quote(record_id)).alias("id"), element.alias("element")))).alias("example"),
-        ))
+        _with_kind(json_fields(df, json, record_id)).select("key", "kind", example.alias("example"))
+        .groupBy("key", "kind")
+        .agg(F.count(F.lit(1)).alias("records"), F.min("example").alias("example")))
 
 
 def key_summary(kinds: DataFrame) -> DataFrame:
