@@ -8,9 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The labels of the two classifications.
-VALUE_LABELS = ("null", "boolean", "integer", "float", "string", "array", "object")
-KEY_KINDS = ("array_empty", "array_of_objects", "array_of_scalars", "object")
+from sedimenta.functions.schema import ddl_type
 
 _OBJECT_ARRAY = r"^\s*\[\s*\{"
 _QUOTED = re.compile(r"(`(?:[^`]|``)*`)")
@@ -93,7 +91,7 @@ def key_kind(element: Column, schema: Column | None = None) -> Column:
 
 def field_value(element: Column, name: str, dtype: T.DataType) -> Column:
     """One typed field of a variant object, whatever characters its name holds."""
-    target = dtype.simpleString() if not _has_struct(dtype) else _quoted_type(dtype)
+    target = ddl_type(dtype)
     if "'" not in name and "\\" not in name:
         return F.try_variant_get(element, f"$['{name}']", target)
     if '"' not in name and "\\" not in name:
@@ -102,16 +100,6 @@ def field_value(element: Column, name: str, dtype: T.DataType) -> Column:
     return F.try_variant_get(entry, "$", target)
 
 
-def _has_struct(dtype: T.DataType) -> bool:
-    return "struct<" in dtype.simpleString()
-
-
-def _quoted_type(dtype: T.DataType) -> str:
-    from sedimenta.functions.schema import ddl_type
-
-    return ddl_type(dtype)
-
-
 def _decimal(match: re.Match) -> str:
     precision, scale = int(match.group(1)), int(match.group(2))
     # Wide integers stay exact; every other decimal was a JSON fraction.

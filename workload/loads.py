@@ -18,7 +18,7 @@ from sedimenta.sources.sql_text import date_window, read_sql
 from sedimenta.sources.tables import read_date_slice
 from sedimenta.streaming.csv_stream import run_csv_stream
 from workload import query
-from workload.shapes import as_dated_json_files, nested_orders, order_findings, table
+from workload.shapes import as_dated_json_files, nested_orders, table
 
 _DAY = "2024-01-15"
 
