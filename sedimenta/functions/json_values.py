@@ -34,10 +34,6 @@ def array_elements(text: Column) -> Column:
     return F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
 
 
-def is_json_null(element: Column) -> Column:
-    return element.isNull() | F.is_variant_null(element)
-
-
 def is_object(element: Column) -> Column:
     """Is this variant a JSON object?"""
     return F.schema_of_variant(element).startswith("OBJECT")
