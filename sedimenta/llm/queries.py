@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from .op2_repeated_bytes import op2_repeated_bytes
 from .op7_token_files import op7_token_files
 from .op9_sentencepiece import op9_sentencepiece
 
-QUERIES = {f.__name__: f for f in (op7_token_files, op9_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_repeated_bytes, op7_token_files, op9_sentencepiece)}
 ORACLES: dict[str, str] = {}
