@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .op1_quality import op1_quality
 from .op2_repeated_bytes import op2_repeated_bytes
+from .op3_neighbours import op3_neighbours
 from .op4_mixing import op4_mixing
 from .op5_jaccard_join import op5_jaccard_join
 from .op6_divergence import op6_divergence
@@ -12,6 +13,6 @@ from .op9_sentencepiece import op9_sentencepiece
 from .op10_toxicity import op10_toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality, op2_repeated_bytes, op4_mixing, op5_jaccard_join, op6_divergence, op7_token_files, op9_sentencepiece,
+    op1_quality, op2_repeated_bytes, op3_neighbours, op4_mixing, op5_jaccard_join, op6_divergence, op7_token_files, op9_sentencepiece,
     op10_toxicity)}
 ORACLES: dict[str, str] = {}
