@@ -9,10 +9,11 @@ from .op4_mixing import op4_mixing
 from .op5_jaccard_join import op5_jaccard_join
 from .op6_divergence import op6_divergence
 from .op7_token_files import op7_token_files
+from .op8_pseudo_likelihood import op8_pseudo_likelihood
 from .op9_sentencepiece import op9_sentencepiece
 from .op10_toxicity import op10_toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality, op2_repeated_bytes, op3_neighbours, op4_mixing, op5_jaccard_join, op6_divergence, op7_token_files, op9_sentencepiece,
-    op10_toxicity)}
+    op1_quality, op2_repeated_bytes, op3_neighbours, op4_mixing, op5_jaccard_join, op6_divergence, op7_token_files,
+    op8_pseudo_likelihood, op9_sentencepiece, op10_toxicity)}
 ORACLES: dict[str, str] = {}
