@@ -45,7 +45,8 @@ def only_objects(text: Column) -> Column:
     One look at the merged element type: anything else beside an object makes it a variant.
     """
     merged = F.schema_of_variant(F.try_parse_json(text))
-    return F.coalesce(merged.startswith("ARRAY<OBJECT<") & (merged != "ARRAY<OBJECT<>>"), F.lit(False))
+    # One use of the type: inside map_filter nothing is shared, and a second one would parse the text again.
+    return F.coalesce(merged.rlike("^ARRAY<OBJECT<[^>]"), F.lit(False))
 
 
 def first_is_object(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -268,22 +268,17 @@ def stage_map_elements(df: DataFrame, nested: NestedField, root_id: str) -> Data
     return stage(_explode_objects(spread, nested, root_id), "map-elements", partition_by=["_slot"])
 
 
-def map_children(elements: DataFrame, nested: NestedField, max_children: int = 5_000) -> list[MapChild]:
+def map_children(elements: DataFrame, nested: NestedField) -> list[MapChild]:
     """One job infers the element type of every key, over all values.
 
-    Partial aggregation keeps a hot key harmless. The result is the list of tables to
-    write; more keys than ``max_children`` means the keys are data, which is an error
-    here, never a shortened list.
+    Partial aggregation keeps a hot key harmless. The result is the list of tables to write.
     """
     element = F.col("_element")
     rows = (
         elements.groupBy("_key", "_slot")
         .agg(F.schema_of_variant_agg(element).alias("type"), F.count(F.lit(1)).alias("elements"))
-        .limit(max_children + 1)
         .collect()
     )
-    if len(rows) > max_children:
-        raise ValueError(f"{nested.table}: more than {max_children} keys hold object arrays")
     children = []
     for row in sorted(rows, key=lambda r: r["_key"]):
         dtype = variant_type(row["type"])
@@ -311,6 +306,11 @@ def map_child(elements: DataFrame, nested: NestedField, child: MapChild, root_id
         ), names)
 
 
+def keep_without_elements(mapping: Column) -> Column:
+    """The entries of a map of arrays that give no child row: null arrays, and arrays of nothing but nulls."""
+    return F.map_filter(mapping, lambda _, v: ~F.coalesce(F.exists(v, lambda x: x.isNotNull()), F.lit(False)))
+
+
 def map_array_child(df: DataFrame, nested: NestedField, root_id: str) -> DataFrame:
     """The child of a map whose values are arrays of structs already: one table, all keys."""
     keys = [root_id.lower(), "_source_key"]
@@ -347,7 +347,7 @@ def prune_map(mapping: Column) -> Column:
 
 
 def _drop_in_struct(column: Column, struct: T.StructType, prefix: Path,
-                    gone: set[Path], pruned: set[Path]) -> Column | None:
+                    gone: set[Path], pruned: dict[Path, Callable[[Column], Column]]) -> Column | None:
     """A struct without its extracted fields; None when no field is left. Null stays null."""
     drop, replace = [], []
     for f in struct.fields:
@@ -355,9 +355,9 @@ def _drop_in_struct(column: Column, struct: T.StructType, prefix: Path,
         if here in gone:
             drop.append(f.name)
         elif here in pruned:
-            replace.append((f.name, prune_map(column.getField(f.name))))
+            replace.append((f.name, pruned[here](column.getField(f.name))))
         elif isinstance(f.dataType, T.StructType) and any(
-                p[:len(here)] == here for p in gone | pruned):
+                p[:len(here)] == here for p in gone | pruned.keys()):
             inner = _drop_in_struct(column.getField(f.name), f.dataType, here, gone, pruned)
             if inner is None:
                 drop.append(f.name)
@@ -373,8 +373,7 @@ def _drop_in_struct(column: Column, struct: T.StructType, prefix: Path,
 def main_projection(df: DataFrame, plan: NormalisationPlan) -> DataFrame:
     """The root rows without what the children hold. One projection, no shuffle."""
     gone = {n.path for n in plan.arrays if len(n.steps) == 1}
-    gone |= {n.path for n in plan.maps if n.kind == "map_array"}
-    pruned = {n.path for n in plan.maps if n.kind == "map_text"}
+    pruned = {n.path: prune_map if n.kind == "map_text" else keep_without_elements for n in plan.maps}
     columns = []
     for f in df.schema.fields:
         here = (f.name,)
@@ -382,7 +381,7 @@ def main_projection(df: DataFrame, plan: NormalisationPlan) -> DataFrame:
         if here in gone:
             continue
         if here in pruned:
-            column = prune_map(column)
+            column = pruned[here](column)
         elif isinstance(f.dataType, T.StructType):
             column = _drop_in_struct(column, f.dataType, here, gone, pruned)
         if column is not None:

@@ -200,14 +200,18 @@ def key_summary(kinds: DataFrame) -> DataFrame:
     ).orderBy(F.desc("object_arrays"), F.asc("key"))
 
 
-def group_summary(columns: DataFrame, prefixes: list[str]) -> DataFrame:
-    """per flattened object the number of its columns and their mean fill."""
+def group_summary(columns: DataFrame, prefixes: list[str], root: str) -> DataFrame:
+    """per flattened object the number of its columns in the main table ``root`` and their mean fill.
+
+    Columns of child tables count for none, nor do foreign keys.
+    """
     group = F.lit(None).cast("string")
     for prefix in reversed(prefixes):
         start = prefix.lower() + "_"
         group = F.when(F.lower("column").startswith(start), prefix.lower()).otherwise(group)
     return (
-        columns.withColumn("object", group).where(F.col("object").isNotNull())
+        columns.where((F.col("table") == root) & ~F.coalesce(F.col("is_fk"), F.lit(False)))
+        .withColumn("object", group).where(F.col("object").isNotNull())
         .groupBy("object").agg(F.count(F.lit(1)).alias("fields"),
                                F.avg("filled_pct").alias("mean_filled_pct"))
     )

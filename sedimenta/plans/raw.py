@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.sinks.tables import append, create_table, write_safely
+from sedimenta.sinks.tables import clear_partition, create_table, write_safely
 from sedimenta.sources.files import files_for_date
 from sedimenta.sources.json_scan import CORRUPT, read_json, split_corrupt
 from sedimenta.sources.tables import table_schema
@@ -54,10 +54,14 @@ def raw_ingest(spark: SparkSession, date: str, config: dict[str, Any]) -> RawRep
     quarantine = destination.get("quarantine_table")
     if quarantine:
         good, bad = split_corrupt(scan)
-        create_table(spark, table_name(destination, database, quarantine), bad.schema)
+        bad = bad.withColumn("execution_date", F.lit(date).cast("date"))
+        held = table_name(destination, database, quarantine)
+        created = create_table(spark, held, bad.schema, ["execution_date"])
         bad_counts = Observation()
-        append(bad.observe(bad_counts, F.count(F.lit(1)).alias("corrupt")),
-               table_name(destination, database, quarantine))
+        watched = bad.observe(bad_counts, F.count(F.lit(1)).alias("corrupt"))
+        if mode == "overwrite" and not created:
+            clear_partition(spark, held, "execution_date", date)  # also when this run has no bad record
+        write_safely(spark, watched, held, "append")
         corrupt = bad_counts.get["corrupt"]
         records = good.observe(counts, F.count(F.lit(1)).alias("records"))
     else:

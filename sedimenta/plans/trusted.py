@@ -8,13 +8,13 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.functions.naming import resolve_case_conflicts
+from sedimenta.functions.naming import quote_table, resolve_case_conflicts
 from sedimenta.operators.nested import (
     NormalisationPlan, explode_array, fix_case_conflicts, main_projection, map_array_child,
     map_child, map_children, plan_normalisation, stage_map_elements, with_names,
 )
 from sedimenta.plans.raw import table_name
-from sedimenta.sinks.tables import create_or_append, write_all
+from sedimenta.sinks.tables import clear_partition, create_or_append, write_all
 from sedimenta.sources.tables import read_date_slice
 
 TRUSTED_AT = "_trusted_ingested_at"
@@ -43,6 +43,22 @@ def child_frames(df: DataFrame, plan: NormalisationPlan) -> dict[str, DataFrame]
     return children
 
 
+_CHILDREN = "sedimenta.children"
+
+
+def known_children(spark: SparkSession, main_table: str) -> set[str]:
+    """The child tables that any run has written for a main table."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quote_table(main_table)}").where(F.col("key") == _CHILDREN).collect()
+    return {name for row in rows for name in row["value"].split(",") if name}
+
+
+def remember_children(spark: SparkSession, main_table: str, written: set[str]) -> None:
+    known = known_children(spark, main_table)
+    if written - known:
+        names = ",".join(sorted(known | written))
+        spark.sql(f"ALTER TABLE {quote_table(main_table)} SET TBLPROPERTIES ('{_CHILDREN}' = '{names}')")
+
+
 def trusted_normalise(spark: SparkSession, date: str, config: dict[str, Any]) -> list[str]:
     """The names of the tables written; none for a missing or empty source.
 
@@ -65,6 +81,13 @@ def trusted_normalise(spark: SparkSession, date: str, config: dict[str, Any]) ->
                 for name, frame in child_frames(prepared, plan).items()}
 
     array_tables = {n.table for n in plan.nested}
+    database = destination["database_name"]
+
+    def clear_stale(written: set[str]) -> None:
+        """Children of earlier runs that have no rows today lose the rows of this run's date."""
+        for name in known_children(spark, table_name(destination, database, plan.main_table)) - written:
+            if spark.catalog.tableExists(quote_table(table_name(destination, database, name))):
+                clear_partition(spark, table_name(destination, database, name), EXECUTION_DATE, date)
 
     def write(name: str, frame: DataFrame) -> str | None:
         # A map child exists because its key had elements; an array may have none.
@@ -79,4 +102,8 @@ def trusted_normalise(spark: SparkSession, date: str, config: dict[str, Any]) ->
     write(plan.main_table, main)
     written = write_all([lambda n=n, f=f: write(n, f) for n, f in children.items()],
                         destination.get("parallelism", 8))
+    main_table = table_name(destination, database, plan.main_table)
+    if destination.get("write_mode", "append") == "overwrite":
+        clear_stale({name for name in written if name})
+    remember_children(spark, main_table, {name for name in written if name})
     return [plan.main_table, *[name for name in written if name]]

@@ -210,6 +210,19 @@ def write_safely(spark: SparkSession, df: DataFrame, table: str, mode: str = "ap
     return lost()
 
 
+def clear_partition(spark: SparkSession, table: str, column: str, value: str) -> bool:
+    """Remove the rows of one value of a partition column; was that possible?"""
+    name = quote_table(table)
+    if is_v2(spark, table):
+        spark.sql(f"DELETE FROM {name} WHERE `{column}` = '{value}'")
+        return True
+    if column.lower() not in [c.name.lower() for c in spark.catalog.listColumns(name) if c.isPartition]:
+        return False
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{column}` = '{value}')")
+    spark.catalog.refreshTable(name)
+    return True
+
+
 def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Gather the rows of a partition before they are written, so that not every task leaves a
     file in every folder. A partition too large for one task is split again at run time."""

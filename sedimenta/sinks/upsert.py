@@ -14,9 +14,6 @@ from sedimenta.operators.merge import low_watermark, merge_frames
 from sedimenta.scratch import stage
 from sedimenta.sinks.tables import by_partition, is_v2, overwrite_partitions, replace_all
 
-# Above this many touched partitions the whole table is rewritten instead.
-MAX_LISTED_PARTITIONS = 1_000
-
 
 def merge_statement(table: str, view: str, keys: Sequence[str], order_by: str | None,
                     floor_column: str | None = None, floor: str | None = None) -> str:
@@ -33,25 +30,29 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(quote_table(table)) if c.isPartition]
 
 
-def _any_of(rows: list[Row], columns: list[str]) -> Column:
-    """Rows of the listed partitions, as literals so that the scan prunes folders."""
-    each = [reduce(lambda a, b: a & b, [F.col(quote(c)).eqNullSafe(F.lit(r[c])) for c in columns])
-            for r in rows]
-    return reduce(lambda a, b: a | b, each, F.lit(False))
+def _same_partition(one: str, other: str, columns: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{one}.{quote(c)}").eqNullSafe(F.col(f"{other}.{quote(c)}")) for c in columns])
+
+
+def _scope(target: DataFrame, touched: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of the touched partitions. A set of literals for each column prunes folders, the join does the rest."""
+    scope = target
+    for c in columns:
+        values = [r[0] for r in touched.select(c).distinct().collect()]
+        known = F.col(quote(c)).isin([v for v in values if v is not None])
+        scope = scope.where(known | F.col(quote(c)).isNull() if None in values else known)
+    return scope.alias("t").join(touched.alias("p"), _same_partition("t", "p", columns), "left_semi")
 
 
-def _touched(target: DataFrame, source: DataFrame, keys: Sequence[str],
-             columns: list[str]) -> list[Row] | None:
+def _touched(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: list[str]) -> DataFrame:
     """Partitions the merge may change: of matched target rows, and of the batch itself."""
     matched = target.join(source.select(*keys), list(keys), "left_semi").select(*columns)
-    rows = (matched.unionByName(source.select(*columns)).distinct()
-            .limit(MAX_LISTED_PARTITIONS + 1).collect())
-    return rows if len(rows) <= MAX_LISTED_PARTITIONS else None
+    return stage(matched.unionByName(source.select(*columns)).distinct(), "touched")
 
 
 def _drop_partition(spark: SparkSession, table: str, row: Row, columns: list[str]) -> None:
     values = ", ".join(
-        f"{quote(c)} = " + ("null" if row[c] is None else "'" + str(row[c]).replace("'", "\\'") + "'")
+        f"{quote(c)} = " + ("null" if row[c] is None else "'" + str(row[c]).replace("\\", "\\\\").replace("'", "\\'") + "'")
         for c in columns)
     spark.sql(f"ALTER TABLE {quote_table(table)} DROP IF EXISTS PARTITION ({values})")
 
@@ -78,17 +79,15 @@ def upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[st
         return
     below = None if floor is None else F.col(quote(prune_by)) >= F.lit(floor)
     columns = partition_columns(spark, table)
-    touched = _touched(target, source, keys, columns) if columns else None
-    scope = target if touched is None else target.where(_any_of(touched, columns))
-    merged = stage(merge_frames(scope, source, keys, order_by, below), "merge")
-    if touched is None:
-        replace_all(merged, table)
+    if not columns:
+        replace_all(stage(merge_frames(target, source, keys, order_by, below), "merge"), table)
     else:
-        kept = {tuple(r) for r in merged.select(*columns).distinct().collect()}
+        touched = _touched(target, source, keys, columns)
+        merged = stage(merge_frames(_scope(target, touched, columns), source, keys, order_by, below), "merge")
         overwrite_partitions(by_partition(merged, columns), table)
         # An update may move the last row out of a partition.
-        for row in touched:
-            if tuple(row) not in kept:
-                _drop_partition(spark, table, row, columns)
+        filled = merged.select(*columns).distinct().alias("m")
+        for row in touched.alias("p").join(filled, _same_partition("p", "m", columns), "left_anti").collect():
+            _drop_partition(spark, table, row, columns)
     spark.catalog.refreshTable(quote_table(table))
 

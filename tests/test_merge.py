@@ -101,12 +101,18 @@ def test_upsert_empties_a_partition_and_leaves_others(spark, database):
     assert spark.table(name).where("v IS NULL").count() == 2
 
 
-def test_upsert_beyond_the_partition_list(spark, database, monkeypatch):
-    monkeypatch.setattr("sedimenta.sinks.upsert.MAX_LISTED_PARTITIONS", 1)
-    name = f"{database}.t"
-    create_or_append(spark, spark.createDataFrame(TARGET, DDL), name, ["ts"])
-    upsert(spark, name, align_for(spark, spark.createDataFrame(SOURCE, DDL), name), ["k"], "ts")
-    assert rows(spark.table(name), "k", "ts", "v") == expected(TARGET, SOURCE)
+def test_upsert_of_many_partitions_leaves_others_alone(spark, database):
+    name = f"{database}.many"
+    ddl = "k int, v string, p string, q int"
+    old = [(i, "old", f"p'{i % 40}\\\\", i % 3) for i in range(240)] + [(900, "old", None, 1), (901, "old", "far", 7)]
+    create_or_append(spark, spark.createDataFrame(old, ddl), name, ["p", "q"])
+    far = spark.table(name).where("p = 'far'").select("_metadata.file_path").first()[0]
+    batch = [(i, "new", f"p'{i % 40}\\\\", i % 3) for i in range(0, 200, 2)] + [(900, "new", "moved", 2), (950, "new", None, 5)]
+    upsert(spark, name, align_for(spark, spark.createDataFrame(batch, ddl), name), ["k"])
+    want = {r[0]: r for r in old} | {r[0]: r for r in batch}
+    assert rows(spark.table(name), "k", "v", "p", "q") == sorted(want.values(), key=repr)
+    assert spark.table(name).where("p = 'far'").select("_metadata.file_path").first()[0] == far
+    assert spark.table(name).where("p is null and q = 1").isEmpty()
 
 
 def test_merge_statement_text():

@@ -99,7 +99,7 @@ def test_suggested_layout(spark):
         ("alerts_rf_cs", "line"): ("string", 100.0, False, False),
         ("alerts_rf_cs", "pos"): ("integer", 50.0, False, False),
     }
-    summary = P.group_summary(suggest_tables(df, "json").where("table = 'alerts'"), ["RF"])
+    summary = P.group_summary(suggest_tables(df, "json"), ["RF"], "alerts")
     assert rows(summary) == [("rf", 5, 50.0)]
 
 
