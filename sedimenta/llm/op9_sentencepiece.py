@@ -59,11 +59,18 @@ def splits_at_markers(processor) -> bool:
 
 
 def marked_words(text: str) -> list[str]:
-    """Marked words without their first marker, which encoding adds again."""
+    """Marked words without their first marker, which encoding adds again.
+
+    A single marker at the end stays with the word before: alone it would be an empty text, which gets no marker.
+    """
     marked = text.replace(" ", MARK)
     if MARK * 2 in marked or marked.startswith(MARK):
-        return [word[1:] for word in _MARKED.findall(MARK + marked)]
-    return marked.split(MARK)
+        found = [word[1:] for word in _MARKED.findall(MARK + marked)]
+    else:
+        found = marked.split(MARK)
+    if found[-1] == "" and len(found) > 1:
+        found[-2:] = [found[-2] + MARK]
+    return found
 
 
 def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
