@@ -201,7 +201,7 @@ def score(docs: DataFrame, network: Network) -> DataFrame:
             for part in slices(batch.column(batch.schema.get_field_index("text"))):
                 y, around, owner = network.examples(part)
                 n = np.bincount(owner, minlength=part.n)
-                total = np.bincount(owner, network.log_probabilities(y, around), part.n)
+                total = np.bincount(owner, network.log_probabilities(y, around), part.n).astype(float)  # also without words
                 mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(part.lo, part.n) for c in batch.columns), pa.array(n), pa.array(total), mean], [*kept, *names])
