@@ -70,6 +70,29 @@ def test_raw_then_trusted(spark, tmp_path, case_sensitive):
     assert trusted_normalise(spark, DAY, settings) == []
 
 
+def test_second_runs_replace_the_first(spark, tmp_path):
+    """Also the quarantined records, and the rows of children that have none any more."""
+    raw, trusted = new_database(spark, "raw"), new_database(spark, "trusted")
+    folder = tmp_path / "in"
+    config = {"source": {"input_path": str(folder), "multi_line": False},
+              "destination": {"database": raw, "table": "alert", "partition_by": ["execution_date"],
+                              "write_mode": "overwrite", "quarantine_table": "bad"}}
+    settings = {"source": {"database_name": raw, "table_name": "alert", "partition_date_by": "execution_date"},
+                "destination": {"database_name": trusted, "main_table_name": "m", "root_id": "id",
+                                "partition_by": ["execution_date"], "write_mode": "overwrite"}}
+    full = {"id": 1, "a": [{"x": 1}], "f": {**{f"k{i}": "s" for i in range(21)}, "o": [{"y": 2}]}}
+    for day in ("2024-01-01", "2024-01-02"):
+        land(folder, f"d-{day}.json", json.dumps(full) + "\n{cut\n")
+        raw_ingest(spark, day, config)
+        trusted_normalise(spark, day, settings)
+    assert {n: spark.table(f"{trusted}.{n}").count() for n in ("m", "m_a", "m_f_o")} == {"m": 2, "m_a": 2, "m_f_o": 2}
+    land(folder, "d-2024-01-02.json", json.dumps({"id": 2, "a": [], "f": {"k1": "s"}}) + "\n")
+    raw_ingest(spark, "2024-01-02", config)
+    assert trusted_normalise(spark, "2024-01-02", settings) == ["m"]
+    assert {n: spark.table(f"{trusted}.{n}").count() for n in ("m", "m_a", "m_f_o")} == {"m": 2, "m_a": 1, "m_f_o": 1}
+    assert rows(spark.table(f"{raw}.bad").select(F.col("execution_date").cast("string"))) == [("2024-01-01",)]
+
+
 def test_raw_evolves_and_counts_in_one_pass(spark, tmp_path, database):
     config = {"source": {"input_path": str(tmp_path), "multi_line": False},
               "destination": {"database": database, "table": "t"}}

@@ -98,6 +98,29 @@ def raw_ingest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "event_type", F.col("raw_value").alias("value"), "execution_date")
 
 
+@query(f"""
+    SELECT CASE WHEN role = 'system' THEN 'quarantine' ELSE 'table' END AS part, DATE '{_DAY}' AS execution_date,
+           count(*) AS records, max(CASE WHEN role <> 'system' THEN turn END) AS last_turn
+    FROM conversations GROUP BY 1""")
+def raw_quarantine_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day with cut records ingested twice: the second run replaces the first in both tables."""
+    database, path = new_database(spark, "raw"), new_path(spark, "cut")
+    text = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    table(spark, sf_dir, "conversations").select(
+        F.when(F.col("role") == "system", F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+        .alias("value")).write.text(path)
+    config = {
+        "source": {"input_path": path, "multi_line": False, "file_pattern": r"^part-.*\.txt$"},
+        "destination": {"database": database, "table": "turns", "write_mode": "overwrite",
+                        "partition_by": ["execution_date"], "quarantine_table": "cut"}}
+    for _ in range(2):
+        raw_ingest(spark, _DAY, config)
+    parts = [spark.table(f"{database}.{name}").groupBy(F.lit(part).alias("part"), "execution_date").agg(
+        F.count(F.lit(1)).alias("records"), turn.alias("last_turn"))
+        for name, part, turn in (("turns", "table", F.max("turn")), ("cut", "quarantine", F.max(F.lit(None).cast("bigint"))))]
+    return parts[0].unionByName(parts[1])
+
+
 @query("""
     SELECT 'orders' AS "table", count(*) AS records, count(DISTINCT o_orderkey) AS ids FROM orders
     UNION ALL SELECT 'orders_holdings_value', 2 * count(*), count(*) FROM orders WHERE o_orderstatus <> 'P'
