@@ -12,46 +12,57 @@ from pyspark.sql import functions as F
 from sedimenta.llm import op1_quality, op2_repeated_bytes, op4_mixing, op5_jaccard_join, op9_sentencepiece
 from sedimenta.llm.staging import stage_lean
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
 #: SQL cannot express the fitted models, raking and segmentation; tests compare each stage with a plain version.
 ORACLE_SQL = None
 
 
+def _hidden(docs: DataFrame) -> DataFrame:
+    """The documents with other columns than their own under names that no stage uses."""
+    return docs.withColumnsRenamed({c: f"__own_{k}" for k, c in enumerate(docs.columns) if c not in COLUMNS})
+
+
+def _shown(result: DataFrame, docs: DataFrame) -> DataFrame:
+    """Of a stage's result the columns of ``docs``, under their names."""
+    return result.select(*(F.col(c if c in COLUMNS else f"__own_{k}").alias(c) for k, c in enumerate(docs.columns)))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return op1_quality.judge(docs, labels).where("kept").select(*docs.columns)
+    return _shown(op1_quality.judge(_hidden(docs), labels).where("kept"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each component of near duplicates.
+    """One document of each component of near duplicates: the one with the smallest doc_id.
 
-    Of rows with one doc_id and one text one stays. Rows without a doc_id stay unless they are linked to one that has.
+    Of equal rows one stays. Rows without a doc_id come last, and documents without words all stay.
     """
-    found = stage_lean(op5_jaccard_join.components(docs), "components")
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(first.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    if found.groupBy("doc_id").count().where("doc_id is not null and count > 1").limit(1).count():
-        kept = kept.withColumn("__text", F.xxhash64("text"))
-        named = kept.where("doc_id is not null").dropDuplicates(["doc_id", "__text"])
-        kept = named.unionByName(kept.where("doc_id is null"))
+    first = stage_lean(op5_jaccard_join.one_of_each(docs), "kept").withColumnsRenamed({"doc_id": "__id", "version": "__of"})
+    marked = docs.withColumn("__version", F.xxhash64("text"))
+    kept = marked.join(first, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__version") == F.col("__of")), "left_semi")
+    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+        kept = kept.where(worded).dropDuplicates(["doc_id", "__version"]).unionByName(kept.where(~worded))
     return kept.select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the bytes that a string starting earlier covers; what is left of a cut character goes."""
     rest = F.make_valid_utf8(F.col("kept").cast("string"))
-    changed = F.when(F.col("n_removed") > 0, F.replace(rest, F.lit("�"), F.lit(""))).otherwise(F.col("text"))
-    removed = op2_repeated_bytes.remove_repeats(docs).withColumn("text", changed)
+    changed = F.when(F.col("n_removed") > 0, F.replace(rest, F.lit("\ufffd"), F.lit(""))).otherwise(F.col("text"))
+    removed = op2_repeated_bytes.remove_repeats(_hidden(docs)).withColumn("text", changed)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         removed = removed.withColumn("n_chars", F.when(
             F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return removed.select(*docs.columns)
+    return _shown(removed, docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample of the documents whose tokens have the target shares of sources, languages and topics."""
-    return op4_mixing.sample(docs).select(*docs.columns)
+    return _shown(op4_mixing.sample(_hidden(docs)), docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,8 +13,8 @@ for sets of its size or smaller there and, if near the band's lower end, in the
 * Candidates are verified on the whole sets.
 
 Equal sets are one node. Groups that share a segment are never paired all with all: every set is first verified
-against one leader it shares most with, linked sets merge, and only pairs of different components that still share a
-looked-up segment are verified then.
+against the typical sets it shares most with, and linked sets merge. After that only sets of different components are
+compared, inside the join by sketches that bound the difference from below, and what passes is verified.
 """
 
 from __future__ import annotations
@@ -28,13 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .staging import stage_lean
+from .staging import discard, stage_lean
 from .text import LOWER, Slice, mix, prefix_sums, slices, span_hashes, windows, words
 
 WIDTH = 5
 _SMALL = 4  # sets with fewer shingles differ from similar ones in nothing
 _DELETIONS_TO = 32  # sets below have their one-deletion neighbourhoods indexed
 _STAR_ROUNDS = 2
+_LEADERS = 3  # that a set is verified against in each round
 
 
 def shingles(part: Slice, width: int = WIDTH) -> list[np.ndarray]:
@@ -96,7 +97,8 @@ def _key(sums: np.ndarray, at: np.ndarray, b: int, kind: int) -> np.ndarray:
 
 _NEAR = pa.list_(pa.struct([("key", pa.int64()), ("seg", pa.int32()), ("role", pa.int32())]))
 _SETS = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType()),
+    T.StructField("doc_id", T.LongType()), T.StructField("version", T.LongType()), T.StructField("id", T.LongType()),
+    T.StructField("n", T.IntegerType()),
     T.StructField("own", T.ArrayType(T.LongType())), T.StructField("lower", T.ArrayType(T.LongType())),
     T.StructField("near", T.ArrayType(T.StructType([
         T.StructField("key", T.LongType()), T.StructField("seg", T.IntegerType()), T.StructField("role", T.IntegerType())])))])
@@ -117,12 +119,13 @@ def _neighbourhood(items: np.ndarray, b: int, role_indexed: bool) -> list[dict]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, id and size of the set, and its segment keys (null where the task has given them for an equal set)."""
+    """doc_id, hash of the text (version), id and size of the set, and its segment keys (null where the task has given
+    them for an equal set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
         for batch in batches:
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(2)):
                 ids, sizes, own, lower, near = [], [], [], [], []
                 for items in shingles(part):
                     n = len(items)
@@ -147,11 +150,13 @@ def signatures(docs: DataFrame) -> DataFrame:
                         lower.append(None)
                     near.append(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.lo, part.n), pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()),
+                    [batch.column(0).slice(part.lo, part.n), batch.column(1).slice(part.lo, part.n), pa.array(ids, pa.int64()),
+                     pa.array(sizes, pa.int32()),
                      pa.array(own, pa.list_(pa.int64())), pa.array(lower, pa.list_(pa.int64())), pa.array(near, _NEAR)],
                     _SETS.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _SETS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), "text") \
+        .mapInArrow(run, _SETS)
 
 
 def _rows(sets: DataFrame) -> DataFrame:
@@ -219,19 +224,33 @@ def _fits(n, m):
     return (m <= n) & (5 * m >= 4 * n)
 
 
+def odd_sketch(items: np.ndarray, b: int) -> np.ndarray:
+    """Bits of a set, each the parity of the shingles that fall on it: 4 to 8 bits a shingle of the band, 4096 at most.
+
+    The bits in which two sketches differ are no more than the shingles in which the sets differ.
+    """
+    power = min(max(b + 3, 6), 12)
+    at = (mix(items ^ np.uint64(0x8EBC6AF09C88C6E3)) >> np.uint64(64 - power)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=1 << power) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id and its sorted shingle hashes, for one document of each wanted set."""
+    """id, its sorted shingle hashes and odd sketches, for one document of each wanted set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column(1)):
                 found = shingles(part)
+                odd = [odd_sketch(x, band(max(len(x), 1))) for x in found]
+                lower = [odd_sketch(x, band(max(len(x), 2)) - 1) for x in found]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_id(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())],
-                    ["id", "items"])
+                    [pa.array([set_id(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary()),
+                     pa.array(odd, pa.list_(pa.int64())), pa.array(lower, pa.list_(pa.int64()))],
+                    ["id", "items", "odd", "odd_lower"])
 
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-    return some.select("doc_id", "text").mapInArrow(run, "id long, items binary").dropDuplicates(["id"])
+    return some.select("doc_id", "text").mapInArrow(
+        run, "id long, items binary, odd array<long>, odd_lower array<long>").dropDuplicates(["id"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -270,35 +289,43 @@ def _merge(parts: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """id, component for every set linked to another one."""
+    """id, component for every set linked to another one. ``sets`` is staged, and gone afterwards."""
     rows = _rows(sets)
-    holders = rows.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1")
-    shared = _unpack(stage_lean(rows.join(holders, "key"), "shared-segments"))
+    holders = stage_lean(rows.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1"), "holders")
+    packed = stage_lean(rows.join(holders, "key"), "shared-segments")
+    names = stage_lean(sets.groupBy("id").agg(F.min("doc_id").alias("doc_id")), "set-names")
+    discard(sets, holders)
+    shared = _unpack(packed)
     looked = stage_lean(_allocate(shared), "looked-up")
-    index = shared.where("indexed").select("key", F.col("id").alias("b"), F.col("n").alias("m")).join(
-        looked.select("key").distinct(), "key", "left_semi").select("key", "b", "m").distinct()
-    index = stage_lean(index, "index")
+    # Copies with few changes have the segments that most others have.
+    typical = shared.where("step = 0 and indexed").groupBy(F.col("id").alias("b")).agg(F.sum("holders").alias("typical"))
+    index = stage_lean(
+        shared.where("indexed").select("key", F.col("id").alias("b"), F.col("n").alias("m")).join(
+            looked.select("key").distinct(), "key", "left_semi").distinct().join(typical, "b", "left")
+        .select("key", "b", "m", F.coalesce("typical", F.lit(0)).alias("typical")), "index")
+    discard(packed)
     wanted = looked.select("id").union(index.select(F.col("b").alias("id"))).distinct()
-    first = sets.groupBy("id").agg(F.min("doc_id").alias("doc_id")).join(wanted, "id", "left_semi").select("doc_id")
+    first = names.join(wanted, "id", "left_semi").select("doc_id")
     whole = stage_lean(_whole_sets(docs, first), "whole-sets")
 
-    found, done, parts = None, None, None
+    done, parts = [], None
     for turn in range(_STAR_ROUNDS):
-        # Everyone's leader in a group is one of its sets; of all its leaders a set takes the one it shares most with.
-        order = F.xxhash64("b", F.lit(turn))
-        leader = index.groupBy("key").agg(F.min_by(F.struct("b", "m"), order).alias("leader"))
+        # A group's leader is its most typical set, or any. Of all its leaders a set takes those it shares most with.
+        order = F.xxhash64("b", "key", F.lit(turn)) if turn % 2 else F.struct("typical", "b")
+        leader = index.groupBy("key").agg(F.max_by(F.struct("b", "m"), order).alias("leader"))
         pairs = looked.join(leader, "key").select("id", "n", "leader.b", "leader.m").where("id <> b") \
             .where(_fits(F.col("n"), F.col("m")) | _fits(F.col("m"), F.col("n")))
         if parts is not None:
             pairs = _apart(pairs, parts)
         common = pairs.groupBy("id", "b").agg(F.count("*").alias("common"))
-        best = common.groupBy("id").agg(F.max_by("b", F.struct("common", "b")).alias("b"))
+        best = common.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("common"), "b"))) \
+            .where(F.col("rank") <= _LEADERS)
         pairs = stage_lean(best.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct(), "star-pairs")
-        links = stage_lean(_verified(pairs, whole), "star-links")
-        done = pairs if done is None else done.unionByName(pairs)
-        found = links if found is None else found.unionByName(links)
-        parts = stage_lean(_merge(parts, links), "components")
-    pairs = _remaining(looked, index, parts).join(done, ["a", "b"], "left_anti")
+        done.append(pairs)
+        parts = stage_lean(_merge(parts, stage_lean(_verified(pairs, whole), "star-links")), "components")
+    pairs = _remaining(looked, index, parts, whole)
+    for before in done:
+        pairs = pairs.join(before, ["a", "b"], "left_anti")
     links = stage_lean(_verified(stage_lean(pairs, "other-pairs"), whole), "other-links")
     return stage_lean(_merge(parts, links), "components")
 
@@ -311,28 +338,51 @@ def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
         .where(F.coalesce("ca", "id") != F.coalesce("cb", "b")).drop("ca", "cb")
 
 
-def _remaining(looked: DataFrame, index: DataFrame, parts: DataFrame) -> DataFrame:
+def _with_component(rows: DataFrame, parts: DataFrame, column: str) -> DataFrame:
+    return rows.join(parts.select(F.col("id").alias(column), F.col("component").alias("c")), column, "left") \
+        .withColumn("c", F.coalesce("c", column))
+
+
+def _mixed(looked: DataFrame, index: DataFrame, parts: DataFrame) -> DataFrame:
+    """key, main: groups with more than one component, and the one with most sets there."""
+    each = _with_component(looked.select("key", "id"), parts, "id").select("key", "c").union(
+        _with_component(index.select("key", "b"), parts, "b").select("key", "c")).groupBy("key", "c").agg(F.count("*").alias("n"))
+    return each.groupBy("key").agg(F.count("*").alias("kinds"), F.max_by("c", F.struct("n", "c")).alias("main")) \
+        .where("kinds > 1").select("key", "main")
+
+
+def _remaining(looked: DataFrame, index: DataFrame, parts: DataFrame, whole: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components where one looks up a segment of the other.
 
-    In each group most sets are of one component by now: only the others meet everyone.
+    In each group most sets are of one component by now: only the others meet everyone, and inside the join the odd
+    sketches of two sets tell at once that they differ in too much: as many bits differ as shingles at most.
     """
-    of = parts.withColumnRenamed("component", "c")
-    seek = looked.join(of, "id", "left").select("key", "id", "n", "low", F.coalesce("c", "id").alias("ca"))
-    held = index.join(of.withColumnRenamed("id", "b"), "b", "left").select("key", "b", "m", F.coalesce("c", "b").alias("cb"))
-    each = seek.select("key", F.col("ca").alias("c")).union(held.select("key", F.col("cb").alias("c"))) \
-        .groupBy("key", "c").agg(F.count("*").alias("n"))
-    main = each.groupBy("key").agg(F.count("*").alias("kinds"), F.max_by("c", F.struct("n", "c")).alias("main")) \
-        .where("kinds > 1").select("key", "main")
-    seek, held = stage_lean(seek.join(main, "key"), "seekers"), stage_lean(held.join(main, "key").drop("main"), "held")
-    others = seek.where("ca <> main").join(held, "key")
-    mains = seek.where("ca = main").join(held.join(main, "key").where("cb <> main").drop("main"), "key")
-    pairs = others.unionByName(mains).where("ca <> cb and id <> b").where(_fits(F.col("n"), F.col("m")))
-    # Of the H + 1 segments looked up by the largest difference, a smaller partner may differ in fewer.
-    end = F.when(F.col("low"), F.call_function("shiftleft", F.lit(1), _band()) - 1).otherwise(F.col("n"))
-    least = F.when(F.col("n") < 2 * _DELETIONS_TO, 1).otherwise(
-        1 + F.floor((F.col("n") + end) / 9) - F.floor((F.col("n") + F.col("m")) / 9))
-    return pairs.groupBy("id", "b", "n", "m", "low").agg(F.count("*").alias("common")).where(F.col("common") >= least) \
-        .select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+    main = stage_lean(_mixed(looked, index, parts), "mixed")
+    own, lower = whole.select("id", F.col("odd").alias("x")), whole.select("id", F.col("odd_lower").alias("z"))
+    seek = _with_component(looked, parts, "id").withColumnRenamed("c", "ca").join(main, "key").join(own, "id").join(lower, "id") \
+        .withColumn("x", F.when(F.col("low"), F.col("z")).otherwise(F.col("x"))).drop("z")
+    held = _with_component(index.drop("typical"), parts, "b").withColumnRenamed("c", "cb").join(main, "key") \
+        .join(own.withColumnsRenamed({"id": "b", "x": "y"}), "b")
+    seek, held = stage_lean(seek, "seekers"), stage_lean(held, "held")
+    bits = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda p, q: p + q)
+    close = (F.col("ca") != F.col("cb")) & (F.col("id") != F.col("b")) & _fits(F.col("n"), F.col("m")) \
+        & (bits <= F.floor((F.col("n") + F.col("m")) / 9))
+
+    def meet(one: DataFrame, other: DataFrame) -> DataFrame:
+        other = other.drop("main").withColumnRenamed("key", "held_key")
+        return one.drop("main").join(other, (F.col("key") == F.col("held_key")) & close).select("id", "b")
+
+    pairs = meet(seek.where("ca <> main"), held).unionByName(meet(seek.where("ca = main"), held.where("cb <> main")))
+    return pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, version, n, group: each row's component; rows without shingles are groups of their own."""
+    sets = stage_lean(signatures(docs), "shingle-sets")
+    members = stage_lean(sets.select("doc_id", "version", "id", "n"), "members")
+    linked = set_components(docs, sets)
+    return members.join(linked, "id", "left").select(
+        "doc_id", "version", "n", F.when(F.col("n") > 0, F.coalesce("component", "id")).alias("group"))
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -342,15 +392,25 @@ def components(docs: DataFrame) -> DataFrame:
     none and links with nothing. Rows count one by one, also those that repeat a doc_id. component_id is the smallest
     doc_id reachable by links; a null doc_id is never the smallest unless it is alone.
     """
-    sets = stage_lean(signatures(docs), "shingle-sets")
-    linked = set_components(docs, sets)
-    rows = sets.select("doc_id", "id", "n").join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    first = rows.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("first"))
-    return rows.join(first, "component", "left").select(
+    rows = _grouped(docs)
+    first = rows.where("n > 0").groupBy("group").agg(F.min("doc_id").alias("first"))
+    return rows.join(first, "group", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """doc_id and version (xxhash64 of the text) of the document of each component that stays.
+
+    It has the smallest doc_id, of rows with one doc_id the smallest version; a null doc_id comes last. Rows without
+    shingles all stay.
+    """
+    rows = _grouped(docs)
+    first = rows.where("n > 0").groupBy("group").agg(
+        F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "version")).alias("x"))
+    return first.select("x.doc_id", "x.version").unionByName(rows.where("n = 0").select("doc_id", "version")).distinct()
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all ``documents``."""
     return components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
