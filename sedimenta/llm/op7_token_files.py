@@ -63,7 +63,8 @@ def _worker_tables(tokenizer: str) -> tuple[ChunkTable, ChunkTable]:
         begins = np.zeros(library.get_vocab_size(), bool)
         begins[[i for token, i in library.get_vocab().items() if token.startswith("Ġ")]] = True  # the byte of a space
         _tables[tokenizer] = (
-            ChunkTable(joined(lambda texts: encode(texts, " "), begins, lambda c: not _WHITE.search(c) and c != "")),
+            ChunkTable(joined(lambda texts: encode(texts, " "), begins, lambda c: not _WHITE.search(c) and c != ""),
+                       max_chunks=700_000),
             ChunkTable(joined(encode, begins, lambda c: False), max_chunks=50_000))
     return _tables[tokenizer]
 
@@ -107,23 +108,26 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
      .mapInArrow(encode, _FILES).write.mode("error").options(**ORC_OPTIONS).orc(path))
 
 
+def file_offsets(spark: SparkSession, path: str) -> DataFrame:
+    """file, before: how many ids the files before it hold. One row per file, from the two short columns."""
+    rows = spark.read.schema(_FILES).orc(path)
+    part = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
+    files = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.max(F.col("start_in_file") + F.col("n_tokens")).alias("total"))
+    return files.select("file", (F.sum("total").over(Window.orderBy(part)) - F.col("total")).alias("before"))
+
+
 def read_token_files(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
-    """doc_id, start (ids of all documents before), n_tokens and ids; ``doc_ids`` prunes by the files' metadata.
+    """doc_id, start_in_file, n_tokens, ids and file; ``doc_ids`` prunes stripes and row groups by the files' metadata.
 
-    The number of ids before a file comes from one row per file.
+    With :func:`file_offsets` joined on file, before + start_in_file is the number of ids of all documents before.
     """
-    rows = spark.read.schema(_FILES).orc(path).withColumn("file", F.col("_metadata.file_name"))
-    part = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
-    files = (rows.groupBy("file").agg(F.max(F.col("start_in_file") + F.col("n_tokens")).alias("total"))
-             .select("file", (F.sum("total").over(Window.orderBy(part)) - F.col("total")).alias("before")))
-    if doc_ids is not None:
-        rows = rows.where(F.col("doc_id").isin(doc_ids))
-    return rows.join(files, "file").select(
-        "doc_id", (F.col("before") + F.col("start_in_file")).alias("start"), F.col("n_tokens").cast("long").alias("n_tokens"), "ids")
+    rows = spark.read.schema(_FILES).orc(path).select("*", F.col("_metadata.file_name").alias("file"))
+    return rows if doc_ids is None else rows.where(F.col("doc_id").isin(doc_ids))
 
 
 def with_crc32(tokens: DataFrame) -> DataFrame:
-    """Adds ids_crc32: of the ids as little-endian unsigned 32-bit integers, instead of the ids."""
+    """Adds ids_crc32: of the ids as little-endian unsigned 32-bit integers, in place of the ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,11 +135,11 @@ def with_crc32(tokens: DataFrame) -> DataFrame:
             values = lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
             offsets = lists.offsets.to_numpy()
             crc = [zlib.crc32(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(crc, pa.int64())],
-                                             ["doc_id", "start", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(crc, pa.int64())],
+                                             ["doc_id", "start_in_file", "n_tokens", "file", "ids_crc32"])
 
-    return tokens.select("doc_id", "start", "n_tokens", "ids").mapInArrow(
-        run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return tokens.select("doc_id", "start_in_file", "n_tokens", "file", "ids").mapInArrow(
+        run, "doc_id long, start_in_file long, n_tokens int, file string, ids_crc32 long")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,4 +149,6 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
-    return with_crc32(read_token_files(spark, path))
+    sums = with_crc32(read_token_files(spark, path)).join(file_offsets(spark, path), "file")
+    return sums.select("doc_id", (F.col("before") + F.col("start_in_file")).alias("start"),
+                       F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32")
