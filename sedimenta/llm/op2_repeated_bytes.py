@@ -27,11 +27,11 @@ from pyspark.sql import types as T
 
 from .bwt_repeats import covered_windows
 from .staging import stage_lean
-from .text import prefix_sums, mix, slices, span_hashes, strings, _power_tables
+from .text import _power_tables, mix, prefix_sums, slices, span_hashes, strings
 
 MIN_BYTES = 100
 ANCHOR_BYTES = 32
-BIN_BYTES = 1 << 20
+BIN_BYTES = 1 << 19
 HOT_PIECES = 4096
 _LONGEST_PIECE = 512  # windows
 

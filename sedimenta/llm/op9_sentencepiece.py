@@ -2,7 +2,7 @@
 
 A model whose pieces never hold a white space marker after another character cannot join characters across the start
 of a marked word. Its texts are then cut before each run of markers, each distinct marked word is segmented once by
-the library, and the ids join back to the texts by position. A worker keeps one table for all its tasks: most distinct
+the library, and the ids join back to the texts by position. A task keeps one table for all its batches: most distinct
 words of a corpus occur once or twice, so shuffling every position to a global table would move several times the
 input to save little (README).
 A model whose pieces do cross markers gets every text as a chunk of its own.
@@ -20,15 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .chunk_table import ChunkTable, joined
-from .text import SLICE_BYTES, slices
+from .text import slices
 
 MARK = "▁"
 _MARKED = re.compile(f"{MARK}+[^{MARK}]*")
 
 
-_tables: dict[str, tuple] = {}
-
-
 def _processor(model: str):
     import sentencepiece
 
@@ -36,16 +33,14 @@ def _processor(model: str):
 
 
 def _table(model: str):
-    """The worker's table of the model, and how texts are cut."""
-    if model not in _tables:
-        processor = _processor(model)
-        pieces = [processor.id_to_piece(i) for i in range(processor.get_piece_size())]
-        begins = np.array([p.startswith(MARK) for p in pieces])
-        splits = splits_at_markers(processor)
-        segment = joined(lambda texts: processor.encode(texts, num_threads=1), begins,
-                         lambda c: splits and c != "" and MARK not in c and " " not in c)
-        _tables[model] = ChunkTable(segment), marked_words if splits else lambda s: [s]
-    return _tables[model]
+    """A table for the model, and how texts are cut."""
+    processor = _processor(model)
+    pieces = [processor.id_to_piece(i) for i in range(processor.get_piece_size())]
+    begins = np.array([p.startswith(MARK) for p in pieces])
+    splits = splits_at_markers(processor)
+    segment = joined(lambda texts: processor.encode(texts, num_threads=1), begins,
+                     lambda c: splits and c != "" and MARK not in c and " " not in c)
+    return ChunkTable(segment, max_chunks=250_000), marked_words if splits else lambda s: [s]
 
 
 def splits_at_markers(processor) -> bool:
@@ -85,7 +80,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") ->
         table, cut = _table(model)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
-            for part in slices(column, 4 * SLICE_BYTES):
+            for part in slices(column):
                 chunks, counts = [], []
                 for value in column.slice(part.lo, part.n).to_pylist():
                     found = cut(value) if value else []

@@ -37,7 +37,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverses
     if len(_powers) < n:
-        size = max(n, 2 * SLICE_BYTES)
+        size = max(n, SLICE_BYTES + SLICE_BYTES // 8)
         inverse = pow(_BASE, -1, 1 << 64)
         grown = []
         for base in (_BASE, inverse):
