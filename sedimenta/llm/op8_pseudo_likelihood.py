@@ -2,8 +2,12 @@
 
 Lower-cased words fall into hashed bins. The bins with most words in the whole corpus are tokens of their own, the rest
 share some. The network adds up learned vectors of the neighbours, one table for each place in the window, and predicts
-a token's number digit by digit from them, so its probabilities add up to one. A document's score is the sum of the
-log-probabilities of all its words.
+a token's number digit by digit from them, so its probabilities add up to one.
+
+A token is a class of words. A word's probability is that of its token times its share of the token's words, from a
+table that counts every distinct word of the corpus. A token with N running words gives n / (N + 1) to a word seen n
+times and the rest to words not seen. A document's score is the sum of the log-probabilities of all its words. The few
+words frequent enough to be hot keys travel with the network, all others are joined with the table.
 
 All documents take part in the training, in rounds: each task follows the gradient over its documents of the round,
 starting from the common weights, and the new common weights are the mean over tasks, weighted by words.
@@ -31,29 +35,50 @@ WIDTH = 16
 ROUNDS = 2
 BATCH = 8192
 RATE = 0.01
+FREQUENT = 4096  # words that make up a larger part of all than one in so many are not joined: fewer than this number
 
 _SHAPES = {"near": (2 * REACH, TOKENS + 1, WIDTH), "bias": (WIDTH,), "high": (WIDTH, DIGIT), "high_bias": (DIGIT,),
            "low": (WIDTH, DIGIT), "low_bias": (DIGIT, DIGIT)}
 
 
-def _bins(part: Slice) -> tuple[np.ndarray, np.ndarray]:
+def _hashed(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The lower-cased bytes; start, end, text and hash of each word."""
     starts, ends, owner = words(part)
-    return (span_hashes(prefix_sums(LOWER[part.buf]), starts, ends) % np.uint64(BINS)).astype(np.int64), owner
+    low = LOWER[part.buf]
+    return low, starts, ends, owner, span_hashes(prefix_sums(low), starts, ends)
 
 
-def vocabulary(docs: DataFrame) -> np.ndarray:
-    """The token of every bin: words of all documents are counted, so the largest bins are the corpus's frequent words."""
+def _strings(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of each span as a string."""
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    at = np.repeat(starts - offsets[:-1], ends - starts) + np.arange(offsets[-1])
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(low[at])).cast(pa.string())
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word, hash, n: every distinct lower-cased word of all documents and how often it occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BINS, np.int64)
         for batch in batches:
             for part in slices(batch.column(0)):
-                total += np.bincount(_bins(part)[0], minlength=BINS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bin", "n"])
+                low, starts, ends, _, hashes = _hashed(part)
+                found, first, n = np.unique(hashes, return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [_strings(low, starts[first], ends[first]), pa.array(found.view(np.int64)), pa.array(n)],
+                    ["word", "hash", "n"])
+
+    return docs.select("text").mapInArrow(run, "word string, hash long, n long").groupBy("word", "hash").agg(
+        F.sum("n").alias("n"))
+
+
+def _bin_counts(counts: DataFrame) -> DataFrame:
+    return counts.groupBy(F.col("hash").bitwiseAND(BINS - 1).alias("bin")).agg(F.sum("n").alias("n"))
+
 
-    counted = docs.select("text").mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n"))
-    top = [r[0] for r in counted.orderBy(F.desc("n"), "bin").limit(TOKENS - SHARED).collect()]
+def vocabulary(counts: DataFrame) -> np.ndarray:
+    """The token of every bin: words of all documents are counted, so the largest bins are the corpus's frequent words."""
+    top = [r[0] for r in _bin_counts(counts).orderBy(F.desc("n"), "bin").limit(TOKENS - SHARED).collect()]
     token = np.arange(BINS) % SHARED
     token[top] = SHARED + np.arange(len(top))
     return token
@@ -77,16 +102,15 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([self.weights[k].ravel() for k in _SHAPES])
 
-    def examples(self, part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each word's token, the tokens around it (one row for each place) and its text."""
-        bins, owner = _bins(part)
-        y = self.token[bins]
+    def examples(self, hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's token and the tokens around it (one row for each place)."""
+        y = self.token[(hashes % np.uint64(BINS)).astype(np.int64)]
         around = np.full((2 * REACH, len(y)), TOKENS, np.int64)
         for row, step in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
             here, there = (slice(-step, None), slice(None, step)) if step < 0 else (slice(None, -step), slice(step, None))
             same = owner[here] == owner[there]
             around[row, here] = np.where(same, y[there], TOKENS)
-        return y, around, owner
+        return y, around
 
     def _forward(self, y: np.ndarray, around: np.ndarray):
         w = self.weights
@@ -155,9 +179,12 @@ class Adam:
             self._network.weights[k] -= (unbiased * m / (np.sqrt(v) + 1e-7)).astype(np.float32)
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> Network:
-    """A network of all documents: each takes part in one of the rounds, by hash of its text."""
-    token = vocabulary(docs)
+def train(docs: DataFrame, rounds: int = ROUNDS, counts: DataFrame | None = None) -> Network:
+    """A network of all documents: each takes part in one of the rounds, by hash of its text.
+
+    ``counts`` are the documents' :func:`word_counts`, if they are staged already.
+    """
+    token = vocabulary(word_counts(docs) if counts is None else counts)
     network = Network.fresh(token)
     for turn in range(rounds):
         start = network.flat()
@@ -167,7 +194,8 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> Network:
             adam, seen = Adam(mine), 0
             for batch in batches:
                 for part in slices(batch.column(0)):
-                    y, around, _ = mine.examples(part)
+                    _, _, _, owner, hashes = _hashed(part)
+                    y, around = mine.examples(hashes, owner)
                     for lo in range(0, len(y), BATCH):
                         adam.step(y[lo : lo + BATCH], around[:, lo : lo + BATCH], rate)
                     seen += len(y)
@@ -186,30 +214,71 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> Network:
     return network
 
 
-def score(docs: DataFrame, network: Network) -> DataFrame:
+def score(docs: DataFrame, network: Network, counts: DataFrame | None = None) -> DataFrame:
     """Every row with n_words, log_likelihood (sum over all words) and mean_log_likelihood added.
 
-    Null and empty texts have no words, the sum 0 and no mean. Columns of the same names are replaced.
+    ``counts`` are the staged :func:`word_counts` of the corpus, by default of ``docs``. Null and empty texts have no
+    words, the sum 0 and no mean. Columns of the same names are replaced.
     """
-    added = [T.StructField("n_words", T.LongType()), T.StructField("log_likelihood", T.DoubleType()),
-             T.StructField("mean_log_likelihood", T.DoubleType())]
-    names = [f.name for f in added]
-    kept = [c for c in docs.columns if c not in names]
+    return _scored(docs, network, stage_lean(word_counts(docs), "word-counts") if counts is None else counts,
+                   [c for c in docs.columns if c not in _ADDED])
+
+
+_ADDED = ("n_words", "log_likelihood", "mean_log_likelihood")
+_RARE = pa.struct([("word", pa.string()), ("times", pa.int32())])
+
+
+def _scored(docs: DataFrame, network: Network, counts: DataFrame, kept: list[str]) -> DataFrame:
+    """The columns ``kept`` and the three added ones."""
+    bins = _bin_counts(counts).toArrow()  # at most BINS rows
+    n = bins.column("n").to_numpy()
+    sizes = np.bincount(network.token[bins.column("bin").to_numpy()], n, TOKENS)
+    frequent = counts.where(F.col("n") * FREQUENT > int(n.sum())).select("hash", "n").toArrow()
+    known = frequent.column("hash").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(known)
+    known, known_log = np.append(known[order], np.uint64(0)), np.append(np.log(frequent.column("n").to_numpy()[order]), 0.0)
+    names = [*kept, "__row", "__n", "__sum", "__rare"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.column(batch.schema.get_field_index("text"))):
-                y, around, owner = network.examples(part)
-                n = np.bincount(owner, minlength=part.n)
-                total = np.bincount(owner, network.log_probabilities(y, around), part.n).astype(float)  # also without words
-                mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
+            for part in slices(batch.column(batch.num_columns - 1)):
+                low, starts, ends, owner, hashes = _hashed(part)
+                y, around = network.examples(hashes, owner)
+                at = np.searchsorted(known[:-1], hashes)
+                is_known = (known[at] == hashes) & (at < len(known) - 1)
+                logs = network.log_probabilities(y, around) - np.log1p(sizes[y]) + np.where(is_known, known_log[at], 0.0)
+                total = np.bincount(owner, logs, part.n).astype(float)  # also without words
+                # The others once for each text; their counts are joined.
+                rare = np.flatnonzero(~is_known)
+                rare = rare[np.lexsort((hashes[rare], owner[rare]))]
+                new = np.ones(len(rare), bool)
+                new[1:] = (hashes[rare[1:]] != hashes[rare[:-1]]) | (owner[rare[1:]] != owner[rare[:-1]])
+                first = np.flatnonzero(new)
+                times = np.diff(np.append(first, len(rare))).astype(np.int32)
+                first = rare[first]
+                offsets = np.searchsorted(owner[first], np.arange(part.n + 1)).astype(np.int32)
+                found = pa.StructArray.from_arrays(
+                    [_strings(low, starts[first], ends[first]), pa.array(times)], fields=list(_RARE))
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(part.lo, part.n) for c in batch.columns), pa.array(n), pa.array(total), mean], [*kept, *names])
-
-    return docs.select(kept).mapInArrow(run, T.StructType([docs.schema[c] for c in kept] + added))
+                    [*(c.slice(part.lo, part.n) for c in batch.columns[:-1]), pa.array(np.bincount(owner, minlength=part.n)),
+                     pa.array(total), pa.ListArray.from_arrays(pa.array(offsets), found)], names)
+
+    schema = T.StructType([docs.schema[c] for c in kept] + [
+        T.StructField("__row", T.LongType()), T.StructField("__n", T.LongType()), T.StructField("__sum", T.DoubleType()),
+        T.StructField("__rare", T.ArrayType(T.StructType([
+            T.StructField("word", T.StringType()), T.StructField("times", T.IntegerType())])))])
+    source = docs.select(*kept, F.monotonically_increasing_id().alias("__row"), F.col("text").alias("__text"))
+    scored = stage_lean(source.mapInArrow(run, schema), "scored")
+    rare = scored.select("__row", F.inline("__rare")).join(counts.select("word", F.ln("n").alias("__log")), "word") \
+        .groupBy("__row").agg(F.sum(F.col("times") * F.col("__log")).alias("__more"))
+    total = F.col("__sum") + F.coalesce("__more", F.lit(0.0))
+    return scored.drop("__rare").join(rare, "__row", "left").select(
+        *kept, F.col("__n").alias("n_words"), total.alias("log_likelihood"),
+        F.when(F.col("__n") > 0, total / F.col("__n")).alias("mean_log_likelihood"))
 
 
 def op8_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pseudo-likelihood of every document under a network trained on all of them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return score(docs, train(docs)).drop("text")
+    counts = stage_lean(word_counts(docs), "word-counts")
+    return _scored(docs, train(docs, counts=counts), counts, ["doc_id"])

@@ -203,3 +203,22 @@ def test_network_of_odd_and_no_rows(spark):
     assert op8_pseudo_likelihood.score(frame(spark), op8_pseudo_likelihood.train(frame(spark))).count() == len(odd_rows())
     empty = frame(spark, [])
     assert op8_pseudo_likelihood.score(empty, op8_pseudo_likelihood.train(empty)).count() == 0
+
+
+def test_every_distinct_word_has_its_own_probability(spark):
+    """Among words of one shared token a frequent one is likelier than a rare one, and all shares add up to one."""
+    m = op8_pseudo_likelihood
+    token = np.zeros(m.BINS, np.int64)
+    network = m.Network.fresh(token)
+    corpus = frame(spark, [(1, "often " * 90 + "Seldom " * 9, "en", "s", 1), (2, "never", "en", "s", 1)])
+    counts = m.stage_lean(m.word_counts(corpus), "counts")
+    assert {r.word: r.n for r in counts.collect()} == {"often": 90, "seldom": 9, "never": 1}
+    rows = [(k, w, "en", "s", 1) for k, w in enumerate(["often", "seldom", "never", "unseen"])]
+    for frequent in (m.FREQUENT, 2):  # by the table in the worker and by the join
+        m.FREQUENT, before = frequent, m.FREQUENT
+        try:
+            found = {r.doc_id: r.log_likelihood for r in m.score(frame(spark, rows), network, counts).collect()}
+        finally:
+            m.FREQUENT = before
+        nothing = m.Network.fresh(token).log_probabilities(np.zeros(1, np.int64), np.full((2 * m.REACH, 1), m.TOKENS))[0]
+        assert [np.exp(found[k] - nothing) for k in range(4)] == pytest.approx([90 / 101, 9 / 101, 1 / 101, 1 / 101])
