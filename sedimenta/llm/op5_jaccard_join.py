@@ -15,6 +15,9 @@ for sets of its size or smaller there and, if near the band's lower end, in the
 Equal sets are one node. Groups that share a segment are never paired all with all: every set is first verified
 against the typical sets it shares most with, and linked sets merge. After that only sets of different components are
 compared, inside the join by sketches that bound the difference from below, and what passes is verified.
+
+That is all components need. Where links are asked for, every two sets that meet at a segment are compared in that way,
+also those of one component, so the comparisons grow with the links there are.
 """
 
 from __future__ import annotations
@@ -235,7 +238,7 @@ def odd_sketch(items: np.ndarray, b: int) -> np.ndarray:
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, its sorted shingle hashes and odd sketches, for one document of each wanted set."""
+    """id, its sorted shingle hashes and odd sketches, for one document (doc_id, version) of each wanted set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,7 +251,9 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                      pa.array(odd, pa.list_(pa.int64())), pa.array(lower, pa.list_(pa.int64()))],
                     ["id", "items", "odd", "odd_lower"])
 
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
+    wanted = wanted.select(F.col("doc_id").alias("of"), F.col("version").alias("as"))
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), "text").join(
+        wanted, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("version") == F.col("as")), "left_semi")
     return some.select("doc_id", "text").mapInArrow(
         run, "id long, items binary, odd array<long>, odd_lower array<long>").dropDuplicates(["id"])
 
@@ -288,12 +293,13 @@ def _merge(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     return moved.unionByName(added)
 
 
-def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """id, component for every set linked to another one. ``sets`` is staged, and gone afterwards."""
+def _indexed(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The segments looked up, those held, and the whole sets of both. ``sets`` is staged, and gone afterwards."""
     rows = _rows(sets)
     holders = stage_lean(rows.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1"), "holders")
     packed = stage_lean(rows.join(holders, "key"), "shared-segments")
-    names = stage_lean(sets.groupBy("id").agg(F.min("doc_id").alias("doc_id")), "set-names")
+    text = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "version")).alias("x")
+    names = stage_lean(sets.groupBy("id").agg(text).select("id", "x.doc_id", "x.version"), "set-names")
     discard(sets, holders)
     shared = _unpack(packed)
     looked = stage_lean(_allocate(shared), "looked-up")
@@ -305,9 +311,21 @@ def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame:
         .select("key", "b", "m", F.coalesce("typical", F.lit(0)).alias("typical")), "index")
     discard(packed)
     wanted = looked.select("id").union(index.select(F.col("b").alias("id"))).distinct()
-    first = names.join(wanted, "id", "left_semi").select("doc_id")
-    whole = stage_lean(_whole_sets(docs, first), "whole-sets")
+    first = names.join(wanted, "id", "left_semi").select("doc_id", "version")
+    return looked, index, stage_lean(_whole_sets(docs, first), "whole-sets")
+
 
+def set_links(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b (a < b) of every two similar sets. ``sets`` is staged, and gone afterwards."""
+    looked, index, whole = _indexed(docs, sets)
+    seek, held = _sketched(looked, index.drop("typical"), whole)
+    pairs = _meet(stage_lean(seek, "seekers"), stage_lean(held, "held"), _close())
+    return stage_lean(_verified(stage_lean(_unordered(pairs), "pairs"), whole), "links")
+
+
+def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """id, component for every set linked to another one. ``sets`` is staged, and gone afterwards."""
+    looked, index, whole = _indexed(docs, sets)
     done, parts = [], None
     for turn in range(_STAR_ROUNDS):
         # A group's leader is its most typical set, or any. Of all its leaders a set takes those it shares most with.
@@ -351,6 +369,28 @@ def _mixed(looked: DataFrame, index: DataFrame, parts: DataFrame) -> DataFrame:
         .where("kinds > 1").select("key", "main")
 
 
+def _sketched(looked: DataFrame, index: DataFrame, whole: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their odd sketches x and y."""
+    own, lower = whole.select("id", F.col("odd").alias("x")), whole.select("id", F.col("odd_lower").alias("z"))
+    seek = looked.join(own, "id").join(lower, "id").withColumn("x", F.when(F.col("low"), F.col("z")).otherwise(F.col("x"))).drop("z")
+    return seek, index.join(own.withColumnsRenamed({"id": "b", "x": "y"}), "b")
+
+
+def _close():
+    """Whether two sets may be similar: their sizes fit, and no more bits of their sketches differ than shingles may."""
+    bits = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda p, q: p + q)
+    return (F.col("id") != F.col("b")) & _fits(F.col("n"), F.col("m")) & (bits <= F.floor((F.col("n") + F.col("m")) / 9))
+
+
+def _meet(seek: DataFrame, held: DataFrame, close) -> DataFrame:
+    held = held.withColumnRenamed("key", "held_key")
+    return seek.join(held, (F.col("key") == F.col("held_key")) & close).select("id", "b")
+
+
+def _unordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+
+
 def _remaining(looked: DataFrame, index: DataFrame, parts: DataFrame, whole: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components where one looks up a segment of the other.
 
@@ -358,22 +398,17 @@ def _remaining(looked: DataFrame, index: DataFrame, parts: DataFrame, whole: Dat
     sketches of two sets tell at once that they differ in too much: as many bits differ as shingles at most.
     """
     main = stage_lean(_mixed(looked, index, parts), "mixed")
-    own, lower = whole.select("id", F.col("odd").alias("x")), whole.select("id", F.col("odd_lower").alias("z"))
-    seek = _with_component(looked, parts, "id").withColumnRenamed("c", "ca").join(main, "key").join(own, "id").join(lower, "id") \
-        .withColumn("x", F.when(F.col("low"), F.col("z")).otherwise(F.col("x"))).drop("z")
-    held = _with_component(index.drop("typical"), parts, "b").withColumnRenamed("c", "cb").join(main, "key") \
-        .join(own.withColumnsRenamed({"id": "b", "x": "y"}), "b")
+    seek = _with_component(looked, parts, "id").withColumnRenamed("c", "ca").join(main, "key")
+    held = _with_component(index.drop("typical"), parts, "b").withColumnRenamed("c", "cb").join(main, "key")
+    seek, held = _sketched(seek, held, whole)
     seek, held = stage_lean(seek, "seekers"), stage_lean(held, "held")
-    bits = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda p, q: p + q)
-    close = (F.col("ca") != F.col("cb")) & (F.col("id") != F.col("b")) & _fits(F.col("n"), F.col("m")) \
-        & (bits <= F.floor((F.col("n") + F.col("m")) / 9))
+    close = (F.col("ca") != F.col("cb")) & _close()
 
     def meet(one: DataFrame, other: DataFrame) -> DataFrame:
-        other = other.drop("main").withColumnRenamed("key", "held_key")
-        return one.drop("main").join(other, (F.col("key") == F.col("held_key")) & close).select("id", "b")
+        return _meet(one.drop("main"), other.drop("main"), close)
 
-    pairs = meet(seek.where("ca <> main"), held).unionByName(meet(seek.where("ca = main"), held.where("cb <> main")))
-    return pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+    return _unordered(meet(seek.where("ca <> main"), held).unionByName(
+        meet(seek.where("ca = main"), held.where("cb <> main"))))
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
@@ -411,6 +446,36 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     return first.select("x.doc_id", "x.version").unionByName(rows.where("n = 0").select("doc_id", "version")).distinct()
 
 
+def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b; a < b) of all similar sets, and the sets of the rows: doc_id, version, id, n.
+
+    Rows of one id have equal sets. Those with n = 0 have no shingles and are in no link.
+    """
+    sets = stage_lean(signatures(docs), "shingle-sets")
+    members = stage_lean(sets.select("doc_id", "version", "id", "n"), "members")
+    return set_links(docs, sets), members
+
+
+def components_with_links(docs: DataFrame) -> DataFrame:
+    """As :func:`components`, with n_links: how many other rows are similar to the row, those of equal sets included."""
+    pairs, members = links(docs)
+    sets = members.where("n > 0").groupBy("id").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first"))
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(sets.select(F.col("id").alias("b"), "copies"), "b").groupBy(F.col("a").alias("id")).agg(
+        F.sum("copies").alias("others"))
+    linked = connected_components(pairs).withColumnRenamed("node", "id")
+    at = stage_lean(
+        sets.join(linked, "id", "left").join(others, "id", "left").select(
+            "id", "first", F.coalesce("component", "id").alias("group"),
+            (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "sets-with-links")
+    first = at.groupBy("group").agg(F.min("first").alias("component_id"))
+    rows = members.join(at.join(first, "group").select("id", "component_id", "n_links"), "id", "left")
+    return rows.select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("n_links")).otherwise(0).alias("n_links"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-duplicate components of all ``documents``."""
-    return components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    """Near-duplicate components of all ``documents`` and each document's number of links."""
+    return components_with_links(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

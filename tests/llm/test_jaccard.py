@@ -6,7 +6,9 @@ import re
 import numpy as np
 import pytest
 
-from sedimenta.llm.op5_jaccard_join import band, components, odd_sketch, segment_sums, segments
+from sedimenta.llm.op5_jaccard_join import (
+    band, components, components_with_links, links, odd_sketch, segment_sums, segments,
+)
 
 from .cases import clashing, frame, odd_rows, prose
 
@@ -96,3 +98,31 @@ def test_similar_sets_share_a_segment():
         assert (one == two).sum() >= segments(b) - changed
         bits = int.from_bytes((odd_sketch(items, b) ^ odd_sketch(other, b)).tobytes(), "little").bit_count()
         assert bits <= changed
+
+
+def plain_links(rows):
+    sets = []
+    for _, text in rows:
+        words = WORD.findall((text or "").translate(LOWER))
+        sets.append({tuple(words)} if 0 < len(words) < 5 else {tuple(words[i : i + 5]) for i in range(len(words) - 4)})
+    return [sum(i != j and bool(x) and bool(y) and 100 * len(x & y) >= 80 * len(x | y) for j, y in enumerate(sets))
+            for i, x in enumerate(sets)]
+
+
+def test_links_within_components_equal_the_plain_version(spark):
+    base = prose(7, 200).split()
+    rows = [*near_copies(3), *odd_rows()]
+    for k in range(30):  # near copies that all link to each other
+        rows.append((1000 + k, " ".join([*base[: 5 * k], f"n{k}", *base[5 * k + 1 :]]), "en", "s", 1))
+    got = sorted(map(tuple, components_with_links(frame(spark, rows)).collect()))
+    assert [r[:3] for r in got] == plain([r[:2] for r in rows])
+    assert sorted((r[0], r[3]) for r in got) == sorted(zip([r[0] for r in rows], plain_links([r[:2] for r in rows])))
+
+
+def test_sets_without_an_id_link_to_others(spark):
+    words = prose(5).split()
+    words[60] = "changed"
+    rows = [(None, prose(5), "en", "s", 1), (8, " ".join(words), "en", "s", 1)]
+    assert {tuple(r) for r in components(frame(spark, rows)).collect()} == {(None, 116, 8), (8, 116, 8)}
+    pairs, members = links(frame(spark, rows))
+    assert pairs.count() == 1 and members.count() == 2
