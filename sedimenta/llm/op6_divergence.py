@@ -1,6 +1,7 @@
 """Quality rules by divergence: character-class and common-word histograms against those of the document's language.
 
-A language's reference is the sum over all its documents. Words are counted in hashed bins; the bins with most words
+A language's reference is the sum over all its documents; every language has one, and references are joined to the
+documents. Words are counted in hashed bins; the bins with most words
 are the language's common words, all others count together. Distance is Jensen-Shannon divergence in bits. It is not
 judged below a minimum length, and what a short text may differ by chance is allowed for.
 """
@@ -20,13 +21,12 @@ from .text import slices
 
 WORD_BINS = 1 << 14
 COMMON_WORDS = 64
-MAX_LANGUAGES = 256
 MIN_WORDS = 50
 MAX_CHARACTER_DIVERGENCE = 0.08
 MAX_WORD_DIVERGENCE = 0.20
-_OTHER = ""  # the reference of languages that have none of their own
 
 _HISTOGRAM = "lang string, kind int, bin int, n long"
+_PARTS = ("__classes", "__bins", "__common", "__rest")
 _ADDED = T.StructType([
     *(T.StructField(c, T.LongType()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
     T.StructField("base_failed", T.BooleanType()), T.StructField("character_divergence", T.DoubleType()),
@@ -72,32 +72,21 @@ def histograms(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "kind", "bin").agg(F.sum("n").alias("n"))
 
 
-def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each of the languages with most words: shares of classes, bins of common words and their shares.
-
-    The ``MAX_LANGUAGES`` largest languages have a reference of their own; the others share one. So what comes to the
-    driver is bounded by the parameters, whatever the column holds.
-    """
+def references(docs: DataFrame) -> DataFrame:
+    """One row for each language with words: __of (the language), the words of each class, the bins of the common words,
+    their words, and the words of all other bins."""
     from .staging import stage_lean
 
-    counted = stage_lean(histograms(docs), "histograms")
-    large = [r[0] for r in counted.where("kind = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES - 1).collect()]
-    named = F.when(F.col("lang").isin(large), F.col("lang")).otherwise(_OTHER) if large else F.lit(_OTHER)
-    pooled = counted.groupBy(named.alias("lang"), "kind", "bin").agg(F.sum("n").alias("n"))
-    ranked = pooled.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "bin"))) \
-        .withColumn("bin", F.when(F.col("rank") <= COMMON_WORDS, F.col("bin")).otherwise(-1))
-    rows = ranked.groupBy("lang", "kind", "bin").agg(F.sum("n").alias("n")).toPandas()
-    found = {}
-    for lang, mine in rows.groupby("lang"):
-        classes = np.zeros(len(CHARACTER_CLASSES))
-        letters = mine[mine.kind == 0]
-        classes[letters.bin.to_numpy()] = letters.n.to_numpy()
-        common = mine[(mine.kind == 1) & (mine.bin >= 0)].sort_values("bin")
-        other = mine[(mine.kind == 1) & (mine.bin < 0)].n.sum()
-        shares = np.append(common.n.to_numpy(), other).astype(float)
-        found[lang] = (classes / max(classes.sum(), 1), common.bin.to_numpy().astype(np.int64), shares / max(shares.sum(), 1))
-    return found
+    counted = histograms(docs)
+    order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "bin")
+    ranked = counted.withColumn("common", (F.col("kind") == 1) & (F.row_number().over(order) <= COMMON_WORDS))
+    classes = [F.coalesce(F.sum(F.when((F.col("kind") == 0) & (F.col("bin") == k), F.col("n"))), F.lit(0))
+               for k in range(len(CHARACTER_CLASSES))]
+    common = F.sort_array(F.collect_list(F.when(F.col("common"), F.struct("bin", "n"))))  # COMMON_WORDS at most
+    rest = F.coalesce(F.sum(F.when((F.col("kind") == 1) & ~F.col("common"), F.col("n"))), F.lit(0))
+    rows = ranked.groupBy(F.col("lang").alias("__of")).agg(F.array(*classes).alias("__classes"), common.alias("x"), rest.alias("__rest"))
+    return stage_lean(rows.select("__of", "__classes", F.col("x.bin").alias("__bins"), F.col("x.n").alias("__common"), "__rest"),
+                      "references")
 
 
 def jensen_shannon(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -116,33 +105,36 @@ def judge(docs: DataFrame) -> DataFrame:
 
     A document is kept if the base rules pass (50 words, at most half of them in repeated 3-word windows) and neither
     histogram is further from its language than allowed: a fixed distance, and what sampling that many words or
-    characters makes by chance. Null texts have no words and fail the base rules. A null language is one of its own.
+    characters makes by chance. Null texts have no words and fail the base rules. A null or empty language is one of its
+    own. Where a language has no words at all, the distances are 0.
     Columns of the same names are replaced.
     """
     reference = references(docs)
     kept = [c for c in docs.columns if c not in _ADDED.names]
+    width = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang = [x if x is None or isinstance(x, str) else str(x) for x in batch.column(len(kept)).to_pylist()]
+            langs = np.array([x or "" for x in batch.column(width).to_pylist()], object)
+            with_words = batch.column(width + 1).is_valid().to_numpy(zero_copy_only=False)
             text = batch.column(batch.schema.get_field_index("text"))
             for part in slices(text):
                 words = Words(part)
                 n, repeated = words.count(), words.repeated()
                 classes, bins = words.classes().astype(float), _bins(words)
                 by_class, by_word = np.zeros(part.n), np.zeros(part.n)
-                mine = np.array([x if (x or "") in reference else _OTHER for x in lang[part.lo : part.hi]], object)
-                mine[[x is None for x in mine]] = ""
-                for name in set(mine.tolist()):
-                    share, common, shares = reference[name]
+                mine = langs[part.lo : part.hi]
+                mine[~with_words[part.lo : part.hi]] = None  # a language without words: no text of it has any distance
+                for name in {x for x in mine.tolist() if x is not None}:
                     rows = np.flatnonzero(mine == name)
+                    share, common, shares = _reference(*(batch.column(width + 1 + k)[part.lo + int(rows[0])].as_py() for k in range(4)))
                     place = np.full(part.n, -1)
                     place[rows] = np.arange(len(rows))
                     column = np.full(WORD_BINS, len(common))
                     column[common] = np.arange(len(common))
                     at = place[words.owner]
-                    width = len(common) + 1
-                    counts = np.bincount((at * width + column[bins])[at >= 0], minlength=len(rows) * width).reshape(-1, width)
+                    cells = len(common) + 1
+                    counts = np.bincount((at * cells + column[bins])[at >= 0], minlength=len(rows) * cells).reshape(-1, cells)
                     by_class[rows] = jensen_shannon(_shares(classes[rows]), share)
                     by_word[rows] = jensen_shannon(_shares(counts), shares)
                 failed = (n < MIN_WORDS) | (100 * repeated > 50 * n)
@@ -152,11 +144,18 @@ def judge(docs: DataFrame) -> DataFrame:
                 added = [n, words.characters(), words.symbols(), words.duplicate_lines(), repeated, failed, by_class,
                          by_word, ~failed & ~far]
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(part.lo, part.n) for c in batch.columns[: len(kept)]), *map(pa.array, added)],
+                    [*(c.slice(part.lo, part.n) for c in batch.columns[:width]), *map(pa.array, added)],
                     [*kept, *_ADDED.names])
 
-    source = docs.select(*kept, F.col("lang").cast("string").alias("__lang"))
-    return source.mapInArrow(run, T.StructType([docs.schema[c] for c in kept] + _ADDED.fields))
+    source = docs.select(*kept, F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("__lang"))
+    joined = source.join(reference, F.col("__lang") == F.col("__of"), "left").select(*kept, "__lang", *_PARTS)
+    return joined.mapInArrow(run, T.StructType([docs.schema[c] for c in kept] + _ADDED.fields))
+
+
+def _reference(classes: list, bins: list, common: list, rest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shares of classes, bins of common words and their shares, with that of all others at the end."""
+    share, shares = np.array(classes, float), np.array([*common, rest], float)
+    return share / max(share.sum(), 1), np.array(bins, np.int64), shares / max(shares.sum(), 1)
 
 
 def _shares(counts: np.ndarray) -> np.ndarray:

@@ -81,6 +81,23 @@ def test_rules_keep_clean_documents(spark):
     assert sum(good) >= 0.99 * len(good) and sum(bad) < 0.3 * len(bad)
 
 
+def test_every_language_has_its_own_reference(spark):
+    """Documents of 300 small languages, each with words and letters of its own, are all close to their language."""
+    rows = [(900 + k, "abc def ghi jkl " * 4 + prose(k, 120), "en", "s", 1) for k in range(6)]
+    rows += [(k, " ".join(f"{chr(0x4E00 + k)}{'1' * (w % 5)}{w}" for w in range(80)), f"l{k}", "s", 1) for k in range(300)]
+    found = {r.doc_id: r for r in op6_divergence.judge(frame(spark, rows)).collect()}
+    assert len(found) == len(rows)
+    assert all(found[k].kept and found[k].character_divergence == pytest.approx(0) and found[k].word_divergence == pytest.approx(0)
+               for k in range(300))
+
+
+def test_tables_and_languages_without_words(spark):
+    nothing = [(1, None, "en", "s", 1), (2, "", None, "s", 1), (3, " ", "de", "s", 1)]
+    for rows in (nothing, [*nothing, (4, prose(1), "fr", "s", 1)]):
+        found = {r.doc_id: r for r in op6_divergence.judge(frame(spark, rows)).collect()}
+        assert all((found[k].kept, found[k].character_divergence, found[k].word_divergence) == (False, 0, 0) for k in (1, 2, 3))
+
+
 # -- op 1 ------------------------------------------------------------------------------------------------------------
 
 
