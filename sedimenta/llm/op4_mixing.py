@@ -1,13 +1,17 @@
 """Mixing sources to target weights by iterative proportional fitting, then sampling by calibrated probabilities.
 
 Tokens are summed into cells of source, language and topic. Raking scales the cells until every margin has its target
-share. A document's chance is its cell's weight per token times one factor, at most 1, such that the expected tokens
-meet the budget. Everything is DataFrame expressions; the cells stay distributed, and only sums of all come to the
-driver.
+share of the budget, and no cell gives more than it holds: a cell at its limit stays there, and the others are raked to
+what is left. A document's chance is the part of its cell that is given. Where a value of a margin holds less than its
+target it gives all, the rest of its margin shares the difference, and a warning names it. Everything is DataFrame
+expressions; the cells stay distributed, and only sums of all come to the driver.
 """
 
 from __future__ import annotations
 
+import logging
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +23,9 @@ KEEP_TOKENS = 0.6
 SEED = 20240229
 TOLERANCE = 1e-6
 MAX_ROUNDS = 40
+SHORT = 0.001  # part of a target that may be missing without a warning
+
+log = logging.getLogger(__name__)
 
 
 def n_words(text: str = "text") -> Column:
@@ -32,39 +39,93 @@ def form_topic(text: str = "text") -> Column:
             .when(t.rlike(r"[0-9]{4}"), "numbers").when(F.length(t) >= 4000, "long prose").otherwise("short prose"))
 
 
-def cell_weights(cells: DataFrame, temperatures: dict[str, float] = TEMPERATURES, margins: tuple[str, ...] = MARGINS,
-                 targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """``cells`` (margins, tokens) with weight: the raked tokens, of the same sum.
+def _shares(cells: DataFrame, temperatures: dict[str, float], margins: tuple[str, ...],
+            targets: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
+    """For each margin its values' shares (margin, share), of any sum.
 
-    Targets are shares of tokens to the power of the margin's temperature, or those of ``targets`` (margin, target),
-    where values that are missing get none. Cells without tokens have weight 0.
+    Shares are tokens to the power of the margin's temperature, or those of ``targets`` (margin, target), where values
+    that are missing get none.
     """
-    cells = stage_lean(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
-    total = cells.agg(F.sum("weight")).first()[0] or 0.0
-    wanted = {}
+    shares = {}
     for margin in margins:
         if targets and margin in targets:
-            shares = targets[margin].groupBy(margin).agg(F.sum("target").alias("share"))
+            found = targets[margin].groupBy(margin).agg(F.sum("target").alias("share"))
         else:
-            shares = cells.groupBy(margin).agg(F.sum("weight").alias("share")).where("share > 0").select(
+            found = cells.groupBy(margin).agg(F.sum("tokens").cast("double").alias("share")).where("share > 0").select(
                 margin, F.pow("share", F.lit(float(temperatures[margin]))).alias("share"))
-        shares = stage_lean(shares, "targets")
-        scale = total / (shares.agg(F.sum("share")).first()[0] or 1.0)
-        wanted[margin] = shares.select(margin, (F.col("share") * scale).alias("target"))
+        shares[margin] = stage_lean(found, "targets")
+    return shares
+
+
+def _rake(cells: DataFrame, wanted: dict[str, DataFrame], limit: Column) -> DataFrame:
+    """The cells, weights scaled until the smaller of weight and ``limit`` has the sums ``wanted`` (margin, target).
+
+    Weights past the limit count as the limit. What the cells below it add up to is scaled to the rest of the target.
+    """
+    total = cells.agg(F.sum("weight")).first()[0] or 0.0
+    given, cut = F.least("weight", limit), F.col("weight") >= limit
     for _ in range(MAX_ROUNDS):
-        moved = cells.withColumn("before", F.col("weight"))
-        for margin in margins:
-            sums = moved.groupBy(margin).agg(F.sum("weight").alias("sum")).join(wanted[margin], margin, "left").select(
-                margin, F.when(F.col("sum") > 0, F.coalesce("target", F.lit(0.0)) / F.col("sum")).otherwise(0.0).alias("factor"))
+        moved = cells.withColumn("before", given)
+        for margin, target in wanted.items():
+            rest, target_of = F.col("target_of") - F.col("fixed"), F.coalesce("target", F.lit(0.0))
+            sums = moved.groupBy(margin).agg(
+                F.sum(F.when(cut, limit).otherwise(0.0)).alias("fixed"), F.sum(F.when(cut, 0.0).otherwise(F.col("weight"))).alias("free")) \
+                .join(target, margin, "left").withColumn("target_of", target_of).select(
+                    margin, F.when((rest > 0) & (F.col("free") > 0), rest / F.col("free"))
+                    .when(F.col("fixed") + F.col("free") > F.col("target_of"), F.col("target_of") / (F.col("fixed") + F.col("free")))
+                    .otherwise(1.0).alias("factor"))
             moved = moved.join(sums, margin).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
         moved = stage_lean(moved, "raked")
-        change = moved.agg(F.sum(F.abs(F.col("weight") - F.col("before")))).first()[0] or 0.0
+        change = moved.agg(F.sum(F.abs(given - F.col("before")))).first()[0] or 0.0
         cells = moved.drop("before")
         if change <= TOLERANCE * max(total, 1.0):
             break
     return cells
 
 
+def cell_weights(cells: DataFrame, temperatures: dict[str, float] = TEMPERATURES, margins: tuple[str, ...] = MARGINS,
+                 targets: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``cells`` (margins, tokens) with weight: the raked tokens, of the same sum and without limits.
+
+    Targets are those of :func:`_shares`. Cells without tokens have weight 0.
+    """
+    cells = stage_lean(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
+    total = cells.agg(F.sum("weight")).first()[0] or 0.0
+    wanted = {}
+    for margin, shares in _shares(cells, temperatures, margins, targets).items():
+        scale = total / (shares.agg(F.sum("share")).first()[0] or 1.0)
+        wanted[margin] = shares.select(margin, (F.col("share") * scale).alias("target"))
+    return _rake(cells, wanted, F.lit(float("inf")))
+
+
+def cell_tokens(cells: DataFrame, keep_tokens: float, temperatures: dict[str, float] = TEMPERATURES,
+                margins: tuple[str, ...] = MARGINS, targets: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``cells`` (margins, tokens) with given: how many tokens each gives, at most those it has; and the margins.
+
+    The margins are rows of margin, value, asked (its share of the budget) and given. The budget is the part
+    ``keep_tokens`` of all tokens, or what the values with a target hold if that is less.
+    """
+    cells = stage_lean(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    held = {margin: stage_lean(cells.groupBy(margin).agg(F.sum("tokens").alias("tokens")).join(shares, margin).select(
+        margin, "tokens", F.col("share").alias("weight")), "held")
+        for margin, shares in _shares(cells, temperatures, margins, targets).items()}
+    budget = min([keep_tokens * total, *((t.where("weight > 0").agg(F.sum("tokens")).first()[0] or 0.0) for t in held.values())])
+    wanted, asked = {}, {}
+    for margin, table in held.items():
+        mine, weights = table.agg(F.sum("tokens"), F.sum("weight")).first()
+        factor = factor_for(table, budget / mine) if mine else 0.0
+        wanted[margin] = table.select(margin, F.least(F.col("tokens").cast("double"), F.col("weight") * factor).alias("target"))
+        asked[margin] = table.select(margin, (F.col("weight") * (keep_tokens * total / (weights or 1.0))).alias("asked"))
+    start = cells.withColumn("weight", F.col("weight") * keep_tokens)
+    tokens = F.col("tokens").cast("double")
+    raked = _rake(start, wanted, tokens).withColumn("given", F.least("weight", tokens)).drop("weight")
+    reached = [raked.groupBy(margin).agg(F.sum("given").alias("given")).join(asked[margin], margin, "left").select(
+        F.lit(margin).alias("margin"), F.col(margin).cast("string").alias("value"), F.coalesce("asked", F.lit(0.0)).alias("asked"), "given")
+        for margin in margins]
+    return raked, reduce(DataFrame.unionByName, reached)
+
+
 def factor_for(cells: DataFrame, keep_tokens: float) -> float:
     """c with sum(tokens * min(1, c * weight / tokens)) = keep_tokens * sum(tokens): each look tries many values."""
     total, top = cells.where("weight > 0").agg(F.sum("tokens"), F.max(F.col("tokens") / F.col("weight"))).first()
@@ -104,12 +165,13 @@ def sample(docs: DataFrame, topic: Column | None = None, keep_tokens: float = KE
     rows = _keyed(docs, topic, seed)
     cells = rows.groupBy(F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic")) \
         .agg(F.sum("__tokens").alias("tokens"))
-    raked = cell_weights(cells, temperatures, targets=targets)
-    c = factor_for(raked, keep_tokens)
+    raked, reached = cell_tokens(cells, keep_tokens, temperatures, targets=targets)
+    short = reached.where(F.col("given") < (1 - SHORT) * F.col("asked"))
+    for r in short.orderBy(F.desc(F.col("asked") - F.col("given")), "margin", "value").limit(20).collect():
+        log.warning("%s %r gives %.0f of the %.0f tokens of its target", r.margin, r.value, r.given, r.asked)
     chances = stage_lean(raked.select(
         F.col("source").alias("__source"), F.col("lang").alias("__lang"), F.col("topic").alias("__topic"),
-        F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.lit(c) * F.col("weight") / F.col("tokens"))).otherwise(1.0)
-        .alias("__chance")), "chances")
+        F.when(F.col("tokens") > 0, F.col("given") / F.col("tokens")).otherwise(1.0).alias("__chance")), "chances")
     p = F.when(F.col("__tokens") > 0, F.col("__chance")).otherwise(1.0)
     return rows.join(chances, ["__source", "__lang", "__topic"]).where(F.col("__u") < p).select(
         *own, F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"), p.alias("probability"),

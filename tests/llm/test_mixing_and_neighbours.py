@@ -57,6 +57,57 @@ def test_sample_meets_budget_and_margins(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, QUERIES["op4_mixing"](spark, SF).collect()))
 
 
+def test_cells_at_their_limit_leave_the_margins_whole(spark):
+    """Rare values that must give nearly all they hold still reach their targets, and so do the others."""
+    rng = np.random.default_rng(6)
+    cells = {(s, g, t): int(rng.integers(1, 900)) * (1 + 30 * (s == "a") * (g == "x")) for s in "abcd" for g in "xy" for t in "pqr"}
+    total = sum(cells.values())
+    raked, reached = op4_mixing.cell_tokens(spark.createDataFrame([(*k, v) for k, v in cells.items()], CELLS), 0.5)
+    rows = raked.collect()
+    assert all(0 <= r.given <= r.tokens for r in rows) and sum(r.given >= 0.9999 * r.tokens for r in rows) >= 3
+    assert sum(r.given for r in rows) == pytest.approx(0.5 * total, rel=1e-3)
+    for margin in op4_mixing.MARGINS:
+        held = {}
+        for r in rows:
+            held[r[margin]] = held.get(r[margin], 0) + r.tokens
+        powers = {v: n ** op4_mixing.TEMPERATURES[margin] for v, n in held.items()}
+        want, fixed = {}, set()
+        while True:  # what a value cannot give the others of its margin share
+            left = 0.5 * total - sum(held[v] for v in fixed)
+            scale = left / sum(p for v, p in powers.items() if v not in fixed)
+            want = {v: held[v] if v in fixed else p * scale for v, p in powers.items()}
+            over = {v for v in want if want[v] > held[v]}
+            if not over:
+                break
+            fixed |= over
+        for r in reached.where(f"margin = '{margin}'").collect():
+            assert r.given == pytest.approx(want[r.value], rel=1e-3)
+            assert r.asked == pytest.approx(powers[r.value] / sum(powers.values()) * 0.5 * total)
+
+
+def test_all_margins_of_the_sample(spark):
+    """Expected tokens meet every target, or all a value holds, and the sample is no further from that than chance allows."""
+    sf = "/root/testdata/sf0.1"
+    rows = QUERIES["op4_mixing"](spark, sf).select(*op4_mixing.MARGINS, "n_tokens", "probability").collect()
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(
+        "source", "lang", op4_mixing.form_topic().alias("topic"), op4_mixing.n_words().alias("n")).collect()
+    chance = {tuple(r[:3]): r.probability for r in rows if r.n_tokens}
+    budget = op4_mixing.KEEP_TOKENS * sum(d.n for d in docs)
+    for margin in op4_mixing.MARGINS:
+        held, expected, variance, got = {}, {}, {}, {}
+        for d in docs:
+            v, p = d[margin], chance.get(tuple(d[:3]), 0.0)
+            held[v] = held.get(v, 0) + d.n
+            expected[v] = expected.get(v, 0) + d.n * p
+            variance[v] = variance.get(v, 0) + d.n**2 * p * (1 - p)
+        for r in rows:
+            got[r[margin]] = got.get(r[margin], 0) + r.n_tokens
+        powers = {v: n ** op4_mixing.TEMPERATURES[margin] for v, n in held.items()}
+        for v, p in powers.items():
+            assert expected[v] == pytest.approx(min(held[v], budget * p / sum(powers.values())), rel=0.02), (margin, v)
+            assert abs(got[v] - expected[v]) <= 5 * variance[v] ** 0.5 + 1, (margin, v)
+
+
 def test_mixing_runs_no_python(spark):
     plan = QUERIES["op4_mixing"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
