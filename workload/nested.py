@@ -75,6 +75,28 @@ def map_entries_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("findings_id").alias("parent_id")))
 
 
+@query("""
+    SELECT o_orderkey AS orderid, k.key AS key, k.value AS value, k.arrays AS arrays, k.total AS total,
+           k.customer AS customer, CAST(o_orderkey AS VARCHAR) AS parent_id
+    FROM orders, LATERAL (VALUES
+        (CASE WHEN o_orderstatus = 'P' THEN 'AMOUNTS' ELSE 'Amounts' END, NULL, 2, o_totalprice, o_custkey),
+        ('id', CAST(o_orderkey AS VARCHAR), NULL, NULL, NULL), ('priority', o_orderpriority, NULL, NULL, NULL),
+        ('tags', '["' || o_orderstatus || '","' || o_orderpriority || '"]', NULL, NULL, NULL),
+        ('history', CASE o_orderstatus WHEN 'O' THEN '[{"state":"open"},"late"]'
+                         WHEN 'F' THEN '[{"state":"fin' ELSE '[{"state":"part"}]' END, NULL, NULL, NULL))
+        k(key, value, arrays, total, customer)""")
+def map_entries_all_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All map entries with root id and map id, the texts of amounts read as numbers."""
+    orders = nested_orders(spark, sf_dir)
+    plan = N.plan_normalisation(orders, "orders")
+    long = F.lower("_source_key") == "amounts"
+    read = F.when(long, F.from_json("_value", "array<struct<kind:string,amount:double,ref:bigint>>"))
+    return N.map_entries(orders, plan.maps[0], plan.root_id).select(
+        "orderid", F.col("_source_key").alias("key"), F.when(~long, F.col("_value")).alias("value"),
+        F.when(long, F.size(read)).alias("arrays"), read[0]["amount"].alias("total"), read[1]["ref"].alias("customer"),
+        F.col("findings_id").alias("parent_id"))
+
+
 @query("""
     SELECT DISTINCT CASE WHEN o_orderstatus = 'P' THEN 'AMOUNTS' ELSE 'Amounts' END AS key FROM orders
     UNION SELECT 'history' FROM orders""")

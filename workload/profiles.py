@@ -184,6 +184,24 @@ def json_array_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(looks_like_object_array(F.col("value"))).alias("object_arrays"))
 
 
+@query("""
+    SELECT k.key AS key, count(*) AS texts,
+           count(*) FILTER (starts_with(trim(k.value), '[')) AS arrays,
+           count(*) FILTER (regexp_matches(k.value, '^\\s*\\[\\s*\\{')) AS object_arrays
+    FROM orders, LATERAL (VALUES
+        (CASE WHEN o_orderstatus = 'P' THEN 'AMOUNTS' ELSE 'Amounts' END, '[{"kind":"total"},{"kind":"customer"}]'),
+        ('id', CAST(o_orderkey AS VARCHAR)), ('priority', o_orderpriority),
+        ('tags', '["' || o_orderstatus || '","' || o_orderpriority || '"]'),
+        ('history', CASE o_orderstatus WHEN 'O' THEN '[{"state":"open"},"late"]'
+                         WHEN 'F' THEN '[{"state":"fin' ELSE '[{"state":"part"}]' END)) k(key, value)
+    GROUP BY k.key""")
+def json_array_tests_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which texts of all keys look like arrays, and which like arrays of objects."""
+    return _findings(spark, sf_dir).select(F.explode("findings").alias("key", "value")).groupBy("key").agg(
+        F.count("value").alias("texts"), F.count_if(looks_like_array(F.col("value"))).alias("arrays"),
+        F.count_if(looks_like_object_array(F.col("value"))).alias("object_arrays"))
+
+
 @query("""
     WITH d AS (SELECT d.*, l.quality FROM documents d LEFT JOIN labels l USING (doc_id))
     SELECT 'docs' AS "table", f.c AS "column", f.t AS type, round(sum(f.hit) / count(*) * 100, 1) AS filled_pct,

@@ -72,6 +72,17 @@ def align_union_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_by_union(table(spark, sf_dir, "supplier").drop("s_acctbal"), shape)
 
 
+@query("""
+    SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal,
+           CAST(NULL AS VARCHAR) AS c_mktsegment FROM supplier""")
+def align_union_zero_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with all columns of the supplier."""
+    shape = table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("s_name"), F.col("c_nationkey").cast("bigint").alias("s_nationkey"),
+        "c_mktsegment")
+    return align_by_union(table(spark, sf_dir, "supplier"), shape)
+
+
 @query("""
     SELECT n_nationkey AS id, '{"name":"' || n_name || '","region":' || n_regionkey || '}' AS place_info
     FROM nation""")
