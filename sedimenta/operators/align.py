@@ -95,16 +95,88 @@ def align_to(df: DataFrame, table: T.StructType) -> DataFrame:
     return df.select(*columns)
 
 
+def _sum(counts: list[Column]) -> Column | None:
+    return reduce(lambda a, b: a + b, counts) if counts else None
+
+
+def _over(array: Column, count) -> Column:
+    """The sum of ``count`` over an array's elements, 0 for a null array."""
+    return F.coalesce(F.aggregate(F.transform(array, count), F.lit(0), lambda a, b: a + b), F.lit(0))
+
+
+def _is_lost(before: Column, after: Column) -> Column:
+    return (before.isNotNull() & after.isNull()).cast("int")
+
+
+def _lost_in_text(text: Column, parsed: Column, dst: T.DataType) -> Column:
+    """How many values of a JSON text its parsed form lacks; fields that ``dst`` does not have count as one each."""
+    whole = _is_lost(text, parsed)
+    if isinstance(dst, T.StructType):
+        texts = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+        names = [f.name for f in dst.fields]
+        extra = F.map_filter(texts, lambda k, v: ~k.isin(names) & v.isNotNull())
+        counts = [_lost_in_text(texts.getItem(f.name), parsed.getField(f.name), f.dataType) for f in dst.fields]
+        inside = _sum([F.when(extra.isNotNull(), F.size(extra)).otherwise(0), *counts])
+        return F.when(parsed.isNull() | (text.isNotNull() & texts.isNull()), text.isNotNull().cast("int")).otherwise(inside)
+    if isinstance(dst, T.ArrayType):
+        both = F.arrays_zip(F.from_json(text, T.ArrayType(T.StringType())).alias("t"), parsed.alias("p"))
+        return F.when(parsed.isNull(), whole).otherwise(_over(
+            both, lambda e: _lost_in_text(e.getField("t"), e.getField("p"), dst.elementType)))
+    if isinstance(dst, T.MapType):
+        both = F.arrays_zip(F.map_values(F.from_json(text, T.MapType(dst.keyType, T.StringType()))).alias("t"),
+                            F.map_values(parsed).alias("p"))
+        return F.when(parsed.isNull(), whole).otherwise(_over(
+            both, lambda e: _lost_in_text(e.getField("t"), e.getField("p"), dst.valueType)))
+    return whole
+
+
+def lost_values(col: Column, src: T.DataType, dst: T.DataType) -> Column | None:
+    """How many values :func:`align_column` loses in one value, at any level; None where it cannot lose any.
+
+    Lost is what is not null before and null after, and each nested field with a value that ``dst`` does not have.
+    """
+    if nullable(src) == nullable(dst) or isinstance(dst, T.StringType) and isinstance(src, _NESTED):
+        return None
+    if isinstance(src, T.StringType) and isinstance(dst, _NESTED):
+        return _lost_in_text(col, F.from_json(col, dst), dst)
+    if isinstance(src, T.StructType) and isinstance(dst, T.StructType):
+        counts, met = [], set()
+        for field in dst.fields:
+            found = _match(field.name, src.fields)
+            if found is not None:
+                met.add(found.name)
+                counts.append(lost_values(field_of(col, src, found.name), found.dataType, field.dataType))
+        counts += [field_of(col, src, f.name).isNotNull().cast("int") for f in src.fields if f.name not in met]
+        return _sum([c for c in counts if c is not None])
+    if isinstance(src, T.ArrayType) and isinstance(dst, T.ArrayType):
+        if lost_values(F.lit(None), src.elementType, dst.elementType) is None:
+            return None
+        return _over(col, lambda e: lost_values(e, src.elementType, dst.elementType))
+    if isinstance(src, T.MapType) and isinstance(dst, T.MapType):
+        if lost_values(F.lit(None), src.valueType, dst.valueType) is None:
+            return None
+        return _over(F.map_values(col), lambda v: lost_values(v, src.valueType, dst.valueType))
+    if isinstance(src, T.MapType) and isinstance(dst, T.StructType):
+        names = [f.name for f in dst.fields]
+        extra = F.map_filter(col, lambda k, v: ~k.isin(names) & v.isNotNull())
+        counts = [lost_values(col.getItem(f.name), src.valueType, f.dataType) for f in dst.fields]
+        return _sum([F.when(extra.isNotNull(), F.size(extra)).otherwise(0), *(c for c in counts if c is not None)])
+    if isinstance(src, T.StructType) and isinstance(dst, T.MapType):
+        counts = [lost_values(field_of(col, src, f.name), f.dataType, dst.valueType) for f in src.fields]
+        return _sum([c for c in counts if c is not None])
+    return _is_lost(col, col.try_cast(dst))
+
+
 def losses(df: DataFrame, table: T.StructType) -> dict[str, Column]:
-    """Per table column that is cast: the count of values that would become null."""
+    """Per table column that is cast: the count of values that would become null or be left out, at any level."""
     counts = {}
     for field in table.fields:
         found = _match(field.name, df.schema.fields)
         if found is None or nullable(found.dataType) == nullable(field.dataType):
             continue
-        value = F.col(quote(found.name))
-        aligned = align_column(value, found.dataType, field.dataType)
-        counts[field.name] = F.count_if(value.isNotNull() & aligned.isNull())
+        lost = lost_values(F.col(quote(found.name)), found.dataType, field.dataType)
+        if lost is not None:
+            counts[field.name] = F.coalesce(F.sum(lost), F.lit(0).cast("bigint"))
     return counts
 
 

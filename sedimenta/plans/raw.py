@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -14,6 +15,7 @@ from sedimenta.sources.json_scan import CORRUPT, read_json, split_corrupt
 from sedimenta.sources.tables import table_schema
 
 DEFAULT_CATALOG = "spark_catalog"
+_log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -71,5 +73,8 @@ def raw_ingest(spark: SparkSession, date: str, config: dict[str, Any]) -> RawRep
     dated = records.withColumn("execution_date", F.lit(date).cast("date"))
     create_table(spark, table, dated.schema, destination.get("partition_by"))
     lost = write_safely(spark, dated, table, mode)
+    for column, n in scan.lost().items():
+        _log.warning("%s: %d values in new nested fields of %s are not in its type and were left out", table, n, column)
+        lost[column] = lost.get(column, 0) + n
     seen = counts.get
     return RawReport(len(files), seen["records"], seen["corrupt"] if corrupt is None else corrupt, lost)

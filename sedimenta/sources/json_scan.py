@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,7 @@ from sedimenta.functions.naming import clean_name, clean_names, quote
 from sedimenta.functions.schema import (
     DEFAULT_RULES, RewriteRules, merge_with_table, nullable, rewrite_schema,
 )
-from sedimenta.operators.align import align_column
+from sedimenta.operators.align import align_column, lost_values
 from sedimenta.scratch import stage
 
 CORRUPT = "_corrupt_record"
@@ -23,10 +23,23 @@ SOURCE_FILE = "_source_file"
 
 @dataclass(frozen=True)
 class JsonScan:
-    """``frame`` holds the stored columns, the corrupt text and the audit columns."""
+    """``frame`` holds the stored columns, the corrupt text and the audit columns.
+
+    ``dropped`` counts, once ``frame`` has been written, the values of nested fields that the table's types do not have,
+    one count for each column of ``watched``.
+    """
 
     frame: DataFrame
     schema: T.StructType
+    dropped: Observation | None = None
+    watched: list[str] = field(default_factory=list)
+
+    def lost(self) -> dict[str, int]:
+        """Per column the values dropped with new nested fields; waits for ``frame`` to be written."""
+        if self.dropped is None:
+            return {}
+        counts = {name: self.dropped.get[f"_{i}"] for i, name in enumerate(self.watched)}
+        return {name: n for name, n in counts.items() if n}
 
     @property
     def records(self) -> DataFrame:
@@ -59,6 +72,8 @@ def _reading_type(inferred: T.DataType, stored: T.DataType) -> T.DataType:
             target = wanted.get(cleaned_name.lower())
             if target is not None:
                 fields.append(T.StructField(f.name, _reading_type(f.dataType, target.dataType)))
+            elif clean_name(f.name).lower() not in wanted:  # not stored, read as text to be counted
+                fields.append(T.StructField(f.name, T.StringType()))
         return T.StructType(fields)
     if isinstance(inferred, T.ArrayType) and isinstance(stored, T.ArrayType):
         return T.ArrayType(_reading_type(inferred.elementType, stored.elementType), True)
@@ -97,13 +112,16 @@ def read_json(spark: SparkSession, paths: str | Sequence[str],
     rewritten = rewrite_schema(inferred, rules)
     stored = merge_with_table(rewritten, table_schema)
 
-    reading, columns = [], []
+    reading, columns, lost = [], [], {}
     for source, own, final in zip(source_named.fields, rewritten.fields, stored.fields):
         same_shape = nullable(own.dataType) == nullable(final.dataType)
         dtype = source.dataType if same_shape else _reading_type(
             inferred[source.name].dataType, final.dataType)
         reading.append(T.StructField(source.name, dtype))
         columns.append(_aligned(source.name, dtype, final.dataType, same_shape).alias(final.name))
+        count = None if same_shape else lost_values(F.col(quote(source.name)), dtype, final.dataType)
+        if count is not None:
+            lost[final.name] = F.coalesce(F.sum(count), F.lit(0).cast("bigint"))
 
     paths = paths if isinstance(paths, str) else list(paths)
     if reading:
@@ -111,11 +129,17 @@ def read_json(spark: SparkSession, paths: str | Sequence[str],
             T.StructType([*reading, T.StructField(CORRUPT, T.StringType())])).json(paths)
     else:
         parsed = _without_fields(spark, paths, multi_line)
+    audit = F.col("_metadata.file_path").alias(SOURCE_FILE)
+    dropped = None
+    if lost:
+        dropped = Observation()
+        parsed, audit = parsed.select("*", audit).observe(
+            dropped, *(c.alias(f"_{i}") for i, c in enumerate(lost.values()))), F.col(SOURCE_FILE)
     frame = parsed.select(
         *columns, F.col(CORRUPT),
-        F.current_timestamp().alias(INGESTED_AT), F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.current_timestamp().alias(INGESTED_AT), audit,
     )
-    return JsonScan(frame, stored)
+    return JsonScan(frame, stored, dropped, list(lost))
 
 
 def split_corrupt(scan: JsonScan) -> tuple[DataFrame, DataFrame]:

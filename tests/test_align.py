@@ -55,6 +55,30 @@ def test_values_that_do_not_fit_are_counted(spark):
     assert tuple(lost_in_alignment(df, table).first()) == (1, 0)
 
 
+def lost(spark, select, ddl):
+    return tuple(lost_in_alignment(spark.sql(f"SELECT {select}"), T.StructType.fromDDL(ddl)).first())
+
+
+def test_nested_losses_are_counted(spark):
+    assert lost(spark, "named_struct('a', 'x', 'b', '2', 'c', 1) AS s", "s struct<a:int, b:int>") == (2,)
+    assert lost(spark, "array(named_struct('a', 'x'), named_struct('a', '1'), NULL) AS s", "s array<struct<a:int>>") == (1,)
+    assert lost(spark, "map('k', array('1', 'x', 'y', NULL)) AS m", "m map<string, array<int>>") == (2,)
+    assert lost(spark, "map('p', 'x', 'q', '1', 'r', 'new') AS m", "m struct<p:int, q:int>") == (2,)
+    assert lost(spark, "named_struct('p', 'x', 'q', '1') AS s", "s map<string, int>") == (1,)
+    assert lost(spark, "named_struct('a', CAST(NULL AS STRING), 'n', named_struct('x', 1, 'y', 2)) AS s",
+                "s struct<a:int, n:struct<x:bigint>>") == (1,)
+
+
+def test_losses_of_json_texts_are_counted(spark):
+    assert lost(spark, """'{"p":"x","q":2,"r":[1]}' AS s""", "s struct<p:int, q:int>") == (2,)
+    assert lost(spark, "'no json' AS s, '[1,2]' AS a", "s struct<p:int>, a array<int>") == (1, 0)
+
+
+def test_nothing_is_lost_in_an_empty_frame(spark):
+    df = spark.sql("SELECT named_struct('a', 'x') AS s").limit(0)
+    assert tuple(lost_in_alignment(df, T.StructType.fromDDL("s struct<a:int>")).first()) == (0,)
+
+
 @pytest.mark.parametrize("sensitive", [False, True])
 def test_fields_equal_up_to_case_keep_apart(spark, sensitive):
     spark.conf.set("spark.sql.caseSensitive", sensitive)

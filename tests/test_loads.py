@@ -204,3 +204,18 @@ def test_children_without_rows_get_no_table(spark):
         "source": {"database_name": raw, "table_name": "r", "partition_date_by": "execution_date"},
         "destination": {"database_name": trusted, "main_table_name": "m"}})
     assert names == ["m"] and not spark.catalog.tableExists(f"{trusted}.m_a")
+
+
+@pytest.mark.parametrize("quarantine", [False, True])
+def test_new_nested_fields_are_counted(spark, tmp_path, quarantine):
+    raw = new_database(spark, "raw")
+    create_table(spark, f"spark_catalog.{raw}.alert", T.StructType.fromDDL("id string, s struct<a:string>, l array<struct<b:bigint>>"), [])
+    land(tmp_path / "in", f"r-{DAY}.json", [
+        {"id": "1", "s": {"a": "x", "new": {"deep": 1}}, "l": [{"b": 1, "c": "y"}, {"b": 2}, {"c": "z"}]},
+        {"id": "2", "s": {"a": "x"}, "l": []}])
+    report = raw_ingest(spark, DAY, {
+        "source": {"input_path": str(tmp_path / "in")},
+        "destination": {"database": raw, "table": "alert", "write_mode": "append"} | (
+            {"quarantine_table": "bad"} if quarantine else {})})
+    assert (report.records, report.corrupt, report.lost_values) == (2, 0, {"s": 1, "l": 2})
+    assert sorted(spark.table(f"{raw}.alert").select("id", "s.a", "l.b").toPandas()["id"]) == ["1", "2"]
