@@ -11,6 +11,8 @@ from sedimenta.functions.naming import quote
 
 SPARSE_BELOW = 30.0
 VARIABLE_ABOVE_KEYS = 8
+VARIABLE_ABOVE_ELEMENT_KEYS = 5
+VARIABLE_ABOVE_SHARE = 0.8
 
 _LABELS = {
     T.BooleanType: "boolean", T.StringType: "string", T.ArrayType: "array",
@@ -131,6 +133,21 @@ def distinct_keys(df: DataFrame, mapping: str, variable_above: int = VARIABLE_AB
     )
 
 
+def distinct_element_keys(df: DataFrame, array: str, profiled: int | None = None) -> DataFrame:
+    """F8 for the elements of an array of maps: distinct keys over all of them, and whether their schema is variable.
+
+    It is when there are more than 5 keys and more than 0.8 x the ``profiled`` ones, by default all keys.
+    """
+    many = F.col("distinct_keys") > VARIABLE_ABOVE_ELEMENT_KEYS
+    of = F.col("distinct_keys") if profiled is None else F.lit(profiled)
+    return (
+        df.select(F.explode(quote(array)).alias("element"))
+        .select(F.explode(F.map_keys("element")).alias("key"))
+        .agg(F.count_distinct("key").alias("distinct_keys"))
+        .withColumn("variable_schema", many & (F.col("distinct_keys") > of * VARIABLE_ABOVE_SHARE))
+    )
+
+
 def canonical_keys(df: DataFrame, mapping: str) -> DataFrame:
     """spellings of one key merge under the most frequent one.
 

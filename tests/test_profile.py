@@ -118,3 +118,12 @@ def test_inspect_key(spark):
     assert rows(inspect_key(df, "json", "id", "k")) == [(1, "array_of_scalars", "[1,2,3]")]
     assert rows(inspect_key(df, "json", "id", "o")) == [(3, "object", '{"x":1.5}')]
     assert rows(inspect_key(df, "json", "id", "absent")) == []
+
+
+def test_elements_with_many_keys_are_variable(spark):
+    def found(keys, profiled=None):
+        df = spark.createDataFrame([([{k: 1} for k in keys] + [{}],), (None,)], "a array<map<string,int>>")
+        return tuple(P.distinct_element_keys(df, "a", profiled).first())
+
+    assert found("abcde") == (5, False) and found("abcdef") == (6, True) and found("aaaaaab") == (2, False)
+    assert found("abcdefgh", 10) == (8, False) and found("abcdefghi", 10) == (9, True)

@@ -96,6 +96,17 @@ def distinct_map_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.distinct_keys(maps, "m")
 
 
+@query("""
+    SELECT count(DISTINCT key) AS distinct_keys, count(DISTINCT key) > 5 AS variable_schema FROM (
+        SELECT event_type || '_' || strftime(ts, '%d') AS key FROM events UNION ALL SELECT 'all' FROM events)""")
+def distinct_element_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many keys the objects of an array have over all records."""
+    key = F.concat_ws("_", "event_type", F.date_format("ts", "dd"))
+    arrays = table(spark, sf_dir, "events").select(F.array(
+        F.create_map(key, "value"), F.create_map(F.lit("all"), "value")).alias("a"))
+    return P.distinct_element_keys(arrays, "a")
+
+
 def _findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", order_findings().alias("findings"))
 
