@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import oracles
 from .op1_quality import op1_quality
 from .op2_repeated_bytes import op2_repeated_bytes
 from .op3_neighbours import op3_neighbours
@@ -12,8 +13,9 @@ from .op7_token_files import op7_token_files
 from .op8_pseudo_likelihood import op8_pseudo_likelihood
 from .op9_sentencepiece import op9_sentencepiece
 from .op10_toxicity import op10_toxicity
+from .op12_minmax import op12_minmax
 
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_repeated_bytes, op3_neighbours, op4_mixing, op5_jaccard_join, op6_divergence, op7_token_files,
-    op8_pseudo_likelihood, op9_sentencepiece, op10_toxicity)}
-ORACLES: dict[str, str] = {}
+    op8_pseudo_likelihood, op9_sentencepiece, op10_toxicity, op12_minmax)}
+ORACLES: dict[str, str] = {"op5_jaccard_join": oracles.OP5, "op12_minmax": oracles.OP12}

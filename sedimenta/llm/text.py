@@ -6,6 +6,7 @@ makes a slice of its own.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -63,6 +64,36 @@ def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix(h ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
+_HASHED_BY_8 = 256
+
+
+def span_digests(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the bytes of each span [start, end), eight bytes at a time through :func:`mix`.
+
+    Spans of equal length up to 8 never collide, and no longer ones do by their construction, as they can where powers of
+    one base are summed. What a span has beyond 256 bytes goes through BLAKE2.
+    """
+    padded = np.zeros(len(buf) + 8, np.uint8)
+    padded[: len(buf)] = buf
+    eight = np.ndarray((len(buf) + 1,), "<u8", padded, strides=(1,))
+    size = ends - starts
+    h = mix(size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed))
+    left = np.flatnonzero(size > 0)
+    for at in range(0, _HASHED_BY_8, 8):
+        if not len(left):
+            return h
+        part = eight[starts[left] + at]
+        rest = size[left] - at
+        cut = rest < 8
+        part[cut] &= (np.uint64(1) << (rest[cut].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        h[left] = mix(h[left] * np.uint64(3) + part)
+        left = left[rest > 8]
+    for k in left.tolist():
+        tail = hashlib.blake2b(buf[starts[k] + _HASHED_BY_8 : ends[k]].tobytes(), digest_size=8).digest()
+        h[k : k + 1] = mix(h[k : k + 1] * np.uint64(3) + np.frombuffer(tail, np.uint64))
+    return h
+
+
 def strings(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column end to end, and where each text begins (one more entry for the end)."""
     if isinstance(column, pa.ChunkedArray):
