@@ -323,7 +323,7 @@ def cut_text(text: str, limit: int = PART_BYTES) -> list[str]:
     return [*parts, text[begin:]]
 
 
-def _long_parts(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
+def _long_parts(docs: DataFrame, byte_level: str, pieces: str, part_bytes: int) -> DataFrame:
     """row, part (0, 1, ...), begin (bytes before it, its space included) and text of the parts of long texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,7 +331,7 @@ def _long_parts(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
             splits = sides(byte_level, pieces).splits
             for k in range(batch.num_rows):
                 text = batch.column(1)[k].as_py()
-                parts = cut_text(text) if splits else [text]
+                parts = cut_text(text, part_bytes) if splits else [text]
                 sizes = np.array([len(p.encode()) + 1 for p in parts], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([batch.column(0)[k].as_py()] * len(parts), pa.int64()), pa.array(range(len(parts)), pa.int64()),
@@ -350,8 +350,8 @@ def _as_batch(row: int, parts: list[int], found: list[Fragment], ok: bool) -> pa
         names=T.StructType.fromDDL(_FRAGMENT).fieldNames())
 
 
-def _fragments(parts: DataFrame, byte_level: str, pieces: str) -> DataFrame:
-    """The fragments of the parts of long texts, one for each range of ``RANGE_BYTES`` of the text that a part touches."""
+def _fragments(parts: DataFrame, byte_level: str, pieces: str, range_bytes: int) -> DataFrame:
+    """The fragments of the parts of long texts, one for each range of ``range_bytes`` of the text that a part touches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -363,8 +363,8 @@ def _fragments(parts: DataFrame, byte_level: str, pieces: str) -> DataFrame:
                     yield _as_batch(row, [part << 32], [EMPTY], False)
                     continue
                 ends = [begin + np.cumsum(n[x]) for n, x in zip(lengths, ids)]
-                first, last = begin // RANGE_BYTES, (int(ends[0][-1]) - 1) // RANGE_BYTES
-                limits = np.arange(first + 1, last + 1) * RANGE_BYTES
+                first, last = begin // range_bytes, (int(ends[0][-1]) - 1) // range_bytes
+                limits = np.arange(first + 1, last + 1) * range_bytes
                 cuts = [[0, *np.searchsorted(e, limits, "right").tolist(), len(e)] for e in ends]
                 found = [fragment(ids[0][i:k], ids[1][p:q], ends[0][i:k], ends[1][p:q])
                          for i, k, p, q in zip(cuts[0], cuts[0][1:], cuts[1], cuts[1][1:])]
@@ -388,8 +388,8 @@ def _lengths(byte_level: str, pieces: str) -> Lengths:
     return tuple(np.array([len(x) for x in side], np.int64) for side in sides(byte_level, pieces).token_bytes)
 
 
-def _folded(fragments: DataFrame, byte_level: str, pieces: str) -> DataFrame:
-    """One fragment for each row: the ranges of a part are joined, then ``FAN`` neighbours in each round."""
+def _folded(fragments: DataFrame, byte_level: str, pieces: str, fan: int) -> DataFrame:
+    """One fragment for each row: the ranges of a part are joined, then ``fan`` neighbours in each round."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("part")
@@ -404,7 +404,7 @@ def _folded(fragments: DataFrame, byte_level: str, pieces: str) -> DataFrame:
 
     level = joined_by(fragments, F.shiftright("part", 32))
     while (level.agg(F.max("part")).first()[0] or 0) > 0:
-        done = joined_by(level, F.floor(F.col("part") / FAN).cast("long"))
+        done = joined_by(level, F.floor(F.col("part") / fan).cast("long"))
         discard(level)
         level = done
     return level
@@ -425,7 +425,8 @@ def _closed(folded: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     return folded.mapInArrow(run, f"row long, n_a long, n_b long, n_groups long, groups string, pairs {_PAIRS}")
 
 
-def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
+def align(docs: DataFrame, byte_level: str, pieces: str, part_bytes: int = PART_BYTES, range_bytes: int = RANGE_BYTES,
+          fan: int = FAN) -> DataFrame:
     """row (of its own), doc_id, n_a, n_b, n_groups, groups (``a1,a2|b1;a3|b2,b3``) and linked pairs of every text.
 
     A pair is ``a << 32 | b`` with the number of its links in the text. Texts that are null, empty, or not spelled by the
@@ -433,12 +434,12 @@ def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     result is a written table.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    is_long = F.coalesce(F.octet_length("text") > PART_BYTES, F.lit(False))
+    is_long = F.coalesce(F.octet_length("text") > part_bytes, F.lit(False))
     short = stage_lean(_short(rows.where(~is_long), byte_level, pieces), "aligned")
     texts = stage_lean(rows.where(is_long), "long-texts")
-    parts = stage_lean(_long_parts(texts, byte_level, pieces), "long-parts")
+    parts = stage_lean(_long_parts(texts, byte_level, pieces, part_bytes), "long-parts")
     spread = parts.repartition(F.xxhash64("row", "part"))  # a long text's parts go to many tasks
-    folded = _folded(_fragments(spread, byte_level, pieces), byte_level, pieces)
+    folded = _folded(_fragments(spread, byte_level, pieces, range_bytes), byte_level, pieces, fan)
     whole = _closed(folded, byte_level, pieces).join(texts.select("row", "doc_id"), "row")
     long = stage_lean(whole.select(*short.columns), "aligned-long")
     discard(texts, parts, folded)
@@ -465,9 +466,9 @@ def link_sums(aligned: DataFrame, counts: DataFrame) -> DataFrame:
     return frequent.unionByName(rare).groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
 
 
-def align_with_counts(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
-    """:func:`align` with n_links, n_best (links with their B id's most frequent partner) and count_sum."""
-    aligned = align(docs, byte_level, pieces)
+def align_with_counts(docs: DataFrame, byte_level: str, pieces: str, **sizes: int) -> DataFrame:
+    """:func:`align` (and its ``sizes``) with n_links, n_best (links with their B id's most frequent partner) and count_sum."""
+    aligned = align(docs, byte_level, pieces, **sizes)
     counts = stage_lean(pair_counts(aligned), "pair-best")
     sums = link_sums(aligned, counts)
     return aligned.join(sums, "row", "left").select(
