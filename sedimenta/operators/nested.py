@@ -289,21 +289,25 @@ def map_children(elements: DataFrame, nested: NestedField) -> list[MapChild]:
             for (key, slot, dtype, n), name in zip(children, names)]
 
 
-def map_child(elements: DataFrame, nested: NestedField, child: MapChild, root_id: str) -> DataFrame:
-    """One key's objects, each field cast and named on its own.
+def map_child_fields(elements: DataFrame, nested: NestedField, child: MapChild,
+                     root_id: str) -> list[tuple[T.StructField, Column]]:
+    """The columns of one key's child over the elements, each field cast and named on its own.
 
     Works for names with any characters and for ``Id`` beside ``id``.
     """
     keys = [*_key_columns(nested, root_id), "_source_key"]
-    fields = child.element.fieldNames()
-    names = resolve_case_conflicts(keys + clean_names(fields))
-    element = F.col("_element")
-    return with_names(
-        elements.where((F.col("_slot") == child.slot) & (F.col("_key") == child.key)).select(
-            *[F.col(quote(k)) for k in keys],
-            *[field_value(element, f.name, f.dataType).alias(f"_{i}")
-              for i, f in enumerate(child.element.fields)],
-        ), names)
+    names = resolve_case_conflicts(keys + clean_names(child.element.fieldNames()))
+    columns = [(T.StructField(name, elements.schema[k].dataType), F.col(quote(k))) for name, k in zip(names, keys)]
+    return columns + [
+        (T.StructField(name, f.dataType, True, {"source": f.name}), field_value(F.col("_element"), f.name, f.dataType))
+        for name, f in zip(names[len(keys):], child.element.fields)]
+
+
+def map_child(elements: DataFrame, nested: NestedField, child: MapChild, root_id: str) -> DataFrame:
+    """One key's objects as a frame."""
+    fields = map_child_fields(elements, nested, child, root_id)
+    mine = elements.where((F.col("_slot") == child.slot) & (F.col("_key") == child.key))
+    return with_names(mine.select(*[c.alias(f"_{i}") for i, (_, c) in enumerate(fields)]), [f.name for f, _ in fields])
 
 
 def keep_without_elements(mapping: Column) -> Column:

@@ -184,7 +184,16 @@ def align_for(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
 def _watch_losses(spark: SparkSession, df: DataFrame, table: str) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
     """The frame with a count, kept during its write, of values its table's types cannot hold."""
     sync_schema(spark, df.schema, table)
-    counts = losses(df, table_schema(spark, table))
+    return watch_losses(df, table, table_schema(spark, table))
+
+
+def watch_losses(df: DataFrame, table: str, stored: T.StructType) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The frame with a count, kept during its write, of values that the types of ``stored`` cannot hold."""
+    return observe_losses(df, table, losses(df, stored))
+
+
+def observe_losses(df: DataFrame, table: str, counts: dict[str, Column]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The frame with counts by column that are kept during its write and logged afterwards."""
     if not counts:
         return df, dict
     seen = Observation()
