@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from sedimenta.functions.schema import check_type_sizes
 from sedimenta.operators.align import align_to
 from sedimenta.sinks.publish import (
-    begin, can_publish, drop_step, publish, recover, stage_rows, steps_for, target_schema,
+    begin, can_publish, create_evolving, drop_step, publish, recover, reshape_steps, schema_versions, stage_rows,
+    steps_for, target_schema,
 )
 from sedimenta.sinks.tables import clear_partition, create_table, sync_schema, watch_losses, write_safely
 from sedimenta.sources.files import files_for_date
@@ -51,6 +52,7 @@ class RawSettings:
     quarantine: str | None
     partition_by: list[str]
     mode: str
+    evolve_nested: bool
 
     @classmethod
     def of(cls, config: dict[str, Any]) -> RawSettings:
@@ -67,12 +69,12 @@ class RawSettings:
         held = destination.get("quarantine_table")
         return cls(source["input_path"], source.get("file_pattern"), source.get("multi_line", True), source.get("sampling_ratio"),
                    full(destination["table"]), full(held) if held else None, destination.get("partition_by") or [],
-                   destination.get("write_mode", destination.get("mode", "append")))
+                   destination.get("write_mode", destination.get("mode", "append")), destination.get("evolve_nested", False))
 
     @property
     def at_once(self) -> bool:
-        """Whether both tables have the load's date as their only partition, so that one write can serve them."""
-        return (self.quarantine is not None and self.mode in ("append", "overwrite")
+        """Whether the load's date is the only partition, so that one write can serve both tables."""
+        return ((self.quarantine is not None or self.evolve_nested) and self.mode in ("append", "overwrite")
                 and [p.lower() for p in self.partition_by] == [EXECUTION_DATE])
 
 
@@ -84,16 +86,23 @@ def raw_ingest(spark: SparkSession, date: str, config: dict[str, Any]) -> RawRep
     ``execution_date`` of the built-in catalog, one write parts good and corrupt records by folder, and both tables show
     them together. A load that died is finished or undone by the next one; in append mode, a load of the same date that
     finds its committed predecessor unfinished only finishes that, and reports no files.
+
+    With ``destination.evolve_nested`` and such a partition the table is created to evolve: nested fields that are new,
+    at any level, are added to its types, earlier rows have null there, and its properties keep every schema it had.
     """
     load = RawSettings.of(config)
     at_once = load.at_once and can_publish(spark, load.table, load.partition_by)
+    if load.evolve_nested and not at_once:
+        raise ValueError("evolve_nested needs a table of the built-in catalog partitioned by execution_date")
     if at_once and date in recover(spark, load.table) and load.mode == "append":
         return RawReport(0, 0, 0)
     files = files_for_date(spark, load.path, date, load.pattern)
     if not files:
         return RawReport(0, 0, 0)
-    scan = read_json(spark, files, table_schema(spark, load.table), multi_line=load.multi_line,
-                     sampling_ratio=load.sampling_ratio)
+    stored = table_schema(spark, load.table)
+    evolves = load.evolve_nested and (stored is None or bool(schema_versions(spark, load.table)))
+    scan = read_json(spark, files, stored, multi_line=load.multi_line,
+                     sampling_ratio=load.sampling_ratio, evolve_nested=evolves)
     write = _write_parted if at_once else _write_apart if load.quarantine else _write_whole
     records, corrupt, lost = write(spark, scan, load, date)
     for column, n in scan.lost().items():
@@ -122,27 +131,37 @@ def _write_parted(spark: SparkSession, scan: JsonScan, load: RawSettings, date:
     counts = Observation()
     frame = scan.frame.observe(counts, F.count_if(F.col(CORRUPT).isNull()).alias("records"), F.count(CORRUPT).alias("corrupt"))
     good = _dated(frame, date)
-    main = target_schema(spark, load.table, T.StructType([f for f in good.schema.fields if f.name != CORRUPT]))
+    main = target_schema(spark, load.table, T.StructType([f for f in good.schema.fields if f.name != CORRUPT]), load.evolve_nested)
     check_type_sizes(main, load.table)
     watched, lost = watch_losses(good, load.table, main)
     held = T.StructType([good.schema[c] for c in (CORRUPT, SOURCE_FILE, INGESTED_AT, EXECUTION_DATE)])
-    part = F.when(F.col(CORRUPT).isNull(), "good").otherwise("corrupt")
+    part = F.when(F.col(CORRUPT).isNull() | F.lit(load.quarantine is None), "good").otherwise("corrupt")
     kept = T.StructType([*main.fields, T.StructField(CORRUPT, T.StringType()), T.StructField("_part", T.StringType())])
     both = align_to(watched.withColumn("_part", part), kept)
     folder = stage_rows(run, both, "records", ["_part", EXECUTION_DATE])
     found = lost()
     seen = counts.get
-    for table, schema in ((load.table, main), (load.quarantine, held)):
-        create_table(spark, table, schema, load.partition_by)
-        sync_schema(spark, schema, table)
-    steps = []
-    for table, name, rows in ((load.table, "good", seen["records"]), (load.quarantine, "corrupt", seen["corrupt"])):
-        if rows:
-            steps += steps_for(spark, table, f"{folder}/_part={name}", load.mode)
-    if load.mode == "overwrite" and not seen["corrupt"]:
-        steps += drop_step(spark, load.quarantine, EXECUTION_DATE, date)  # an earlier run's
+    if load.evolve_nested:
+        create_evolving(spark, load.table, main, load.partition_by)
+        steps = reshape_steps(spark, load.table, main)
+    else:
+        create_table(spark, load.table, main, load.partition_by)
+        steps = []
+    if not steps:
+        sync_schema(spark, main, load.table)
+    records, corrupt = seen["records"], seen["corrupt"]
+    if load.quarantine is None:
+        records += corrupt
+    if records:
+        steps += steps_for(spark, load.table, f"{folder}/_part=good", load.mode)
+    if load.quarantine is not None:
+        create_table(spark, load.quarantine, held, load.partition_by)
+        if corrupt:
+            steps += steps_for(spark, load.quarantine, f"{folder}/_part=corrupt", load.mode)
+        elif load.mode == "overwrite":
+            steps += drop_step(spark, load.quarantine, EXECUTION_DATE, date)  # an earlier run's
     publish(spark, run, steps)
-    return seen["records"], seen["corrupt"], found
+    return records, corrupt, found
 
 
 def _write_apart(spark: SparkSession, scan: JsonScan, load: RawSettings, date: str) -> tuple[int, int, dict[str, int]]:

@@ -11,7 +11,9 @@ a main table. For tables of the built-in catalog, without buckets; catalogs with
 
 from __future__ import annotations
 
+import json
 import uuid
+from base64 import b64decode, b64encode
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -21,12 +23,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.functions.naming import quote, quote_table
+from sedimenta.functions.schema import merge_nested, nullable
 from sedimenta.sinks.files import _hadoop
 from sedimenta.sinks.tables import _fields, append, create_table, is_v2
 from sedimenta.sources.tables import table_schema
 
 BEGUN, COMMITTED, DONE, UNDONE = "begun", "committed", "done", "undone"
-SWITCH, MOVE, DROP = "switch", "move", "drop"
+SWITCH, MOVE, DROP, RESHAPE = "switch", "move", "drop", "reshape"
+
+#: Table properties: how many schemas an evolving table has had, and each of them, cut to what a catalog stores.
+VERSION, SCHEMA_OF = "sedimenta.schema.version", "sedimenta.schema.v"
+_PROPERTY_LIMIT = 3500
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _MANIFEST = T.StructType([
@@ -39,7 +46,8 @@ _MANIFEST = T.StructType([
 @dataclass(frozen=True)
 class Step:
     """``switch``: the partition (folder name or empty) reads ``source`` in place of ``target``. ``move``: the files of
-    ``source`` join those of ``target``. ``drop``: the partition goes."""
+    ``source`` join those of ``target``. ``drop``: the partition goes. ``reshape``: the table is defined anew with the
+    schema ``source`` over the same files, as ``target`` says."""
 
     kind: str
     table: str
@@ -105,13 +113,20 @@ def partition_names(spark: SparkSession, table: str) -> list[str]:
     return described[described.index("# Partition Information") + 2:]
 
 
-def target_schema(spark: SparkSession, table: str, schema: T.StructType) -> T.StructType:
-    """The table's columns and after them the new ones of ``schema``, as the table will be when the run is published."""
+def target_schema(spark: SparkSession, table: str, schema: T.StructType, nested: bool = False) -> T.StructType:
+    """The table's columns and after them the new ones of ``schema``, as the table will be when the run is published.
+
+    With ``nested`` an evolving table's types also gain the nested fields they lack.
+    """
     stored = table_schema(spark, table)
     if stored is None:
         return schema
     known = {f.name.lower() for f in stored.fields}
-    return T.StructType([*stored.fields, *(f for f in schema.fields if f.name.lower() not in known)])
+    fields = stored.fields
+    if nested and schema_versions(spark, table):
+        fresh = {f.name.lower(): f.dataType for f in schema.fields}
+        fields = [T.StructField(f.name, merge_nested(f.dataType, fresh.get(f.name.lower(), f.dataType)), True) for f in fields]
+    return T.StructType([*fields, *(f for f in schema.fields if f.name.lower() not in known)])
 
 
 def stage_rows(run: Run, df: DataFrame, name: str, partitions: Sequence[str]) -> str:
@@ -177,6 +192,61 @@ def drop_step(spark: SparkSession, table: str, column: str, value: str) -> list[
     return [] if there is None else [Step(DROP, table, f"{column}={value}", None, there)]
 
 
+def schema_versions(spark: SparkSession, table: str) -> list[T.StructType]:
+    """The schemas that an evolving table has had, oldest first; the last is its own."""
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {quote_table(table)}").collect()}
+    versions = []
+    for n in range(1, int(found.get(VERSION, 0)) + 1):
+        parts = [found[k] for k in sorted((k for k in found if k.startswith(f"{SCHEMA_OF}{n}.")), key=lambda k: int(k.rsplit(".", 1)[1]))]
+        versions.append(T.StructType.fromJson(json.loads(b64decode("".join(parts)))))
+    return versions
+
+
+def _version_properties(schemas: Sequence[T.StructType]) -> dict[str, str]:
+    properties = {VERSION: str(len(schemas))}
+    for n, schema in enumerate(schemas, 1):
+        text = b64encode(schema.json().encode()).decode()  # no character that SQL text would have to escape
+        properties |= {f"{SCHEMA_OF}{n}.{i // _PROPERTY_LIMIT}": text[i : i + _PROPERTY_LIMIT] for i in range(0, len(text), _PROPERTY_LIMIT)}
+    return properties
+
+
+def create_evolving(spark: SparkSession, table: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
+    """A table whose nested types can grow: its definition is apart from its files (external), with its schemas kept."""
+    location = f"{_database_folder(spark, table)}/{table.replace('`', '').split('.')[-1]}"
+    create_table(spark, table, schema, partition_by, location=location, properties=_version_properties([schema]))
+
+
+def reshape_steps(spark: SparkSession, table: str, schema: T.StructType) -> list[Step]:
+    """The step that gives an evolving table the types of ``schema``; none where it has them.
+
+    Old files keep their types: Parquet fields are read by name, so what they lack is null.
+    """
+    before = table_schema(spark, table)
+    versions = schema_versions(spark, table)
+    same = {f.name: nullable(f.dataType) for f in before.fields} == {f.name: nullable(f.dataType) for f in schema.fields}
+    if same or not versions:
+        return []
+    partitions = partition_names(spark, table)
+    names = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {quote_table(table)}").collect()] if partitions else []
+    columns = [f for f in schema.fields if f.name not in partitions] + [before[p] for p in partitions]
+    wider = T.StructType(columns)
+    target = {"location": location_of(spark, table), "partition_by": partitions, "properties": _version_properties([*versions, wider]),
+              "partitions": {n: location_of(spark, table, n) for n in names}}
+    return [Step(RESHAPE, table, "", wider.json(), json.dumps(target))]
+
+
+def _reshape(spark: SparkSession, step: Step) -> None:
+    """Drop the definition and make it anew. Doing it twice gives the same; the files are not touched."""
+    target = json.loads(step.target)
+    name = quote_table(step.table)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    create_table(spark, step.table, T.StructType.fromJson(json.loads(step.source)), target["partition_by"],
+                 location=target["location"], properties=target["properties"])
+    clauses = [f"PARTITION ({_specification(n)}) LOCATION '{at}'" for n, at in target["partitions"].items()]
+    for i in range(0, len(clauses), 200):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(clauses[i:i + 200])}")
+
+
 def _move_files(spark: SparkSession, source: str, target: str) -> None:
     fs, folder = _hadoop(spark, source)
     if not fs.exists(folder):
@@ -202,6 +272,8 @@ def apply(spark: SparkSession, steps: Sequence[Step]) -> None:
             if of:
                 spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {of} LOCATION '{s.source}'")
             spark.sql(f"ALTER TABLE {name} {of} SET LOCATION '{s.source}'")
+        elif s.kind == RESHAPE:
+            _reshape(spark, s)
         elif s.kind == MOVE:
             _move_files(spark, s.source, s.target)
         else:
@@ -252,7 +324,7 @@ def recover(spark: SparkSession, main_table: str) -> dict[str, list[str]]:
         if committed:
             steps = [Step(r["kind"], r["table"], r["partition"], r["source"], r["target"]) for r in committed if r["kind"]]
             _finish(spark, run, steps)
-            finished[run.label] = list(dict.fromkeys(s.table for s in steps if s.kind != DROP))
+            finished[run.label] = list(dict.fromkeys(s.table for s in steps if s.kind in (SWITCH, MOVE)))
         else:
             _delete(spark, run.folder)
             _record(spark, run, UNDONE)

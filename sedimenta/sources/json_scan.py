@@ -98,19 +98,20 @@ def _without_fields(spark: SparkSession, paths: str | list[str], multi_line: boo
 def read_json(spark: SparkSession, paths: str | Sequence[str],
               table_schema: T.StructType | None = None, *, multi_line: bool = True,
               sampling_ratio: float | None = None, schema: T.StructType | None = None,
-              rules: RewriteRules = DEFAULT_RULES) -> JsonScan:
+              rules: RewriteRules = DEFAULT_RULES, evolve_nested: bool = False) -> JsonScan:
     """A1: infer, rewrite, let the table's types win, and read with the fixed schema.
 
     Every field is parsed under its source spelling and renamed afterwards, so renamed
     fields keep their values. With ``schema`` (source spelling) the inference pass over the
     data is skipped. ``multi_line=False`` reads one record per line, which Spark can split
-    within a file; a multi-line file is one task however large it is.
+    within a file; a multi-line file is one task however large it is. With ``evolve_nested``
+    the table's types gain nested fields that are new; otherwise their values are counted.
     """
     inferred = schema if schema is not None else infer_json_schema(
         spark, paths, multi_line, sampling_ratio)
     source_named = rewrite_schema(inferred, rules, rename=False)
     rewritten = rewrite_schema(inferred, rules)
-    stored = merge_with_table(rewritten, table_schema)
+    stored = merge_with_table(rewritten, table_schema, evolve_nested)
 
     reading, columns, lost = [], [], {}
     for source, own, final in zip(source_named.fields, rewritten.fields, stored.fields):

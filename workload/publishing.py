@@ -158,3 +158,30 @@ def raw_reject_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("quarantine").alias("part"), day, *(F.lit(None).cast(k).alias(c) for c, k in (("conv_id", "bigint"), ("turn", "bigint"), ("text", "string"))),
         F.col("_corrupt_record").startswith('{"conv_id":').alias("cut"))
     return good.unionByName(bad)
+
+
+@query(f"""
+    SELECT event_id, event_type AS kind, CASE WHEN late THEN user_id END AS user_id, CASE WHEN late THEN value END AS value,
+           CASE WHEN late THEN day ELSE '{_DAY}' END AS day, 0 AS lost FROM (
+        SELECT *, ts >= TIMESTAMP '2024-01-15' AS late, '2024-01-16' AS day FROM events)""")
+def nested_evolution_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second day brings fields inside a struct and inside the structs of an array: stored and readable, null before, none lost."""
+    database, folder = new_database(spark, "raw"), new_path(spark, "evolving")
+    events = table(spark, sf_dir, "events")
+    late = F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")
+    kind = F.struct(F.col("event_type").alias("kind"))
+    more = F.struct(F.col("event_type").alias("kind"), F.struct(F.col("user_id").alias("user id")).alias("who"))
+    part = F.struct(F.lit(1).alias("n"), F.col("value").alias("value"))
+    days = {_DAY: events.where(~late).select("event_id", kind.alias("what"), F.array(F.struct(F.lit(1).alias("n"))).alias("parts")),
+            "2024-01-16": events.where(late).select("event_id", more.alias("what"), F.array(part).alias("parts"))}
+    lost = 0
+    for day, records in days.items():
+        records.write.json(f"{folder}/{day}")
+        report = raw_ingest(spark, day, {
+            "source": {"input_path": f"{folder}/{day}", "multi_line": False, "file_pattern": r"^part-.*\\.json$"},
+            "destination": {"database": database, "table": "events", "write_mode": "overwrite",
+                            "partition_by": ["execution_date"], "evolve_nested": True}})
+        lost += sum(report.lost_values.values())
+    return spark.table(f"{database}.events").select(
+        "event_id", F.col("what.kind").alias("kind"), F.col("what.who.user_id").alias("user_id"),
+        F.col("parts")[0]["value"].alias("value"), F.col("execution_date").cast("string").alias("day"), F.lit(lost).alias("lost"))
