@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sedimenta.functions.numbers import DOUBLE_DIGITS
 from sedimenta.functions.schema import ddl_type
 
 _OBJECT_ARRAY = r"^\s*\[\s*\{"
@@ -99,8 +100,8 @@ def field_value(element: Column, name: str, dtype: T.DataType) -> Column:
 
 def _decimal(match: re.Match) -> str:
     precision, scale = int(match.group(1)), int(match.group(2))
-    # Wide integers stay exact; every other decimal was a JSON fraction.
-    return f"DECIMAL({precision},0)" if scale == 0 and precision > 18 else "DOUBLE"
+    # Wide integers stay exact, and so do fractions with more digits than a double gives back.
+    return f"DECIMAL({precision},{scale})" if precision > (DOUBLE_DIGITS if scale else 18) else "DOUBLE"
 
 
 def variant_type(text: str) -> T.DataType:

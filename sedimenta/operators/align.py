@@ -45,13 +45,30 @@ def _from_map(col: Column, value: T.DataType, dst: T.StructType) -> Column:
     return F.when(col.isNotNull(), F.struct(*fields))
 
 
+def _field_entries(col: Column, src: T.StructType, dst: T.MapType, value) -> Column:
+    """A struct's fields as (key, value) entries; a name that is no key of the map's type has a null key."""
+    return F.array(*[F.struct(F.lit(f.name).try_cast(dst.keyType).alias("key"), value(field_of(col, src, f.name), f.dataType).alias("value"))
+                     for f in src.fields])
+
+
+def _is_kept(entries: Column):
+    """Whether an entry, at its place, goes into the map: those without a key do not, and of one key only the first does."""
+    keys = F.transform(entries, lambda e: e.getField("key"))
+    return lambda e, i: e.getField("key").isNotNull() & (F.array_position(keys, e.getField("key")) == i + 1)
+
+
 def _to_map(col: Column, src: T.StructType, dst: T.MapType) -> Column:
-    entries = []
-    for field in src.fields:
-        entries.append(F.lit(field.name).cast(dst.keyType))
-        entries.append(align_column(field_of(col, src, field.name), field.dataType, dst.valueType))
-    filled = F.map_filter(F.create_map(*entries), lambda _, v: v.isNotNull())
-    return F.when(col.isNotNull(), filled)
+    if not src.fields:
+        return F.when(col.isNotNull(), F.create_map().cast(dst))
+    entries = _field_entries(col, src, dst, lambda c, t: align_column(c, t, dst.valueType))
+    filled = F.filter(entries, lambda e: e.getField("value").isNotNull())
+    return F.when(col.isNotNull(), F.map_from_entries(F.filter(filled, _is_kept(filled))).cast(dst))
+
+
+def _recast_keys(col: Column, src: T.MapType, dst: T.MapType, value) -> Column:
+    """A map's entries with keys of the other type, null where they do not fit."""
+    return F.transform(F.map_entries(col), lambda e: F.struct(
+        e.getField("key").try_cast(dst.keyType).alias("key"), value(e.getField("value")).alias("value")))
 
 
 def align_column(col: Column, src: T.DataType, dst: T.DataType) -> Column:
@@ -74,7 +91,8 @@ def align_column(col: Column, src: T.DataType, dst: T.DataType) -> Column:
         return F.transform(col, lambda e: align_column(e, src.elementType, dst.elementType))
     if isinstance(src, T.MapType) and isinstance(dst, T.MapType):
         if nullable(src.keyType) != nullable(dst.keyType):
-            col = F.transform_keys(col, lambda k, _: k.cast(dst.keyType))
+            entries = _recast_keys(col, src, dst, lambda v: align_column(v, src.valueType, dst.valueType))
+            return F.map_from_entries(F.filter(entries, _is_kept(entries)))
         return F.transform_values(col, lambda _, v: align_column(v, src.valueType, dst.valueType))
     if isinstance(src, T.MapType) and isinstance(dst, T.StructType):
         return _from_map(col, src.valueType, dst)
@@ -108,6 +126,13 @@ def _is_lost(before: Column, after: Column) -> Column:
     return (before.isNotNull() & after.isNull()).cast("int")
 
 
+def _lost_entries(entries: Column) -> Column:
+    """Over (key, values lost within) entries: one for each that does not go into the map, else what is lost within."""
+    kept = _is_kept(entries)
+    each = F.transform(entries, lambda e, i: F.when(kept(e, i), e.getField("value")).otherwise(1))
+    return F.coalesce(F.aggregate(each, F.lit(0), lambda a, b: a + b), F.lit(0))
+
+
 def _lost_in_text(text: Column, parsed: Column, dst: T.DataType) -> Column:
     """How many values of a JSON text its parsed form lacks; fields that ``dst`` does not have count as one each."""
     whole = _is_lost(text, parsed)
@@ -133,7 +158,8 @@ def _lost_in_text(text: Column, parsed: Column, dst: T.DataType) -> Column:
 def lost_values(col: Column, src: T.DataType, dst: T.DataType) -> Column | None:
     """How many values :func:`align_column` loses in one value, at any level; None where it cannot lose any.
 
-    Lost is what is not null before and null after, and each nested field with a value that ``dst`` does not have.
+    Lost is what is not null before and null after, each nested field with a value that ``dst`` does not have, and each
+    entry of a map whose key does not fit the other key type or, once it does, is there already.
     """
     if nullable(src) == nullable(dst) or isinstance(dst, T.StringType) and isinstance(src, _NESTED):
         return None
@@ -153,7 +179,12 @@ def lost_values(col: Column, src: T.DataType, dst: T.DataType) -> Column | None:
             return None
         return _over(col, lambda e: lost_values(e, src.elementType, dst.elementType))
     if isinstance(src, T.MapType) and isinstance(dst, T.MapType):
-        if lost_values(F.lit(None), src.valueType, dst.valueType) is None:
+        inside = lost_values(F.lit(None), src.valueType, dst.valueType)
+        if nullable(src.keyType) != nullable(dst.keyType):
+            entries = _recast_keys(col, src, dst, lambda v: F.lit(0) if inside is None else F.coalesce(
+                lost_values(v, src.valueType, dst.valueType), F.lit(0)))
+            return _lost_entries(entries)
+        if inside is None:
             return None
         return _over(F.map_values(col), lambda v: lost_values(v, src.valueType, dst.valueType))
     if isinstance(src, T.MapType) and isinstance(dst, T.StructType):
@@ -162,8 +193,18 @@ def lost_values(col: Column, src: T.DataType, dst: T.DataType) -> Column | None:
         counts = [lost_values(col.getItem(f.name), src.valueType, f.dataType) for f in dst.fields]
         return _sum([F.when(extra.isNotNull(), F.size(extra)).otherwise(0), *(c for c in counts if c is not None)])
     if isinstance(src, T.StructType) and isinstance(dst, T.MapType):
-        counts = [lost_values(field_of(col, src, f.name), f.dataType, dst.valueType) for f in src.fields]
-        return _sum([c for c in counts if c is not None])
+        if not src.fields:
+            return None
+
+        def within(value: Column, dtype: T.DataType) -> Column:
+            # A field that has no value, or loses it, gives no entry and takes no key from another one.
+            count = lost_values(value, dtype, dst.valueType)
+            return F.when(align_column(value, dtype, dst.valueType).isNotNull(), F.lit(0) if count is None else F.coalesce(count, F.lit(0)))
+
+        entries = F.filter(_field_entries(col, src, dst, within), lambda e: e.getField("value").isNotNull())
+        fields = [(field_of(col, src, f.name), f.dataType) for f in src.fields]
+        whole = _sum([_is_lost(c, align_column(c, t, dst.valueType)) for c, t in fields])
+        return F.when(col.isNotNull(), _lost_entries(entries) + whole).otherwise(0)
     return _is_lost(col, col.try_cast(dst))
 
 

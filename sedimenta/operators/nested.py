@@ -16,6 +16,7 @@ from sedimenta.functions.json_values import (
 from sedimenta.functions.naming import (
     clean_name, clean_names, quote, resolve_case_conflicts, root_id_column, unique_names,
 )
+from sedimenta.functions.numbers import NumberShape, number_shape
 from sedimenta.operators.align import field_of
 from sedimenta.scratch import stage
 
@@ -269,7 +270,8 @@ def stage_map_elements(df: DataFrame, nested: NestedField, root_id: str) -> Data
 
 
 def map_children(elements: DataFrame, nested: NestedField) -> list[MapChild]:
-    """One job infers the element type of every key, over all values.
+    """One job infers the element type of every key, over all values; where fields hold fractions, a second one
+    finds the least type that keeps their numbers exact.
 
     Partial aggregation keeps a hot key harmless. The result is the list of tables to write.
     """
@@ -284,11 +286,33 @@ def map_children(elements: DataFrame, nested: NestedField) -> list[MapChild]:
         dtype = variant_type(row["type"])
         if isinstance(dtype, T.StructType) and dtype.fields:
             children.append((row["_key"], row["_slot"], dtype, row["elements"]))
+    children = _exact_numbers(elements, children)
     names = unique_names(f"{nested.table}_{clean_name(key)}" for key, *_ in children)
     return [MapChild(key, slot, name, dtype, n)
             for (key, slot, dtype, n), name in zip(children, names)]
 
 
+def _exact_numbers(elements: DataFrame, children: list[tuple]) -> list[tuple]:
+    """The children, (key, slot, type, elements), their fractional fields as wide as all their values need."""
+    fractional = {key: [f.name for f in dtype.fields if isinstance(f.dataType, (T.DecimalType, T.DoubleType))]
+                  for key, _, dtype, _ in children}
+    keys = [key for key, names in fractional.items() if names]
+    if not keys:
+        return children
+    view = elements.where(F.col("_key").isin(keys)).select("_key", "_element")
+    values = view.lateralJoin(view.sparkSession.tvf.variant_explode(F.col("_element").outer()).select("key", "value"))
+    typed = values.select("_key", "key", "value", F.schema_of_variant("value").alias("_schema"))
+    found = typed.groupBy("_key", "key").agg(
+        *[c.alias(n) for n, c in number_shape(F.col("value"), F.col("_schema")).items()]).where("fraction").collect()
+    shapes = {(r["_key"], r["key"]): NumberShape(r["whole"], r["scale"], r["fraction"], r["huge"]) for r in found}
+
+    def exact(key: str, f: T.StructField) -> T.StructField:
+        shape = shapes.get((key, f.name))
+        return T.StructField(f.name, shape.dtype) if shape and f.name in fractional[key] else f
+
+    return [(key, slot, T.StructType([exact(key, f) for f in dtype.fields]), n) for key, slot, dtype, n in children]
+
+
 def map_child_fields(elements: DataFrame, nested: NestedField, child: MapChild,
                      root_id: str) -> list[tuple[T.StructField, Column]]:
     """The columns of one key's child over the elements, each field cast and named on its own.

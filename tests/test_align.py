@@ -99,3 +99,27 @@ def test_serialise_changed(spark):
     df = spark.sql("SELECT named_struct('p', 1) AS `a b`, 'text' AS c")
     out = serialise_changed(df, df.schema, T.StructType.fromDDL("a_b string, c string"))
     assert out.first().asDict() == {"a_b": '{"p":1}', "c": "text"}
+
+
+def both_counts(spark, value, target):
+    df = spark.sql(f"SELECT {value} AS m")
+    schema = T.StructType.fromDDL(f"m {target}")
+    return align_to(df, schema).first()["m"], lost_in_alignment(df, schema).first()["m"]
+
+
+@pytest.mark.parametrize("value, target, expected", [
+    ("map('abc', 1, '7', 2)", "map<int,int>", ({7: 2}, 1)),
+    ("map('7', 1, ' 7', 2, '8', 3)", "map<int,int>", ({7: 1, 8: 3}, 1)),                     # one key twice: the first stays
+    ("map('7', 'x', '8', '9', 'z', 'q')", "map<int,int>", ({7: None, 8: 9}, 2)),
+    ("map('1', named_struct('a', 1, 'b', 2))", "map<bigint,struct<a:int>>", ({1: (1,)}, 1)),
+    ("CAST(NULL AS map<string,int>)", "map<int,int>", (None, 0)),
+    ("CAST(map() AS map<string,int>)", "map<int,int>", ({}, 0)),
+    ("named_struct('7', 1, 'abc', 2, 'none', CAST(NULL AS int))", "map<int,int>", ({7: 1}, 1)),
+    ("named_struct('07', 1, '7', 2, '7.', CAST(NULL AS int))", "map<int,bigint>", ({7: 1}, 1)),
+    ("named_struct('07', 'x', '7', '5')", "map<int,int>", ({7: 5}, 1)),
+    ("named_struct('1', 'x', '2', '5')", "map<int,int>", ({2: 5}, 1)),
+    ("CAST(NULL AS struct<a:int>)", "map<int,int>", (None, 0)),
+    ("array(map('a', 1), map('1', 1), NULL)", "array<map<int,int>>", ([{}, {1: 1}, None], 1)),
+])
+def test_map_keys_that_do_not_fit(spark, value, target, expected):
+    assert both_counts(spark, value, target) == expected

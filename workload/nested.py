@@ -219,3 +219,25 @@ def child_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     for other in rest:
         first = first.unionByName(other)
     return first
+
+
+@query("""
+    SELECT o_orderkey AS orderid, CAST(CASE o_orderkey % 3 WHEN 0 THEN CAST(9007199254740993 + o_orderkey AS DECIMAL(20,4))
+               WHEN 1 THEN CAST(o_orderkey AS DECIMAL(20,4)) + CAST(0.125 AS DECIMAL(20,4))
+               ELSE CAST(0.0025 AS DECIMAL(20,4)) END AS DECIMAL(20,4)) AS mixed,
+           CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderkey AS DOUBLE) WHEN 1 THEN 1.5 ELSE 100.0 END AS small,
+           CAST(o_orderkey AS BIGINT) AS whole, 'decimal(20,4)' AS kind FROM orders""")
+def map_numbers_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longs past a double's digits, decimals and doubles in one field of a map's elements: one exact type for all."""
+    key = F.col("o_orderkey").cast("string")
+    first = F.col("o_orderkey") % 3
+    mixed = F.when(first == 0, (F.lit(9007199254740993) + F.col("o_orderkey")).cast("string")).when(
+        first == 1, F.concat(key, F.lit(".1250"))).otherwise("2.5e-3")
+    small = F.when(first == 0, key).when(first == 1, "1.50").otherwise("1e2")
+    text = F.format_string('[{"mixed": %s, "small": %s, "whole": %s}]', mixed, small, key)
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("OrderId"), F.create_map(F.lit("n"), text).alias("M"))
+    plan = N.plan_normalisation(orders, "orders")
+    elements = N.stage_map_elements(orders, plan.maps[0], plan.root_id)
+    child, = N.map_children(elements, plan.maps[0])
+    rows = N.map_child(elements, plan.maps[0], child, plan.root_id)
+    return rows.select("orderid", "mixed", "small", "whole", F.lit(rows.schema["mixed"].dataType.simpleString()).alias("kind"))

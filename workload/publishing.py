@@ -178,7 +178,7 @@ def nested_evolution_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     for day, records in days.items():
         records.write.json(f"{folder}/{day}")
         report = raw_ingest(spark, day, {
-            "source": {"input_path": f"{folder}/{day}", "multi_line": False, "file_pattern": r"^part-.*\\.json$"},
+            "source": {"input_path": f"{folder}/{day}", "multi_line": False, "file_pattern": r"^part-.*\.json$"},
             "destination": {"database": database, "table": "events", "write_mode": "overwrite",
                             "partition_by": ["execution_date"], "evolve_nested": True}})
         lost += sum(report.lost_values.values())

@@ -61,6 +61,21 @@ def align_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("spec").isNull().alias("parent_null"))
 
 
+@query("""
+    SELECT o_orderkey, k.key AS key, k.value AS value, 2 * (SELECT count(*) FROM orders) AS lost FROM orders,
+    LATERAL (VALUES (o_orderkey, o_totalprice), (o_custkey + 1000000000, CAST(o_custkey AS DOUBLE))) k(key, value)""")
+def align_map_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps and structs become maps with numbers as keys: names that are no number, and second spellings of one, are counted."""
+    customer = (F.col("o_custkey") + 1000000000).cast("string")
+    source = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.create_map(F.col("o_orderkey").cast("string"), F.col("o_totalprice"), F.col("o_orderstatus"), F.lit(1.0),
+                                   F.concat(F.lit("0"), F.col("o_orderkey").cast("string")), F.lit(2.0),
+                                   customer, F.col("o_custkey").cast("double")).alias("m"))
+    stored = T.StructType.fromDDL("o_orderkey bigint, m map<bigint,double>")
+    lost = lost_in_alignment(source, stored).select("m").scalar()
+    return align_to(source, stored).select("o_orderkey", F.explode("m").alias("key", "value")).withColumn("lost", lost)
+
+
 @query("""
     SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey,
            CAST(NULL AS VARCHAR) AS c_mktsegment FROM supplier""")
