@@ -24,14 +24,14 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .chunk_table import joined, places
+from .chunk_table import places
 from .op7_token_files import space_chunks
 from .op9_sentencepiece import MARK, splits_at_markers
 from .staging import discard, stage_lean
@@ -41,16 +41,17 @@ PART_BYTES = 1 << 16  # texts up to this are one fragment; longer ones are cut i
 RANGE_BYTES = 1 << 14  # of a long text's fragments
 FAN = 32  # neighbouring fragments that one join takes
 HOT = 1 << 16
-_MOST_WORDS = 300_000  # that a worker keeps segmented
+_MOST_WORDS = 200_000  # that a worker keeps segmented
 _MOST_LETTERS = 4_000_000
 
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _WHITE = re.compile(r"\s")
 
 _PAIRS = "array<struct<pair: bigint, n: int>>"
-_FRAGMENT = ("row long, part long, ok boolean, cut boolean, n_a long, n_b long, n_groups long, groups string, "
-             f"prefix_a array<int>, prefix_b array<int>, suffix_a array<int>, suffix_b array<int>, pairs {_PAIRS}")
-_ARROW_PAIRS = pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int32())]))
+_FIELDS = {"row": "long", "part": "long", "ok": "boolean", "cut": "boolean", "n_a": "long", "n_b": "long", "n_groups": "long",
+           "groups": "string", "prefix_a": "array<int>", "prefix_b": "array<int>", "suffix_a": "array<int>",
+           "suffix_b": "array<int>", "pairs": _PAIRS}
+_FRAGMENT = ", ".join(f"{name} {kind}" for name, kind in _FIELDS.items())
 
 
 def _byte_values() -> dict[str, int]:
@@ -131,7 +132,8 @@ Lengths = tuple[np.ndarray, np.ndarray]
 
 def overlaps(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
     """The linked pairs of tokens that cover the same bytes, in order."""
-    last = np.union1d(ends_a, ends_b) - 1  # the last byte of each overlap
+    last = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # two sorted runs
+    last = last[np.append(last[1:] != last[:-1], True)] - 1 if len(last) else last  # the last byte of each overlap
     return (a[np.searchsorted(ends_a, last, "right")].astype(np.int64) << 32) | b[np.searchsorted(ends_b, last, "right")]
 
 
@@ -156,7 +158,8 @@ def join_fragments(left: Fragment, right: Fragment, lengths: Lengths) -> Fragmen
 
 def grouped(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The common ends of two token sequences, and how many tokens of each end up to each of them."""
-    common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    every = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+    common = every[1:][every[1:] == every[:-1]]
     return common, np.searchsorted(ends_a, common, "right"), np.searchsorted(ends_b, common, "right")
 
 
@@ -177,92 +180,140 @@ def closed(found: Fragment, lengths: Lengths) -> Fragment:
     return join_fragments(_BEGUN, found, lengths)
 
 
+class _Vocabulary:
+    """One side's ids for NumPy: the bytes of every id end to end, their number, and the id in decimal before a separator."""
+
+    def __init__(self, token_bytes: list[bytes], last: str):
+        self.size = np.array([len(x) for x in token_bytes], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(token_bytes), np.uint8)
+        self.within = np.array([f"{k}," for k in range(len(token_bytes))], object)
+        self.at_end = np.array([f"{k}{last}" for k in range(len(token_bytes))], object)
+
+    def spelled(self, ids: np.ndarray) -> np.ndarray:
+        return self.flat[places(self.start[ids], self.size[ids])]
+
+    def named(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Each id in decimal with a comma, at the (exclusive) ends of groups with the other separator."""
+        out = self.within[ids]
+        out[ends - 1] = self.at_end[ids[ends - 1]]
+        return out
+
+
 class _Words:
     """A worker's words with their ids and groups.
 
-    Full, it begins anew, so memory is bounded; results do not depend on what it holds.
+    Full, it keeps the words that came more than once, half its size at most; results do not depend on what it holds.
     """
 
-    def __init__(self, both: Sides):
+    def __init__(self, both: Sides, most: int = _MOST_WORDS):
         self.both = both
-        self.lengths = tuple(np.array([len(x) for x in side], np.int64) for side in both.token_bytes)
-        self._names = tuple([str(k) for k in range(len(side))] for side in both.token_bytes)
-        self._segment = [
-            joined(encode, begins, lambda w: both.splits and w != "" and MARK not in w and not _WHITE.search(w))
-            for encode, begins in zip(both.encode, both.begins)]
+        self._most = most
+        self._vocabularies = [_Vocabulary(names, last) for names, last in zip(both.token_bytes, "|;")]
         self._width = len(both.token_bytes[1])
-        self._clear()
-
-    def _clear(self) -> None:
         self._row: dict[str, int] = {}
-        self._texts: list[str] = []
-        self._letters = 0
+        self._texts: list[str] = []  # each with a separator at its end
         self._numbers = np.zeros((0, 4), np.int64)  # ids of A, of B, groups, and 1 if the bytes are the word's
-        self._codes = self._start = self._size = _NONE
+        self._codes = self._start = self._size = self._uses = _NONE
+        self._letters = 0
+
+    def _shrink(self) -> None:
+        often = np.flatnonzero(self._uses > 1)
+        often = often[np.argsort(-self._uses[often], kind="stable")][: self._most // 2]
+        names = list(self._row)
+        keep = [k for k in often.tolist() if len(names[k]) <= 64]
+        at = np.array(keep, np.int64)
+        self._codes = self._codes[places(self._start[at], self._size[at])]
+        self._numbers, self._size = self._numbers[at], self._size[at]
+        self._start = np.cumsum(self._size) - self._size
+        self._uses = np.zeros(len(at), np.int64)
+        self._texts = [self._texts[k] for k in keep]
+        self._row = {names[k]: row for row, k in enumerate(keep)}
+        self._letters = sum(map(len, self._row))
+
+    def _segmented(self, plain: list[str], others: list[str], side: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words end to end, and how many each has. Plain words go to the library side by side, parted by
+        a space: their ids part where one begins with it."""
+        encode, begins = self.both.encode[side], self.both.begins[side]
+        lists = encode([" ".join(plain[k : k + 1000]) for k in range(0, len(plain), 1000)] + others)
+        apart = len(lists) - len(others)
+        flat = np.fromiter(chain.from_iterable(lists[:apart]), np.int64)
+        cuts = np.flatnonzero(begins[flat])
+        if len(cuts) != len(plain):  # the model isn't as described
+            lists, apart, flat, cuts = encode(plain) + lists[apart:], 0, _NONE, _NONE
+        sizes = np.concatenate([np.diff(np.append(cuts, len(flat))), np.array([len(x) for x in lists[apart:]], np.int64)])
+        return np.concatenate([flat, np.fromiter(chain.from_iterable(lists[apart:]), np.int64)]), sizes
 
     def _spelled(self, words: list[str], flat: list[np.ndarray], sizes: list[np.ndarray]) -> np.ndarray:
         """Whether the joined bytes of both sides' tokens are a space and the word."""
-        wanted = [b" " + w.encode() for w in words]
-        same = np.ones(len(words), bool)
-        for names, ids, n in zip(self.both.token_bytes, flat, sizes):
-            cuts = np.append(0, np.cumsum(n)).tolist()
-            tokens = [names[i] for i in ids.tolist()]
-            if b"".join(tokens) != b"".join(wanted):
-                same &= np.array([b"".join(tokens[i:k]) == w for i, k, w in zip(cuts, cuts[1:], wanted)])
-        return same
+        wanted = "".join([f" {w}" for w in words]).encode()
+        spelled = [v.spelled(ids) for v, ids in zip(self._vocabularies, flat)]
+        lengths = [np.diff(np.append(0, np.cumsum(v.size[ids]))[np.append(0, np.cumsum(n))])
+                   for v, ids, n in zip(self._vocabularies, flat, sizes)]
+        if np.array_equal(*lengths) and all(x.tobytes() == wanted for x in spelled):
+            return np.ones(len(words), bool)
+        cuts = [np.append(0, np.cumsum(n)).tolist() for n in lengths]
+        return np.array([all(x[c[k] : c[k + 1]].tobytes() == b" " + w.encode() for x, c in zip(spelled, cuts))
+                         for k, w in enumerate(words)])
 
     def _add(self, words: list[str]) -> None:
-        found = [segment(words) for segment in self._segment]
+        alike = [self.both.splits and w != "" and MARK not in w and not _WHITE.search(w) for w in words]
+        plain, others = [w for w, x in zip(words, alike) if x], [w for w, x in zip(words, alike) if not x]
+        words = plain + others
+        found = [self._segmented(plain, others, side) for side in (0, 1)]
         flat, sizes = [f[0] for f in found], [f[1] for f in found]
         ok = self._spelled(words, flat, sizes)
         # Of words whose bytes fit, one after the other, every word begins and ends at a common end.
         flat = [ids[np.repeat(ok, n)] for ids, n in zip(flat, sizes)]
         sizes = [np.where(ok, n, 0) for n in sizes]
-        ends = [np.cumsum(n[ids]) for n, ids in zip(self.lengths, flat)]
+        ends = [np.cumsum(v.size[ids]) for v, ids in zip(self._vocabularies, flat)]
         common, at_a, at_b = grouped(*flat, *ends)
         word_ends = np.append(0, ends[0])[np.cumsum(sizes[0])]
         groups = np.diff(np.searchsorted(common, word_ends, "right"), prepend=0)
         links = overlaps(*flat, *ends)
         n_links = sizes[0] + sizes[1] - groups
-        self._texts += self._spell(flat, at_a, at_b, groups)
+        self._texts += self._spell(flat, at_a, at_b, sizes)
         self._row.update(zip(words, range(len(self._row), len(self._row) + len(words))))
         self._letters += sum(map(len, words))
         self._numbers = np.concatenate([self._numbers, np.stack([*sizes, groups, ok.astype(np.int64)], 1)])
         self._start = np.concatenate([self._start, len(self._codes) + np.cumsum(n_links) - n_links])
         self._size = np.concatenate([self._size, n_links])
+        self._uses = np.concatenate([self._uses, np.zeros(len(words), np.int64)])
         self._codes = np.concatenate([self._codes, (links >> 32) * self._width + (links & 0xFFFFFFFF)])
 
-    def _spell(self, flat: list[np.ndarray], at_a: np.ndarray, at_b: np.ndarray, groups: np.ndarray) -> list[str]:
-        """The text of each word's groups."""
-        each = []
-        for names, ids, at in zip(self._names, flat, (at_a, at_b)):
-            texts = [names[i] for i in ids.tolist()]
-            cuts = [0, *at.tolist()]
-            each.append([",".join(texts[i:k]) if k - i > 1 else texts[i] for i, k in zip(cuts, cuts[1:])])
-        whole = [f"{a}|{b}" for a, b in zip(*each)]
-        cuts = [0, *np.cumsum(groups).tolist()]
-        return [";".join(whole[i:k]) for i, k in zip(cuts, cuts[1:])]
+    def _spell(self, flat: list[np.ndarray], at_a: np.ndarray, at_b: np.ndarray, sizes: list[np.ndarray]) -> list[str]:
+        """The text of each word's groups: of each group the ids of A, then those of B."""
+        out = np.empty(len(flat[0]) + len(flat[1]), object)
+        n_a, n_b = np.diff(at_a, prepend=0), np.diff(at_b, prepend=0)
+        out[np.arange(len(flat[0])) + np.repeat(at_b - n_b, n_a)] = self._vocabularies[0].named(flat[0], at_a)
+        out[np.arange(len(flat[1])) + np.repeat(at_a, n_b)] = self._vocabularies[1].named(flat[1], at_b)
+        pieces, cuts = out.tolist(), [0, *np.cumsum(sizes[0] + sizes[1]).tolist()]
+        return ["".join(pieces[i:k]) for i, k in zip(cuts, cuts[1:])]
 
     def fold(self, texts: list[list[str]]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """Of each text, given as its words: ok and the numbers of ids of A, of B and of groups; the groups' text; and the
         codes of all linked pairs with the text they are in. A text whose bytes differ has none."""
-        words = [w for of in texts for w in of]
-        if len(self._row) > _MOST_WORDS or self._letters > _MOST_LETTERS:
-            self._clear()
+        words = list(chain.from_iterable(texts))
+        if len(self._row) > self._most or self._letters > _MOST_LETTERS:
+            self._shrink()
         new = list(set(words).difference(self._row))
         if new:
             self._add(new)
-        rows = np.fromiter(map(self._row.__getitem__, words), np.int64, len(words))
-        owner = np.repeat(np.arange(len(texts)), [len(of) for of in texts])
-        numbers = np.stack([np.bincount(owner, self._numbers[rows, k], len(texts)) for k in range(4)], 1).astype(np.int64)
-        ok = numbers[:, 3] == np.bincount(owner, minlength=len(texts))
+        at = list(map(self._row.__getitem__, words))
+        rows = np.array(at, np.int64)
+        self._uses += np.bincount(rows, minlength=len(self._uses))
+        counts = np.array([len(of) for of in texts], np.int64)
+        owner = np.repeat(np.arange(len(texts)), counts)
+        numbers = np.diff(np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(self._numbers[rows], 0)])[
+            np.append(0, np.cumsum(counts))], axis=0)
+        ok = numbers[:, 3] == counts
         numbers[~ok] = 0
-        known, at, named = self._texts, rows.tolist(), []
-        lo = 0
-        for of, fits in zip(texts, ok.tolist()):
-            named.append(";".join([known[k] for k in at[lo : lo + len(of)]]) if fits else "")
-            lo += len(of)
-        rows, owner = rows[ok[owner]], owner[ok[owner]]
+        spelled, named, lo = list(map(self._texts.__getitem__, at)), [], 0
+        for n, fits in zip(counts.tolist(), ok.tolist()):
+            named.append("".join(spelled[lo : lo + n])[:-1] if fits else "")
+            lo += n
+        if not ok.all():
+            rows, owner = rows[ok[owner]], owner[ok[owner]]
         return numbers, named, self._codes[places(self._start[rows], self._size[rows])], np.repeat(owner, self._size[rows])
 
 
@@ -347,7 +398,7 @@ def _as_batch(row: int, parts: list[int], found: list[Fragment], ok: bool) -> pa
          pa.array([f.cut for f in found]), *(pa.array([f.counts[k] for f in found], pa.int64()) for k in range(3)),
          pa.array([";".join(f.groups) for f in found]), *(pa.array([f.prefix[k] for f in found], ints) for k in (0, 1)),
          *(pa.array([f.suffix[k] for f in found], ints) for k in (0, 1)), _counted_lists([f.pairs for f in found])],
-        names=T.StructType.fromDDL(_FRAGMENT).fieldNames())
+        names=list(_FIELDS))
 
 
 def _fragments(parts: DataFrame, byte_level: str, pieces: str, range_bytes: int) -> DataFrame:
@@ -435,7 +486,7 @@ def align(docs: DataFrame, byte_level: str, pieces: str, part_bytes: int = PART_
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     is_long = F.coalesce(F.octet_length("text") > part_bytes, F.lit(False))
-    short = stage_lean(_short(rows.where(~is_long), byte_level, pieces), "aligned")
+    short = stage_lean(_short(rows.where(~is_long), byte_level, pieces), "aligned", "zstd")
     texts = stage_lean(rows.where(is_long), "long-texts")
     parts = stage_lean(_long_parts(texts, byte_level, pieces, part_bytes), "long-parts")
     spread = parts.repartition(F.xxhash64("row", "part"))  # a long text's parts go to many tasks
@@ -466,13 +517,16 @@ def link_sums(aligned: DataFrame, counts: DataFrame) -> DataFrame:
     return frequent.unionByName(rare).groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
 
 
-def align_with_counts(docs: DataFrame, byte_level: str, pieces: str, **sizes: int) -> DataFrame:
-    """:func:`align` (and its ``sizes``) with n_links, n_best (links with their B id's most frequent partner) and count_sum."""
+def align_with_counts(docs: DataFrame, byte_level: str, pieces: str, groups: Column | None = None, **sizes: int) -> DataFrame:
+    """:func:`align` (and its ``sizes``) with n_links, n_best (links with their B id's most frequent partner) and count_sum.
+
+    ``groups`` is what is kept of the groups' text, such as a digest, which need not be moved then.
+    """
     aligned = align(docs, byte_level, pieces, **sizes)
-    counts = stage_lean(pair_counts(aligned), "pair-best")
-    sums = link_sums(aligned, counts)
-    return aligned.join(sums, "row", "left").select(
-        *aligned.columns, (F.col("n_a") + F.col("n_b") - F.col("n_groups")).alias("n_links"),
+    sums = link_sums(aligned, stage_lean(pair_counts(aligned), "pair-best"))
+    kept = aligned.select("row", "doc_id", "n_a", "n_b", "n_groups", (F.col("groups") if groups is None else groups).alias("groups"))
+    return kept.join(sums, "row", "left").select(
+        *kept.columns, (F.col("n_a") + F.col("n_b") - F.col("n_groups")).alias("n_links"),
         F.coalesce("n_best", F.lit(0)).cast("long").alias("n_best"), F.coalesce("count_sum", F.lit(0)).cast("long").alias("count_sum"))
 
 
@@ -481,6 +535,6 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    done = align_with_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
     digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
-    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+    done = align_with_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), digest)
+    return done.drop("row").withColumnRenamed("groups", "groups_sha256")

@@ -9,14 +9,14 @@ from sedimenta.scratch import new_path
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stage_lean(df: DataFrame, label: str) -> DataFrame:
+def stage_lean(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once and read it back; recovery from a lost executor then needs nothing before it."""
     spark = df.sparkSession
     path = new_path(spark, label)
     before = spark.conf.get(_CLEAN, None)
     spark.conf.set(_CLEAN, "true")
     try:
-        df.write.mode("error").parquet(path)
+        df.write.mode("error").option("compression", compression).parquet(path)
     finally:
         spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
     staged = spark.read.schema(df.schema).parquet(path)

@@ -94,12 +94,13 @@ def test_tables(spark):
     assert op.align_with_counts(empty, BYTE_LEVEL, PIECES).schema.simpleString().startswith("struct<row:bigint,doc_id:bigint")
 
 
-def test_one_word_table_begins_anew(spark, monkeypatch):
-    monkeypatch.setattr(op, "_MOST_WORDS", 3)
-    words = op._Words(op.sides(BYTE_LEVEL, PIECES))
-    texts = ["one two three four", "five six one two", "", "a▁b seven"]
-    folded = [words.fold([op.words_of(t) if t else []]) for t in texts]
-    assert [(f[1][0], int(f[0][0][2])) for f in folded] == [(";".join(g), len(g)) for g, _ in plain(texts)]
+def test_a_full_table_forgets(spark):
+    words = op._Words(op.sides(BYTE_LEVEL, PIECES), most=3)
+    texts = ["one two three four", "five six one two two", "", "a▁b seven two", "seven two " + "x" * 90, "two " + "x" * 90]
+    for text in texts * 2:
+        folded = words.fold([op.words_of(text) if text else []])
+        groups, links = plain([text])[0]
+        assert (folded[1][0], int(folded[0][0][2]), len(folded[2])) == (";".join(groups), len(groups), len(links))
 
 
 @pytest.mark.parametrize("seed", range(20))
