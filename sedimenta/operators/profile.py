@@ -56,22 +56,28 @@ def field_types(df: DataFrame, json: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("records")))
 
 
-def dominant_types(histogram: DataFrame) -> DataFrame:
-    """H4: per field the most frequent non-null type, and how many records fill it.
-
-    Works on the histogram, which has a handful of rows per field; equal counts fall to
-    the type that sorts first.
-    """
-    filled = F.when(F.col("type") != "null", F.col("records")).otherwise(0)
+def dominant_type() -> Column:
+    """H4 as an aggregate over (type, records): the most frequent non-null type; equal counts fall to the one that sorts
+    first. ``null`` where there is no other."""
     # The largest (count, type) with the type's order turned round by its rank.
     labels = F.array(*[F.lit(t) for t in sorted(
         ["boolean", "integer", "float", "string", "array", "object"], reverse=True)])
     ordinal = F.array_position(labels, F.col("type"))
     best = F.max(F.when(F.col("type") != "null", F.struct(F.col("records"), ordinal, F.col("type"))))
-    return histogram.groupBy("key").agg(
-        F.coalesce(best.getField("type"), F.lit("null")).alias("type"),
-        F.sum(filled).alias("filled"),
-    )
+    return F.coalesce(best.getField("type"), F.lit("null"))
+
+
+def filled_records() -> Column:
+    """As an aggregate over (type, records): how many records have a value."""
+    return F.sum(F.when(F.col("type") != "null", F.col("records")).otherwise(0))
+
+
+def dominant_types(histogram: DataFrame) -> DataFrame:
+    """H4: per field the most frequent non-null type, and how many records fill it.
+
+    Works on the histogram, which has a handful of rows per field.
+    """
+    return histogram.groupBy("key").agg(dominant_type().alias("type"), filled_records().alias("filled"))
 
 
 def field_profile(df: DataFrame, json: str) -> DataFrame:

@@ -6,44 +6,120 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.functions.json_values import is_object, value_label
-from sedimenta.operators.profile import (
-    SPARSE_BELOW, dominant_types, elect, json_fields, percent, record_count,
-)
+from sedimenta.functions.naming import quote
+from sedimenta.operators.profile import SPARSE_BELOW, dominant_type, filled_records, percent
 from sedimenta.scratch import stage
 
 
-def _object_fields(df: DataFrame, variant: str, *keep: str) -> DataFrame:
-    """One row per field of a variant object column."""
-    view = df.select(*keep, F.col(variant).alias("_object"))
-    return view.lateralJoin(
-        view.sparkSession.tvf.variant_explode(F.col("_object").outer())
-        .select(F.col("key").alias("field"), F.col("value").alias("field_value")),
-    ).drop("_object").where(F.col("field").isNotNull())
+def _fields_of(variant: Column) -> Column:
+    """The entries (key, value) of a variant object; none for other values."""
+    entries = F.map_entries(F.try_variant_get(variant, "$", "map<string,variant>"))
+    return F.coalesce(entries, F.array().cast("array<struct<key:string,value:variant>>"))
 
 
-def _elements(variant: Column) -> Column:
-    return F.try_variant_get(variant, "$", "array<variant>")
+def _objects_in(variant: Column) -> Column:
+    """The objects among the elements of a variant array; none for other values."""
+    elements = F.filter(F.try_variant_get(variant, "$", "array<variant>"), is_object)
+    return F.coalesce(elements, F.array().cast("array<variant>"))
 
 
-def _profile(fields: DataFrame, groups: list[str], totals: DataFrame) -> DataFrame:
-    """Dominant type and fill of each field within its group."""
-    histogram = fields.groupBy(*groups, "field", value_label(F.col("field_value")).alias("type")).agg(
-        F.count(F.lit(1)).alias("records"))
-    key = F.struct(*groups, "field")
-    ranked = dominant_types(histogram.withColumn("key", key))
-    return ranked.select(*[F.col("key").getField(g).alias(g) for g in groups],
-                         F.col("key.field").alias("column"), "type", "filled").join(totals, groups)
+def _node(place: str, key=None, field=None, sub=None, value=None, hit=None) -> Column:
+    none = F.lit(None)
+    return F.struct(
+        F.lit(place).alias("place"), (none if key is None else key).cast("string").alias("key"),
+        (none if field is None else field).cast("string").alias("field"), (none if sub is None else sub).cast("string").alias("sub"),
+        (F.lit("") if value is None else value_label(value)).alias("type"),
+        (F.lit(False) if hit is None else F.coalesce(hit, F.lit(False))).alias("hit"))
 
 
-def _columns(profile: DataFrame, table: Column, column: Column, dtype: Column,
-             total: Column) -> DataFrame:
-    return profile.select(table.alias("table"), column.alias("column"), dtype.alias("type"),
-                          percent(F.col("filled"), total).alias("filled_pct"))
+def _walk(root: Column) -> Column:
+    """Every node of a document that a layout depends on: where it is, its label, and whether it holds objects.
+
+    ``document``: the document itself; ``root``: its fields; ``object``: the fields of root objects; ``items``, ``item``:
+    the objects in root arrays and their fields; ``subitems``, ``subitem``: those of arrays in root objects.
+    """
+    def in_array(place: str, array: Column, **at) -> Column:
+        named = (lambda e: {"sub": e["key"]}) if "field" in at else (lambda e: {"field": e["key"]})
+        return F.flatten(F.transform(_objects_in(array), lambda x: F.concat(
+            F.array(_node(place + "s", **at)),
+            F.transform(_fields_of(x), lambda e: _node(place, value=e["value"], **at, **named(e))))))
+
+    def in_object(key: Column, e: Column) -> Column:
+        first = F.coalesce(is_object(F.try_variant_get(e["value"], "$[0]", "variant")), F.lit(False))
+        below = F.when(first, in_array("subitem", e["value"], key=key, field=e["key"]))
+        return F.concat(F.array(_node("object", key, e["key"], value=e["value"], hit=first)),
+                        F.coalesce(below, F.filter(F.array(_node("")), lambda _: F.lit(False))))
+
+    def in_root(e: Column) -> Column:
+        hit = F.size(_objects_in(e["value"])) > 0
+        return F.concat(
+            F.array(_node("root", e["key"], value=e["value"], hit=hit)), in_array("item", e["value"], key=e["key"]),
+            F.flatten(F.transform(_fields_of(e["value"]), lambda f: in_object(e["key"], f))))
+
+    return F.concat(F.array(_node("document")), F.flatten(F.transform(_fields_of(root), in_root)))
 
 
-def _key(rows: DataFrame, table: Column, column: Column, filled: Column) -> DataFrame:
-    return rows.select(table.alias("table"), column.alias("column"), F.lit("string").alias("type"),
-                       filled.alias("filled_pct"))
+def path_histogram(df: DataFrame, json: str) -> DataFrame:
+    """place, key, field, sub, type, records, hits: every document walked once, and only counts leave its task."""
+    walked = df.select(F.explode(_walk(F.try_parse_json(quote(json)))).alias("n")).select("n.*")
+    return walked.groupBy("place", "key", "field", "sub", "type").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if("hit").alias("hits"))
+
+
+def _profile(counted: DataFrame) -> DataFrame:
+    """One row for each field of each place, and one for each group of elements, with what its layout depends on.
+
+    Everything about a root field and what is below it is brought together by windows over its key; all rows there are one
+    per path and count, never one per document.
+    """
+    in_object = F.col("place").isin("object", "subitem", "subitems")
+    at = counted.withColumns({
+        "folded": F.when(in_object, F.lower("field")),
+        "column": F.when(F.col("place") == "root", F.col("key")).when(F.col("place") == "subitem", F.col("sub"))
+        .when(F.col("place").isin("object", "item"), F.col("field"))})
+    fields = at.groupBy("place", "key", "folded", "column").agg(
+        dominant_type().alias("kind"), filled_records().alias("filled"), F.sum("records").alias("seen"), F.sum("hits").alias("hits"),
+        F.sum(F.when(F.col("type") == "object", F.col("records"))).alias("objects"))
+    below, together = Window.partitionBy("key"), Window.partitionBy("key", "folded")
+
+    def over(window: Window, place: str, value: str) -> Column:
+        return F.max(F.when(F.col("place") == place, F.col(value))).over(window)
+
+    found = fields.withColumns({
+        "root_kind": over(below, "root", "kind"), "root_hits": over(below, "root", "hits"),
+        "root_objects": over(below, "root", "objects"), "root_items": over(below, "items", "seen"),
+        "group_items": over(together, "subitems", "seen"), "group_hits": over(together, "object", "hits")})
+    is_id = (F.col("place") == "object") & (F.lower("column") == "id")
+    fill = F.struct("filled", percent(F.col("filled"), F.col("root_objects")).alias("pct"))
+    return found.withColumn("id_pct", F.max(F.when(is_id, fill)).over(below).getField("pct")).withColumn(
+        "child", (F.col("root_kind") == "array") & (F.col("root_hits") > 0))
+
+
+def _laid_out(profile: DataFrame, root: str, fk: str, documents: Column) -> DataFrame:
+    """The columns that each row of the profile stands for, with their tables."""
+    key, name, kind = F.lower("key"), F.col("column"), F.col("kind")
+    root_table = F.concat(F.lit(f"{root}_"), key)
+    sub_table = F.concat(root_table, F.lit("_"), F.col("folded"))
+
+    def column(table: Column, column: Column, dtype: Column, pct: Column, is_fk: bool = False) -> Column:
+        return F.struct(table.alias("table"), column.alias("column"), dtype.alias("type"), pct.alias("filled_pct"), F.lit(is_fk).alias("is_fk"))
+
+    def keyed(table: Column, name: Column, pct: Column) -> Column:
+        return column(table, name, F.lit("string"), pct, True)
+
+    flat = F.when(kind == "array", "array<string>").when((kind == "object") & (F.col("place") == "object"), "object(json)").otherwise(kind)
+    place, in_object, whole = F.col("place"), F.col("root_kind") == "object", F.lit(100.0)
+    becomes = (
+        F.when((place == "root") & ~F.col("child") & ~in_object, F.array(column(F.lit(root), name, flat, percent(F.col("filled"), documents))))
+        .when((place == "items") & F.col("child"), F.array(keyed(root_table, F.lit(fk), whole)))
+        .when((place == "item") & F.col("child"), F.array(column(root_table, name, kind, percent(F.col("filled"), F.col("root_items")))))
+        .when((place == "object") & in_object & ~((kind == "array") & (F.col("group_hits") > 0)), F.array(column(
+            F.lit(root), F.concat(key, F.lit("_"), name), flat, percent(F.col("filled"), F.col("root_objects")))))
+        .when((place == "subitems") & in_object, F.filter(F.array(
+            keyed(sub_table, F.lit(fk), whole), keyed(sub_table, F.concat(key, F.lit("_id")), F.col("id_pct"))),
+            lambda c: c["filled_pct"].isNotNull()))
+        .when((place == "subitem") & in_object, F.array(column(sub_table, name, kind, percent(F.col("filled"), F.col("group_items"))))))
+    return profile.select(F.inline(becomes))
 
 
 def suggest_tables(df: DataFrame, json: str, root: str = "alerts", fk: str = "alert_id") -> DataFrame:
@@ -52,79 +128,15 @@ def suggest_tables(df: DataFrame, json: str, root: str = "alerts", fk: str = "al
     Scalars and scalar arrays of the root, and the fields of its objects under an
     ``<object>_`` prefix, go to the main table; object arrays, of the root or of an object,
     become child tables with a foreign key and, where the object has one, its id. All
-    records are counted, none is sampled. Only histograms are shuffled: a row per field and
-    type from each task.
+    records are counted, none is sampled. The documents are read once, into a histogram of
+    paths; the layout is made of that alone.
     """
-    # Parsed once: the profiles below read the fields of each level again.
-    root_fields = stage(json_fields(df, json), "json-fields")
-    histogram = root_fields.groupBy("key", value_label(F.col("value")).alias("type")).agg(
-        F.count(F.lit(1)).alias("records"),
-        F.bool_or(F.exists(_elements(F.col("value")), is_object)).alias("_hit"))
-    level1 = dominant_types(histogram).join(histogram.groupBy("key").agg(
-        F.coalesce(F.bool_or("_hit"), F.lit(False)).alias("object_array")), "key")
-
-    is_child = (F.col("type") == "array") & F.col("object_array")
-    main = _columns(
-        level1.where(~is_child & (F.col("type") != "object")),
-        F.lit(root), F.col("key"),
-        F.when(F.col("type") == "array", "array<string>").otherwise(F.col("type")),
-        record_count(df))
-
-    # Root arrays of objects: one child each. Every object element is profiled, and the few
-    # rows of the profile then meet the classification; the elements never do.
-    root_children = level1.where(is_child).select("key")
-    items = root_fields.select("key", F.explode(_elements(F.col("value"))).alias("_item")).where(
-        is_object(F.col("_item")))
-    item_totals = items.groupBy("key").agg(F.count(F.lit(1)).alias("total")).join(root_children, "key")
-    root_table = F.concat(F.lit(root + "_"), F.lower("key"))
-    root_tables = _columns(
-        _profile(_object_fields(items, "_item", "key"), ["key"], item_totals),
-        root_table, F.col("column"), F.col("type"), F.col("total"))
-    root_keys = _key(item_totals, root_table, F.lit(fk), F.lit(100.0))
-
-    # Fields of root objects.
-    objects = root_fields.where(is_object(F.col("value")))
-    object_totals = objects.groupBy("key").agg(F.count(F.lit(1)).alias("total")).join(
-        level1.where("type = 'object'").select("key"), "key")
-    sub = _object_fields(objects, "value", "key").withColumn("_folded", F.lower("field"))
-    sub_profile = _profile(sub, ["key"], object_totals)
-    array_fields = sub.where(
-        F.coalesce(is_object(F.try_variant_get("field_value", "$[0]", "variant")), F.lit(False)))
-    spellings = array_fields.groupBy(F.struct("key", "_folded").alias("folded"),
-                                     F.col("field").alias("key")).agg(F.count(F.lit(1)).alias("records"))
-    elected = elect(spellings).select("folded.key", "folded._folded", "canonical").join(
-        object_totals.select("key"), "key")
-    inline = sub_profile.withColumn("_folded", F.lower("column")).join(
-        elected, ["key", "_folded"], "left").where(
-        ~((F.col("type") == "array") & F.col("canonical").isNotNull()))
-    object_columns = _columns(
-        inline, F.lit(root), F.concat(F.lower("key"), F.lit("_"), F.col("column")),
-        F.when(F.col("type") == "array", "array<string>").when(
-            F.col("type") == "object", "object(json)").otherwise(F.col("type")), F.col("total"))
-
-    # Object arrays inside those objects: one child per key, whatever its spelling.
-    sub_items = array_fields.select(
-        "key", "_folded", F.explode(_elements(F.col("field_value"))).alias("_item")
-    ).where(is_object(F.col("_item")))
-    sub_totals = sub_items.groupBy("key", "_folded").agg(F.count(F.lit(1)).alias("total")).join(
-        object_totals.select("key"), "key")
-    sub_table = F.concat(F.lit(root + "_"), F.lower("key"), F.lit("_"), F.col("_folded"))
-    sub_tables = _columns(
-        _profile(_object_fields(sub_items, "_item", "key", "_folded"), ["key", "_folded"], sub_totals),
-        sub_table, F.col("column"), F.col("type"), F.col("total"))
-    sub_keys = _key(sub_totals, sub_table, F.lit(fk), F.lit(100.0))
-    ids = sub_profile.where(F.lower("column") == "id").groupBy("key").agg(
-        F.max_by(percent(F.col("filled"), F.col("total")), "filled").alias("filled_pct"))
-    sub_ids = _key(elected.join(ids, "key"), sub_table, F.concat(F.lower("key"), F.lit("_id")),
-                   F.col("filled_pct"))
-
-    keys = root_keys.unionByName(sub_keys).unionByName(sub_ids).withColumn("is_fk", F.lit(True))
-    data = main.unionByName(object_columns).unionByName(root_tables).unionByName(
-        sub_tables).withColumn("is_fk", F.lit(False))
-    rows = keys.unionByName(data)
+    counted = stage(path_histogram(df, json), "path-histogram")
+    documents = counted.where("place = 'document'").agg(F.coalesce(F.sum("records"), F.lit(0))).scalar()
+    rows = _laid_out(_profile(counted), root, fk, documents)
     # C18 within each table; the rows are columns of the suggestion, a few per table.
     same = Window.partitionBy("table", F.lower("column"))
     marked = F.when((F.count(F.lit(1)).over(same) > 1) & (F.col("column") != F.lower("column"))
                     & (F.col("table") != root), F.concat("column", F.lit("_")))
     return rows.withColumn("column", F.coalesce(marked, F.col("column"))).withColumn(
-        "is_sparse", F.col("filled_pct") < SPARSE_BELOW)
+        "is_sparse", F.col("filled_pct") < SPARSE_BELOW).select("table", "column", "type", "filled_pct", "is_fk", "is_sparse")

@@ -90,3 +90,14 @@ def test_profile_combines_before_the_shuffle(spark):
     docs = table(spark, SF, "events").select(F.col("props").alias("json"))
     text = plan(field_profile(docs, "json"))
     assert "partial_count" in text and "ReadSchema: struct<props:string>" in text
+
+
+def test_layout_reads_the_documents_once(spark):
+    """One pass writes the histogram; the layout scans that twice, once for the number of documents."""
+    from sedimenta.plans.suggest import path_histogram, suggest_tables
+
+    df = spark.range(50).selectExpr("""'{"a": 1, "o": {"l": [{"x": 1}], "id": 2}, "i": [{"y": 3}]}' AS json""")
+    histogram = plan(path_histogram(df, "json"))
+    assert histogram.count("Range (") == 1 and "Python" not in histogram and histogram.count("Exchange") == 1
+    layout = plan(suggest_tables(df, "json"))
+    assert layout.count("FileScan") <= 3 and "Join" not in layout
