@@ -6,8 +6,9 @@ disagree together than apart, their mean is unbiased with less variance than tha
 
 Bands of ``2 * _PER_BAND`` values (both ends of a few permutations) bring sets together; a pair at the threshold is missed
 with a chance of 3e-7. Groups of a band are never paired all with all. Every set meets the typical members of its groups
-first, and linked sets merge into components; after that only sets of different components meet, most of them told
-apart by their signatures, and what is left is verified. Links are decided on the full sets of shingles.
+first, and linked sets merge into components. In groups with several components after that, sets are told apart by
+their differences from the group's leader (see :func:`_across`) and by their signatures, and what is left is verified.
+Links are decided on the full sets of shingles.
 
 Equal sets are one node. Shingles are 64-bit hashes of words, sets are told apart by 128 bits.
 """
@@ -186,41 +187,113 @@ def _merged(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     return stage_lean(connected_components(links.unionByName(kept)), "components")
 
 
+def _led(shared: DataFrame, turn: int) -> DataFrame:
+    """key, lead, m: the typical member of each group, the one with most company in all its groups, or just any."""
+    order = F.xxhash64("id", "key") if turn % 2 else F.struct("company", "id")
+    leader = shared.groupBy("key").agg(F.max_by(F.struct(F.col("id").alias("lead"), F.col("n").alias("m")), order).alias("l"))
+    return leader.select("key", "l.lead", "l.m")
+
+
 def _met_leaders(shared: DataFrame, turn: int, parts: DataFrame | None) -> DataFrame:
     """Pairs (a, b): each set with the leaders of its groups it shares most with, if not of its component already."""
-    order = F.xxhash64("id", "key") if turn else F.col("id")
-    leader = shared.groupBy("key").agg(F.min_by(F.struct(F.col("id").alias("b"), F.col("n").alias("m")), order).alias("l"))
-    pairs = shared.join(leader, "key").select("id", "n", "l.b", "l.m").where((F.col("id") != F.col("b")) & _fits(F.col("n"), F.col("m")))
+    pairs = shared.join(_led(shared, turn), "key").select("id", "n", "lead", "m") \
+        .where((F.col("id") != F.col("lead")) & _fits(F.col("n"), F.col("m")))
     if parts is not None:
-        pairs = pairs.join(_component("id", parts, "ca"), "id", "left").join(_component("b", parts, "cb"), "b", "left") \
-            .where(F.coalesce("ca", "id") != F.coalesce("cb", "b"))
-    common = pairs.groupBy("id", "b").agg(F.count("*").alias("common"))
-    best = Window.partitionBy("id").orderBy(F.desc("common"), "b")
+        pairs = pairs.join(_component("id", parts, "ca"), "id", "left").join(_component("lead", parts, "cb"), "lead", "left") \
+            .where(F.coalesce("ca", "id") != F.coalesce("cb", "lead"))
+    common = pairs.groupBy("id", "lead").agg(F.count("*").alias("common"))
+    best = Window.partitionBy("id").orderBy(F.desc("common"), "lead")
     near = common.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= _LEADERS)
-    return near.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+    return near.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+
+
+def _mixed(shared: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rows of groups with several components."""
+    at = _in_parts(shared, parts)
+    return at.join(at.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key"), "key") \
+        .drop("c")
+
 
+def _in_parts(rows: DataFrame, parts: DataFrame, of: str = "id", name: str = "c") -> DataFrame:
+    return rows.join(_component(of, parts, name), of, "left").withColumn(name, F.coalesce(name, of))
 
-def _apart(shared: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one group and different components.
 
-    Of each group the sets of its largest component meet the others only.
+def _differences(met: DataFrame, whole: DataFrame) -> DataFrame:
+    """lead, id, m, n and the shingles that one of both sets has alone, of each (lead, id)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column(2), batch.column(3)
+            sets = [(np.frombuffer(x[k].as_buffer(), np.uint64), np.frombuffer(y[k].as_buffer(), np.uint64)) for k in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array([len(pair[k]) for pair in sets], pa.int64()) for k in (0, 1)),
+                 pa.array([np.setxor1d(*pair, assume_unique=True).view(np.int64) for pair in sets], pa.list_(pa.int64()))],
+                ["lead", "id", "m", "n", "alone"])
+
+    left = whole.select(F.col("id").alias("lead"), F.col("items").alias("x"))
+    right = whole.select("id", F.col("items").alias("y"))
+    return met.join(left, "lead").join(right, "id").select("lead", "id", "x", "y").mapInArrow(
+        run, "lead long, id long, m long, n long, alone array<long>")
+
+
+def _at_home(apart: DataFrame) -> DataFrame:
+    """The rows with their set's home: of its leaders, itself if it is one, that with most sets. Leaders all of whose sets
+    are together at another home are left out."""
+    led = apart.groupBy("lead").agg(F.count("*").alias("size"))
+    choices = apart.select("id", "lead").join(led, "lead").unionByName(led.select(F.col("lead").alias("id"), "lead", "size"))
+    home = choices.groupBy("id").agg(F.max_by("lead", F.struct("size", "lead")).alias("home"))
+    rows = apart.join(home, "id")
+    needed = rows.groupBy("lead").agg(F.min("home").alias("low"), F.max("home").alias("high")).where("low <> high or low = lead")
+    return rows.join(needed.select("lead"), "lead")
+
+
+def _across(apart: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets under one leader and of different components that may be linked.
+
+    With d(x) shingles between a set and its leader, two sets have at least (d(x) + d(y) - limit) / 2 of these in common
+    if they differ in no more than ``limit``. Of two components one is not the leader's, and its sets are farther from
+    the leader than the limit; so the other set has more than about half its own shingles in common with them, and one
+    among its rarest. Only these are indexed: what near copies have changed each for itself meets nothing.
+
+    Sets that are together under several leaders meet under the one with most sets, their home, alone.
     """
-    at = stage_lean(shared.join(_component("id", parts, "c"), "id", "left").withColumn("c", F.coalesce("c", "id")), "members")
-    main = at.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key").agg(
-        F.count("*").alias("kinds"), F.max_by("c", F.struct("k", "c")).alias("main")).where("kinds > 1").drop("kinds")
-    mixed = stage_lean(at.join(main, "key"), "mixed")
-    discard(at)
-    others = mixed.where("c <> main").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    anyone = mixed.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    return others.join(anyone, "key").where((F.col("ca") != F.col("cb")) & _fits(F.col("na"), F.col("nb"))).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame | None:
+    d = F.size("alone").cast("long")
+    rows = _at_home(apart)
+    rows = _in_parts(_in_parts(rows, parts), parts, "lead", "cl").withColumn("d", d).withColumn(
+        "far", (100 + SHARE) * F.col("d") - (100 - SHARE) * F.col("n")).withColumn("other", F.col("c") != F.col("cl"))
+    nearest = rows.where("other").groupBy("lead").agg(F.min("far").alias("nearest"))
+    shared = F.greatest(F.lit(1), F.ceil((F.col("nearest") + F.col("far")) / (2 * (100 + SHARE))))
+    each = stage_lean(rows.join(nearest, "lead").select(
+        "lead", "id", "home", "n", "c", "other", "d", "far", (F.col("d") - shared + 1).alias("looked"), F.explode("alone").alias("x")), "alone")
+    held = each.groupBy("lead", "x", "c").agg(F.count("*").alias("k")).groupBy("lead", "x").agg(
+        F.sum("k").alias("holders"), F.count("*").alias("kinds"), F.max_by("c", F.struct("k", "c")).alias("main"))
+    rarest = Window.partitionBy("lead", "id").orderBy("holders", "x")
+    counted = each.join(held, ["lead", "x"]).withColumn("rank", F.row_number().over(rarest)).where("kinds > 1")
+
+    def named(rows: DataFrame, side: str) -> DataFrame:
+        return rows.select("lead", "x", "main", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "home", "n", "c", "d", "far", "rank")))
+
+    counted = stage_lean(counted.where("other or rank <= looked"), "counted")
+    index, seek = named(counted.where("rank <= looked"), "b"), named(counted.where("other"), "a")
+    # The first shingle in common, by rarity, leaves as many in both sets as they must share.
+    in_common = F.greatest(F.lit(1), F.ceil((F.col("far_a") + F.col("far_b")) / (2 * (100 + SHARE)))) - 1
+    close = (F.col("c_a") != F.col("c_b")) & ((F.col("home_a") != F.col("home_b")) | (F.col("home_a") == F.col("lead"))) \
+        & _fits(F.col("n_a"), F.col("n_b")) & (F.col("d_a") - F.col("rank_a") >= in_common) & (F.col("d_b") - F.col("rank_b") >= in_common)
+
+    def meet(one: DataFrame, other: DataFrame) -> DataFrame:
+        return one.drop("main").join(other.drop("main"), ["lead", "x"]).where(close).select(
+            F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+
+    return meet(seek.where("c_a <> main"), index).unionByName(meet(seek.where("c_a = main"), index.where("c_b <> main"))).distinct()
+
+
+def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """node, component of every set linked to another. ``sets``: id, n, doc_id, version, bands, ends."""
     keyed = sets.select("id", "n", F.explode("bands").alias("key"))
-    several = keyed.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key")
-    shared = stage_lean(keyed.join(several, "key"), "shared-bands")
+    several = keyed.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
+    met = stage_lean(keyed.join(several, "key"), "met-in-bands")
+    shared = stage_lean(met.join(met.groupBy("id").agg(F.sum("held").alias("company")), "id").drop("held"), "shared-bands")
+    discard(met)
     wanted = sets.join(shared.select("id").distinct(), "id", "left_semi")
     whole = stage_lean(_whole_sets(docs, wanted.select("id", "doc_id", "version")), "whole-sets")
     parts = None
@@ -228,10 +301,17 @@ def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame | None:
         links = stage_lean(_verified(_met_leaders(shared, turn, parts), whole), "leader-links")
         parts = _merged(parts, links)
         discard(links)
-    rest = stage_lean(_alike(_apart(shared, parts), sets), "other-pairs")
+    # What is left are groups of several components: all their sets by their difference from the group's leader.
+    mixed = stage_lean(_mixed(shared, parts), "mixed")
+    met = mixed.join(_led(mixed, 0), "key").where("id <> lead").select("lead", "id").distinct()
+    apart = stage_lean(_differences(met, whole), "differences")
+    size, common = F.col("n") + F.col("m"), F.size("alone")
+    linked = apart.where(100 * (size - common) >= SHARE * (size + common)).select(F.col("lead").alias("a"), F.col("id").alias("b"))
+    parts = _merged(parts, linked)
+    rest = stage_lean(_alike(_across(apart, parts), sets), "other-pairs")
     links = stage_lean(_verified(rest, whole), "other-links")
     merged = _merged(parts, links)
-    discard(shared, whole, rest, links, parts)
+    discard(shared, whole, mixed, apart, rest, links, parts)
     return merged
 
 
