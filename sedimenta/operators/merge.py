@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from sedimenta.functions.naming import quote
 from sedimenta.operators.align import any_null
+from sedimenta.scratch import stage
 
 _UNORDERED = (T.MapType, T.VariantType)
 
@@ -42,11 +43,46 @@ def low_watermark(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.min(quote(column)).alias(column))
 
 
-def _on(keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & (F.col(f"t.{quote(k)}") == F.col(f"s.{quote(k)}"))
-    return condition
+MATCHED = "__matched"
+_APART = "__apart"
+
+
+def look_once(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: str | None = None,
+              floor: Column | None = None) -> DataFrame:
+    """The target's rows after the upsert, each with whether its key is in the source (``__matched``). One scan of it.
+
+    The target is on the side of the join that adaptive execution can split, so a key it repeats does not pile up, and
+    the batch on the side Spark broadcasts when its size allows: a small batch never shuffles the target. Target rows
+    that cannot match (a null key, or below ``floor`` for E2) have numbers of their own as a further key, which spreads
+    them over all tasks.
+    """
+    can_match = ~any_null([F.col(quote(k)) for k in keys])
+    if floor is not None:
+        can_match = can_match & F.coalesce(floor, F.lit(False))
+    apart = F.when(can_match, 0).otherwise(1 + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))).cast("int")
+    t = target.withColumn(_APART, apart).alias("t")
+    # No constant, or the optimizer would take it out of the keys that rows are dealt by.
+    with_key = F.when(any_null([F.col(quote(k)) for k in keys]), -1).otherwise(0).cast("int")
+    s = source.withColumns({MATCHED: F.lit(True), _APART: with_key}).alias("s")
+    on = [F.col(f"t.{quote(k)}") == F.col(f"s.{quote(k)}") for k in [*keys, _APART]]
+    matched = F.coalesce(F.col(f"s.{MATCHED}"), F.lit(False))
+    take = matched
+    if order_by:
+        newer = F.col(f"s.{quote(order_by)}") >= F.col(f"t.{quote(order_by)}")
+        take = matched & F.coalesce(newer, F.lit(False))
+    return t.join(s, on, "left").select(
+        *[F.when(take, F.col(f"s.{quote(c)}")).otherwise(F.col(f"t.{quote(c)}")).alias(c) for c in target.columns],
+        matched.alias(MATCHED))
+
+
+def not_matched(looked: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source's rows that no target row had the key of, those with a null key among them. ``looked`` is a written
+    :func:`look_once`; keys are distinct within its tasks before they are shuffled.
+
+    The source's rows are told by their own keys: an update brings these with it.
+    """
+    known = looked.where(MATCHED).select(*[F.col(quote(k)) for k in keys]).distinct()
+    return source.join(known, list(keys), "left_anti").select(*source.columns)
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -55,34 +91,11 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     Matched rows take the source when its timestamp is not older (always, without a
     timestamp); a null on either side keeps the target. Source rows without a match, and
-    those with a null key, are inserted.
-
-    Target rows that cannot match (a null key, or below ``floor`` for E2) pass by without a
-    shuffle. Both joins over the target have it on the side adaptive execution can split, so
-    a key it repeats does not pile up, and the batch on the side Spark broadcasts when its
-    size allows: a small batch then never shuffles the target.
+    those with a null key, are inserted. The target is read once; its rows are written to the shared folder, where the
+    rows to insert are found.
     """
-    key_columns = [F.col(quote(k)) for k in keys]
-    open_to_match = ~any_null(key_columns)
-    if floor is not None:
-        open_to_match = open_to_match & F.coalesce(floor, F.lit(False))
-    candidates = target.where(open_to_match).alias("t")
-    bypass = target.where(~open_to_match)
-
-    newer = F.col("s._present")
-    if order_by:
-        newer = newer & (F.col(f"s.{quote(order_by)}") >= F.col(f"t.{quote(order_by)}"))
-    take = F.coalesce(newer, F.lit(False))
-    updated = candidates.join(
-        source.withColumn("_present", F.lit(True)).alias("s"), _on(keys), "left",
-    ).select(*[
-        F.when(take, F.col(f"s.{quote(c)}")).otherwise(F.col(f"t.{quote(c)}")).alias(c)
-        for c in target.columns
-    ])
-    known = candidates.join(source.select(*keys).alias("s"), _on(keys), "left_semi").select(
-        *key_columns).distinct().alias("t")
-    inserted = source.alias("s").join(known, _on(keys), "left_anti")
-    return bypass.unionByName(updated).unionByName(inserted.select(*target.columns))
+    looked = stage(look_once(target, source, keys, order_by, floor), "looked")
+    return looked.drop(MATCHED).unionByName(not_matched(looked, source, keys).select(*target.columns))
 
 
 def merge_pruned(target: DataFrame, source: DataFrame, keys: Sequence[str],

@@ -35,7 +35,7 @@ SWITCH, MOVE, DROP, RESHAPE = "switch", "move", "drop", "reshape"
 VERSION, SCHEMA_OF = "sedimenta.schema.version", "sedimenta.schema.v"
 _PROPERTY_LIMIT = 3500
 
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _MANIFEST = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("label", T.StringType()), T.StructField("state", T.StringType()),
     T.StructField("moment", T.TimestampType()), T.StructField("folder", T.StringType()), T.StructField("step", T.IntegerType()),
@@ -150,7 +150,7 @@ def _specification(partition: str) -> str:
     parts = []
     for step in partition.split("/"):
         name, value = (unquote(x) for x in step.split("=", 1))
-        literal = "null" if value == _NULL_PARTITION else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        literal = "null" if value == NULL_PARTITION else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
         parts.append(f"{quote(name)} = {literal}")
     return ", ".join(parts)
 

@@ -232,6 +232,36 @@ def clear_partition(spark: SparkSession, table: str, column: str, value: str) ->
     return True
 
 
+def create_with_rows(spark: SparkSession, df: DataFrame, table: str, partition_by: Sequence[str | Column] | None = None,
+                     options: dict[str, Any] | None = None) -> None:
+    """A new table with its rows by one commit. A write that fails leaves no table.
+
+    On the built-in catalog time transforms become columns (C21), and buckets are the writer's.
+    """
+    name = quote_table(table)
+    if is_v2(spark, table):
+        writer = df.writeTo(name).options(**string_options(options))
+        for key, value in V2_PROPERTIES.items():
+            writer = writer.tableProperty(key, value)
+        if partition_by:
+            writer = writer.partitionedBy(*partition_spec(partition_by))
+        writer.createOrReplace()
+        return
+    fields = _fields(partition_by)
+    shaped = with_partition_values(df, partition_by)
+    by_name = {f.name.lower(): f.name for f in shaped.schema.fields}
+    writer = shaped.write.format(TABLE_FORMAT).options(**PARQUET_OPTIONS | string_options(options)).mode("error")
+    folders = [by_name[p.materialised_name.lower()] for p in fields if p.transform != "bucket"]
+    if folders:
+        writer = writer.partitionBy(*folders)
+    buckets = [p for p in fields if p.transform == "bucket"]
+    if len(buckets) > 1:
+        raise ValueError("the built-in catalog takes one bucket transform")
+    for b in buckets:
+        writer = writer.bucketBy(b.buckets, by_name[b.column.lower()])
+    writer.saveAsTable(name)
+
+
 def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Gather the rows of a partition before they are written, so that not every task leaves a
     file in every folder. A partition too large for one task is split again at run time."""
@@ -241,12 +271,18 @@ def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def create_or_append(spark: SparkSession, df: DataFrame, table: str,
                      partition_by: Sequence[str | Column] | None = None, mode: str = "append",
                      options: dict[str, Any] | None = None, gather: bool = False) -> dict[str, int]:
-    """Create the table when absent, then sync, align and write, then refresh.
+    """Create the table with its rows when absent (B7), else sync, align and write, then refresh.
 
     Returns the values lost per column, if any. ``gather`` shuffles the rows by partition first: worth it when a batch spans many.
     """
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"unsupported write mode: {mode!r}")
+    if not spark.catalog.tableExists(quote_table(table)):
+        rows = by_partition(df, [p.column for p in _fields(partition_by) if p.transform == "identity"]) if gather else df
+        create_with_rows(spark, rows, table, partition_by, options)
+        spark.catalog.refreshTable(quote_table(table))
+        return {}
     shaped = df if is_v2(spark, table) else with_partition_values(df, partition_by)
-    create_table(spark, table, df.schema, partition_by)
     watched, lost = _watch_losses(spark, shaped, table)
     aligned = align_to(watched, table_schema(spark, table))
     if gather:

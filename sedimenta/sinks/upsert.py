@@ -5,13 +5,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import quote as url_quote
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.functions.naming import quote, quote_table
-from sedimenta.operators.merge import low_watermark, merge_frames
+from sedimenta.operators.merge import look_once, low_watermark, merge_frames, not_matched
 from sedimenta.scratch import stage
+from sedimenta.sinks.publish import (
+    DROP, NULL_PARTITION, Step, apply, begin, can_publish, location_of, publish, recover, stage_rows, steps_for,
+)
 from sedimenta.sinks.tables import by_partition, is_v2, overwrite_partitions, replace_all
 
 
@@ -50,19 +55,39 @@ def _touched(target: DataFrame, source: DataFrame, keys: Sequence[str], columns:
     return stage(matched.unionByName(source.select(*columns)).distinct(), "touched")
 
 
-def _drop_partition(spark: SparkSession, table: str, row: Row, columns: list[str]) -> None:
-    values = ", ".join(
-        f"{quote(c)} = " + ("null" if row[c] is None else "'" + str(row[c]).replace("\\", "\\\\").replace("'", "\\'") + "'")
-        for c in columns)
-    spark.sql(f"ALTER TABLE {quote_table(table)} DROP IF EXISTS PARTITION ({values})")
+def _folder_name(row: Row, columns: list[str]) -> str:
+    return "/".join(f"{url_quote(c, safe='')}={NULL_PARTITION if row[c] is None else url_quote(str(row[c]), safe='')}" for c in columns)
+
+
+def _switch_partitions(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], order_by: str | None,
+                       below: Column | None, columns: list[str]) -> None:
+    """The touched partitions written once to a new folder, then all of them switched together."""
+    target = spark.table(quote_table(table))
+    touched = _touched(target, source, keys, columns)
+    run = begin(spark, table, "merge")
+    looked = look_once(_scope(target, touched, columns), source, keys, order_by, below)
+    folder = stage_rows(run, by_partition(looked, columns), "rows", columns)
+    written = spark.read.schema(looked.schema).parquet(folder)
+    new = not_matched(written, source, keys).select(*target.columns)
+    by_partition(new, columns).write.mode("append").partitionBy(*columns).parquet(folder)
+    steps = steps_for(spark, table, folder, "overwrite")
+    filled = {s.partition for s in steps}
+    # An update may move the last row out of a partition.
+    for row in touched.collect():
+        name = _folder_name(row, columns)
+        there = location_of(spark, table, name)
+        if there is not None and unquote(name) not in {unquote(f) for f in filled}:
+            steps.append(Step(DROP, table, name, None, there))
+    publish(spark, run, steps)
 
 
 def upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],
            order_by: str | None = None, prune_by: str | None = None) -> None:
     """Merge a batch with unique keys and the table's columns into the table.
 
-    File tables cannot be overwritten while they are read, so the merged rows are staged
-    first; only the partitions the batch touches are read in full and written again.
+    File tables cannot be overwritten while they are read. Of a partitioned one only the partitions that the batch
+    touches are read in full, once, and written once to a new folder that they are switched to together; a merge that died
+    is finished or undone by the next one. Tables without partitions, or with buckets, are staged and overwritten.
     """
     if not keys:
         raise ValueError("a merge needs primary_key")
@@ -79,15 +104,20 @@ def upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[st
         return
     below = None if floor is None else F.col(quote(prune_by)) >= F.lit(floor)
     columns = partition_columns(spark, table)
-    if not columns:
-        replace_all(stage(merge_frames(target, source, keys, order_by, below), "merge"), table)
-    else:
+    if columns and can_publish(spark, table, columns) and not _is_bucketed(spark, table):
+        recover(spark, table)
+        _switch_partitions(spark, table, source, keys, order_by, below, columns)
+    elif columns:
         touched = _touched(target, source, keys, columns)
         merged = stage(merge_frames(_scope(target, touched, columns), source, keys, order_by, below), "merge")
-        overwrite_partitions(by_partition(merged, columns), table)
-        # An update may move the last row out of a partition.
         filled = merged.select(*columns).distinct().alias("m")
-        for row in touched.alias("p").join(filled, _same_partition("p", "m", columns), "left_anti").collect():
-            _drop_partition(spark, table, row, columns)
+        emptied = touched.alias("p").join(filled, _same_partition("p", "m", columns), "left_anti").collect()
+        overwrite_partitions(by_partition(merged, columns), table)
+        apply(spark, [Step(DROP, table, _folder_name(row, columns), None, None) for row in emptied])
+    else:
+        replace_all(stage(merge_frames(target, source, keys, order_by, below), "merge"), table)
     spark.catalog.refreshTable(quote_table(table))
 
+
+def _is_bucketed(spark: SparkSession, table: str) -> bool:
+    return any(r["col_name"] == "Num Buckets" for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(table)}").collect())

@@ -10,6 +10,7 @@ from sedimenta.functions.naming import quote_table
 from sedimenta.operators.align import align_to
 from sedimenta.sinks.files import write_many, write_orc
 from sedimenta.sinks.tables import replace_all
+from sedimenta.sources.csv_scan import CSV_OPTIONS
 from sedimenta.sources.tables import require_schema
 
 
@@ -21,8 +22,7 @@ def csv_stream(spark: SparkSession, path: str, schema: T.StructType, archive: st
     """
     return (
         spark.readStream.schema(schema)
-        .option("sep", ";").option("escape", '"').option("encoding", "UTF-8")
-        .option("header", False).option("mode", "PERMISSIVE")
+        .options(**CSV_OPTIONS)
         .option("pathGlobFilter", "*.csv")
         .option("cleanSource", "archive").option("sourceArchiveDir", archive)
         .csv(path)

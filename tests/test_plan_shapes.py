@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from sedimenta.operators import nested as N
-from sedimenta.operators.merge import latest_per_key, merge_frames
+from sedimenta.operators.merge import latest_per_key, look_once, merge_frames
 from sedimenta.operators.profile import field_profile
 from sedimenta.sources.tables import on_date
 from workload.shapes import document_lines, nested_orders, table
@@ -62,14 +64,16 @@ def test_child_reads_only_its_slot(spark):
 
 
 def test_large_merge_splits_skew_on_the_target_side(spark):
-    """Without a broadcast both joins are sort-merge with the splittable side left."""
+    """Without a broadcast the join is sort-merge with the splittable side left, and the target is scanned once."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         orders = table(spark, SF, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").alias("ts"))
-        text = plan(merge_frames(orders, orders, ["k"], "ts"))
-        assert all(kind in text for kind in ("LeftOuter", "LeftSemi", "LeftAnti"))
-        assert "FullOuter" not in text
-        assert "PushedFilters: [IsNull(o_orderkey)]" in text
+        batch = table(spark, SF, "customer").select(F.col("c_custkey").alias("k"), F.lit(None).cast("timestamp_ntz").alias("ts"))
+        text = plan(look_once(orders, batch, ["k"], "ts"))
+        assert "SortMergeJoin" in text and "LeftOuter" in text and "FullOuter" not in text
+        assert text.count("orders.parquet") == 1
+        merged = plan(merge_frames(orders, batch, ["k"], "ts"))
+        assert "orders.parquet" not in merged and "LeftAnti" in merged  # of what the look has written
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -78,12 +82,30 @@ def test_small_batch_never_shuffles_the_target(spark):
     orders = table(spark, SF, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").alias("ts"))
     batch = table(spark, SF, "region").select(F.col("r_regionkey").cast("bigint").alias("k"),
                                               F.lit(None).cast("timestamp_ntz").alias("ts"))
-    text = plan(merge_frames(orders, batch, ["k"], "ts"))
-    # The join with the whole target, and the search for known keys, take the batch by broadcast.
-    joins = [line for line in text.splitlines() if "BroadcastHashJoin" in line]
-    assert any("LeftOuter, BuildRight" in j for j in joins) and any("LeftSemi, BuildRight" in j for j in joins)
-    for below in text.split("Exchange hashpartitioning")[1:]:
-        assert "LeftSemi" in below  # only keys that were found are exchanged
+    text = plan(look_once(orders, batch, ["k"], "ts"))
+    assert any("LeftOuter, BuildRight" in line for line in text.splitlines() if "BroadcastHashJoin" in line)
+    assert "Exchange hashpartitioning" not in text
+
+
+def test_rows_without_a_key_do_not_meet_in_one_task(spark):
+    """Null keys, and rows below the floor, are dealt by numbers of their own; a repeated key is split at run time."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": -1, "spark.sql.shuffle.partitions": 16,
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": 4096, "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": 2048, "spark.sql.adaptive.coalescePartitions.enabled": False}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        hot = spark.range(20000).select(F.when(F.col("id") % 2 == 0, 7).cast("long").alias("k"), F.col("id").alias("v")).repartition(8)
+        batch = spark.createDataFrame([(7, -1), (8, -2)], "k long, v long")
+        looked = look_once(hot, batch, ["k"]).select("*", F.spark_partition_id().alias("task"))
+        per_task = Counter((r["k"] is None, r["task"]) for r in looked.collect())
+        assert max(n for (no_key, _), n in per_task.items() if no_key) < 2000
+        assert max(n for (no_key, _), n in per_task.items() if not no_key) < 5000
+        assert "__apart" in next(line for line in plan(looked).splitlines() if "Exchange hashpartitioning" in line)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
 def test_profile_combines_before_the_shuffle(spark):

@@ -4,6 +4,7 @@ from pathlib import Path
 from urllib.parse import urlparse
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.sinks import tables as S
@@ -192,3 +193,17 @@ def test_gathered_partitions_have_few_files(spark, database):
     many = spark.range(0, 1000, 1, 8).selectExpr("id", "CAST(id % 5 AS STRING) AS part")
     S.create_or_append(spark, many, name, ["part"], gather=True)
     assert len(spark.table(name).inputFiles()) == 5 and spark.table(name).count() == 1000
+
+
+@pytest.mark.parametrize("partition_by", [None, ["p"], ["bucket(2, id)"], ["days(at)"]])
+def test_a_table_is_made_with_its_rows_or_not_at_all(spark, database, partition_by):
+    df = spark.sql("SELECT CAST(id AS int) AS id, CAST(id % 2 AS string) AS p, TIMESTAMP_NTZ '2024-01-01 10:00:00' AS at FROM range(6)")
+    broken = df.withColumn("id", F.when(F.col("id") == 5, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        S.create_or_append(spark, broken, f"{database}.t", partition_by)
+    assert not spark.catalog.tableExists(f"{database}.t")
+    for _ in range(2):
+        S.create_or_append(spark, df, f"{database}.t", partition_by)
+    assert rows(spark.table(f"{database}.t"), "id", "p") == rows(df.unionAll(df), "id", "p")
+    with pytest.raises(ValueError, match="mode"):
+        S.create_or_append(spark, df, f"{database}.u", partition_by, mode="sideways")

@@ -1,4 +1,4 @@
-"""Loads that die and are run again, and loads that part their rows by one write."""
+"""Loads that die and are run again, and loads that part their rows by one write."""
 
 from __future__ import annotations
 
@@ -9,11 +9,14 @@ from unittest import mock
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.plans import csv_load
 from sedimenta.plans.raw import raw_ingest
 from sedimenta.plans.trusted import trusted_normalise
 from sedimenta.scratch import new_database, new_path
 from sedimenta.sinks import publish
-from sedimenta.sinks.tables import create_or_append
+from sedimenta.sinks.tables import create_or_append, create_table
+from sedimenta.sinks.upsert import upsert
+from sedimenta.sources.ledger import Ledger
 from workload import query
 from workload.shapes import nested_orders, table
 
@@ -185,3 +188,71 @@ def nested_evolution_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.events").select(
         "event_id", F.col("what.kind").alias("kind"), F.col("what.who.user_id").alias("user_id"),
         F.col("parts")[0]["value"].alias("value"), F.col("execution_date").cast("string").alias("day"), F.lit(lost).alias("lost"))
+
+
+@query("""
+    SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS ts,
+           CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS amount,
+           CASE WHEN o_orderkey % 3 = 0 THEN 'moved' WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS status FROM orders
+    WHERE o_orderstatus <> 'F' OR o_orderkey % 3 = 0""")
+def upsert_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upsert that moves rows between partitions, empties one and adds rows, dead after one partition and run again."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("k"), F.col("o_orderdate").alias("ts"), F.col("o_totalprice").alias("amount"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"))
+    kept = F.coalesce(F.col("status") != "F", F.lit(True))
+    moves = F.col("k") % 3 == 0
+    name = f"{new_database(spark, 'merge')}.orders"
+    # At first: the rows that stay, and those in the emptied partition; other rows that move come new.
+    create_or_append(spark, orders.where((kept & ~moves) | (~kept & moves)), name, ["status"])
+    batch = orders.where(moves).select(
+        "k", (F.col("ts") + F.make_dt_interval(F.lit(1))).alias("ts"), (F.col("amount") * 2).alias("amount"), F.lit("moved").alias("status"))
+    with dies_after(1):
+        upsert(spark, name, batch, ["k"], "ts")
+    upsert(spark, name, batch, ["k"], "ts")
+    return spark.table(name)
+
+
+@query("""
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, s.sink AS sink, 'archived' AS files
+    FROM customer, LATERAL (VALUES ('table'), ('orc')) s(sink)""")
+def csv_load_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV load dies between its two sinks, more files come, and the next run loads every file once into both."""
+    customers = table(spark, sf_dir, "customer")
+    database, folder, orc = new_database(spark, "csv"), new_path(spark, "toload"), new_path(spark, "orc")
+    create_table(spark, f"{database}.customer", customers.schema)
+    config = {"tablename": "customer", "source_path": folder, "archive_path": new_path(spark, "loaded"),
+              "orc_location": orc, "database": database}
+
+    def land(rows: DataFrame) -> None:
+        rows.write.mode("append").csv(f"{folder}/customer", sep=";", escape='"', header=False)
+
+    land(customers.where("c_custkey % 2 = 0"))
+    with mock.patch.object(csv_load, "write_orc", side_effect=Died):
+        try:
+            csv_load.csv_full_load(spark, config)
+        except Died:
+            pass
+    land(customers.where("c_custkey % 2 = 1"))
+    csv_load.csv_full_load(spark, config)
+    state = Ledger.open(spark, f"spark_catalog.{database}.customer").rows().agg(F.max_by("state", "moment")).scalar()
+    both = spark.table(f"{database}.customer").withColumn("sink", F.lit("table")).unionByName(
+        spark.read.orc(orc).withColumn("sink", F.lit("orc")))
+    return both.withColumn("files", state)
+
+
+@query("""
+    SELECT event_id, event_type, CAST(ts AS DATE) AS ts_day, false AS left_behind FROM events""")
+def create_with_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made with its rows by one commit: the first try fails while it writes and leaves no table."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    name = f"{new_database(spark, 'created')}.events"
+    broken = events.withColumn("event_type", F.when(F.col("event_id") % 1000 == 7, F.raise_error(F.lit("unreadable"))).otherwise(F.col("event_type")))
+    try:
+        create_or_append(spark, broken, name, ["days(ts)"])
+        failed = False
+    except Exception as error:
+        failed = "unreadable" in str(error)
+    left_behind = spark.catalog.tableExists(name) or not failed
+    create_or_append(spark, events, name, ["days(ts)"])
+    return spark.table(name).select("event_id", "event_type", "ts_day", F.lit(left_behind).alias("left_behind"))
