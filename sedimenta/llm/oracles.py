@@ -9,12 +9,12 @@ def similar_sets(share: int) -> str:
     WITH RECURSIVE split AS (
         SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                           '[^\x20\x09-\x0D]+') AS w FROM documents),
-    listed AS (
-        SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(
-                   range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')))
-               WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM split),
-    sized AS (SELECT doc_id, CAST(coalesce(len(s), 0) AS BIGINT) AS n FROM listed),
-    each AS (SELECT doc_id, unnest(s) AS x FROM listed),
+    placed AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i, len(w) AS words FROM split),
+    runs AS (
+        SELECT doc_id, i, words, concat_ws(' ', x, lead(x, 1) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o) AS x
+        FROM placed WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    each AS (SELECT DISTINCT doc_id, x FROM runs WHERE i <= words - 4 OR i = 1),
+    sized AS (SELECT d.doc_id, count(e.x) AS n FROM documents d LEFT JOIN each e ON e.doc_id = d.doc_id GROUP BY d.doc_id),
     links AS (
         SELECT a.doc_id AS a, b.doc_id AS b FROM each a JOIN each b ON a.x = b.x AND a.doc_id <> b.doc_id
         JOIN sized n ON n.doc_id = a.doc_id JOIN sized m ON m.doc_id = b.doc_id
