@@ -80,12 +80,23 @@ def dominant_types(histogram: DataFrame) -> DataFrame:
     return histogram.groupBy("key").agg(dominant_type().alias("type"), filled_records().alias("filled"))
 
 
-def field_profile(df: DataFrame, json: str) -> DataFrame:
-    """per field the dominant type, filled count and filled percent of *all* records."""
+def unreadable(json: str) -> Column:
+    """As an aggregate: how many texts are no JSON. Nulls are no texts."""
+    text = F.col(quote(json))
+    return F.count_if(text.isNotNull() & F.try_parse_json(text).isNull())
+
+
+def field_profile(df: DataFrame, json: str, with_unreadable: bool = False) -> DataFrame:
+    """per field the dominant type, filled count and filled percent of *all* records.
+
+    Records that are no JSON have no fields. ``with_unreadable`` tells their number beside each field; where there may be
+    no field at all, ask :func:`unreadable` alone.
+    """
+    counts = df.agg(F.struct(F.count(F.lit(1)).alias("records"), *([unreadable(json).alias("unreadable")] if with_unreadable else [])))
+    whole = counts.scalar()
     return dominant_types(field_types(df, json)).select(
-        F.col("key").alias("field"), "type", "filled",
-        percent(F.col("filled"), record_count(df)).alias("filled_pct"),
-    )
+        F.col("key").alias("field"), "type", "filled", percent(F.col("filled"), whole["records"]).alias("filled_pct"),
+        *([whole["unreadable"].alias("unreadable")] if with_unreadable else []))
 
 
 def label_of(dtype: T.DataType) -> str:

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from sedimenta.functions.naming import quote, quote_table
 from sedimenta.functions.schema import merge_nested, nullable
 from sedimenta.sinks.files import _hadoop
-from sedimenta.sinks.tables import _fields, append, create_table, is_v2
+from sedimenta.sinks.tables import _fields, append, create_table, database_folder, is_v2
 from sedimenta.sources.tables import table_schema
 
 BEGUN, COMMITTED, DONE, UNDONE = "begun", "committed", "done", "undone"
@@ -88,18 +88,11 @@ def _record(spark: SparkSession, run: Run, state: str, steps: Iterable[Step | No
     spark.catalog.refreshTable(quote_table(manifest_table(run.main_table)))
 
 
-def _database_folder(spark: SparkSession, table: str) -> str:
-    *path, _ = table.replace("`", "").split(".")
-    database = ".".join(path) or spark.catalog.currentDatabase()
-    described = spark.sql(f"DESCRIBE DATABASE EXTENDED {quote_table(database)}")
-    return next(r["info_value"] for r in described.collect() if r["info_name"] == "Location").rstrip("/")
-
-
 def begin(spark: SparkSession, main_table: str, label: str) -> Run:
     """A new run with a folder beside the database's tables."""
     name = main_table.replace("`", "").split(".")[-1]
     run_id = uuid.uuid4().hex
-    run = Run(run_id, label, f"{_database_folder(spark, main_table)}/{name}__loads/{run_id}", main_table)
+    run = Run(run_id, label, f"{database_folder(spark, main_table)}/{name}__loads/{run_id}", main_table)
     create_table(spark, manifest_table(main_table), _MANIFEST)
     _record(spark, run, BEGUN)
     return run
@@ -212,7 +205,7 @@ def _version_properties(schemas: Sequence[T.StructType]) -> dict[str, str]:
 
 def create_evolving(spark: SparkSession, table: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
     """A table whose nested types can grow: its definition is apart from its files (external), with its schemas kept."""
-    location = f"{_database_folder(spark, table)}/{table.replace('`', '').split('.')[-1]}"
+    location = f"{database_folder(spark, table)}/{table.replace('`', '').split('.')[-1]}"
     create_table(spark, table, schema, partition_by, location=location, properties=_version_properties([schema]))
 
 

@@ -232,6 +232,24 @@ def clear_partition(spark: SparkSession, table: str, column: str, value: str) ->
     return True
 
 
+def database_folder(spark: SparkSession, table: str) -> str:
+    """Where the tables of the table's database are."""
+    *path, _ = table.replace("`", "").split(".")
+    database = ".".join(path) or spark.catalog.currentDatabase()
+    described = spark.sql(f"DESCRIBE DATABASE EXTENDED {quote_table(database)}")
+    return next(r["info_value"] for r in described.collect() if r["info_name"] == "Location").rstrip("/")
+
+
+def _clear_unfinished(spark: SparkSession, table: str) -> None:
+    """Remove what a write that never committed has left where the table will be: folders without any data file."""
+    name = table.replace("`", "").split(".")[-1]
+    sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{database_folder(spark, table)}/{name if sensitive else name.lower()}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(path) and all(s.getPath().getName().startswith(("_temporary", ".")) for s in fs.listStatus(path)):
+        fs.delete(path, True)
+
+
 def create_with_rows(spark: SparkSession, df: DataFrame, table: str, partition_by: Sequence[str | Column] | None = None,
                      options: dict[str, Any] | None = None) -> None:
     """A new table with its rows by one commit. A write that fails leaves no table.
@@ -259,6 +277,7 @@ def create_with_rows(spark: SparkSession, df: DataFrame, table: str, partition_b
         raise ValueError("the built-in catalog takes one bucket transform")
     for b in buckets:
         writer = writer.bucketBy(b.buckets, by_name[b.column.lower()])
+    _clear_unfinished(spark, table)
     writer.saveAsTable(name)
 
 

@@ -127,3 +127,10 @@ def test_elements_with_many_keys_are_variable(spark):
 
     assert found("abcde") == (5, False) and found("abcdef") == (6, True) and found("aaaaaab") == (2, False)
     assert found("abcdefgh", 10) == (8, False) and found("abcdefghi", 10) == (9, True)
+
+
+def test_profile_counts_what_is_no_json(spark):
+    df = spark.createDataFrame([('{"a": 1}',), ('{"a"',), (None,), ("{}",), ("x",)], "json string")
+    assert rows(P.field_profile(df, "json", with_unreadable=True)) == [("a", "integer", 1, 20.0, 2)]
+    assert df.where("json = 'x'").agg(P.unreadable("json")).first()[0] == 1
+    assert rows(P.field_profile(df, "json")) == [("a", "integer", 1, 20.0)]

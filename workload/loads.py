@@ -171,6 +171,72 @@ def sql_to_table_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("ts").alias("ts"), F.count(F.lit(1)).alias("versions"))
 
 
+def _event_load(spark: SparkSession, sf_dir: str, database: str, mode: str) -> dict:
+    """A day's events by SQL into a table partitioned by their type."""
+    events = _event_table(spark, sf_dir)
+    text = f"""SELECT event_id, value, event_type FROM {events} WHERE ts >= '{{start_date}}' AND ts < CAST(:end_date AS TIMESTAMP_NTZ)"""
+    return {"source": {"query_path": _sql_file(spark, text)},
+            "destination": {"database_name": database, "table_name": "events", "write_mode": mode, "partition_by": ["event_type"]}}
+
+
+@query("""
+    SELECT event_id, event_type, value, count(*) AS copies FROM events
+    CROSS JOIN (VALUES (DATE '2024-01-15'), (DATE '2024-01-16'), (DATE '2024-01-16')) d(day)
+    WHERE CAST(ts AS DATE) = d.day GROUP BY ALL""")
+def sql_to_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days appended by a windowed query, the second one twice."""
+    database = new_database(spark, "target")
+    for day in (_DAY, "2024-01-16", "2024-01-16"):
+        sql_to_table(spark, _event_load(spark, sf_dir, database, "append"), *date_window(day))
+    return spark.table(f"{database}.events").groupBy("event_id", "event_type", "value").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("""
+    WITH late AS (SELECT * FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-16')
+    SELECT event_id, event_type, value FROM late
+    UNION ALL SELECT event_id, event_type, value FROM events
+    WHERE CAST(ts AS DATE) = DATE '2024-01-15' AND event_type NOT IN (SELECT event_type FROM late)""")
+def sql_to_table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second day replaces the partitions it has rows for, and keeps the others."""
+    database = new_database(spark, "target")
+    for day in (_DAY, "2024-01-16"):
+        sql_to_table(spark, _event_load(spark, sf_dir, database, "overwrite"), *date_window(day))
+    return spark.table(f"{database}.events").select("event_id", "event_type", "value")
+
+
+@query("""
+    SELECT l.load, l.loaded, (SELECT count(*) FROM orders) AS records
+    FROM (VALUES ('trusted', 0), ('sql', 0), ('csv', 0), ('raw', 0)) l(load, loaded)""")
+def empty_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads of a day without rows: none of the four writes anything, and what was there stays."""
+    database = new_database(spark, "empty")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").alias("at"))
+    dated = orders.withColumn("execution_date", F.lit(_DAY).cast("date"))
+    for name in ("raw", "trusted", "sql", "csv"):
+        create_or_append(spark, dated if name in ("raw", "trusted") else orders, f"{database}.{name}",
+                         ["execution_date"] if name in ("raw", "trusted") else None)
+    never = "1999-01-01"
+    path, landing = new_path(spark, "toload"), new_path(spark, "landing")
+    orders.where("false").write.csv(f"{path}/csv", sep=";")
+    orders.limit(1).write.json(landing)
+    loaded = {
+        "trusted": len(trusted_normalise(spark, never, {
+            "source": {"database_name": database, "table_name": "raw", "partition_date_by": "execution_date"},
+            "destination": {"database_name": database, "main_table_name": "trusted", "partition_by": ["execution_date"], "write_mode": "overwrite"}})),
+        "sql": sql_to_table(spark, {
+            "source": {"query_path": _sql_file(spark, f"SELECT k, at FROM {database}.raw WHERE at >= '{{start_date}}' AND at < '{{end_date}}'")},
+            "destination": {"database_name": database, "table_name": "sql", "write_mode": "append"}}, never, never),
+        "csv": csv_full_load(spark, {"tablename": "csv", "source_path": path, "archive_path": new_path(spark, "done"),
+                                     "orc_location": new_path(spark, "orc"), "database": database}),
+        "raw": raw_ingest(spark, never, {"source": {"input_path": landing}, "destination": {"database": database, "table": "raw"}}).files}
+    parts = [spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("records")).select(
+        F.lit(name).alias("load"), F.lit(n).alias("loaded"), "records") for name, n in loaded.items()]
+    first, *rest = parts
+    for part in rest:
+        first = first.unionByName(part)
+    return first
+
+
 def _csv_inputs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Customers as CSV below a source folder, and the table that gives the schema."""
     customers = table(spark, sf_dir, "customer")

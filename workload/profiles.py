@@ -284,3 +284,14 @@ def lookup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inspect_one_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first record that has a key: its kind and its first items."""
     return inspect_key(_finding_json(spark, sf_dir), "json", "o_orderkey", "tags")
+
+
+@query("""
+    SELECT f.field, f.type, c.good AS filled, round(c.good / c.records * 100, 1) AS filled_pct, c.records - c.good AS unreadable
+    FROM (SELECT count(*) AS records, count(*) FILTER (role <> 'system') AS good FROM conversations) c,
+    (VALUES ('conv_id', 'integer'), ('turn', 'integer'), ('role', 'string'), ('text', 'string')) f(field, type)""")
+def field_profile_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile of records of which some are cut: how many, beside every field."""
+    text = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    cut = F.when(F.col("role") == "system", F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+    return P.field_profile(table(spark, sf_dir, "conversations").select(cut.alias("json")), "json", with_unreadable=True)
