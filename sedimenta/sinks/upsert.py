@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.functions.naming import quote, quote_table
+from sedimenta.functions.schema import nullable
 from sedimenta.operators.merge import look_once, low_watermark, merge_frames, not_matched
 from sedimenta.scratch import stage
 from sedimenta.sinks.publish import (
@@ -59,16 +60,30 @@ def _folder_name(row: Row, columns: list[str]) -> str:
     return "/".join(f"{url_quote(c, safe='')}={NULL_PARTITION if row[c] is None else url_quote(str(row[c]), safe='')}" for c in columns)
 
 
+def _stored(df: DataFrame, target: DataFrame) -> DataFrame:
+    """The rows in the table's types, as its files hold them; a value that does not fit ends the job, as it does on insert."""
+    types = {f.name: f.dataType for f in target.schema.fields}
+    fits = []
+    for f in df.schema.fields:
+        c, dtype = F.col(quote(f.name)), types.get(f.name, f.dataType)
+        if nullable(dtype) != nullable(f.dataType):
+            lost = c.isNotNull() & c.try_cast(dtype).isNull()
+            c = F.when(lost, F.raise_error(F.lit(f"[OVERFLOW] a value of {f.name} does not fit {dtype.simpleString()}"))).otherwise(
+                c.try_cast(dtype)).cast(dtype)
+        fits.append(c.alias(f.name))
+    return df.select(*fits)
+
+
 def _switch_partitions(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], order_by: str | None,
                        below: Column | None, columns: list[str]) -> None:
     """The touched partitions written once to a new folder, then all of them switched together."""
     target = spark.table(quote_table(table))
     touched = _touched(target, source, keys, columns)
     run = begin(spark, table, "merge")
-    looked = look_once(_scope(target, touched, columns), source, keys, order_by, below)
+    looked = _stored(look_once(_scope(target, touched, columns), source, keys, order_by, below), target)
     folder = stage_rows(run, by_partition(looked, columns), "rows", columns)
     written = spark.read.schema(looked.schema).parquet(folder)
-    new = not_matched(written, source, keys).select(*target.columns)
+    new = _stored(not_matched(written, source, keys).select(*target.columns), target)
     by_partition(new, columns).write.mode("append").partitionBy(*columns).parquet(folder)
     steps = steps_for(spark, table, folder, "overwrite")
     filled = {s.partition for s in steps}
