@@ -20,4 +20,5 @@ from .op13_spellings import op13_spellings
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_repeated_bytes, op3_neighbours, op4_mixing, op5_jaccard_join, op6_divergence, op7_token_files,
     op8_pseudo_likelihood, op9_sentencepiece, op10_toxicity, op11_alignment, op12_minmax, op13_spellings)}
-ORACLES: dict[str, str] = {"op5_jaccard_join": oracles.OP5, "op12_minmax": oracles.OP12}
+ORACLES: dict[str, str] = {
+    "op5_jaccard_join": oracles.OP5, "op12_minmax": oracles.OP12, "op13_spellings": oracles.OP13}
