@@ -85,6 +85,28 @@ def test_cells_at_their_limit_leave_the_margins_whole(spark):
             assert r.asked == pytest.approx(powers[r.value] / sum(powers.values()) * 0.5 * total)
 
 
+def test_targets_that_cannot_meet_together(spark):
+    """Raking ends, the margins say what is off, and no cell gives more than it holds."""
+    cells = spark.createDataFrame([("a", "x", "p", 900), ("a", "y", "p", 10), ("b", "x", "p", 40), ("b", "y", "p", 900)], CELLS)
+    sources = spark.createDataFrame([("a", 9.0), ("b", 1.0)], "source string, target double")
+    languages = spark.createDataFrame([("x", 1.0), ("y", 9.0)], "lang string, target double")
+    raked, reached = op4_mixing.cell_tokens(cells, 0.4, targets={"source": sources, "lang": languages})
+    assert all(0 <= r.given <= r.tokens for r in raked.collect())
+    off = {(r.margin, r.value): abs(r.given - r.target) for r in reached.collect()}
+    assert max(off.values()) > 100 and len(off) == 5
+
+
+def test_slow_raking_goes_on_until_the_margins_are_met(spark):
+    """Nearly tied margins take more than forty rounds; the result is that of many rounds of the plain version."""
+    cells = {("a", "x", "p"): 1000, ("a", "y", "p"): 30, ("b", "x", "p"): 30, ("b", "y", "p"): 1000}
+    shares = {"source": {"a": 0.8, "b": 0.2}, "lang": {"x": 0.2, "y": 0.8}}
+    total = sum(cells.values())
+    plain = rake(cells, [*({v: s * total for v, s in m.items()} for m in shares.values()), {"p": total}], rounds=5000)
+    given = {m: spark.createDataFrame([*t.items()], f"{m} string, target double") for m, t in shares.items()}
+    for r in op4_mixing.cell_weights(spark.createDataFrame([(*k, v) for k, v in cells.items()], CELLS), targets=given).collect():
+        assert r.weight == pytest.approx(plain[r.source, r.lang, r.topic], rel=1e-3)
+
+
 def test_all_margins_of_the_sample(spark):
     """Expected tokens meet every target, or all a value holds, and the sample is no further from that than chance allows."""
     sf = "/root/testdata/sf0.1"
