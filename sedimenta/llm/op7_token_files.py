@@ -104,8 +104,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
                     ["doc_id", "start_in_file", "n_tokens", "ids"])
                 start += len(flat)
 
-    (docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-     .mapInArrow(encode, _FILES).write.mode("error").options(**ORC_OPTIONS).orc(path))
+    # Rows of one doc_id are in order of their texts, and may lie in several files.
+    tie = F.xxhash64("text").alias("__tie")
+    (docs.select(F.col("doc_id").cast("long"), "text", tie).repartitionByRange("doc_id", "__tie")
+     .sortWithinPartitions("doc_id", "__tie", "text").drop("__tie").mapInArrow(encode, _FILES).write.mode("error").options(**ORC_OPTIONS).orc(path))
 
 
 def file_offsets(spark: SparkSession, path: str) -> DataFrame:
