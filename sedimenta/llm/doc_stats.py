@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .text import LOWER, Slice, mix, prefix_sums, span_hashes, windows, words
+from .text import LOWER, Slice, mix, span_digests, windows, words
 
 SYMBOLS = b"#*$%&|<>"
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(SYMBOLS, np.uint8))
@@ -39,12 +39,11 @@ class Words:
 
     def __init__(self, part: Slice):
         self.part = part
-        self.prefix = prefix_sums(part.buf)
         self.starts, self.ends, self.owner = words(part)
-        self.hashes = span_hashes(self.prefix, self.starts, self.ends)
+        self.hashes = span_digests(part.buf, self.starts, self.ends)
 
     def lower_hashes(self) -> np.ndarray:
-        return span_hashes(prefix_sums(LOWER[self.part.buf]), self.starts, self.ends)
+        return span_digests(LOWER[self.part.buf], self.starts, self.ends)
 
     def count(self) -> np.ndarray:
         return np.bincount(self.owner, minlength=self.part.n)
@@ -80,7 +79,7 @@ class Words:
         owner = np.searchsorted(offsets, starts, "right") - 1
         closing = np.minimum(after, offsets[owner + 1])
         closing -= (closing > starts) & (buf[np.maximum(closing - 1, 0)] == 0x0A)
-        hashes = span_hashes(self.prefix, starts, closing)
+        hashes = span_digests(buf, starts, closing)
         return np.bincount(owner, minlength=self.part.n) - _distinct(hashes, owner, self.part.n)
 
     def classes(self) -> np.ndarray:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import LOWER, Slice, prefix_sums, slices, span_hashes
+from .text import LOWER, Slice, slices, span_digests
 
 MAX_TRAINING_DOCS = 5000  # of labelled documents; a third of them toxic at most
 MAX_TRAINING_BYTES = 100_000  # of one training document
@@ -48,7 +48,6 @@ class Sentences:
 
 def sentences(part: Slice) -> Sentences:
     low = LOWER[part.buf]
-    sums = prefix_sums(low)
     letter = _LETTER[low]
     begins, ends = letter.copy(), letter.copy()
     begins[1:] &= ~letter[:-1]
@@ -65,9 +64,9 @@ def sentences(part: Slice) -> Sentences:
     owner = np.sort(np.concatenate([np.arange(part.n), np.searchsorted(part.offsets, inner, "right") - 1]), kind="stable")
     stops = np.minimum(np.append(starts[1:], len(low)), part.offsets[owner + 1])
     sentence = np.searchsorted(starts, first, "right") - 1
-    kinds = [span_hashes(sums, first, stop)]
+    kinds = [span_digests(low, first, stop)]
     for k in _BEGINNINGS:  # of bytes; told apart from whole words by their lowest bit
-        kinds.append(span_hashes(sums, first, np.minimum(first + k, stop)) | np.uint64(1))
+        kinds.append(span_digests(low, first, np.minimum(first + k, stop)) | np.uint64(1))
     kinds[0] &= ~np.uint64(1)
     return Sentences(np.stack(kinds, axis=1) if len(first) else np.zeros((0, 1 + len(_BEGINNINGS)), np.uint64),
                      sentence, owner, starts, stops)
@@ -148,7 +147,8 @@ def fit(texts: pa.Array, labels: np.ndarray, rounds: int = 80, rate: float = 0.5
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> Model:
-    """Fit on at most ``max_docs`` labelled documents, at most a third of them toxic, least hashes of doc_id first.
+    """Fit on at most ``max_docs`` labelled documents, at most a third of them toxic, least hashes of doc_id first. Of
+    the rows with one doc_id the one with the least hash of its text counts.
 
     ``labels`` has doc_id and toxic; rows with nulls are left out. Without both labels a document's score is the share
     of toxic labels.
@@ -158,9 +158,11 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     some = marked.where("toxic = 1").orderBy(*order).limit(max_docs // 3).unionByName(
         marked.where("toxic = 0").orderBy(*order).limit(max_docs - max_docs // 3))
-    # The sample has max_docs rows at most.
+    # One row for each of the sample's ids, so max_docs rows at most.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
-        f"octet_length(text) <= {MAX_TRAINING_BYTES}").join(F.broadcast(some), "doc_id").select("text", "toxic").toArrow()
+        f"octet_length(text) <= {MAX_TRAINING_BYTES}").join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(
+            F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("toxic").alias("toxic")) \
+        .select("text", "toxic").toArrow()
     y = rows.column("toxic").to_numpy()
     if not len(y) or y.min() == y.max():
         share = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))

@@ -70,7 +70,8 @@ class Model:
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> Model:
     """Fit on at most ``max_docs`` documents with a quality label, least hashes of doc_id first; features come from
-    the executors. Without labels of both kinds every document counts as good."""
+    the executors. Of the rows with one doc_id the one with the least hash of its text counts. Without labels of both
+    kinds every document counts as good."""
     some = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
             .where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs))
@@ -82,8 +83,9 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(rows), pa.list_(pa.float64())), batch.column(1).slice(part.lo, part.n)], ["x", "quality"])
 
-    # The sample has max_docs rows at most.
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(some), "doc_id") \
+    # One row for each of the sample's ids, so max_docs rows at most.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("quality").alias("quality")) \
         .select("text", "quality").mapInArrow(run, "x array<double>, quality int").toArrow()
     y = rows.column("quality").to_numpy().astype(float)
     if not len(y) or y.min() == y.max():

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from sedimenta.llm import op1_quality, op6_divergence, op8_pseudo_likelihood, op10_toxicity
+from sedimenta.llm import op1_quality, op5_jaccard_join, op6_divergence, op8_pseudo_likelihood, op10_toxicity
 from sedimenta.llm.queries import QUERIES
 
 from .cases import clashing, frame, odd_rows, prose
@@ -69,6 +69,16 @@ def test_divergence_equals_the_plain_version(spark):
             assert found[k].character_divergence == pytest.approx(want)
 
 
+def test_strings_that_a_sum_of_powers_confuses(spark):
+    """Two different strings of 1,024 letters, in the order of a bit count's parity, are different words, lines and sets."""
+    one = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    two = "".join("ba"[bin(k).count("1") % 2] for k in range(1024))
+    row = op6_divergence.judge(frame(spark, [(1, f"{one}\n{two}", "en", "s", 1)])).first()
+    assert (row.n_words, row.n_dup_lines, row.n_repeat_words) == (2, 0, 0)
+    sets = op5_jaccard_join.components(frame(spark, [(1, one, "en", "s", 1), (2, two, "en", "s", 1)])).collect()
+    assert {r.doc_id: r.component_id for r in sets} == {1: 1, 2: 2}
+
+
 def test_rules_on_an_empty_table(spark):
     assert op6_divergence.judge(frame(spark, [])).count() == 0
 
@@ -146,6 +156,17 @@ def test_toxicity_on_held_out_documents(spark):
     assert all(r.predicted == (r.score >= 0.7) for r in rows)
 
 
+def test_repeated_ids_do_not_widen_the_training_sample(spark, monkeypatch):
+    """A labelled doc_id on a thousand rows trains as one document, the same whatever the rows' order."""
+    seen = []
+    monkeypatch.setattr(op10_toxicity, "fit", lambda texts, y: seen.append((sorted(texts.to_pylist()), sorted(y.tolist()))))
+    rows = [(1, f"repeated text {k}", "en", "s", 1) for k in range(1000)] + [(2, "another text", "en", "s", 1)]
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    for some in (rows, rows[::-1]):
+        op10_toxicity.train(frame(spark, some), labels, max_docs=10)
+    assert seen[0] == seen[1] and len(seen[0][0]) == 2
+
+
 def test_noisy_or_and_offending_sentences(spark):
     rng = np.random.default_rng(0)
     texts, labels = [], []
