@@ -74,11 +74,11 @@ def wide_rows(rows: DataFrame, key: str, children: Sequence[ChildRows]) -> tuple
     to be asked once the rows have been written.
 
     Each child fills its own columns; the others are null in its rows and no part of its table. Rows of other keys are
-    left out.
+    left out. The keys, a row for each table, are broadcast: dealt by key, all rows of one would meet in a task.
     """
     names = rows.sparkSession.createDataFrame(
         [(c.key, c.table, i) for i, c in enumerate(children)], f"_of string, {CHILD} string, {_NUMBER} int")
-    numbered = rows.join(names, F.col(quote(key)) == F.col("_of")).drop("_of")
+    numbered = rows.join(F.broadcast(names), F.col(quote(key)) == F.col("_of")).drop("_of")
     values: dict[str, dict[tuple, tuple[Column, list[int]]]] = {}
     lost: dict[str, Column] = {}
     for number, child in enumerate(children):

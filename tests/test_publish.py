@@ -168,6 +168,16 @@ def test_layers_part_only_what_disagrees():
     assert [[c.key for c in g] for g in fanout.layers(children[:1] + children[2:3], most_columns=2)] == [["a"], ["c"]]
 
 
+def test_children_are_not_dealt_by_key(spark):
+    """All rows of one key never meet in a task, however many rows and tasks there are."""
+    elements = spark.range(100).select("id", F.when(F.col("id") % 10 == 0, "few").otherwise("many").alias("_key"))
+    children = [fanout.ChildRows(key, f"t_{key}", [(T.StructField("id", T.LongType()), F.col("id"))], T.StructType.fromDDL("id bigint"))
+                for key in ("few", "many")]
+    wide, _ = fanout.wide_rows(elements, "_key", children)
+    assert "Exchange hashpartitioning" not in wide._jdf.queryExecution().executedPlan().toString()
+    assert wide.groupBy("_child").count().orderBy("_child").collect() == [("t_few", 10), ("t_many", 90)]
+
+
 def test_partitions_with_odd_values(spark, database):
     """Values that folder names escape, and nulls."""
     df = spark.createDataFrame([(1, "a/b=c'd"), (2, None), (3, "ü %")], "id int, p string")
