@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _local: list[tempfile.TemporaryDirectory] = []
 
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+#: Partition folders a task writes side by side; only past them does it sort what rows are left.
+OPEN_FOLDERS = 32
+
+_gate = threading.Lock()
+_writing = 0
+_before: str | None = None
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a temporary folder only in local mode."""
@@ -35,6 +47,28 @@ def new_database(spark: SparkSession, label: str) -> str:
     return name
 
 
+@contextmanager
+def unsorted_folders(spark: SparkSession) -> Iterator[None]:
+    """Writes by partition keep a file open for each folder, in place of a sort of all rows of a task.
+
+    A setting of the session, so writes that run side by side share it; a session with one of its own keeps it.
+    """
+    global _writing, _before
+    with _gate:
+        if not _writing:
+            _before = spark.conf.get(_WRITERS, None)
+            if int(_before or 0) <= 0:
+                spark.conf.set(_WRITERS, str(OPEN_FOLDERS))
+        _writing += 1
+    try:
+        yield
+    finally:
+        with _gate:
+            _writing -= 1
+            if not _writing:
+                spark.conf.unset(_WRITERS) if _before is None else spark.conf.set(_WRITERS, _before)
+
+
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
@@ -42,5 +76,6 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with unsorted_folders(spark):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from sedimenta.functions.naming import quote, quote_table
 from sedimenta.functions.schema import merge_nested, nullable
+from sedimenta.scratch import unsorted_folders
 from sedimenta.sinks.files import _hadoop
 from sedimenta.sinks.tables import _fields, append, create_table, database_folder, is_v2
 from sedimenta.sources.tables import table_schema
@@ -126,7 +127,8 @@ def stage_rows(run: Run, df: DataFrame, name: str, partitions: Sequence[str]) ->
     """Write rows, aligned with their tables, below the run's folder."""
     folder = f"{run.folder}/{name}"
     writer = df.write.mode("error").option("compression", "snappy")
-    (writer.partitionBy(*partitions) if partitions else writer).parquet(folder)
+    with unsorted_folders(df.sparkSession):
+        (writer.partitionBy(*partitions) if partitions else writer).parquet(folder)
     return folder
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+from unittest import mock
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sedimenta import scratch
 from sedimenta.operators.nested import map_child, map_children, plan_normalisation, stage_map_elements
 from sedimenta.plans import fanout
 from sedimenta.plans.raw import raw_ingest
@@ -178,6 +180,24 @@ def test_children_are_not_dealt_by_key(spark):
     assert wide.groupBy("_child").count().orderBy("_child").collect() == [("t_few", 10), ("t_many", 90)]
 
 
+def test_folders_are_written_without_a_sort(spark, database):
+    """Rows go to the folders of their partitions as they come; past the files a task may hold open nothing is lost."""
+    folders = 2 * scratch.OPEN_FOLDERS
+    df = spark.range(1000).select("id", (F.col("id") % folders).alias("p"))
+    create_or_append(spark, df.limit(0), f"{database}.t", ["p"])
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    with scratch.unsorted_folders(spark):
+        with scratch.unsorted_folders(spark):
+            assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) == scratch.OPEN_FOLDERS
+        plan = spark.sql(f"EXPLAIN INSERT INTO {database}.t SELECT id, id % {folders} FROM range(1000)").collect()[0][0]
+    assert "Sort" not in plan and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    run = publish.begin(spark, f"{database}.t", "x")
+    asked = []
+    with mock.patch.object(publish, "unsorted_folders", side_effect=lambda s: asked.append(s) or scratch.unsorted_folders(s)):
+        folder = publish.stage_rows(run, df, "t", ["p"])
+    assert asked and rows(spark.read.parquet(folder).select("id", F.col("p").cast("long"))) == rows(df)
+
+
 def test_partitions_with_odd_values(spark, database):
     """Values that folder names escape, and nulls."""
     df = spark.createDataFrame([(1, "a/b=c'd"), (2, None), (3, "ü %")], "id int, p string")
