@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,12 +14,30 @@ from sedimenta.functions.schema import nullable
 
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
+# Every text that is a whole number matches: one run of digits, no letter.
+_MAY_BE_WHOLE = r"^[^0-9A-Za-z]*[0-9]+[^0-9A-Za-z]*$"
+
 
 def typed_null(dtype: T.DataType) -> Column:
     """Null of a given type."""
     return F.lit(None).cast(dtype)
 
 
+def cast_or_null(col: Column, src: T.DataType, dst: T.DataType) -> Column:
+    """A value of the other type, null where it does not fit.
+
+    A text that is no number costs ``try_cast`` an exception, so what cannot be a whole number never gets there.
+    """
+    if isinstance(src, T.StringType) and isinstance(dst, T.IntegralType):
+        return F.when(col.rlike(_MAY_BE_WHOLE), col.try_cast(dst))
+    return col.try_cast(dst)
+
+
+def _with_value(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` over a value that is worked out once, also where lambdas within ask for it for every element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def field_of(column: Column, struct: T.StructType, name: str) -> Column:
     """One struct field, also where another one is named the same up to case.
 
@@ -51,10 +70,19 @@ def _field_entries(col: Column, src: T.StructType, dst: T.MapType, value) -> Col
                      for f in src.fields])
 
 
-def _is_kept(entries: Column):
-    """Whether an entry, at its place, goes into the map: those without a key do not, and of one key only the first does."""
-    keys = F.transform(entries, lambda e: e.getField("key"))
-    return lambda e, i: e.getField("key").isNotNull() & (F.array_position(keys, e.getField("key")) == i + 1)
+def _with_kept(entries: Column, use: Callable[[Column, Callable[[Column, Column], Column]], Column]) -> Column:
+    """``use`` over entries and whether one, at its place, goes into the map: those without a key do not, and of one key
+    only the first does."""
+
+    def first_of_its_key(found: Column, keys: Column) -> Column:
+        return use(found, lambda e, i: e.getField("key").isNotNull() & (F.array_position(keys, e.getField("key")) == i + 1))
+
+    return _with_value(entries, lambda found: _with_value(
+        F.transform(found, lambda e: e.getField("key")), lambda keys: first_of_its_key(found, keys)))
+
+
+def _map_of(entries: Column) -> Column:
+    return _with_kept(entries, lambda found, kept: F.map_from_entries(F.filter(found, kept)))
 
 
 def _to_map(col: Column, src: T.StructType, dst: T.MapType) -> Column:
@@ -62,13 +90,13 @@ def _to_map(col: Column, src: T.StructType, dst: T.MapType) -> Column:
         return F.when(col.isNotNull(), F.create_map().cast(dst))
     entries = _field_entries(col, src, dst, lambda c, t: align_column(c, t, dst.valueType))
     filled = F.filter(entries, lambda e: e.getField("value").isNotNull())
-    return F.when(col.isNotNull(), F.map_from_entries(F.filter(filled, _is_kept(filled))).cast(dst))
+    return F.when(col.isNotNull(), _map_of(filled).cast(dst))
 
 
 def _recast_keys(col: Column, src: T.MapType, dst: T.MapType, value) -> Column:
     """A map's entries with keys of the other type, null where they do not fit."""
     return F.transform(F.map_entries(col), lambda e: F.struct(
-        e.getField("key").try_cast(dst.keyType).alias("key"), value(e.getField("value")).alias("value")))
+        cast_or_null(e.getField("key"), src.keyType, dst.keyType).alias("key"), value(e.getField("value")).alias("value")))
 
 
 def align_column(col: Column, src: T.DataType, dst: T.DataType) -> Column:
@@ -92,14 +120,14 @@ def align_column(col: Column, src: T.DataType, dst: T.DataType) -> Column:
     if isinstance(src, T.MapType) and isinstance(dst, T.MapType):
         if nullable(src.keyType) != nullable(dst.keyType):
             entries = _recast_keys(col, src, dst, lambda v: align_column(v, src.valueType, dst.valueType))
-            return F.map_from_entries(F.filter(entries, _is_kept(entries)))
+            return _map_of(entries)
         return F.transform_values(col, lambda _, v: align_column(v, src.valueType, dst.valueType))
     if isinstance(src, T.MapType) and isinstance(dst, T.StructType):
         return _from_map(col, src.valueType, dst)
     if isinstance(src, T.StructType) and isinstance(dst, T.MapType):
         return _to_map(col, src, dst)
     # A value that does not fit becomes null instead of ending the job.
-    return col.try_cast(dst)
+    return cast_or_null(col, src, dst)
 
 
 def align_to(df: DataFrame, table: T.StructType) -> DataFrame:
@@ -128,8 +156,8 @@ def _is_lost(before: Column, after: Column) -> Column:
 
 def _lost_entries(entries: Column) -> Column:
     """Over (key, values lost within) entries: one for each that does not go into the map, else what is lost within."""
-    kept = _is_kept(entries)
-    each = F.transform(entries, lambda e, i: F.when(kept(e, i), e.getField("value")).otherwise(1))
+    each = _with_kept(entries, lambda found, kept: F.transform(
+        found, lambda e, i: F.when(kept(e, i), e.getField("value")).otherwise(1)))
     return F.coalesce(F.aggregate(each, F.lit(0), lambda a, b: a + b), F.lit(0))
 
 
@@ -205,7 +233,7 @@ def lost_values(col: Column, src: T.DataType, dst: T.DataType) -> Column | None:
         fields = [(field_of(col, src, f.name), f.dataType) for f in src.fields]
         whole = _sum([_is_lost(c, align_column(c, t, dst.valueType)) for c, t in fields])
         return F.when(col.isNotNull(), _lost_entries(entries) + whole).otherwise(0)
-    return _is_lost(col, col.try_cast(dst))
+    return _is_lost(col, cast_or_null(col, src, dst))
 
 
 def losses(df: DataFrame, table: T.StructType) -> dict[str, Column]:

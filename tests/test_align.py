@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimenta.operators.align import align_by_union, align_to, lost_in_alignment, serialise_changed
+from sedimenta.operators.align import align_by_union, align_to, cast_or_null, lost_in_alignment, serialise_changed
 
 
 def aligned(spark, select, ddl):
@@ -123,3 +124,24 @@ def both_counts(spark, value, target):
 ])
 def test_map_keys_that_do_not_fit(spark, value, target, expected):
     assert both_counts(spark, value, target) == expected
+
+
+def test_map_entries_are_worked_out_once(spark):
+    """Neither the keys of a map nor what is lost of it recompute the map's entries for every entry."""
+    dst = T.StructType.fromDDL("m map<bigint,double>")
+    df = spark.range(2).selectExpr("CASE WHEN id = 0 THEN map('1', 1D, '01', 2D, 'x', double(id)) END AS m")
+    for frame in (align_to(df, dst), lost_in_alignment(df, dst)):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("map_entries(") == 1
+    assert [r["m"] for r in align_to(df, dst).collect()] == [{1: 1.0}, None]
+    assert lost_in_alignment(df, dst).collect() == [(2,)]
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "bigint"])
+def test_whole_numbers_in_texts_are_found_as_by_a_cast(spark, kind):
+    texts = ["12", " 12 ", "\t12\n", "+7", "-3", "- 3", "--3", "1.5", "1.", ".5", "1e2", "12L", "x", "x1", "1x", "1 2", "", " ", "0012", "300",
+             "99999999999", "9223372036854775808", "٣", " 12", " 12", "1\n2", "12\r\n", "\x0012", "NaN", "true", "1,000", "_1", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    dtype = T.StructType.fromDDL(f"x {kind}")["x"].dataType
+    looked = df.select("t", cast_or_null(F.col("t"), T.StringType(), dtype).alias("a"), F.col("t").try_cast(dtype).alias("b")).collect()
+    assert [r for r in looked if r["a"] != r["b"]] == []
+    assert "RLIKE" in df.select(cast_or_null(F.col("t"), T.StringType(), dtype))._jdf.queryExecution().optimizedPlan().toString()
