@@ -143,31 +143,38 @@ class _Load:
 
 
 def _load_at_once(load: _Load, prepared: DataFrame, plan: NormalisationPlan, date: str, moment: Column) -> list[str]:
-    """Write the main table and all children to a folder of the run, then publish them together."""
+    """Write the main table and all children to a folder of the run, then publish them together.
+
+    A map's elements are laid out, typed and written while the main table and the arrays are.
+    """
     destination = load.destination
-    writes = [lambda: load.write(plan.main_table, main_projection(prepared, plan).withColumn(TRUSTED_AT, moment))]
+    together = {p.lower() for p in load.partitions()} <= {EXECUTION_DATE, TRUSTED_AT}
+
+    def write(name: str, frame: DataFrame) -> list[str]:
+        load.write(name, frame)
+        return [name]
+
+    def write_map(nested: NestedField) -> list[str]:
+        elements = stage_map_elements(prepared, nested, plan.root_id)
+        children = map_children(elements, nested)
+        if not together:  # partitioned by columns of their own
+            write_all([lambda c=c: load.write(c.table, with_audit(map_child(elements, nested, c, plan.root_id), date, moment))
+                       for c in children], destination.get("parallelism", 8))
+        elif children:
+            load.write_map(elements, nested, children, plan.root_id, date, moment)
+        return [c.table for c in children]
+
+    writes = [lambda: write(plan.main_table, main_projection(prepared, plan).withColumn(TRUSTED_AT, moment))]
     for nested in plan.arrays:
         frame = with_audit(explode_array(prepared, nested, plan.root_id), date, moment)
-        writes.append(lambda n=nested.table, f=frame: load.write(n, f))
-    order = [plan.main_table, *(n.table for n in plan.arrays)]
-    together = {p.lower() for p in load.partitions()} <= {EXECUTION_DATE, TRUSTED_AT}
+        writes.append(lambda n=nested.table, f=frame: write(n, f))
     for nested in plan.maps:
         if nested.kind == "map_array":
             frame = with_audit(map_array_child(prepared, nested, plan.root_id), date, moment)
-            order.append(nested.table)
-            writes.append(lambda n=nested.table, f=frame: load.write(n, f))
-            continue
-        elements = stage_map_elements(prepared, nested, plan.root_id)
-        children = map_children(elements, nested)
-        order += [c.table for c in children]
-        if together:
-            if children:
-                writes.append(lambda e=elements, n=nested, c=children: load.write_map(e, n, c, plan.root_id, date, moment))
-            continue
-        for child in children:  # partitioned by columns of their own
-            frame = with_audit(map_child(elements, nested, child, plan.root_id), date, moment)
-            writes.append(lambda n=child.table, f=frame: load.write(n, f))
-    write_all(writes, destination.get("parallelism", 8))
+            writes.append(lambda n=nested.table, f=frame: write(n, f))
+        else:
+            writes.append(lambda n=nested: write_map(n))
+    order = [name for names in write_all(writes, destination.get("parallelism", 8)) for name in names]
     return load.publish(destination.get("write_mode", "append"), order, date)
 
 

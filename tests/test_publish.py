@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 from unittest import mock
 
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from sedimenta import scratch
 from sedimenta.operators.nested import map_child, map_children, plan_normalisation, stage_map_elements
 from sedimenta.plans import fanout
+from sedimenta.plans import trusted as plans_trusted
 from sedimenta.plans.raw import raw_ingest
 from sedimenta.plans.trusted import trusted_normalise, with_audit
 from sedimenta.scratch import new_database, stage
@@ -198,6 +200,26 @@ def test_folders_are_written_without_a_sort(spark, database):
     assert asked and rows(spark.read.parquet(folder).select("id", F.col("p").cast("long"))) == rows(df)
 
 
+def test_maps_do_not_wait_for_the_other_tables_nor_these_for_them(spark):
+    """The main table is written while a map's elements are still to be laid out."""
+    raw, trusted = raw_table(spark, [{"id": 1, "a": [(1,)], "m": {"k": [{"v": 1}]}}]), new_database(spark, "trusted")
+    written = threading.Event()
+    real_write, real_stage = plans_trusted._Load.write, plans_trusted.stage_map_elements
+
+    def write(self, name, frame):
+        real_write(self, name, frame)
+        if name == "m":
+            written.set()
+
+    def staged(*args):
+        assert written.wait(60)
+        return real_stage(*args)
+
+    with mock.patch.object(plans_trusted._Load, "write", write), mock.patch.object(plans_trusted, "stage_map_elements", staged):
+        assert trusted_normalise(spark, DAY, settings(raw, trusted)) == ["m", "m_a", "m_m_k"]
+    assert rows(spark.table(f"{trusted}.m_m_k").select("id", "v")) == [(1, 1)]
+
+
 def test_partitions_with_odd_values(spark, database):
     """Values that folder names escape, and nulls."""
     df = spark.createDataFrame([(1, "a/b=c'd"), (2, None), (3, "ü %")], "id int, p string")
