@@ -16,8 +16,14 @@ Equal sets are one node. Groups that share a segment are never paired all with a
 against the typical sets it shares most with, and linked sets merge. After that only sets of different components are
 compared, inside the join by sketches that bound the difference from below, and what passes is verified.
 
-That is all components need. Where links are asked for, every two sets that meet at a segment are compared in that way,
-also those of one component, so the comparisons grow with the links there are.
+That is all components need. Where every pair is asked for, every two sets that meet at a segment are compared in that
+way, also those of one component, so the comparisons grow with the links there are.
+
+Where each set's links are only counted, sets that link to one leader with many others have their home there. Two sets
+of one home differ in what only one of both differs from the leader in, so links at home are counted from these few
+shingles: sets within half the limit of the leader link to each other without a comparison, sets that differ from it
+alike, as far as others do so too, count as one, and the rest meet in blocks as matrix products, which give sums and
+not pairs. Only pairs that are not of one home are compared by segments.
 """
 
 from __future__ import annotations
@@ -39,6 +45,9 @@ _SMALL = 4  # sets with fewer shingles differ from similar ones in nothing
 _DELETIONS_TO = 32  # sets below have their one-deletion neighbourhoods indexed
 _STAR_ROUNDS = 2
 _LEADERS = 3  # that a set is verified against in each round
+_HOT = 32  # sets that share a segment, or a home, from which on their links are not listed
+_HOME_ROUNDS = 3
+_BLOCK = 1024  # classes of sets in a matrix
 
 
 def shingles(part: Slice, width: int = WIDTH) -> list[np.ndarray]:
@@ -411,6 +420,155 @@ def _remaining(looked: DataFrame, index: DataFrame, parts: DataFrame, whole: Dat
         meet(seek.where("ca = main"), held.where("cb <> main"))))
 
 
+def _linked_to(met: DataFrame, whole: DataFrame) -> DataFrame:
+    """Those of (lead, id) that are similar: with margin, how far the set is from half the limit (n less nine times the
+    number of differences), and the shingles that one of both has alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lead, ids, margins, alone = [], [], [], []
+            for k in range(batch.num_rows):
+                one, two = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint64) for c in (2, 3))
+                differ = np.setxor1d(one, two, assume_unique=True)
+                if 9 * len(differ) <= len(one) + len(two):
+                    lead.append(batch.column(0)[k].as_py())
+                    ids.append(batch.column(1)[k].as_py())
+                    margins.append(len(two) - 9 * len(differ))
+                    alone.append(differ.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lead, pa.int64()), pa.array(ids, pa.int64()), pa.array(margins, pa.int64()),
+                 pa.array(alone, pa.list_(pa.int64()))], ["lead", "id", "margin", "alone"])
+
+    left = whole.select(F.col("id").alias("lead"), F.col("items").alias("x"))
+    right = whole.select("id", F.col("items").alias("y"))
+    return met.join(left, "lead").join(right, "id").select("lead", "id", "x", "y").mapInArrow(
+        run, "lead long, id long, margin long, alone array<long>")
+
+
+def _homes(looked: DataFrame, index: DataFrame, whole: DataFrame) -> DataFrame:
+    """id, home, margin and alone (see :func:`_linked_to`) of the sets that link to one leader, their home, with at least
+    ``_HOT`` others. Only groups with more sets than that are looked at; of its leaders a set takes that with most sets."""
+    rows = index.select("key", F.col("b").alias("id"), F.col("m").alias("n"), "typical").unionByName(
+        looked.select("key", "id", "n", F.lit(-1).cast("long").alias("typical")))
+    many = index.groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > _HOT).select("key")
+    hot = stage_lean(rows.join(many, "key").groupBy("key", "id", "n").agg(F.max("typical").alias("typical")), "hot-rows")
+    homes = None
+    for turn in range(_HOME_ROUNDS):
+        left = hot if homes is None else hot.join(homes.select("id"), "id", "left_anti")
+        order = F.xxhash64("id", "key", F.lit(turn)) if turn else F.struct("typical", "id")
+        leader = stage_lean(
+            left.groupBy("key").agg(F.max_by(F.struct("id", "n"), order).alias("x"), F.count("*").alias("held"))
+            .where(F.col("held") > _HOT).select("key", F.col("x.id").alias("lead"), F.col("x.n").alias("m")), "leaders")
+        if turn and not leader.limit(1).count():
+            return homes
+        common = left.join(leader, "key").where((F.col("id") != F.col("lead")) & (_fits(F.col("n"), F.col("m")) | _fits(F.col("m"), F.col("n")))) \
+            .groupBy("id", "lead").agg(F.count("*").alias("common"))
+        best = common.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("common"), "lead"))) \
+            .where(F.col("rank") <= _LEADERS)
+        led = _linked_to(best.select("lead", "id"), whole).unionByName(leader.select(
+            "lead", F.col("lead").alias("id"), F.col("m").cast("long").alias("margin"),
+            F.array().cast("array<bigint>").alias("alone")).distinct())
+        led = stage_lean(led, "led")
+        size = led.groupBy("lead").agg(F.count("*").alias("size"))
+        home = led.select("id", "lead").join(size, "lead").groupBy("id").agg(F.max_by("lead", F.struct("size", "lead")).alias("lead"))
+        large = home.groupBy("lead").agg(F.count("*").alias("size")).where(F.col("size") > _HOT).select("lead")
+        found = led.join(home, ["id", "lead"]).join(large, "lead").select("id", F.col("lead").alias("home"), "margin", "alone")
+        found = stage_lean(found if homes is None else homes.unionByName(found), "homes")
+        if homes is not None and found.count() == homes.count():
+            return homes
+        homes = found
+    return homes
+
+
+def _linked_weights(table: pa.Table) -> pa.Table:
+    """Of the classes of two blocks (or of one with itself), the weight of those in the other that each links to."""
+    second = table.column("second").to_numpy()
+    same = table.column("p")[0] == table.column("q")[0]
+    sides = []
+    for rows in (np.flatnonzero(~second), np.flatnonzero(~second if same else second)):
+        part = table.take(pa.array(rows))
+        lists = part.column("shared").combine_chunks()
+        owner = np.repeat(np.arange(len(rows)), np.diff(lists.offsets.to_numpy()))
+        sides.append((part.column("class").to_numpy(), part.column("margin").to_numpy(), part.column("weight").to_numpy(),
+                      lists.flatten().to_numpy(), owner))
+    (one, margin, weight, items, owner), (two, other_margin, other_weight, other_items, other_owner) = sides
+    both = np.intersect1d(items, other_items)
+    common = np.zeros((len(one), len(two)), np.float32)
+    for start in range(0, len(both), 4096):
+        some = both[start : start + 4096]
+
+        def held(values: np.ndarray, by: np.ndarray, n: int) -> np.ndarray:
+            at = np.minimum(np.searchsorted(some, values), len(some) - 1)
+            here = some[at] == values
+            out = np.zeros((n, len(some)), np.float32)
+            out[by[here], at[here]] = 1
+            return out
+
+        common += held(items, owner, len(one)) @ held(other_items, other_owner, len(two)).T
+    linked = margin[:, None] + other_margin[None, :] + 18 * common.astype(np.int64) >= 0
+    names, sums = [one], [linked @ other_weight]
+    if not same:
+        names.append(two), sums.append(linked.T @ weight)
+    return pa.table({"class": np.concatenate(names), "linked": np.concatenate(sums).astype(np.int64)})
+
+
+def _links_at_home(homes: DataFrame, copies: DataFrame) -> DataFrame:
+    """id, others: the copies of all other sets of its home that a set is similar to.
+
+    Two sets that differ from the leader in D and E differ in |D| + |E| - 2 |D and E| shingles. With margins n - 9 |D| and
+    m - 9 |E| they are similar if the margins and 18 |D and E| make no less than 0: always, if no margin is below 0. Shingles
+    in which one set alone differs from the leader are in no such intersection; without these, sets of one margin and the
+    same differences link alike, and form a class.
+    """
+    each = homes.select("home", "id", F.explode("alone").alias("x"))
+    several = each.groupBy("home", "x").agg(F.count("*").alias("held")).where("held > 1").select("home", "x")
+    shared = each.join(several, ["home", "x"]).groupBy("id").agg(F.array_sort(F.collect_list("x")).alias("shared"))
+    rows = stage_lean(homes.select("id", "home", "margin").join(copies, "id").join(shared, "id", "left").withColumn(
+        "shared", F.coalesce("shared", F.array().cast("array<bigint>"))), "at-home")
+    classes = stage_lean(rows.groupBy("home", "margin", "shared").agg(
+        F.min("id").alias("class"), F.sum("copies").alias("weight")), "classes")
+    far = F.col("margin") < 0
+    blocks = classes.groupBy("home").agg(
+        F.ceil(F.count_if(far) / _BLOCK).alias("far"), F.ceil(F.count_if(~far) / _BLOCK).alias("near"),
+        F.coalesce(F.sum(F.when(~far, F.col("weight"))), F.lit(0)).alias("near_weight"))
+    dealt = classes.join(blocks, "home")
+    at = dealt.where("far > 0").withColumn("at", F.pmod(F.xxhash64("class"), F.when(far, F.col("far")).otherwise(F.col("near"))))
+    # Blocks of near sets are -1, -2 and so on; they never meet each other.
+    meet = F.when(far, F.expr("""concat(
+        transform(sequence(0L, far - 1), j -> struct(least(at, j) AS p, greatest(at, j) AS q, at > j AS second)),
+        transform(filter(sequence(0L, near), j -> j > 0), j -> struct(-j AS p, at AS q, true AS second)))""")).otherwise(F.expr(
+        "transform(sequence(0L, far - 1), j -> struct(-1 - at AS p, j AS q, false AS second))"))
+    met = at.select("home", "class", "margin", "weight", "shared", F.explode(meet).alias("x"))
+    # Dealt anew, as rows dealt by home would leave all blocks of a home to one task.
+    met = met.select("home", "x.*", "class", "margin", "weight", "shared").repartition("home", "p", "q")
+    counted = met.groupBy("home", "p", "q").applyInArrow(
+        _linked_weights, "class long, linked long")
+    near = dealt.where(~far).select("class", F.col("near_weight").alias("linked"))
+    total = counted.unionByName(near).groupBy("class").agg(F.sum("linked").alias("linked"))
+    itself = F.when(2 * F.col("margin") + 18 * F.size("shared") >= 0, F.col("copies")).otherwise(0)
+    return rows.join(classes.drop("weight"), ["home", "margin", "shared"]).join(total, "class").select(
+        "id", (F.col("linked") - itself).alias("others"))
+
+
+def _between_homes(looked: DataFrame, index: DataFrame, homes: DataFrame, whole: DataFrame) -> DataFrame:
+    """Pairs (a, b), not of one home, where one looks up a segment of the other and their sketches are close.
+
+    In each group the sets of the home with most sets there, its main, meet only the others."""
+    mine = homes.select("id", "home")
+    seek, held = looked.join(mine, "id", "left"), index.drop("typical").join(
+        mine.select(F.col("id").alias("b"), F.col("home").alias("home_b")), "b", "left")
+    main = stage_lean(
+        held.where("home_b is not null").groupBy("key", "home_b").agg(F.count("*").alias("n"))
+        .groupBy("key").agg(F.max_by("home_b", F.struct("n", "home_b")).alias("main")), "mains")
+    seek, held = _sketched(seek.join(main, "key", "left"), held.join(main, "key", "left"), whole)
+    seek, held = stage_lean(seek, "seekers"), stage_lean(held, "held")
+    close = F.coalesce(F.col("home") != F.col("home_b"), F.lit(True)) & _close()
+    others = F.coalesce(F.col("home") != F.col("main"), F.lit(True))
+    other_holders = F.col("main").isNotNull() & F.coalesce(F.col("home_b") != F.col("main"), F.lit(True))
+    return _unordered(_meet(seek.where(others).drop("main"), held.drop("main"), close).unionByName(
+        _meet(seek.where("home = main").drop("main"), held.where(other_holders).drop("main"), close)))
+
+
 def _grouped(docs: DataFrame) -> DataFrame:
     """doc_id, version, n, group: each row's component; rows without shingles are groups of their own."""
     sets = stage_lean(signatures(docs), "shingle-sets")
@@ -458,12 +616,17 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def components_with_links(docs: DataFrame) -> DataFrame:
     """As :func:`components`, with n_links: how many other rows are similar to the row, those of equal sets included."""
-    pairs, members = links(docs)
+    sets = stage_lean(signatures(docs), "shingle-sets")
+    members = stage_lean(sets.select("doc_id", "version", "id", "n"), "members")
+    looked, index, whole = _indexed(docs, sets)
+    homes = _homes(looked, index, whole)
+    pairs = stage_lean(_verified(stage_lean(_between_homes(looked, index, homes, whole), "pairs"), whole), "links")
     sets = members.where("n > 0").groupBy("id").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first"))
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(sets.select(F.col("id").alias("b"), "copies"), "b").groupBy(F.col("a").alias("id")).agg(
-        F.sum("copies").alias("others"))
-    linked = connected_components(pairs).withColumnRenamed("node", "id")
+    others = both.join(sets.select(F.col("id").alias("b"), "copies"), "b").select(F.col("a").alias("id"), F.col("copies").alias("others")) \
+        .unionByName(_links_at_home(homes, sets.select("id", "copies"))).groupBy("id").agg(F.sum("others").alias("others"))
+    linked = connected_components(pairs.unionByName(homes.select(F.col("id").alias("a"), F.col("home").alias("b")))) \
+        .withColumnRenamed("node", "id")
     at = stage_lean(
         sets.join(linked, "id", "left").join(others, "id", "left").select(
             "id", "first", F.coalesce("component", "id").alias("group"),

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 
+from sedimenta.llm import op5_jaccard_join as op5
 from sedimenta.llm.op5_jaccard_join import (
     band, components, components_with_links, links, odd_sketch, segment_sums, segments,
 )
@@ -126,3 +127,43 @@ def test_sets_without_an_id_link_to_others(spark):
     assert {tuple(r) for r in components(frame(spark, rows)).collect()} == {(None, 116, 8), (8, 116, 8)}
     pairs, members = links(frame(spark, rows))
     assert pairs.count() == 1 and members.count() == 2
+
+
+def large_group(m: int, seed: int = 8, words: int = 90) -> list[tuple]:
+    """Copies of one text, each with up to five other words at places that many share, some of them twice."""
+    rng = random.Random(seed)
+    base = prose(seed, words).split()
+    rows = []
+    for k in range(m):
+        mine = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 5])):
+            mine[rng.randrange(words)] = rng.choice([f"n{rng.randrange(3)}", f"n{k}"])
+        if k % 20 == 0:
+            mine += [f"end{rng.randrange(4)}"] * rng.randrange(12)
+        rows.append((seed * 10_000 + k, " ".join(mine), "en", "s", 1))
+    return [*rows, *((r[0] + 5_000, *r[1:]) for r in rows[::7])]
+
+
+def test_links_of_large_groups_equal_the_plain_version(spark, monkeypatch):
+    monkeypatch.setattr(op5, "_BLOCK", 20)
+    rows = [*large_group(200), *large_group(60, 9), *near_copies(4), *odd_rows()]
+    got = sorted(map(tuple, components_with_links(frame(spark, rows)).collect()))
+    assert [r[:3] for r in got] == plain([r[:2] for r in rows])
+    assert sorted((r[0], r[3]) for r in got) == sorted(zip([r[0] for r in rows], plain_links([r[:2] for r in rows])))
+
+
+def test_counting_links_lists_no_pairs_of_a_large_group(spark, monkeypatch):
+    staged, most = op5.stage_lean, {}
+
+    def counted(df, label, *more):
+        out = staged(df, label, *more)
+        most[label] = max(most.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(op5, "stage_lean", counted)
+    for m in (150, 450):
+        most.clear()
+        rows = large_group(m)
+        links = sum(r.n_links for r in components_with_links(frame(spark, rows)).collect())
+        assert links > m * m / 8
+        assert most["pairs"] < 8 * m, most
