@@ -8,6 +8,7 @@ filters and skips the stripes and row groups that cannot hold them.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -34,7 +35,8 @@ ORC_OPTIONS = {
 }
 _FILES = "doc_id long, start_in_file long, n_tokens int, ids array<int>"
 _BESIDE_SPACE = re.compile(r"\s | \s|^ | $")
-_WHITE = re.compile(r"\s")
+_RARE_WHITE = re.compile(r"[^\S \n]")
+_WORD_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]++)([!-/:-@\[-`{-~]++)")
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -43,7 +45,33 @@ def space_chunks(text: str) -> list[str]:
 
     A byte-level pre-tokenizer always begins a new word at such a space, so no token crosses it.
     """
-    return _BETWEEN_WORDS.split(text) if _BESIDE_SPACE.search(text) else text.split(" ")
+    # Most texts have no white space but spaces and line breaks, none beside a space: that is told fast.
+    edges = "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
+    if (edges or _RARE_WHITE.search(text)) and _BESIDE_SPACE.search(text):
+        return _BETWEEN_WORDS.split(text)
+    return text.split(" ")
+
+
+def parts_again(chunk: str) -> bool:
+    """Whether the chunk's ids can be told from those of other chunks when the library gets them parted by spaces.
+
+    It holds no space, so its first token alone begins with one; other white space within makes no difference.
+    """
+    return chunk.isalpha() or chunk != "" and " " not in chunk and chunk == chunk.strip()
+
+
+def word_and_marks(chunk: str) -> tuple[str, str] | None:
+    """The letters of a chunk and the marks behind them, if it is no more than that."""
+    found = None if chunk.isalpha() else _WORD_AND_MARKS.fullmatch(chunk)
+    return found and found.groups()
+
+
+def parts_marks(library) -> bool:
+    """Whether the tokenizer parts letters from marks behind them before it looks for tokens."""
+    described = json.loads(library.to_str())
+    before = described["pre_tokenizer"] or {}
+    return before.get("type") == "ByteLevel" and before.get("use_regex", True) and described["normalizer"] is None \
+        and not any(_WORD_AND_MARKS.fullmatch(token["content"]) for token in described["added_tokens"])
 
 
 _tables: dict[str, tuple[ChunkTable, ChunkTable]] = {}
@@ -62,9 +90,11 @@ def _worker_tables(tokenizer: str) -> tuple[ChunkTable, ChunkTable]:
 
         begins = np.zeros(library.get_vocab_size(), bool)
         begins[[i for token, i in library.get_vocab().items() if token.startswith("Ġ")]] = True  # the byte of a space
+        cut, ends = (word_and_marks, ChunkTable(joined(encode, begins, lambda c: False), max_chunks=50_000)) \
+            if parts_marks(library) else (None, None)
         _tables[tokenizer] = (
-            ChunkTable(joined(lambda texts: encode(texts, " "), begins, lambda c: not _WHITE.search(c) and c != ""),
-                       max_chunks=700_000),
+            ChunkTable(joined(lambda texts: encode(texts, " "), begins, parts_again),
+                       700_000, cut, ends),
             ChunkTable(joined(encode, begins, lambda c: False), max_chunks=50_000))
     return _tables[tokenizer]
 
@@ -83,12 +113,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
             for part in slices(column, 2 * SLICE_BYTES):
                 heads, rest, counts = [], [], []
                 for value in column.slice(part.lo, part.n).to_pylist():
-                    head, *more = space_chunks(value or "")
-                    heads.append(head)
-                    rest += more
-                    counts.append(len(more))
+                    chunks = space_chunks(value or "")
+                    heads.append(chunks[0])
+                    rest += spaced.rows(chunks[1:])
+                    counts.append(len(chunks) - 1)
                 head_ids, head_length = first.ids(heads)
-                rest_ids, rest_length = spaced.ids(rest)
+                rest_ids, rest_length = spaced.ids_of(rest)
                 ends = np.concatenate([[0], np.cumsum(rest_length)])[np.cumsum(counts)]
                 rest_length = np.diff(ends, prepend=0)
                 tail = 0 if end_id is None else 1

@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 
-from sedimenta.llm.chunk_table import ChunkTable
+from sedimenta.llm.chunk_table import ChunkTable, joined
+from sedimenta.llm import op7_token_files as op7
 from sedimenta.llm.op7_token_files import file_offsets, read_token_files, space_chunks, with_crc32, write_token_files
 from sedimenta.llm.op9_sentencepiece import decode, encode, marked_words
 from sedimenta.scratch import new_path
@@ -59,6 +61,33 @@ def test_table_keeps_ids_right_beyond_its_size():
     assert len(calls) >= 3
 
 
+def test_each_word_goes_to_the_library_once_whatever_marks_follow_it(monkeypatch):
+    monkeypatch.setattr(op7, "_tables", {})
+    calls = []
+
+    def counted(encode, *more):
+        return joined(lambda texts, *rest: calls.append(texts) or encode(texts, *rest), *more)
+
+    monkeypatch.setattr(op7, "joined", counted)
+    spaced, _ = op7._worker_tables(BYTES)
+    spaced.ids(["word", "word.", "word,", "other.\nline", "two\nlines", "word!!", "more", "more."])
+    asked = [x for texts in calls for t in texts for x in t.split(" ")]
+    assert sorted(asked) == sorted(["word", "other.\nline", "two\nlines", "more", ".", ",", "!!"])
+    assert len(calls[0]) == 1  # all chunks after a space in one text, those with line breaks too
+
+
+def test_chunks_have_the_ids_of_the_library():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BYTES)
+    first, rng = op7._worker_tables(BYTES), random.Random(1)
+    texts = ["".join(rng.choice("ab é.,'s't$_²5\n\t  ñ-\u2003x\u0301!") for _ in range(rng.randrange(60))) for _ in range(3000)]
+    for text in [*texts, "x<|endoftext|>y, a<|endoftext|> b.", "don't we'll, I'm. it's's l'été' 'tis rock'n'roll", "a.\nb c \n d"]:
+        head, *rest = space_chunks(text)
+        ids = [*first[1].ids([head])[0].tolist(), *first[0].ids(rest)[0].tolist()]
+        assert ids == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_token_files_round_trip(spark):
     from tokenizers import Tokenizer
 
