@@ -71,6 +71,8 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     model = public_tokenizers.path("piece_bpe_32k.model")
     encoded = op9_sentencepiece.encode(docs.select("doc_id", "lang", "source", "text"), model).drop("text")
+    # Staged, as encoding and decoding in one task keep two Python workers a core.
+    encoded = stage_lean(encoded, "ids")
     return op9_sentencepiece.decode(encoded, model, text="text").select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from .doc_stats import CHARACTER_CLASSES, Words
 from .staging import stage_lean
-from .text import Slice, slices
+from .text import Slice, slices, tidy
 
 MAX_TRAINING_DOCS = 6000  # labelled documents the model is fitted on
 KEEP_FROM = 0.5
@@ -86,7 +86,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS)
     # One row for each of the sample's ids, so max_docs rows at most.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(
         F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("quality").alias("quality")) \
-        .select("text", "quality").mapInArrow(run, "x array<double>, quality int").toArrow()
+        .select("text", "quality").mapInArrow(tidy(run), "x array<double>, quality int").toArrow()
     y = rows.column("quality").to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
         x = np.zeros((2, len(CHARACTER_CLASSES) + 9))
@@ -106,7 +106,7 @@ def score(docs: DataFrame, model: Model, log_odds: str = "log_odds") -> DataFram
                     [*kept, log_odds])
 
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(log_odds, T.DoubleType())])
-    return docs.select(kept).mapInArrow(run, schema)
+    return docs.select(kept).mapInArrow(tidy(run), schema)
 
 
 def _strength(differences: float | None, mean: float) -> float:

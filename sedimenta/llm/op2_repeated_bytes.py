@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from .bwt_repeats import covered_windows
 from .staging import stage_lean
-from .text import _power_tables, mix, prefix_sums, slices, span_hashes, strings
+from .text import _power_tables, mix, prefix_sums, slices, span_hashes, strings, tidy
 
 MIN_BYTES = 100
 ANCHOR_BYTES = 32
@@ -96,7 +96,7 @@ def _anchor_counts(docs: DataFrame, min_bytes: int, anchor_bytes: int) -> DataFr
                 n = np.bincount(inverse, weights=1 + again, minlength=len(values)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], ["anchor", "n"])
 
-    return (docs.select("text").mapInArrow(run, "anchor long, n long")
+    return (docs.select("text").mapInArrow(tidy(run), "anchor long, n long")
             .groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"))
 
 
@@ -112,7 +112,7 @@ def _pieces(docs: DataFrame, min_bytes: int, anchor_bytes: int) -> DataFrame:
                      pa.array(again)],
                     ["anchor", "piece", "doc", "version", "start", "windows", "again"])
 
-    return docs.select("doc", "version", "text").mapInArrow(run, _PIECES)
+    return docs.select("doc", "version", "text").mapInArrow(tidy(run), _PIECES)
 
 
 def covered_runs(docs: DataFrame, min_bytes: int = MIN_BYTES, anchor_bytes: int = ANCHOR_BYTES) -> DataFrame:
@@ -189,7 +189,7 @@ def _cut(docs: DataFrame, several: DataFrame, bins: int, min_bytes: int) -> Data
                      pa.array((at - offsets[own]).astype(np.int32)), none, pa.nulls(len(at), pa.binary()),
                      pa.array(low), pa.array(high)], schema.names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(tidy(run), schema)
 
 
 def _within(count: np.ndarray) -> np.ndarray:
@@ -273,7 +273,7 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, anchor_bytes: in
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))],
                 [*kept, *added])
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(tidy(run), schema)
 
 
 def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:

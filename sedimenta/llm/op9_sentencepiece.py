@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .chunk_table import ChunkTable, joined
-from .text import slices
+from .text import slices, tidy
 
 MARK = "▁"
 _MARKED = re.compile(f"{MARK}+[^{MARK}]*")
@@ -94,7 +94,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") ->
                     [*kept, ids])
 
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(ids, T.ArrayType(T.IntegerType()))])
-    return docs.select(kept).mapInArrow(run, schema)
+    return docs.select(kept).mapInArrow(tidy(run), schema)
 
 
 def decode(tokens: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -113,7 +113,7 @@ def decode(tokens: DataFrame, model: str, ids: str = "ids", text: str = "decoded
                      pa.array(decoded, pa.string())], [*kept, text])
 
     schema = T.StructType([tokens.schema[c] for c in kept] + [T.StructField(text, T.StringType())])
-    return tokens.mapInArrow(run, schema)
+    return tokens.mapInArrow(tidy(run), schema)
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,9 @@ makes a slice of its own.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,6 +21,29 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for mapInArrow, with a worker that gives back the memory it no longer uses when its task ends.
+
+    Spark keeps idle workers for later tasks, and takes them in turn: what each retains of its batches would lie beside
+    the executor's heap in stages that need no Python.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _give_back()
+
+    return tidied
+
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers = np.ones(1, np.uint64)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 import corpus_pipeline
+from sedimenta.llm import text as arrow_text
 from sedimenta.llm.staging import discard, stage_lean
 
 from .cases import DOCS, clashing, frame, odd_rows, prose
@@ -56,6 +57,18 @@ def test_whole_run(spark):
     assert out and all(r.n_tokens == len(r.ids) for r in out)
 
 
+def test_encoding_and_decoding_are_not_in_one_task(spark):
+    plan = corpus_pipeline.encoding(spark, frame(spark), SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_workers_give_memory_back_at_the_end_of_a_task(monkeypatch):
+    calls = []
+    monkeypatch.setattr(arrow_text, "_give_back", lambda: calls.append(1))
+    batches = arrow_text.tidy(lambda some: (x for x in some))(iter([1, 2]))
+    assert [(x, len(calls)) for x in batches] == [(1, 0), (2, 0)] and calls == [1]
+
+
 def test_discard_deletes_what_was_staged(spark):
     staged = stage_lean(frame(spark), "gone")
     assert staged.count() == len(odd_rows()) and DOCS
