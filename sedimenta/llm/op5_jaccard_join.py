@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from .components import connected_components
 from .staging import discard, stage_lean
-from .text import LOWER, Slice, mix, slices, span_digests, windows, words
+from .text import LOWER, Slice, mix, slices, span_digests, tidy, windows, words
 
 WIDTH = 5
 _SMALL = 4  # sets with fewer shingles differ from similar ones in nothing
@@ -50,8 +50,8 @@ _HOME_ROUNDS = 3
 _BLOCK = 1024  # classes of sets in a matrix
 
 
-def shingles(part: Slice, width: int = WIDTH) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text of a slice."""
+def _flat_shingles(part: Slice, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingle hashes of the texts of a slice end to end, and how many each text has."""
     starts, ends, owner = words(part)
     hashes = span_digests(LOWER[part.buf], starts, ends)
     found, at = windows(hashes, owner, width)
@@ -67,12 +67,19 @@ def shingles(part: Slice, width: int = WIDTH) -> list[np.ndarray]:
                 h = mix(h * np.uint64(3) + hashes[at_word : at_word + 1])
             whole.append(h[0])
         found, at = np.concatenate([found, np.array(whole, np.uint64)]), np.concatenate([at, short])
-    order = np.lexsort((found, at))
-    found, at = found[order], at[order]
+        order = np.argsort(at, kind="stable")
+        found, at = found[order], at[order]
+    for one in np.split(found, np.searchsorted(at, np.arange(1, part.n))):
+        one.sort()  # a view, sorted in place
     new = np.ones(len(found), bool)
     new[1:] = (found[1:] != found[:-1]) | (at[1:] != at[:-1])
-    found, at = found[new], at[new]
-    return np.split(found, np.searchsorted(at, np.arange(1, part.n)))
+    return found[new], np.bincount(at[new], minlength=part.n)
+
+
+def shingles(part: Slice, width: int = WIDTH) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text of a slice."""
+    found, sizes = _flat_shingles(part, width)
+    return np.split(found, np.cumsum(sizes)[:-1])
 
 
 def set_id(items: np.ndarray) -> int:
@@ -82,6 +89,15 @@ def set_id(items: np.ndarray) -> int:
     return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
 
 
+def _set_ids(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """:func:`set_id` of sets that lie end to end, 0 for an empty one."""
+    ids, some = np.zeros(len(sizes), np.int64), np.flatnonzero(sizes)
+    if len(some):
+        sums = np.add.reduceat(mix(flat + np.uint64(0x51ED270B)), (np.cumsum(sizes) - sizes)[some])
+        ids[some] = mix(sums + sizes[some].astype(np.uint64)).view(np.int64)
+    return ids
+
+
 def band(n: int) -> int:
     return n.bit_length() - 1
 
@@ -107,6 +123,23 @@ def _key(sums: np.ndarray, at: np.ndarray, b: int, kind: int) -> np.ndarray:
     return mix(sums ^ mix(salt)).view(np.int64)
 
 
+def _segment_keys(flat: np.ndarray, sizes: np.ndarray, bands: np.ndarray, wanted: np.ndarray) -> pa.Array:
+    """The keys of all segments of each wanted set in the band given for it, null for other sets; sets lie end to end."""
+    counts = np.where(wanted, np.array([segments(b) for b in range(64)])[bands], 0)
+    first = np.cumsum(counts) - counts
+    kept = np.repeat(wanted, sizes)
+    spread = mix(flat[kept] ^ np.uint64(0xA0761D6478BD642F))
+    inside, some = np.where(wanted, sizes, 0), np.repeat(counts, counts)
+    at = ((spread >> np.uint64(32)) * np.repeat(counts, inside).astype(np.uint64)) >> np.uint64(32)
+    sums = np.zeros(len(some), np.uint64)
+    np.add.at(sums, np.repeat(first, inside) + at.astype(np.int64), mix(spread))
+    segment = np.arange(len(some)) - np.repeat(first, counts)
+    salt = segment.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.repeat(1 + 2 * bands, counts).astype(np.uint64)
+    keys = mix(sums ^ mix(salt)).view(np.int64)
+    return pa.ListArray.from_arrays(
+        pa.array(np.append(first, len(some)), pa.int32()), pa.array(keys, pa.int64()), mask=pa.array(~wanted))
+
+
 _NEAR = pa.list_(pa.struct([("key", pa.int64()), ("seg", pa.int32()), ("role", pa.int32())]))
 _SETS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("version", T.LongType()), T.StructField("id", T.LongType()),
@@ -138,37 +171,31 @@ def signatures(docs: DataFrame) -> DataFrame:
         given: set[int] = set()
         for batch in batches:
             for part in slices(batch.column(2)):
-                ids, sizes, own, lower, near = [], [], [], [], []
-                for items in shingles(part):
-                    n = len(items)
-                    name = set_id(items) if n else 0
-                    ids.append(name)
-                    sizes.append(n)
-                    if n < _SMALL or name in given:
-                        own.append(None), lower.append(None), near.append(None)
-                        continue
+                flat, sizes = _flat_shingles(part)
+                ids = _set_ids(flat, sizes)
+                wanted = np.zeros(part.n, bool)
+                for k in np.flatnonzero(sizes >= _SMALL).tolist():
+                    name = int(ids[k])
+                    wanted[k] = name not in given
                     given.add(name)
-                    b = band(n)
-                    _, sums = segment_sums(items, b)
-                    own.append(_key(sums, np.arange(len(sums)), b, 0))
-                    rows = _neighbourhood(items, b, True) if n < _DELETIONS_TO else None
-                    if b > band(_SMALL) and 4 * n < 5 << b:
-                        _, sums = segment_sums(items, b - 1)
-                        lower.append(_key(sums, np.arange(len(sums)), b - 1, 0))
-                        if (1 << b) <= _DELETIONS_TO:
-                            # Segments of the band below carry negative numbers.
-                            rows = (rows or []) + [r | {"seg": -1 - r["seg"]} for r in _neighbourhood(items, b - 1, False)]
-                    else:
-                        lower.append(None)
-                    near.append(rows)
+                bands = np.array([band(n) if n else 0 for n in sizes.tolist()], np.int64)
+                lower = wanted & (bands > band(_SMALL)) & (4 * sizes < 5 << bands)
+                near, first = [None] * part.n, np.cumsum(sizes) - sizes
+                for k in np.flatnonzero(wanted & ((sizes < _DELETIONS_TO) | lower & (1 << bands <= _DELETIONS_TO))).tolist():
+                    items, b = flat[first[k] : first[k] + sizes[k]], int(bands[k])
+                    rows = _neighbourhood(items, b, True) if sizes[k] < _DELETIONS_TO else []
+                    if lower[k]:
+                        # Segments of the band below carry negative numbers.
+                        rows += [r | {"seg": -1 - r["seg"]} for r in _neighbourhood(items, b - 1, False)]
+                    near[k] = rows
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(part.lo, part.n), batch.column(1).slice(part.lo, part.n), pa.array(ids, pa.int64()),
-                     pa.array(sizes, pa.int32()),
-                     pa.array(own, pa.list_(pa.int64())), pa.array(lower, pa.list_(pa.int64())), pa.array(near, _NEAR)],
+                     pa.array(sizes, pa.int32()), _segment_keys(flat, sizes, bands, wanted),
+                     _segment_keys(flat, sizes, np.maximum(bands - 1, 0), lower), pa.array(near, _NEAR)],
                     _SETS.names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), "text") \
-        .mapInArrow(run, _SETS)
+        .mapInArrow(tidy(run), _SETS)
 
 
 def _rows(sets: DataFrame) -> DataFrame:
@@ -214,7 +241,12 @@ def _allocate(shared: DataFrame) -> DataFrame:
     m = most + F.ceil(most * 3 / 20).cast("int") + 2
     needed = F.floor((F.col("n") + F.when(F.col("low"), end).otherwise(F.col("n"))) / 9).cast("int") + 1
     near = F.call_function("shiftleft", F.lit(2), in_band) <= _DELETIONS_TO
-    looked = shared.where("step < 2")
+    by_set = Window.partitionBy("id", "low")
+    # In larger bands a segment has one key, which costs its holders. A set that several tasks gave has equal rows.
+    ranked = shared.where((F.col("step") == 0) & ~near).withColumn("rank", F.dense_rank().over(by_set.orderBy("holders", "seg"))) \
+        .withColumn("dear", F.max("rank").over(by_set))
+    large = ranked.where(F.col("rank") <= needed - (m - F.col("dear"))).select("id", "n", "low", "key").distinct()
+    looked = shared.where((F.col("step") < 2) & near)
     cost = looked.groupBy("id", "n", "low", "seg").agg(
         F.coalesce(F.sum(F.when(F.col("step") == 0, F.col("holders"))), F.lit(0)).alias("c0"),
         F.coalesce(F.sum(F.when(F.col("step") == 1, F.col("holders"))), F.lit(0)).alias("c1"))
@@ -222,13 +254,11 @@ def _allocate(shared: DataFrame) -> DataFrame:
     steps = cost.select("id", "n", "low", "seg", F.explode(F.array(
         F.struct(F.lit(0).alias("step"), F.col("c0").alias("cost")),
         F.struct(F.lit(1).alias("step"), F.greatest("c0", "c1").alias("cost")))).alias("x")) \
-        .select("id", "n", "low", "seg", "x.*").where((F.col("cost") > 0) & (near | (F.col("step") == 0)))
-    by_set = Window.partitionBy("id", "low")
+        .select("id", "n", "low", "seg", "x.*").where("cost > 0")
     ranked = steps.select("*", F.row_number().over(by_set.orderBy("cost", "step", "seg")).alias("rank"),
                           F.count("*").over(by_set).alias("dear"))
-    free = F.when(near, 2).otherwise(1) * m - F.col("dear")
-    chosen = ranked.where(F.col("rank") <= needed - free).select("id", "low", "step", "seg")
-    return looked.join(chosen, ["id", "low", "step", "seg"]).select("id", "n", "low", "key").distinct()
+    chosen = ranked.where(F.col("rank") <= needed - (2 * m - F.col("dear"))).select("id", "low", "step", "seg")
+    return large.unionByName(looked.join(chosen, ["id", "low", "step", "seg"]).select("id", "n", "low", "key").distinct())
 
 
 def _fits(n, m):
@@ -264,7 +294,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), "text").join(
         wanted, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("version") == F.col("as")), "left_semi")
     return some.select("doc_id", "text").mapInArrow(
-        run, "id long, items binary, odd array<long>, odd_lower array<long>").dropDuplicates(["id"])
+        tidy(run), "id long, items binary, odd array<long>, odd_lower array<long>").dropDuplicates(["id"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -284,7 +314,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
 
 
 def _merge(parts: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -304,12 +334,12 @@ def _merge(parts: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def _indexed(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The segments looked up, those held, and the whole sets of both. ``sets`` is staged, and gone afterwards."""
-    rows = _rows(sets)
-    holders = stage_lean(rows.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1"), "holders")
-    packed = stage_lean(rows.join(holders, "key"), "shared-segments")
+    # Counted where they meet: rows are dealt by key once, and most keys have one.
+    holders = F.count("*").over(Window.partitionBy("key"))
+    packed = stage_lean(_rows(sets).withColumn("holders", holders).where("holders > 1"), "shared-segments")
     text = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "version")).alias("x")
     names = stage_lean(sets.groupBy("id").agg(text).select("id", "x.doc_id", "x.version"), "set-names")
-    discard(sets, holders)
+    discard(sets)
     shared = _unpack(packed)
     looked = stage_lean(_allocate(shared), "looked-up")
     # Copies with few changes have the segments that most others have.
@@ -442,7 +472,7 @@ def _linked_to(met: DataFrame, whole: DataFrame) -> DataFrame:
     left = whole.select(F.col("id").alias("lead"), F.col("items").alias("x"))
     right = whole.select("id", F.col("items").alias("y"))
     return met.join(left, "lead").join(right, "id").select("lead", "id", "x", "y").mapInArrow(
-        run, "lead long, id long, margin long, alone array<long>")
+        tidy(run), "lead long, id long, margin long, alone array<long>")
 
 
 def _homes(looked: DataFrame, index: DataFrame, whole: DataFrame) -> DataFrame:

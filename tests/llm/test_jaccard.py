@@ -101,6 +101,32 @@ def test_similar_sets_share_a_segment():
         assert bits <= changed
 
 
+def test_sets_of_a_slice_get_the_keys_they_get_one_by_one():
+    rng = np.random.default_rng(4)
+    sizes = np.array([0, 1, 4, 9, 31, 0, 40, 300, 5, 0])
+    sets = [np.sort(rng.integers(1, 1 << 62, n, dtype=np.uint64)) for n in sizes]
+    flat, bands = np.concatenate(sets), np.array([band(int(n)) if n else 0 for n in sizes])
+    wanted = (sizes >= 4) & (sizes != 9)
+    keys = op5._segment_keys(flat, sizes, bands, wanted).to_pylist()
+    for items, b, some, found, name in zip(sets, bands.tolist(), wanted, keys, op5._set_ids(flat, sizes).tolist()):
+        assert name == (op5.set_id(items) if len(items) else 0)
+        _, sums = segment_sums(items, b)
+        assert found == (op5._key(sums, np.arange(len(sums)), b, 0).tolist() if some else None)
+
+
+def test_segments_are_laid_out_once(spark, monkeypatch):
+    staged, plans = op5.stage_lean, {}
+
+    def noted(df, label, *more):
+        plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, label, *more)
+
+    monkeypatch.setattr(op5, "stage_lean", noted)
+    components(frame(spark, near_copies(5)))
+    assert [label for label, plan in plans.items() if "Generate posexplode" in plan] == ["shared-segments"]
+    assert "Join" not in plans["shared-segments"]
+
+
 def plain_links(rows):
     sets = []
     for _, text in rows:
