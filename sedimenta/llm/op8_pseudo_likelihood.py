@@ -113,22 +113,26 @@ class Network:
         return y, around
 
     def _forward(self, y: np.ndarray, around: np.ndarray):
+        """A column for each word, so that maxima and sums over a digit's values run along the words."""
         w = self.weights
-        h = w["bias"] + w["near"][0][around[0]]
+        h = (w["near"][0] + w["bias"]).take(around[0], axis=0)
         for k in range(1, 2 * REACH):
-            h += w["near"][k][around[k]]
-        h = np.tanh(h, out=h)
+            h += w["near"][k].take(around[k], axis=0)
+        h = np.tanh(h, out=h).T
         high, low = y // DIGIT, y % DIGIT
-        rows = np.arange(len(y))
+        columns = np.arange(len(y))
         logs = np.zeros(len(y))
-        shares = []
-        for z, digit in ((h @ w["high"] + w["high_bias"], high), (h @ w["low"] + w["low_bias"][high], low)):
-            z -= z.max(axis=1, keepdims=True)
-            e = np.exp(z)
-            total = e.sum(axis=1, keepdims=True)
-            logs += z[rows, digit] - np.log(total[:, 0])
-            shares.append(e / total)
-        return h, high, low, shares, logs
+        powers = []
+        for z, bias, digit in ((w["high"].T @ h, w["high_bias"][:, None], high),
+                               (w["low"].T @ h, w["low_bias"].T.take(high, axis=1), low)):
+            z += bias
+            z -= z.max(axis=0)
+            logs += z[digit, columns]
+            e = np.exp(z, out=z)
+            total = e.sum(axis=0)
+            logs -= np.log(total)
+            powers.append((e, total))
+        return h, high, low, powers, logs
 
     def log_probabilities(self, y: np.ndarray, around: np.ndarray) -> np.ndarray:
         out = np.empty(len(y))
@@ -139,27 +143,22 @@ class Network:
     def gradient(self, y: np.ndarray, around: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log-probability."""
         w = self.weights
-        h, high, low, (p, q), _ = self._forward(y, around)
-        rows = np.arange(len(y))
-        p[rows, high] -= 1
-        q[rows, low] -= 1
-        p /= len(y)
-        q /= len(y)
-        dh = (p @ w["high"].T + q @ w["low"].T) * (1 - h * h)
-        near = np.stack([_sum_rows(dh, around[k], TOKENS + 1) for k in range(2 * REACH)])
-        return {"near": near, "bias": dh.sum(axis=0), "high": h.T @ p, "high_bias": p.sum(axis=0), "low": h.T @ q,
-                "low_bias": _sum_rows(q, high, DIGIT)}
-
-
-def _sum_rows(rows: np.ndarray, index: np.ndarray, n: int) -> np.ndarray:
-    """Sums of the rows with each index."""
-    index = index.astype(np.int16)
-    order = np.argsort(index, kind="stable")
-    ordered = index[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    out[ordered[first]] = np.add.reduceat(rows[order], first, axis=0)
-    return out
+        h, high, low, ((p, of_p), (q, of_q)), _ = self._forward(y, around)
+        columns = np.arange(len(y))
+        for shares, total, digit in ((p, of_p, high), (q, of_q, low)):
+            shares *= 1 / (total * len(y))
+            shares[digit, columns] -= 1 / len(y)
+        is_high = np.zeros((len(y), DIGIT), h.dtype)
+        is_high[columns, high] = 1
+        dh = np.multiply(w["high"] @ p + w["low"] @ q, 1 - h * h, dtype=np.float64)
+        near = np.stack([_sum_columns(dh, around[k], TOKENS + 1) for k in range(2 * REACH)])
+        return {"near": near, "bias": dh.sum(axis=1), "high": h @ p.T, "high_bias": p.sum(axis=1), "low": h @ q.T,
+                "low_bias": (q @ is_high).T}
+
+
+def _sum_columns(columns: np.ndarray, index: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the columns with each index, as rows."""
+    return np.stack([np.bincount(index, row, n) for row in columns], axis=1).astype(np.float32)
 
 
 class Adam:
@@ -175,8 +174,8 @@ class Adam:
             m, v = self._mean[k], self._square[k]
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
-            unbiased = rate * np.sqrt(1 - 0.99**self._steps) / (1 - 0.9**self._steps)
-            self._network.weights[k] -= (unbiased * m / (np.sqrt(v) + 1e-7)).astype(np.float32)
+            unbiased = rate * (1 - 0.99**self._steps) ** 0.5 / (1 - 0.9**self._steps)
+            self._network.weights[k] -= (unbiased * m / (np.sqrt(v) + 1e-7)).astype(np.float32, copy=False)
 
 
 def train(docs: DataFrame, rounds: int = ROUNDS, counts: DataFrame | None = None) -> Network:
@@ -250,7 +249,8 @@ def _scored(docs: DataFrame, network: Network, counts: DataFrame, kept: list[str
                 total = np.bincount(owner, logs, part.n).astype(float)  # also without words
                 # The others once for each text; their counts are joined.
                 rare = np.flatnonzero(~is_known)
-                rare = rare[np.lexsort((hashes[rare], owner[rare]))]
+                rare = rare[np.argsort(hashes[rare])]
+                rare = rare[np.argsort(owner[rare].astype(np.min_scalar_type(part.n)), kind="stable")]
                 new = np.ones(len(rare), bool)
                 new[1:] = (hashes[rare[1:]] != hashes[rare[:-1]]) | (owner[rare[1:]] != owner[rare[:-1]])
                 first = np.flatnonzero(new)
